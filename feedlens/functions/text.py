@@ -16,7 +16,11 @@ def words(text) -> Column:
 
 
 def with_previous(words_col: Column) -> Column:
-    """array<struct<w, prev>>: each word with the word before it (NULL first)."""
+    """array<struct<w, prev>>: each word with the word before it (NULL first).
+
+    ``words_col`` must be a column reference (not a tokenising expression):
+    it is indexed once per element.
+    """
     return F.transform(
         words_col,
         lambda w, i: F.struct(

@@ -68,13 +68,19 @@ def lexicon_scorer(rows=None) -> Scorer:
     mod_map = F.create_map(*[F.lit(x) for wk in mod for x in wk])
 
     def scorer(text: Column) -> Column:
-        toks = with_previous(words(text))
-        vals = F.transform(toks, lambda t: _modified(F.try_element_at(pol_map, t["w"]),
-                                                     F.try_element_at(mod_map, t["prev"])))
-        hits = F.filter(vals, lambda v: v.isNotNull())
-        total = F.aggregate(hits, F.lit(0).cast("long"), lambda a, v: a + v)
-        return F.when(text.isNull(), F.lit(None).cast("double")).otherwise(
-            _score_from(total, F.size(hits)))
+        # One left-to-right fold over the tokens, carrying the previous word:
+        # the text is tokenised once and no array is indexed per element.
+        zero = F.struct(F.lit(None).cast("string").alias("prev"),
+                        F.lit(0).cast("long").alias("s"), F.lit(0).alias("n"))
+
+        def step(acc, w):
+            v = _modified(F.try_element_at(pol_map, w), F.try_element_at(mod_map, acc["prev"]))
+            return F.struct(w.alias("prev"),
+                            (acc["s"] + F.coalesce(v, F.lit(0))).cast("long").alias("s"),
+                            (acc["n"] + F.when(v.isNull(), 0).otherwise(1)).alias("n"))
+
+        folded = F.aggregate(words(text), zero, step, lambda acc: _score_from(acc["s"], acc["n"]))
+        return F.when(text.isNull(), F.lit(None).cast("double")).otherwise(folded)
 
     return scorer
 
@@ -106,7 +112,8 @@ def score_with_lexicon_table(df: DataFrame, key_cols: list[str], lexicon: DataFr
                                                          F.col("kind").alias("mod"))
     if small:
         pol, mod = F.broadcast(pol), F.broadcast(mod)
-    toks = (df.select(*key_cols, F.inline(with_previous(words(F.col(text_col)))))
+    toks = (df.select(*key_cols, words(F.col(text_col)).alias("_ws"))
+            .select(*key_cols, F.inline(with_previous(F.col("_ws"))))
             .join(pol, "w").join(mod, "prev", "left")
             .select(*key_cols, _modified(F.col("pol_milli"), F.col("mod")).alias("v")))
     per_row = toks.groupBy(*key_cols).agg(F.sum("v").alias("_s"), F.count("*").alias("_n"))

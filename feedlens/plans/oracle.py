@@ -117,3 +117,67 @@ SELECT comment_date, count(*) AS total_comments,
        (CAST(count(*) FILTER (WHERE sentiment_score > 0) - count(*) FILTER (WHERE sentiment_score < 0) AS DOUBLE)
           / count(*)) * 100 AS net_sentiment_pct
 FROM scored GROUP BY comment_date ORDER BY comment_date"""
+
+DOCS = f"WITH {LEX},\n{scored_cte('documents', 'doc_id', 'text')}"
+
+SQL["document_sentiment"] = f"""{DOCS}
+SELECT doc_id, lang, CAST(len(regexp_extract_all(lower(text), '\\p{{L}}+')) AS BIGINT) AS n_words,
+       sentiment_score, {LABEL} AS sentiment_label
+FROM scored"""
+
+SQL["sentiment_by_lang"] = f"""{DOCS}
+SELECT lang, count(*) AS n_docs,
+       count(*) FILTER (WHERE sentiment_score > 0) AS n_positive,
+       count(*) FILTER (WHERE sentiment_score < 0) AS n_negative,
+       count(*) FILTER (WHERE NOT (sentiment_score > 0 OR sentiment_score < 0) OR sentiment_score IS NULL) AS n_neutral,
+       min(sentiment_score) AS min_score, max(sentiment_score) AS max_score
+FROM scored GROUP BY lang"""
+
+SQL["conversation_sentiment"] = f"""WITH {LEX},
+turns AS (SELECT row_number() OVER () AS turn_key, role, text FROM conversations),
+{scored_cte('turns', 'turn_key', 'text')}
+SELECT role, {LABEL} AS sentiment_label, count(*) AS n_turns,
+       CAST(sum(len(regexp_extract_all(lower(text), '\\p{{L}}+'))) AS BIGINT) AS total_words
+FROM scored GROUP BY 1, 2"""
+
+NESTED_POSTS = f"""{FEED},
+posts AS (
+  SELECT post_no, id, message, total_count, min(created_time) AS created_time
+  FROM feed GROUP BY post_no, id, message, total_count)"""
+
+SQL["flatten_posts"] = f"""WITH {POOL},
+{NESTED_POSTS}
+SELECT p.id, p.created_time, p.message, p.total_count, f.comment_id, f.comment_created_time,
+       f.comment_message, f.comment_likes
+FROM feed f JOIN posts p ON p.post_no = f.post_no
+WHERE f.post_no % 10 NOT IN (7, 9)"""
+
+SQL["flatten_posts_outer"] = f"""WITH {POOL},
+{NESTED_POSTS}
+SELECT p.id, p.created_time, p.message, p.total_count, f.comment_id, f.comment_created_time,
+       f.comment_message, f.comment_likes
+FROM feed f JOIN posts p ON p.post_no = f.post_no
+WHERE f.post_no % 10 NOT IN (7, 9)
+UNION ALL
+SELECT id, created_time, message, total_count, NULL, NULL, NULL, NULL
+FROM posts WHERE post_no % 10 IN (7, 9)"""
+
+SQL["usage_cost"] = """WITH usage AS (
+  SELECT CASE WHEN user_id = 7 THEN NULL ELSE 'user' || CAST(user_id AS VARCHAR) || '@example.com' END AS owned_by,
+         CAST(ts AS DATE) AS usage_date,
+         CASE event_type WHEN 'view' THEN 'STANDARD_ALL_PURPOSE_COMPUTE'
+                         WHEN 'click' THEN 'ENTERPRISE_SERVERLESS_SQL_COMPUTE'
+                         WHEN 'signup' THEN 'STANDARD_JOBS_COMPUTE'
+                         WHEN 'error' THEN 'PREMIUM_ALL_PURPOSE_COMPUTE_SERVERLESS_SQL'
+                         WHEN 'purchase' THEN 'STANDARD_DLT_CORE' ELSE 'OTHER' END AS sku_name,
+         CAST(value AS DECIMAL(12, 2)) AS usage_quantity
+  FROM events)
+SELECT owned_by AS user_email, usage_date, sku_name,
+       CAST(SUM(usage_quantity) AS DOUBLE) AS total_dbu_used,
+       CAST(CASE WHEN sku_name LIKE '%ALL_PURPOSE_COMPUTE%' THEN SUM(usage_quantity) * 0.15
+                 WHEN sku_name LIKE '%SERVERLESS_SQL%' THEN SUM(usage_quantity) * 0.22
+                 ELSE SUM(usage_quantity) * 0.10 END AS DOUBLE) AS estimated_cost_usd
+FROM usage
+WHERE owned_by IS NOT NULL
+GROUP BY user_email, usage_date, sku_name
+ORDER BY usage_date DESC"""

@@ -57,3 +57,59 @@ def q_daily_sentiment_trend(spark, sf_dir):
 @register("daily_net_sentiment")
 def q_daily_net_sentiment(spark, sf_dir):
     return reports.daily_net_sentiment(enriched_comments(spark, sf_dir))
+
+
+# ---- sentiment at scale -------------------------------------------------------
+from pyspark.sql import functions as F  # noqa: E402
+
+from feedlens.functions import kpi  # noqa: E402
+from feedlens.functions.text import words  # noqa: E402
+from feedlens.operators import cost, flatten  # noqa: E402
+
+
+@register("document_sentiment")
+def q_document_sentiment(spark, sf_dir):
+    docs = tb.table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    return (sentiment.score(docs, "text")
+            .select("doc_id", "lang",
+                    F.size(words("text")).cast("long").alias("n_words"),
+                    "sentiment_score",
+                    kpi.sentiment_label().alias("sentiment_label")))
+
+
+@register("sentiment_by_lang")
+def q_sentiment_by_lang(spark, sf_dir):
+    docs = sentiment.score(tb.table(spark, sf_dir, "documents").select("lang", "text"), "text")
+    lab = kpi.sentiment_label()
+    return (docs.groupBy("lang")
+            .agg(F.count("*").alias("n_docs"),
+                 F.count_if(lab == kpi.POSITIVE).alias("n_positive"),
+                 F.count_if(lab == kpi.NEGATIVE).alias("n_negative"),
+                 F.count_if(lab == kpi.NEUTRAL).alias("n_neutral"),
+                 F.min("sentiment_score").alias("min_score"),
+                 F.max("sentiment_score").alias("max_score")))
+
+
+@register("conversation_sentiment")
+def q_conversation_sentiment(spark, sf_dir, scorer=None):
+    turns = tb.table(spark, sf_dir, "conversations").select("role", "text")
+    scored = sentiment.score(turns, "text", scorer=scorer)
+    return (scored.groupBy("role", kpi.sentiment_label().alias("sentiment_label"))
+            .agg(F.count("*").alias("n_turns"),
+                 F.sum(F.size(words("text"))).cast("long").alias("total_words")))
+
+
+# ---- flatten and cost ----------------------------------------------------------
+@register("flatten_posts")
+def q_flatten_posts(spark, sf_dir):
+    return flatten.flatten_posts(tb.nested_feed(spark, sf_dir))
+
+
+@register("flatten_posts_outer")
+def q_flatten_posts_outer(spark, sf_dir):
+    return flatten.flatten_posts(tb.nested_feed(spark, sf_dir), outer=True)
+
+
+@register("usage_cost")
+def q_usage_cost(spark, sf_dir):
+    return cost.usage_cost(tb.usage_feed(spark, sf_dir))
