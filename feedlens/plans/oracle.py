@@ -181,3 +181,74 @@ FROM usage
 WHERE owned_by IS NOT NULL
 GROUP BY user_email, usage_date, sku_name
 ORDER BY usage_date DESC"""
+
+BASE = """base AS (
+  SELECT CASE WHEN o_orderkey % 500 = 13 THEN NULL ELSE o_orderkey END AS o_orderkey,
+         o_custkey, NULLIF(o_orderstatus, 'P') AS o_orderstatus, o_totalprice,
+         CAST(o_orderdate AS DATE) AS o_orderdate, NULLIF(o_orderpriority, '5-LOW') AS o_orderpriority,
+         CASE WHEN o_orderkey % 7 = 0 THEN 'n/a' ELSE CAST(o_custkey AS VARCHAR) END AS cust_ref
+  FROM orders)"""
+COLS = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority, cust_ref"
+BAD_REF = "(cust_ref IS NOT NULL AND TRY_CAST(cust_ref AS INTEGER) IS NULL)"
+MULTI_MSG = f"""concat_ws(' | ',
+    CASE WHEN o_orderstatus IS NULL THEN 'Column o_orderstatus is null' END,
+    CASE WHEN o_orderpriority IS NULL THEN 'Column o_orderpriority is null' END,
+    CASE WHEN {BAD_REF} THEN 'Column cust_ref is not INT' END)"""
+
+SQL["null_rule_errors"] = f"""WITH {BASE}
+SELECT {COLS}, 'Column o_orderpriority is null' AS error_message FROM base WHERE o_orderpriority IS NULL"""
+
+SQL["multi_rule_errors"] = f"""WITH {BASE}
+SELECT {COLS}, {MULTI_MSG} AS error_message
+FROM base WHERE o_orderstatus IS NULL OR o_orderpriority IS NULL OR {BAD_REF}"""
+
+SQL["data_type_rule"] = f"""WITH {BASE}
+SELECT {COLS}, 'Column cust_ref is not INT' AS error_message FROM base WHERE {BAD_REF}"""
+
+SQL["rule_outcomes"] = f"""WITH {BASE},
+c AS (SELECT count(*) FILTER (WHERE o_orderstatus IS NULL) AS n1,
+             count(*) FILTER (WHERE o_orderpriority IS NULL) AS n2,
+             count(*) FILTER (WHERE {BAD_REF}) AS n3 FROM base),
+r AS (SELECT 1 AS dcv_id, 'o_orderstatus' AS column_name, 'column_null_validation' AS validation_name, n1 AS n_errors FROM c
+      UNION ALL SELECT 2, 'o_orderpriority', 'column_null_validation', n2 FROM c
+      UNION ALL SELECT 3, 'cust_ref', 'data_type_validation', n3 FROM c)
+SELECT CAST(dcv_id AS BIGINT) AS dcv_id, column_name, validation_name, n_errors,
+       CASE WHEN n_errors > 0 THEN 'Validation Passed' ELSE 'Validation Passed with no errors' END AS result,
+       'Validation Passed' AS status
+FROM r"""
+
+SQL["array_null_rule"] = f"""WITH {POOL},
+{FEED},
+posts AS (SELECT post_no, id, any_value(message) AS message,
+                 bool_or(comment_message IS NULL) AS has_null_elem
+          FROM feed GROUP BY post_no, id)
+SELECT id, concat_ws(' | ',
+         CASE WHEN message IS NULL THEN 'Column message is null' END,
+         CASE WHEN post_no % 10 = 9 THEN 'Column comments.data.message is null' END,
+         CASE WHEN post_no % 10 NOT IN (7, 9) AND has_null_elem
+              THEN 'Column comments.data.message has null elements' END) AS error_message
+FROM posts
+WHERE message IS NULL OR post_no % 10 = 9 OR (post_no % 10 NOT IN (7, 9) AND has_null_elem)"""
+
+SQL["promote_valid"] = f"""WITH {BASE},
+errs AS (SELECT DISTINCT o_orderkey FROM base
+         WHERE o_orderstatus IS NULL OR o_orderpriority IS NULL OR {BAD_REF})
+SELECT b.* FROM base b
+WHERE NOT EXISTS (SELECT 1 FROM errs e WHERE e.o_orderkey = b.o_orderkey)"""
+
+_NS = " AND ".join(f"t.{c} IS NOT DISTINCT FROM s.{c}" for c in COLS.split(", "))
+_CO = ", ".join(f"coalesce(t.{c}, s.{c}) AS {c}" for c in COLS.split(", "))
+SQL["error_upsert"] = f"""WITH {BASE},
+t AS (SELECT {COLS}, 'Column o_orderstatus is null' AS msg FROM base WHERE o_orderstatus IS NULL),
+s_raw AS (SELECT {COLS}, 'Column o_orderpriority is null' AS msg FROM base WHERE o_orderpriority IS NULL
+          UNION ALL
+          SELECT {COLS}, 'Column o_orderstatus is null' FROM base
+          WHERE o_orderstatus IS NULL AND o_orderpriority = '1-URGENT'),
+s AS (SELECT {COLS}, list_sort(list_distinct(list(msg))) AS sp FROM s_raw GROUP BY ALL)
+SELECT {_CO},
+       CASE WHEN t.msg IS NULL THEN array_to_string(s.sp, ' | ')
+            WHEN s.sp IS NULL THEN t.msg
+            ELSE array_to_string(list_concat(string_split(t.msg, ' | '),
+                   list_filter(s.sp, lambda x: NOT list_contains(string_split(t.msg, ' | '), x))), ' | ')
+       END AS error_message
+FROM t FULL OUTER JOIN s ON {_NS}"""

@@ -113,3 +113,61 @@ def q_flatten_posts_outer(spark, sf_dir):
 @register("usage_cost")
 def q_usage_cost(spark, sf_dir):
     return cost.usage_cost(tb.usage_feed(spark, sf_dir))
+
+
+# ---- data quality --------------------------------------------------------------
+from feedlens.functions.rules import Rule  # noqa: E402
+from feedlens.operators import quality, upsert  # noqa: E402
+
+# Rule bindings used on the orders-derived batch.
+ORDER_RULES = [
+    Rule(1, "o_orderstatus", "column_null_validation", "STRING"),
+    Rule(2, "o_orderpriority", "column_null_validation", "STRING"),
+    Rule(3, "cust_ref", "data_type_validation", "INT"),
+]
+# The two seeded bindings on the post feed.
+POST_RULES = [
+    Rule(1, "message", "column_null_validation", "STRING"),
+    Rule(2, "comments.data.message", "column_null_validation", "STRING"),
+]
+
+
+@register("null_rule_errors")
+def q_null_rule_errors(spark, sf_dir):
+    return quality.error_rows(tb.rule_input(spark, sf_dir), [ORDER_RULES[1]])
+
+
+@register("multi_rule_errors")
+def q_multi_rule_errors(spark, sf_dir):
+    return quality.error_rows(tb.rule_input(spark, sf_dir), ORDER_RULES)
+
+
+@register("data_type_rule")
+def q_data_type_rule(spark, sf_dir):
+    return quality.error_rows(tb.rule_input(spark, sf_dir), [ORDER_RULES[2]])
+
+
+@register("rule_outcomes")
+def q_rule_outcomes(spark, sf_dir):
+    return quality.rule_outcomes(tb.rule_input(spark, sf_dir), ORDER_RULES)
+
+
+@register("array_null_rule")
+def q_array_null_rule(spark, sf_dir):
+    return quality.error_rows(tb.nested_feed(spark, sf_dir), POST_RULES).select("id", "error_message")
+
+
+@register("promote_valid")
+def q_promote_valid(spark, sf_dir):
+    batch = tb.rule_input(spark, sf_dir)
+    return quality.promote_valid(batch, quality.error_rows(batch, ORDER_RULES), key="o_orderkey")
+
+
+@register("error_upsert")
+def q_error_upsert(spark, sf_dir):
+    batch = tb.rule_input(spark, sf_dir)
+    target = quality.error_rows(batch, [ORDER_RULES[0]])
+    replay = batch.filter(F.col("o_orderpriority") == "1-URGENT")
+    source = quality.error_rows(batch, [ORDER_RULES[1]]).unionByName(
+        quality.error_rows(replay, [ORDER_RULES[0]]))
+    return upsert.upsert_errors(target, source)
