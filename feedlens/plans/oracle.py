@@ -252,3 +252,101 @@ SELECT {_CO},
                    list_filter(s.sp, lambda x: NOT list_contains(string_split(t.msg, ' | '), x))), ' | ')
        END AS error_message
 FROM t FULL OUTER JOIN s ON {_NS}"""
+
+AUD = """aud AS (
+  SELECT CAST(o_custkey % 20 AS INTEGER) AS dataset_id, CAST(o_orderdate AS DATE) AS business_date,
+         o_orderkey AS seq,
+         CASE WHEN o_orderstatus = 'F' THEN 'Validated'
+              WHEN o_orderstatus = 'O' THEN CASE WHEN o_orderpriority = '3-MEDIUM' THEN 'In-Progress' ELSE 'Success' END
+              ELSE CASE WHEN o_orderpriority = '1-URGENT' THEN 'Validation Failed' ELSE 'Failed' END END AS status
+  FROM orders),
+aud2 AS (SELECT *, CASE WHEN status LIKE '%Failed%' THEN 'order ' || CAST(seq AS VARCHAR) || ' failed' END AS error_message
+         FROM aud),
+cur AS (SELECT dataset_id, business_date, arg_max(status, seq) AS status,
+               arg_max_null(error_message, seq) AS error_message, max(seq) AS seq, count(*) AS n_events
+        FROM aud2 GROUP BY dataset_id, business_date),
+reg AS (SELECT dataset_id AS id, 'dataset_' || CAST(dataset_id AS VARCHAR) AS name,
+               CASE WHEN dataset_id % 3 = 2 THEN 'instagram' ELSE 'facebook' END AS source_name,
+               CASE WHEN dataset_id % 5 = 0 THEN 'gold' ELSE 'silver' END AS layer,
+               'silver_' || CAST(dataset_id AS VARCHAR) AS silver_table,
+               'errors_' || CAST(dataset_id AS VARCHAR) AS error_table_name,
+               CASE WHEN dataset_id % 5 = 0 THEN 'gold_' || CAST(dataset_id AS VARCHAR) END AS gold_table
+        FROM (SELECT DISTINCT dataset_id FROM aud)),
+tv AS (SELECT r.id AS dataset_id, r.name, c.business_date, r.silver_table, r.error_table_name
+       FROM reg r JOIN cur c ON c.dataset_id = r.id
+       WHERE c.status = 'Success' AND r.source_name = 'facebook' AND r.layer = 'silver')"""
+
+SQL["audit_current"] = f"""WITH {AUD}
+SELECT * FROM cur"""
+
+SQL["audit_lifecycle"] = f"""WITH {AUD}
+SELECT dataset_id, status, count(*) AS n_dates,
+       CASE WHEN status IN ('Started', 'In-Progress', 'Success', 'Failed') THEN 'ingest'
+            WHEN status IN ('Validated', 'Validation Failed') THEN 'validation'
+            WHEN status = 'Validation Passed' THEN 'rule'
+            WHEN status = 'Skipped' THEN 'aggregation' ELSE 'unknown' END AS phase,
+       status IN ('Success', 'Failed', 'Validated', 'Validation Failed', 'Validation Passed', 'Skipped') AS is_terminal
+FROM cur GROUP BY dataset_id, status"""
+
+SQL["datasets_to_validate"] = f"""WITH {AUD}
+SELECT * FROM tv"""
+
+SQL["pending_rules"] = f"""WITH {AUD},
+cols AS (SELECT id AS dataset_id,
+                unnest([{{'ix': 1, 'column_name': 'o_orderstatus', 'column_datatype': 'STRING', 'validation_id': 1}},
+                        {{'ix': 2, 'column_name': 'o_orderpriority', 'column_datatype': 'STRING', 'validation_id': 1}},
+                        {{'ix': 3, 'column_name': 'cust_ref', 'column_datatype': 'INT', 'validation_id': 2}}],
+                       recursive := true)
+         FROM reg),
+binds AS (SELECT CAST(dataset_id * 10 + ix AS BIGINT) AS dcv_id, dataset_id, column_name, column_datatype, validation_id
+          FROM cols WHERE (dataset_id + ix) % 4 <> 0),
+val(id, vname) AS (VALUES (1, 'column_null_validation'), (2, 'data_type_validation')),
+ra AS (SELECT CAST((o_custkey % 20) * 10 + o_orderkey % 3 + 1 AS BIGINT) AS dcv_id,
+              CAST(o_orderdate AS DATE) AS business_date, o_orderkey AS seq,
+              CASE WHEN o_totalprice > 300000 THEN 'Failed' ELSE 'Validation Passed' END AS status
+       FROM orders),
+racur AS (SELECT dcv_id, business_date, arg_max(status, seq) AS status FROM ra GROUP BY 1, 2)
+SELECT tv.dataset_id, tv.business_date, b.dcv_id, b.column_name, b.column_datatype,
+       v.vname AS validation_name, r.status AS audit_status
+FROM tv JOIN binds b ON b.dataset_id = tv.dataset_id
+JOIN val v ON v.id = b.validation_id
+LEFT JOIN racur r ON r.dcv_id = b.dcv_id AND r.business_date = tv.business_date
+WHERE r.status IS NULL OR r.status = 'Failed'"""
+
+PLAN = f"""{AUD},
+da AS (SELECT CAST(1 + id % 2 AS INTEGER) AS aggregation_id, id AS dataset_id,
+              CASE WHEN id = 15 THEN 'no' ELSE 'yes' END AS is_active
+       FROM reg WHERE layer = 'gold'),
+ag(aggregation_id, aggregation_name) AS (VALUES (1, 'daily_kpi'), (2, 'sentiment_trend')),
+deps AS (SELECT id AS dataset_id, CAST((id + unnest([1, 2, 3])) % 20 AS INTEGER) AS dependant_dataset_id
+         FROM reg WHERE layer = 'gold'),
+active AS (SELECT da.dataset_id, da.aggregation_id, ag.aggregation_name
+           FROM da JOIN ag ON ag.aggregation_id = da.aggregation_id WHERE da.is_active = 'yes'),
+dates AS (SELECT DISTINCT d.dataset_id, c.business_date
+          FROM active x JOIN deps d ON d.dataset_id = x.dataset_id
+          JOIN cur c ON c.dataset_id = d.dependant_dataset_id),
+plan AS (SELECT dt.dataset_id, dt.business_date, x.aggregation_id, x.aggregation_name, g.gold_table,
+                d.dependant_dataset_id, s.silver_table,
+                CASE WHEN c.status = 'Validated' THEN c.status END AS status, own.status AS dataset_status
+         FROM dates dt JOIN active x ON x.dataset_id = dt.dataset_id
+         JOIN reg g ON g.id = dt.dataset_id
+         JOIN deps d ON d.dataset_id = dt.dataset_id
+         JOIN reg s ON s.id = d.dependant_dataset_id
+         LEFT JOIN cur c ON c.dataset_id = d.dependant_dataset_id AND c.business_date = dt.business_date
+         LEFT JOIN cur own ON own.dataset_id = dt.dataset_id AND own.business_date = dt.business_date),
+ready AS (SELECT dataset_id, business_date, count(*) AS n_dependencies, count(status) AS n_validated,
+                 coalesce(string_agg(CASE WHEN status IS NULL THEN CAST(dependant_dataset_id AS VARCHAR) END, ','
+                                     ORDER BY CAST(dependant_dataset_id AS VARCHAR)), '') AS missing,
+                 count(status) = count(*) AS ready
+          FROM plan GROUP BY dataset_id, business_date)"""
+
+SQL["aggregation_plan"] = f"""WITH {PLAN}
+SELECT * FROM plan"""
+
+SQL["dependency_readiness"] = f"""WITH {PLAN}
+SELECT * FROM ready"""
+
+SQL["aggregation_guard"] = f"""WITH {PLAN}
+SELECT r.dataset_id, r.business_date FROM ready r
+WHERE r.ready AND NOT EXISTS (SELECT 1 FROM cur c WHERE c.dataset_id = r.dataset_id
+                              AND c.business_date = r.business_date AND c.status = 'Success')"""
