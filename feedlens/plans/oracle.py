@@ -350,3 +350,57 @@ SQL["aggregation_guard"] = f"""WITH {PLAN}
 SELECT r.dataset_id, r.business_date FROM ready r
 WHERE r.ready AND NOT EXISTS (SELECT 1 FROM cur c WHERE c.dataset_id = r.dataset_id
                               AND c.business_date = r.business_date AND c.status = 'Success')"""
+
+_PAT = r"post_detail_(\d{4}-\d{2}-\d{2}_\d{2}-\d{2}-\d{2})\.json"
+LANDING = f"""lr AS (
+  SELECT o_orderkey, 'landing/post_detail/' ||
+    CASE dayofyear(o_orderdate) % 10
+      WHEN 3 THEN 'post_detail_' || strftime(o_orderdate, '%Y-%m-%d') || '.json'
+      WHEN 5 THEN 'post_detail_' || strftime(o_orderdate, '%Y-%m-%d') || '_' || tm || '.json.bak'
+      WHEN 7 THEN 'post_detail_' || strftime(o_orderdate, '%Y') || '-13-' || strftime(o_orderdate, '%d') || '_' || tm || '.json'
+      WHEN 8 THEN 'posts_' || strftime(o_orderdate, '%Y-%m-%d') || '_' || tm || '.json'
+      ELSE 'post_detail_' || strftime(o_orderdate, '%Y-%m-%d') || '_' || tm || '.json' END AS source_file
+  FROM (SELECT *, lpad(CAST(dayofyear(o_orderdate) % 24 AS VARCHAR), 2, '0') || '-' ||
+                  lpad(CAST((dayofyear(o_orderdate) * 7) % 60 AS VARCHAR), 2, '0') || '-' ||
+                  lpad(CAST((dayofyear(o_orderdate) * 13) % 60 AS VARCHAR), 2, '0') AS tm
+        FROM orders)),
+p1 AS (SELECT *, regexp_extract(source_file, '{_PAT}', 1) AS file_date,
+              regexp_extract(source_file, '.*/(.*)', 1) AS filename FROM lr),
+parsed AS (SELECT *, regexp_extract(file_date, '(\\d{{4}})', 1) AS year,
+                  regexp_extract(file_date, '-(\\d{{2}})-', 1) AS month,
+                  regexp_extract(file_date, '-(\\d{{2}})_', 1) AS day,
+                  CASE WHEN file_date <> '' THEN try_strptime(file_date, '%Y-%m-%d_%H-%M-%S') END AS ts
+           FROM p1),
+named AS (SELECT *, regexp_full_match(filename, '{_PAT}') AND ts IS NOT NULL AS ok FROM parsed)"""
+
+SQL["file_stamp_parse"] = f"""WITH {LANDING}
+SELECT DISTINCT source_file, filename, file_date, year, month, day,
+       CAST(ts AS DATE) AS business_date, hour(ts) AS batch_hour, ok AS name_ok
+FROM named"""
+
+SQL["quarantine_split"] = f"""WITH {LANDING}
+SELECT source_file, filename, CASE WHEN ok THEN 'Accepted' ELSE 'Quarantined' END AS status,
+       CASE WHEN ok THEN CAST(min(ts) AS DATE) END AS business_date, count(*) AS n_rows,
+       CASE WHEN NOT ok THEN 'Filename ' || filename || ' format mismatch' END AS error_message
+FROM named GROUP BY source_file, filename, ok"""
+
+SQL["message_decode"] = """SELECT 'social_media_data' AS topic, CAST(user_id % 4 AS INTEGER) AS partition,
+       event_id AS "offset",
+       CASE WHEN user_id % 50 = 0 THEN NULL ELSE 'host-' || CAST(user_id AS VARCHAR) END AS key,
+       CASE WHEN json_valid(v) THEN CAST(json_extract(v, '$.k') AS BIGINT) END AS k,
+       json_valid(v) AS is_valid, v AS raw_value
+FROM (SELECT *, CASE WHEN event_id % 97 = 0 THEN 'not json {' ELSE props END AS v FROM events)"""
+
+SQL["message_encode"] = """SELECT CAST(user_id AS VARCHAR) AS key,
+       to_json({'event_id': event_id, 'event_type': event_type, 'user_id': user_id,
+                'value_cents': CAST(round(value * 100) AS BIGINT)}) :: VARCHAR AS value,
+       'social_media_data' AS topic
+FROM events"""
+
+SQL["rescue_unknown_keys"] = """SELECT event_id, CAST(json_extract(raw, '$.k') AS BIGINT) AS k,
+       nullif(array_to_string(list_sort(list_filter(json_keys(raw), lambda x: x <> 'k')), ','), '') AS rescued_keys
+FROM (SELECT event_id,
+             CASE WHEN event_type = 'click' THEN regexp_replace(props, '}$', ', "src": "' || event_type || '"}')
+                  WHEN event_type = 'error' THEN regexp_replace(props, '}$', ', "code": ' || CAST(user_id AS VARCHAR) || ', "extra": null}')
+                  ELSE props END AS raw
+      FROM events)"""

@@ -238,3 +238,47 @@ def q_aggregation_guard(spark, sf_dir):
     ready = (planning.dependency_readiness(_aggregation_plan(spark, sf_dir))
              .filter("ready").select("dataset_id", "business_date"))
     return audit.not_yet_done(ready, _audit_current(spark, sf_dir))
+
+
+# ---- sources: file names, quarantine, messages, rescue ---------------------------
+from pyspark.sql import types as T  # noqa: E402
+
+from feedlens.sources import files, messages  # noqa: E402
+
+K_SCHEMA = T.StructType([T.StructField("k", T.LongType())])
+
+
+@register("file_stamp_parse")
+def q_file_stamp_parse(spark, sf_dir):
+    names = tb.landing_rows(spark, sf_dir).select("source_file").distinct()
+    return (files.with_file_columns(names)
+            .select("source_file", "filename", "file_date", "year", "month", "day",
+                    F.to_date("batch_ts").alias("business_date"),
+                    F.hour("batch_ts").alias("batch_hour"), "name_ok"))
+
+
+@register("quarantine_split")
+def q_quarantine_split(spark, sf_dir):
+    return files.file_report(files.with_file_columns(tb.landing_rows(spark, sf_dir)))
+
+
+@register("message_decode")
+def q_message_decode(spark, sf_dir):
+    return messages.decode(tb.message_feed(spark, sf_dir), K_SCHEMA)
+
+
+@register("message_encode")
+def q_message_encode(spark, sf_dir):
+    ev = tb.table(spark, sf_dir, "events").select(
+        "event_id", "event_type", "user_id",
+        F.round(F.col("value") * 100).cast("long").alias("value_cents"))
+    enc = messages.encode(ev, "user_id", "social_media_data",
+                          ["event_id", "event_type", "user_id", "value_cents"])
+    return enc.select(F.col("key").cast("string").alias("key"),
+                      F.col("value").cast("string").alias("value"), "topic")
+
+
+@register("rescue_unknown_keys")
+def q_rescue_unknown_keys(spark, sf_dir):
+    return (messages.rescue(tb.raw_json_feed(spark, sf_dir), "raw", K_SCHEMA, "rescued_keys")
+            .select("event_id", "k", "rescued_keys"))

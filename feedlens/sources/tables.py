@@ -144,3 +144,63 @@ def rule_input(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % BAD_REF_EVERY == 0, F.lit("n/a"))
          .otherwise(F.col("o_custkey").cast("string")).alias("cust_ref"),
     )
+
+
+# Which order dates give malformed landing names (day-of-year % 10).
+NAME_NO_TIME, NAME_BAK_SUFFIX, NAME_BAD_MONTH, NAME_OTHER_PREFIX = 3, 5, 7, 8
+
+
+def _pad2(c: Column) -> Column:
+    return F.lpad(c.cast("string"), 2, "0")
+
+
+def landing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``orders`` rows labelled with the landing file they would arrive in:
+    one file per order date, some with malformed names."""
+    o = table(spark, sf_dir, "orders")
+    d = F.col("o_orderdate")
+    doy = F.dayofyear(d)
+    day = F.date_format(d, "yyyy-MM-dd")
+    tm = F.concat_ws("-", _pad2(doy % 24), _pad2((doy * 7) % 60), _pad2((doy * 13) % 60))
+    variant = doy % 10
+    name = (F.when(variant == NAME_NO_TIME, F.concat(F.lit("post_detail_"), day, F.lit(".json")))
+            .when(variant == NAME_BAK_SUFFIX,
+                  F.concat(F.lit("post_detail_"), day, F.lit("_"), tm, F.lit(".json.bak")))
+            .when(variant == NAME_BAD_MONTH,
+                  F.concat(F.lit("post_detail_"), F.date_format(d, "yyyy"), F.lit("-13-"),
+                           F.date_format(d, "dd"), F.lit("_"), tm, F.lit(".json")))
+            .when(variant == NAME_OTHER_PREFIX,
+                  F.concat(F.lit("posts_"), day, F.lit("_"), tm, F.lit(".json")))
+            .otherwise(F.concat(F.lit("post_detail_"), day, F.lit("_"), tm, F.lit(".json"))))
+    return o.select("o_orderkey", F.concat(F.lit("landing/post_detail/"), name).alias("source_file"))
+
+
+# Malformed message values planted in the message feed.
+BAD_VALUE_EVERY = 97
+NULL_KEY_USER_EVERY = 50
+
+
+def message_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kafka-shaped records derived from ``events``."""
+    ev = table(spark, sf_dir, "events")
+    key = F.when(F.col("user_id") % NULL_KEY_USER_EVERY == 0, F.lit(None).cast("string")).otherwise(
+        F.concat(F.lit("host-"), F.col("user_id").cast("string")))
+    value = F.when(F.col("event_id") % BAD_VALUE_EVERY == 0, F.lit("not json {")).otherwise(F.col("props"))
+    return ev.select(key.cast("binary").alias("key"), value.cast("binary").alias("value"),
+                     F.lit("social_media_data").alias("topic"),
+                     (F.col("user_id") % 4).cast("int").alias("partition"),
+                     F.col("event_id").alias("offset"),
+                     F.col("ts").cast("timestamp").alias("timestamp"))
+
+
+def raw_json_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events.props`` with extra keys planted on some event types."""
+    ev = table(spark, sf_dir, "events")
+    props = F.col("props")
+    raw = (F.when(F.col("event_type") == "click",
+                  F.regexp_replace(props, "}$", F.concat(F.lit(', "src": "'), F.col("event_type"), F.lit('"}'))))
+           .when(F.col("event_type") == "error",
+                 F.regexp_replace(props, "}$", F.concat(F.lit(', "code": '), F.col("user_id").cast("string"),
+                                                        F.lit(', "extra": null}'))))
+           .otherwise(props))
+    return ev.select("event_id", raw.alias("raw"))
