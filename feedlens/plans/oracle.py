@@ -404,3 +404,12 @@ FROM (SELECT event_id,
                   WHEN event_type = 'error' THEN regexp_replace(props, '}$', ', "code": ' || CAST(user_id AS VARCHAR) || ', "extra": null}')
                   ELSE props END AS raw
       FROM events)"""
+
+SQL["gold_refresh"] = SQL["daily_nps_csat"]
+
+SQL["batch_read_formats"] = f"""WITH {POOL},
+{FEED}
+SELECT f.format, strftime(comment_date, '%Y') AS year, strftime(comment_date, '%m') AS month,
+       strftime(comment_date, '%d') AS day, count(*) AS n_rows, CAST(sum(comment_likes) AS BIGINT) AS sum_likes
+FROM feed, (VALUES ('json'), ('csv')) f(format)
+GROUP BY 1, 2, 3, 4"""

@@ -282,3 +282,83 @@ def q_message_encode(spark, sf_dir):
 def q_rescue_unknown_keys(spark, sf_dir):
     return (messages.rescue(tb.raw_json_feed(spark, sf_dir), "raw", K_SCHEMA, "rescued_keys")
             .select("event_id", "k", "rescued_keys"))
+
+
+# ---- streams, sinks and jobs (write to the shared folder, read back) ----------------
+from feedlens import schemas  # noqa: E402
+from feedlens.plans import jobs  # noqa: E402
+from feedlens.session import scratch_path  # noqa: E402
+from feedlens.sinks import tables as sinks  # noqa: E402
+from feedlens.sources import fixtures  # noqa: E402
+from feedlens.streaming import drain as drain_stream  # noqa: E402
+from feedlens.streaming.ingest import IngestPaths, read_bronze  # noqa: E402
+
+
+def _paths(root: str) -> IngestPaths:
+    return IngestPaths(landing=f"{root}/landing", bronze=f"{root}/bronze",
+                       quarantine=f"{root}/quarantine", audit=f"{root}/audit",
+                       checkpoint=f"{root}/checkpoint")
+
+
+def _bronze_summary(spark, paths: IngestPaths) -> DataFrame:
+    return read_bronze(spark, paths.bronze).select(
+        "id", "filename", "year", "month", "day",
+        F.size(F.coalesce(F.col("comments.data"), F.array())).alias("n_comments"),
+        F.col("_rescued").alias("rescued_keys"))
+
+
+@register("stream_to_bronze")
+def q_stream_to_bronze(spark, sf_dir):
+    root = scratch_path(spark, "stream_to_bronze")
+    paths = _paths(root)
+    fixtures.write_landing(spark, sf_dir, paths.landing)
+    jobs.ingest(spark, paths, dataset_id=1)
+    return _bronze_summary(spark, paths)
+
+
+@register("topic_drain")
+def q_topic_drain(spark, sf_dir):
+    root = scratch_path(spark, "topic_drain")
+    feed = f"{root}/topic"
+    fixtures.message_files(spark, sf_dir).write.parquet(feed)
+    paths = _paths(root)
+    q = drain_stream.start_drain(spark, feed, paths.landing, f"{root}/drained",
+                                 f"{root}/drain_checkpoint", max_files_per_trigger=4)
+    q.awaitTermination()
+    jobs.ingest(spark, paths, dataset_id=1)
+    return _bronze_summary(spark, paths)
+
+
+@register("batch_read_formats")
+def q_batch_read_formats(spark, sf_dir):
+    root = scratch_path(spark, "batch_read_formats")
+    feed = tb.comment_feed(spark, sf_dir)
+    day = F.substring("comment_created_time", 1, 10)
+    staged = feed.withColumns({"year": F.substring(day, 1, 4), "month": F.substring(day, 6, 2),
+                               "day": F.substring(day, 9, 2)})
+    cols = ["comment_id", "comment_likes", "comment_message", "year", "month", "day"]
+    for fmt in ("json", "csv"):
+        sinks.write_partitions(staged.select(*cols), f"{root}/{fmt}", ["year", "month", "day"], fmt,
+                               {"header": "true"} if fmt == "csv" else None)
+    schema = T.StructType([T.StructField("comment_id", T.StringType()),
+                           T.StructField("comment_likes", T.LongType()),
+                           T.StructField("comment_message", T.StringType()),
+                           T.StructField("year", T.StringType()),
+                           T.StructField("month", T.StringType()),
+                           T.StructField("day", T.StringType())])
+    parts = [files.read_batch(spark, fmt, f"{root}/{fmt}", schema).withColumn("format", F.lit(fmt))
+             for fmt in ("json", "csv")]
+    both = parts[0].unionByName(parts[1])
+    return (both.groupBy("format", "year", "month", "day")
+            .agg(F.count("*").alias("n_rows"), F.sum("comment_likes").alias("sum_likes")))
+
+
+@register("gold_refresh")
+def q_gold_refresh(spark, sf_dir):
+    root = scratch_path(spark, "gold_refresh")
+    silver = f"{root}/silver"
+    flat = tb.comment_feed(spark, sf_dir).withColumn(
+        "file_date", F.substring("comment_created_time", 1, 10))
+    sinks.write_partitions(flat, silver, ["file_date"])
+    jobs.refresh_gold(spark, spark.read.parquet(silver), f"{root}/gold")
+    return jobs.read_gold(spark, f"{root}/gold")
