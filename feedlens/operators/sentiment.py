@@ -57,24 +57,52 @@ def _score_from(total: Column, n: Column) -> Column:
     return F.when(n == 0, F.lit(0.0)).otherwise(total.cast("double") / (F.lit(1000.0) * n))
 
 
-def lexicon_scorer(rows=None) -> Scorer:
-    """Row-local scorer for a bounded lexicon (embedded as literal maps)."""
-    rows = rows if rows is not None else lx.seed_lexicon()
-    if len(rows) > MAX_INLINE_LEXICON:
-        raise ValueError(f"lexicon has {len(rows)} entries; use score_with_lexicon_table")
-    pol = [(w, p) for w, p, k in rows if k == lx.POL]
-    mod = [(w, k) for w, _, k in rows if k != lx.POL]
-    pol_map = F.create_map(*[F.lit(x) for wp in pol for x in (wp[0], int(wp[1]))])
-    mod_map = F.create_map(*[F.lit(x) for wk in mod for x in wk])
-
-    def scorer(text: Column) -> Column:
-        # One left-to-right fold over the tokens, carrying the previous word:
-        # the text is tokenised once and no array is indexed per element.
+class LexiconScorer:
+    """Row-local scorer for a bounded lexicon, embedded as literal maps.
+
+    ``apply`` (used by ``score``) stages the work as columns so that lambda
+    bodies only touch column references and literals (an expression used
+    inside a lambda is re-evaluated per element): tokens, then the polar
+    words present (hash-based intersection; no polar word means 0.0 at
+    once), then a position scan against those few words, with modifier
+    lookups only at matched positions. ``__call__`` is the plain
+    ``Column -> Column`` form: one left-to-right fold over the tokens.
+    """
+
+    def __init__(self, rows=None):
+        rows = rows if rows is not None else lx.seed_lexicon()
+        if len(rows) > MAX_INLINE_LEXICON:
+            raise ValueError(f"lexicon has {len(rows)} entries; use score_with_lexicon_table")
+        pol = [(w, int(p)) for w, p, k in rows if k == lx.POL]
+        mod = [(w, k) for w, _, k in rows if k != lx.POL]
+        self.polar_words = F.array(*[F.lit(w) for w, _ in pol]) if pol else F.array().cast("array<string>")
+        self.pol_map = F.create_map(*[F.lit(x) for wp in pol for x in wp])
+        self.mod_map = F.create_map(*[F.lit(x) for wk in mod for x in wk])
+
+    def apply(self, df: DataFrame, text_col: str, out: str, words_col: str | None = None) -> DataFrame:
+        wc = words_col or "__feedlens_words"
+        pc = "__feedlens_polar"
+        ws, present, text = F.col(wc), F.col(pc), F.col(text_col)
+        tok = df if wc in df.columns else df.withColumn(wc, words(text))
+        tok = tok.withColumn(pc, F.array_intersect(ws, self.polar_words))
+        idx = F.filter(F.sequence(F.lit(1), F.size(ws)),
+                       lambda i: F.array_contains(present, F.element_at(ws, i)))
+        vals = F.transform(idx, lambda i: _modified(
+            F.try_element_at(self.pol_map, F.element_at(ws, i)),
+            F.when(i > 1, F.try_element_at(self.mod_map, F.element_at(ws, i - 1)))))
+        total = F.aggregate(vals, F.lit(0).cast("long"), lambda a, v: a + v)
+        scored = tok.withColumn(out, F.when(text.isNull(), F.lit(None).cast("double"))
+                                .when(F.size(present) == 0, F.lit(0.0))
+                                .otherwise(_score_from(total, F.size(vals))))
+        scored = scored.drop(pc)
+        return scored if words_col else scored.drop(wc)
+
+    def __call__(self, text: Column) -> Column:
         zero = F.struct(F.lit(None).cast("string").alias("prev"),
                         F.lit(0).cast("long").alias("s"), F.lit(0).alias("n"))
 
         def step(acc, w):
-            v = _modified(F.try_element_at(pol_map, w), F.try_element_at(mod_map, acc["prev"]))
+            v = _modified(F.try_element_at(self.pol_map, w), F.try_element_at(self.mod_map, acc["prev"]))
             return F.struct(w.alias("prev"),
                             (acc["s"] + F.coalesce(v, F.lit(0))).cast("long").alias("s"),
                             (acc["n"] + F.when(v.isNull(), 0).otherwise(1)).alias("n"))
@@ -82,7 +110,9 @@ def lexicon_scorer(rows=None) -> Scorer:
         folded = F.aggregate(words(text), zero, step, lambda acc: _score_from(acc["s"], acc["n"]))
         return F.when(text.isNull(), F.lit(None).cast("double")).otherwise(folded)
 
-    return scorer
+
+def lexicon_scorer(rows=None) -> LexiconScorer:
+    return LexiconScorer(rows)
 
 
 def pandas_scorer(fn: Callable[[pd.Series], pd.Series]) -> Scorer:
@@ -96,9 +126,15 @@ def pandas_scorer(fn: Callable[[pd.Series], pd.Series]) -> Scorer:
 
 
 def score(df: DataFrame, text_col: str = "comment_message", out: str = "sentiment_score",
-          scorer: Scorer | None = None) -> DataFrame:
-    """Add ``out`` = scorer(text); default scorer is the seed lexicon."""
+          scorer: Scorer | None = None, words_col: str | None = None) -> DataFrame:
+    """Add ``out`` = score of ``text_col``; default scorer is the seed lexicon.
+
+    For a lexicon scorer the text is tokenised once into a column of its own
+    (kept under ``words_col`` when given, so callers can reuse the tokens).
+    """
     scorer = scorer or lexicon_scorer()
+    if isinstance(scorer, LexiconScorer):
+        return scorer.apply(df, text_col, out, words_col)
     return df.withColumn(out, scorer(F.col(text_col)))
 
 

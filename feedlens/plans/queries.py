@@ -70,9 +70,9 @@ from feedlens.operators import cost, flatten  # noqa: E402
 @register("document_sentiment")
 def q_document_sentiment(spark, sf_dir):
     docs = tb.table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
-    return (sentiment.score(docs, "text")
+    return (sentiment.score(docs, "text", words_col="words")
             .select("doc_id", "lang",
-                    F.size(words("text")).cast("long").alias("n_words"),
+                    F.size("words").cast("long").alias("n_words"),
                     "sentiment_score",
                     kpi.sentiment_label().alias("sentiment_label")))
 
@@ -93,10 +93,11 @@ def q_sentiment_by_lang(spark, sf_dir):
 @register("conversation_sentiment")
 def q_conversation_sentiment(spark, sf_dir, scorer=None):
     turns = tb.table(spark, sf_dir, "conversations").select("role", "text")
-    scored = sentiment.score(turns, "text", scorer=scorer)
+    scored = sentiment.score(turns.withColumn("words", words("text")), "text",
+                             scorer=scorer, words_col="words")
     return (scored.groupBy("role", kpi.sentiment_label().alias("sentiment_label"))
             .agg(F.count("*").alias("n_turns"),
-                 F.sum(F.size(words("text"))).cast("long").alias("total_words")))
+                 F.sum(F.size("words")).cast("long").alias("total_words")))
 
 
 # ---- flatten and cost ----------------------------------------------------------
