@@ -1,0 +1,56 @@
+"""Score boundaries for NPS category, sentiment label and CSAT flag."""
+
+from pyspark.sql import functions as F
+
+from feedlens.functions import kpi
+from feedlens.operators import reports
+
+SCORES = [-1.0, 0.0, 0.099, 0.1, 0.4, 0.499, 0.5, 1.0, None]
+
+
+def test_boundaries(spark):
+    df = spark.createDataFrame([(s,) for s in SCORES], "sentiment_score double")
+    out = df.select("sentiment_score", kpi.nps_category().alias("cat"), kpi.sentiment_label().alias("lab"),
+                    kpi.csat_flag(threshold=0.4).alias("d"), kpi.csat_flag(threshold=0.1).alias("o")).collect()
+    got = {r["sentiment_score"]: (r["cat"], r["lab"], r["d"], r["o"]) for r in out}
+    assert got[-1.0] == ("Detractor", "Negative", 0, 0)
+    assert got[0.0] == ("Detractor", "Neutral", 0, 0)
+    assert got[0.099] == ("Detractor", "Positive", 0, 0)
+    assert got[0.1] == ("Passive", "Positive", 0, 1)
+    assert got[0.4] == ("Passive", "Positive", 1, 1)
+    assert got[0.499] == ("Passive", "Positive", 1, 1)
+    assert got[0.5] == ("Promoter", "Positive", 1, 1)
+    assert got[1.0] == ("Promoter", "Positive", 1, 1)
+    assert got[None] == ("Detractor", "Neutral", 0, 0)
+
+
+def test_overall_scores_on_empty_input_are_null(spark):
+    empty = spark.createDataFrame([], "sentiment_score double")
+    nps = reports.overall_nps(empty).collect()[0]
+    csat = reports.overall_csat(empty).collect()[0]
+    assert nps["total_comments"] == 0 and nps["nps"] is None
+    assert csat["csat_score"] is None
+
+
+def test_daily_kpis(spark):
+    rows = [("2024-01-01T10:00:00.000000+0000", 0.9), ("2024-01-01T23:59:59.999999+0000", 0.2),
+            ("2024-01-02T00:00:00.000000+0000", -0.3), ("2024-01-02T05:00:00.000000+0000", None)]
+    df = spark.createDataFrame(rows, "comment_created_time string, sentiment_score double")
+    out = {str(r["comment_date"]): r.asDict()
+           for r in reports.daily_nps_csat(reports.enrich(df)).collect()}
+    assert out["2024-01-01"]["total_comments"] == 2
+    assert out["2024-01-01"]["promoters"] == 1 and out["2024-01-01"]["detractors"] == 0
+    assert out["2024-01-01"]["NPS"] == 50.0 and out["2024-01-01"]["CSAT"] == 50.0
+    assert out["2024-01-02"]["detractors"] == 2 and out["2024-01-02"]["NPS"] == -100.0
+    assert out["2024-01-02"]["CSAT"] == 0.0
+
+
+def test_utc_date_ignores_session_time_zone(spark):
+    from feedlens.functions.dates import utc_date
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        r = spark.range(1).select(utc_date(F.lit("2024-01-01T02:00:00.000000+0000")).alias("d")).collect()
+        assert str(r[0]["d"]) == "2024-01-01"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
