@@ -176,6 +176,7 @@ def q_error_upsert(spark, sf_dir):
 
 # ---- audit trail and planning ----------------------------------------------------
 from feedlens.operators import audit, planning  # noqa: E402
+from feedlens.session import materialize  # noqa: E402
 from feedlens.sources import control as ctl  # noqa: E402
 
 
@@ -183,6 +184,13 @@ def _audit_current(spark, sf_dir):
     return audit.current(ctl.audit_from_orders(spark, sf_dir))
 
 
+def _control(spark, sf_dir):
+    """Registry and current audit, each computed once per query (both are read
+    several times by the planning joins)."""
+    return (materialize(ctl.registry_from_orders(spark, sf_dir)),
+            materialize(_audit_current(spark, sf_dir)))
+
+
 @register("audit_current")
 def q_audit_current(spark, sf_dir):
     return _audit_current(spark, sf_dir)
@@ -193,33 +201,29 @@ def q_audit_lifecycle(spark, sf_dir):
     return audit.lifecycle_summary(_audit_current(spark, sf_dir))
 
 
-def _to_validate(spark, sf_dir):
-    return planning.datasets_to_validate(ctl.registry_from_orders(spark, sf_dir),
-                                         _audit_current(spark, sf_dir))
-
-
 @register("datasets_to_validate")
 def q_datasets_to_validate(spark, sf_dir):
-    return _to_validate(spark, sf_dir)
+    return planning.datasets_to_validate(ctl.registry_from_orders(spark, sf_dir),
+                                         _audit_current(spark, sf_dir))
 
 
 @register("pending_rules")
 def q_pending_rules(spark, sf_dir):
-    reg = ctl.registry_from_orders(spark, sf_dir)
+    reg = materialize(ctl.registry_from_orders(spark, sf_dir))
     cols = ctl.columns_from_registry(reg)
     rule_audit = audit.current(ctl.rule_audit_from_orders(spark, sf_dir),
                                keys=("dataset_column_validation_id", "business_date"))
-    return (planning.pending_rules(_to_validate(spark, sf_dir), ctl.bindings_from_columns(cols),
+    to_validate = planning.datasets_to_validate(reg, _audit_current(spark, sf_dir))
+    return (planning.pending_rules(to_validate, ctl.bindings_from_columns(cols),
                                    cols.drop("validation_id", "ix"), ctl.validations(spark), rule_audit)
             .select("dataset_id", "business_date", "dcv_id", "column_name", "column_datatype",
                     "validation_name", "audit_status"))
 
 
-def _aggregation_plan(spark, sf_dir):
-    reg = ctl.registry_from_orders(spark, sf_dir)
+def _aggregation_plan(spark, sf_dir, control=None):
+    reg, cur = control or _control(spark, sf_dir)
     return planning.aggregation_plan(reg, ctl.dataset_aggregation_from_registry(reg),
-                                     ctl.aggregations(spark), ctl.dependencies_from_registry(reg),
-                                     _audit_current(spark, sf_dir))
+                                     ctl.aggregations(spark), ctl.dependencies_from_registry(reg), cur)
 
 
 @register("aggregation_plan")
@@ -236,9 +240,10 @@ def q_dependency_readiness(spark, sf_dir):
 
 @register("aggregation_guard")
 def q_aggregation_guard(spark, sf_dir):
-    ready = (planning.dependency_readiness(_aggregation_plan(spark, sf_dir))
+    control = _control(spark, sf_dir)
+    ready = (planning.dependency_readiness(_aggregation_plan(spark, sf_dir, control))
              .filter("ready").select("dataset_id", "business_date"))
-    return audit.not_yet_done(ready, _audit_current(spark, sf_dir))
+    return audit.not_yet_done(ready, control[1])
 
 
 # ---- sources: file names, quarantine, messages, rescue ---------------------------

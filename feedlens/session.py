@@ -61,3 +61,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never-reused path inside the shared folder."""
     return f"{shared_dir(spark)}/feedlens/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df):
+    """Compute a frame once and cut its lineage with a reliable checkpoint in
+    the shared checkpoint folder (survives executor loss; never a local one).
+
+    For control-plane frames that a plan reads several times."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
