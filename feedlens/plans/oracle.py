@@ -143,24 +143,26 @@ FROM scored GROUP BY 1, 2"""
 NESTED_POSTS = f"""{FEED},
 posts AS (
   SELECT post_no, id, message, total_count, min(created_time) AS created_time
-  FROM feed GROUP BY post_no, id, message, total_count)"""
+  FROM feed GROUP BY post_no, id, message, total_count),
+ann AS (
+  SELECT 'a' || CAST(c_custkey AS VARCHAR) AS id, '2024-01-01T00:00:00.000000+0000' AS created_time,
+         'Welcome ' || c_name AS message, CAST(c_custkey % 1000 AS BIGINT) AS total_count,
+         c_custkey % 2 = 0 AS no_object
+  FROM customer)"""
 
 SQL["flatten_posts"] = f"""WITH {POOL},
 {NESTED_POSTS}
 SELECT p.id, p.created_time, p.message, p.total_count, f.comment_id, f.comment_created_time,
        f.comment_message, f.comment_likes
-FROM feed f JOIN posts p ON p.post_no = f.post_no
-WHERE f.post_no % 10 NOT IN (7, 9)"""
+FROM feed f JOIN posts p ON p.post_no = f.post_no"""
 
 SQL["flatten_posts_outer"] = f"""WITH {POOL},
 {NESTED_POSTS}
 SELECT p.id, p.created_time, p.message, p.total_count, f.comment_id, f.comment_created_time,
        f.comment_message, f.comment_likes
 FROM feed f JOIN posts p ON p.post_no = f.post_no
-WHERE f.post_no % 10 NOT IN (7, 9)
 UNION ALL
-SELECT id, created_time, message, total_count, NULL, NULL, NULL, NULL
-FROM posts WHERE post_no % 10 IN (7, 9)"""
+SELECT id, created_time, message, total_count, NULL, NULL, NULL, NULL FROM ann"""
 
 SQL["usage_cost"] = """WITH usage AS (
   SELECT CASE WHEN user_id = 7 THEN NULL ELSE 'user' || CAST(user_id AS VARCHAR) || '@example.com' END AS owned_by,
@@ -218,17 +220,17 @@ SELECT CAST(dcv_id AS BIGINT) AS dcv_id, column_name, validation_name, n_errors,
 FROM r"""
 
 SQL["array_null_rule"] = f"""WITH {POOL},
-{FEED},
-posts AS (SELECT post_no, id, any_value(message) AS message,
-                 bool_or(comment_message IS NULL) AS has_null_elem
-          FROM feed GROUP BY post_no, id)
+{NESTED_POSTS},
+elems AS (SELECT id, any_value(message) AS message, bool_or(comment_message IS NULL) AS has_null_elem
+          FROM feed GROUP BY id),
+allp AS (SELECT id, message, has_null_elem, false AS no_object FROM elems
+         UNION ALL SELECT id, message, false, no_object FROM ann)
 SELECT id, concat_ws(' | ',
          CASE WHEN message IS NULL THEN 'Column message is null' END,
-         CASE WHEN post_no % 10 = 9 THEN 'Column comments.data.message is null' END,
-         CASE WHEN post_no % 10 NOT IN (7, 9) AND has_null_elem
-              THEN 'Column comments.data.message has null elements' END) AS error_message
-FROM posts
-WHERE message IS NULL OR post_no % 10 = 9 OR (post_no % 10 NOT IN (7, 9) AND has_null_elem)"""
+         CASE WHEN no_object THEN 'Column comments.data.message is null' END,
+         CASE WHEN has_null_elem THEN 'Column comments.data.message has null elements' END) AS error_message
+FROM allp
+WHERE message IS NULL OR no_object OR has_null_elem"""
 
 SQL["promote_valid"] = f"""WITH {BASE},
 errs AS (SELECT DISTINCT o_orderkey FROM base

@@ -18,23 +18,33 @@ from feedlens.sources.tables import nested_feed
 BAD_NAME_HOUR = 5
 NESTED_SHAPE_DAY = 15
 EXTRA_KEY_EVERY = 50
+MAX_POSTS_PER_FILE = 2000
 
 
 def landing_files(spark: SparkSession, sf_dir: str,
                   nested_shape_day: int | None = NESTED_SHAPE_DAY) -> DataFrame:
-    """(file_name, body, n_posts): one JSON-array file per post hour."""
+    """(file_name, body, n_posts): JSON-array files per post hour.
+
+    A file holds at most MAX_POSTS_PER_FILE posts: an hour with more posts is
+    split into several files stamped at successive seconds of that hour (up
+    to 3600 per hour; past that the files grow instead of the names colliding).
+    """
     posts = nested_feed(spark, sf_dir)
     hour = F.date_trunc("hour", F.col("created_time").try_cast("timestamp"))
-    stamp = F.date_format(hour, "yyyy-MM-dd_HH-mm-ss")
-    name = F.concat(F.lit("post_detail_"), stamp,
-                    F.when(F.hour(hour) == BAD_NAME_HOUR, F.lit(".json.bak")).otherwise(F.lit(".json")))
     post_json = F.to_json(F.struct(*[F.col(c) for c in schemas.POST_FIELDS]))
-    post_no = F.expr("cast(substr(id, 2) as long)")
-    post_json = F.when(post_no % EXTRA_KEY_EVERY == 0,
+    post_no = F.xxhash64("id")
+    post_json = F.when(F.pmod(post_no, F.lit(EXTRA_KEY_EVERY)) == 0,
                        F.regexp_replace(post_json, "}$", ',"channel":"web"}')).otherwise(post_json)
-    files = (posts.select(name.alias("file_name"), F.dayofmonth(hour).alias("_dom"),
-                          post_json.alias("post"))
-             # a file is one post hour: bounded by the hourly feed volume
+    per_post = posts.select(hour.alias("hour"), post_no.alias("_h"), post_json.alias("post"))
+    per_hour = (per_post.groupBy("hour").count()
+                .select("hour", F.least(F.lit(3600), F.ceil(F.col("count") / MAX_POSTS_PER_FILE))
+                        .cast("long").alias("_chunks")))
+    chunk = F.pmod(F.col("_h"), F.col("_chunks"))
+    stamp_ts = F.timestamp_seconds(F.unix_seconds("hour") + chunk)
+    name = F.concat(F.lit("post_detail_"), F.date_format(stamp_ts, "yyyy-MM-dd_HH-mm-ss"),
+                    F.when(F.hour("hour") == BAD_NAME_HOUR, F.lit(".json.bak")).otherwise(F.lit(".json")))
+    files = (per_post.join(per_hour, "hour")
+             .select(name.alias("file_name"), F.dayofmonth("hour").alias("_dom"), "post")
              .groupBy("file_name", "_dom")
              .agg(F.concat(F.lit("["), F.array_join(F.collect_list("post"), ","), F.lit("]")).alias("body"),
                   F.count("*").alias("n_posts")))

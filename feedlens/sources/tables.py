@@ -14,6 +14,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from feedlens import schemas
 
 from feedlens.functions.dates import iso_text
 
@@ -47,6 +50,7 @@ SKU_BY_EVENT = {
 
 # Which rows of the derived feeds carry NULLs or bad text.
 NULL_OWNER_USER = 7
+ANNOUNCEMENT_TIME = "2024-01-01T00:00:00.000000+0000"
 NULL_PRIORITY = "5-LOW"
 NULL_STATUS = "P"
 BAD_REF_EVERY = 7  # cust_ref is text 'n/a' on every 7th order key
@@ -87,11 +91,12 @@ def comment_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def nested_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Posts with their comments nested, like the landing JSON.
 
-    Posts whose number ends in 7 carry an empty comment array and those ending
-    in 9 carry no ``comments`` object at all. Groups are bounded (4 events per
-    post), and the grouping keys are functions of the post number.
+    Every event is a comment of post ``event_id div 4`` (groups of at most 4,
+    so no group is unbounded). Posts without comments come from ``customer``:
+    one announcement post per customer, with no ``comments`` object for even
+    keys and an empty comment array for odd keys.
     """
-    flat = comment_feed(spark, sf_dir).withColumn("_post", F.expr("cast(substr(id, 2) as long)"))
+    flat = comment_feed(spark, sf_dir)
     comment = F.struct(
         F.col("comment_id").alias("id"),
         F.col("comment_created_time").alias("created_time"),
@@ -100,18 +105,25 @@ def nested_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("comment_message").alias("message"),
         F.col("comment_likes").alias("like_count"),
     )
-    grouped = flat.groupBy("id", "_post", "message", "total_count").agg(
-        F.min("created_time").alias("created_time"),
-        F.collect_list(comment).alias("_data"))
-    tail = F.col("_post") % 10
-    data = F.when(tail == 7, F.slice(F.col("_data"), 1, 0)).otherwise(F.col("_data"))
-    return grouped.select(
-        "id", "created_time",
-        F.struct(F.lit("page-1").alias("id"), F.lit("Brand Official").alias("name")).alias("from"),
-        "message",
-        F.struct(F.struct(F.col("total_count").alias("total_count")).alias("summary")).alias("likes"),
-        F.when(tail == 9, F.lit(None)).otherwise(F.struct(data.alias("data"))).alias("comments"),
-    )
+    page = F.struct(F.lit("page-1").alias("id"), F.lit("Brand Official").alias("name"))
+    posts = (flat.groupBy("id", "message", "total_count")
+             .agg(F.min("created_time").alias("created_time"), F.collect_list(comment).alias("_data"))
+             .select("id", "created_time", page.alias("from"), "message",
+                     F.struct(F.struct(F.col("total_count").alias("total_count")).alias("summary"))
+                      .alias("likes"),
+                     F.struct(F.col("_data").alias("data")).alias("comments")))
+    cust = table(spark, sf_dir, "customer")
+    announcements = cust.select(
+        F.concat(F.lit("a"), F.col("c_custkey").cast("string")).alias("id"),
+        F.lit(ANNOUNCEMENT_TIME).alias("created_time"),
+        page.alias("from"),
+        F.concat(F.lit("Welcome "), F.col("c_name")).alias("message"),
+        F.struct(F.struct((F.col("c_custkey") % 1000).cast("long").alias("total_count"))
+                 .alias("summary")).alias("likes"),
+        F.when(F.col("c_custkey") % 2 == 0, F.lit(None))
+         .otherwise(F.struct(F.array().cast(T.ArrayType(schemas.COMMENT)).alias("data")))
+         .alias("comments"))
+    return posts.unionByName(announcements)
 
 
 def usage_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
