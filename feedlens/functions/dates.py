@@ -62,3 +62,8 @@ def batch_ts(stamp_col, fmt: str = STAMP_FORMAT) -> Column:
 def name_matches(name, pattern: str = POST_FILE_PATTERN) -> Column:
     """Whole-name match of the registered pattern (trailing text rejected)."""
     return _c(name).rlike(f"^(?:{pattern})$")
+
+
+def default_business_date() -> Column:
+    """Yesterday in the session's calendar (the default batch date, F5)."""
+    return F.date_sub(F.current_date(), 1)

@@ -63,3 +63,25 @@ def test_rescue_unknown_keys(spark):
     assert got['{"k": 1}'] == (1, None)
     assert got['{"k": 2, "b": 1, "a": {"x": 1}}'] == (2, "a,b")
     assert got["bad"] == (None, None)
+
+
+def test_registry_row_and_table_exists(spark):
+    import pytest
+    from feedlens import schemas
+    reg = spark.createDataFrame(
+        [tuple([1, "post_detail", "facebook"] + [None] * (len(schemas.DATASET.fields) - 3)),
+         tuple([2, "post_detail", "instagram"] + [None] * (len(schemas.DATASET.fields) - 3))],
+        schemas.DATASET)
+    assert files.registry_row(reg, "post_detail", "facebook")["id"] == 1
+    with pytest.raises(LookupError):
+        files.registry_row(reg, "missing", "facebook")
+    reg.createOrReplaceTempView("feedlens_registry_probe")
+    assert files.table_exists(spark, "feedlens_registry_probe")
+    assert not files.table_exists(spark, "feedlens_no_such_table")
+
+
+def test_default_business_date(spark):
+    import datetime as dt
+    from feedlens.functions.dates import default_business_date
+    r = spark.range(1).select(default_business_date().alias("d"), F.current_date().alias("t")).collect()[0]
+    assert r["t"] - r["d"] == dt.timedelta(days=1)

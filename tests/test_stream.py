@@ -106,3 +106,20 @@ def test_validate_job_and_gold(spark, tmp_path):
     gold = {str(r["comment_date"]): r for r in jobs.read_gold(spark, f"{root}/gold").collect()}
     assert gold["2024-03-26"]["promoters"] == 1 and gold["2024-03-27"]["detractors"] == 1
     assert {r["dcv_id"]: r["n_errors"] for r in out["outcomes"].collect()} == {1: 1}
+
+
+def test_archive_of_consumed_files(spark, tmp_path):
+    """K8: with an archive folder, a landing file is moved once a later batch commits."""
+    from feedlens.streaming.ingest import start_ingest
+    root = str(tmp_path)
+    p = paths(root)
+    p.archive = f"{root}/archive"
+    write(p.landing, "post_detail_2024-03-26_10-00-00.json", [post("a", ["x"])])
+    write(p.landing, "post_detail_2024-03-26_11-00-00.json", [post("b", ["y"])])
+    q = start_ingest(spark, p, dataset_id=1, max_files_per_trigger=1)
+    q.awaitTermination()
+    assert read_bronze(spark, p.bronze).count() == 2
+    archived = [f for _, _, fs in os.walk(p.archive) for f in fs if f.endswith(".json")]
+    left = [f for f in os.listdir(p.landing) if f.endswith(".json")]
+    # the first batch's file is archived when the second batch commits; the last stays
+    assert len(archived) == 1 and len(left) == 1 and set(archived) != set(left)
