@@ -81,20 +81,25 @@ class LexiconScorer:
 
     def apply(self, df: DataFrame, text_col: str, out: str, words_col: str | None = None) -> DataFrame:
         wc = words_col or "__feedlens_words"
-        pc = "__feedlens_polar"
-        ws, present, text = F.col(wc), F.col(pc), F.col(text_col)
+        pc, ic, vc = "__feedlens_polar", "__feedlens_idx", "__feedlens_vals"
+        ws, present, idx, vals = F.col(wc), F.col(pc), F.col(ic), F.col(vc)
+        text = F.col(text_col)
         tok = df if wc in df.columns else df.withColumn(wc, words(text))
-        tok = tok.withColumn(pc, F.array_intersect(ws, self.polar_words))
-        idx = F.filter(F.sequence(F.lit(1), F.size(ws)),
-                       lambda i: F.array_contains(present, F.element_at(ws, i)))
-        vals = F.transform(idx, lambda i: _modified(
-            F.try_element_at(self.pol_map, F.element_at(ws, i)),
-            F.when(i > 1, F.try_element_at(self.mod_map, F.element_at(ws, i - 1)))))
+        # arrays_overlap is a cheap hash probe; the intersection (hashing the
+        # text's own words, the smaller side) runs only for texts that have one
+        staged = (tok.withColumn(pc, F.when(F.arrays_overlap(ws, self.polar_words),
+                                            F.array_intersect(self.polar_words, ws)))
+                  .withColumn(ic, F.when(present.isNotNull(), F.filter(
+                      F.sequence(F.lit(1), F.size(ws)),
+                      lambda i: F.array_contains(present, F.element_at(ws, i)))))
+                  .withColumn(vc, F.transform(idx, lambda i: _modified(
+                      F.try_element_at(self.pol_map, F.element_at(ws, i)),
+                      F.when(i > 1, F.try_element_at(self.mod_map, F.element_at(ws, i - 1)))))))
         total = F.aggregate(vals, F.lit(0).cast("long"), lambda a, v: a + v)
-        scored = tok.withColumn(out, F.when(text.isNull(), F.lit(None).cast("double"))
-                                .when(F.size(present) == 0, F.lit(0.0))
-                                .otherwise(_score_from(total, F.size(vals))))
-        scored = scored.drop(pc)
+        scored = staged.withColumn(out, F.when(text.isNull(), F.lit(None).cast("double"))
+                                   .when(present.isNull(), F.lit(0.0))
+                                   .otherwise(_score_from(total, F.size(vals))))
+        scored = scored.drop(pc, ic, vc)
         return scored if words_col else scored.drop(wc)
 
     def __call__(self, text: Column) -> Column:
