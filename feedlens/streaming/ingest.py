@@ -81,10 +81,10 @@ def audit_rows(report: DataFrame, dataset_id: int, batch_id: int, status_ok: str
 def bronze_writer(paths: IngestPaths, dataset_id: int, fmt: str = "json"):
     """The foreachBatch callback (M1, M3, M4, M5, K1, K5)."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():  # M4
-            return
-        batch = batch.persist()
+        batch = batch.persist()  # read the files once for all the writes below
         try:
+            if batch.isEmpty():  # M4
+                return
             report = files.file_report(batch).persist()
             sinks.append(audit_rows(report, dataset_id, batch_id, "In-Progress", 1), paths.audit)
             accepted, rejected = files.quarantine_split(batch)
