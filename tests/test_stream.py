@@ -123,3 +123,41 @@ def test_archive_of_consumed_files(spark, tmp_path):
     left = [f for f in os.listdir(p.landing) if f.endswith(".json")]
     # the first batch's file is archived when the second batch commits; the last stays
     assert len(archived) == 1 and len(left) == 1 and set(archived) != set(left)
+
+
+def test_validate_and_audit_entry_b(spark, tmp_path):
+    root = str(tmp_path)
+    batch = spark.createDataFrame(
+        [("c1", "2024-03-26", "ok", "5"), ("c2", "2024-03-26", None, "x"), ("c3", "2024-03-26", "fine", "7")],
+        "id string, file_date string, comment_message string, ref string")
+    pending = spark.createDataFrame(
+        [(11, "comment_message", "column_null_validation", "STRING", None),
+         (12, "ref", "data_type_validation", "INT", None)],
+        "dcv_id long, column_name string, validation_name string, column_datatype string, "
+        "validation_parameters string")
+    status = jobs.validate_and_audit(spark, batch, pending, "id", f"{root}/errors", f"{root}/silver",
+                                     f"{root}/rule_audit", f"{root}/audit", 1, "2024-03-26")
+    assert status == "Validated"
+    assert sorted(r["id"] for r in spark.read.parquet(f"{root}/silver").collect()) == ["c1", "c3"]
+    ra = {r["dataset_column_validation_id"]: r["error_message"] for r in spark.read.parquet(f"{root}/rule_audit").collect()}
+    assert ra == {11: "1 error rows", 12: "1 error rows"}
+    err = spark.read.parquet(jobs.sinks.latest_snapshot_path(spark, f"{root}/errors")).collect()
+    assert [r["error_message"] for r in err] == ["Column comment_message is null | Column ref is not INT"]
+    assert spark.read.parquet(f"{root}/audit").collect()[0]["status"] == "Validated"
+
+
+def test_aggregate_ready_entry_c(spark, tmp_path):
+    import datetime as dt
+    root = str(tmp_path)
+    silver = spark.createDataFrame(
+        [("c1", "love it", "2024-03-26T10:00:00.000000+0000"), ("c2", "bad", "2024-03-26T11:00:00.000000+0000")],
+        "comment_id string, comment_message string, comment_created_time string")
+    silver.write.parquet(f"{root}/silver_1")
+    readiness = spark.createDataFrame([(5, dt.date(2024, 3, 26), True), (10, dt.date(2024, 3, 26), False),
+                                       (15, dt.date(2024, 3, 26), True)],
+                                      "dataset_id int, business_date date, ready boolean")
+    out = jobs.aggregate_ready(spark, readiness, {5: [f"{root}/silver_1"]},
+                               {5: f"{root}/gold_5", 15: f"{root}/gold_15"}, f"{root}/audit")
+    assert out == {(5, "2024-03-26"): "Success", (15, "2024-03-26"): "Skipped"}
+    g = jobs.read_gold(spark, f"{root}/gold_5").collect()[0]
+    assert (g["total_comments"], g["promoters"], g["detractors"]) == (2, 1, 1)
