@@ -8,12 +8,18 @@ from pyspark.sql import functions as F
 
 def datasets_to_validate(registry: DataFrame, audit_current: DataFrame,
                          source_name: str = "facebook", layer: str = "silver",
-                         statuses=("Success",)) -> DataFrame:
-    """(Q6) Ingested batches of a source/layer whose current status is in ``statuses``."""
+                         statuses=("Success",), created_by: str | None = None) -> DataFrame:
+    """(Q6) Ingested batches of a source/layer whose current status is in ``statuses``.
+
+    ``created_by`` keeps only batches whose current audit row was written by
+    that actor (the audit view must then carry ``actor``).
+    """
     reg = (registry.filter((F.col("source_name") == source_name) & (F.col("layer") == layer))
            .select(F.col("id").alias("dataset_id"), "name", "silver_table", "error_table_name"))
-    aud = (audit_current.filter(F.col("status").isin(list(statuses)))
-           .select("dataset_id", "business_date"))
+    aud = audit_current.filter(F.col("status").isin(list(statuses)))
+    if created_by is not None:
+        aud = aud.filter(F.col("actor") == created_by)
+    aud = aud.select("dataset_id", "business_date")
     return (reg.join(aud, "dataset_id")
             .select("dataset_id", "name", "business_date", "silver_table", "error_table_name"))
 

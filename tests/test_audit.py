@@ -46,3 +46,16 @@ def test_readiness(spark):
     out = {r["dataset_id"]: r for r in planning.dependency_readiness(plan).collect()}
     assert not out[10]["ready"] and out[10]["missing"] == "12"
     assert out[20]["ready"] and out[20]["missing"] == ""
+
+
+def test_datasets_to_validate_owner_filter(spark):
+    from feedlens import schemas
+    n = len(schemas.DATASET.fields)
+    reg = spark.createDataFrame([tuple([1, "d1", "facebook", "silver"] + [None] * (n - 4)),
+                                 tuple([2, "d2", "facebook", "silver"] + [None] * (n - 4))], schemas.DATASET)
+    ev = audit.audit_events(spark, [(1, D, None, 1, "Success", None, "alice", None),
+                                    (2, D, None, 1, "Success", None, "bob", None)])
+    cur = audit.current(ev, carry=("status", "error_message", "actor"))
+    assert {r["dataset_id"] for r in planning.datasets_to_validate(reg, cur).collect()} == {1, 2}
+    mine = planning.datasets_to_validate(reg, cur, created_by="alice").collect()
+    assert [r["dataset_id"] for r in mine] == [1]
