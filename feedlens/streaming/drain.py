@@ -2,9 +2,11 @@
 
 The feed has the Kafka-source record shape. Each micro-batch (bounded by
 ``maxFilesPerTrigger`` here, ``maxOffsetsPerTrigger`` on a Kafka source) becomes
-one landing file ``post_detail_<drain time>.json`` holding the JSON array of
-the message values -- the array-of-arrays shape the ingest stream accepts.
-With ``availableNow`` the drain stops once the feed is exhausted.
+landing files ``post_detail_<drain time>.json`` holding JSON arrays of the
+message values -- the array-of-arrays shape the ingest stream accepts. A
+drain larger than MAX_MESSAGES_PER_FILE is split over several files stamped
+at consecutive seconds. With ``availableNow`` the drain stops once the feed
+is exhausted.
 """
 
 from __future__ import annotations
@@ -20,38 +22,54 @@ from feedlens import schemas
 from feedlens.sinks.tables import append, write_named_files
 
 
-def _next_stamp(state: dict) -> str:
-    """Drain time to the second, strictly later than the previous drain's,
-    so two drains never share a file name."""
+MAX_MESSAGES_PER_FILE = 1000
+
+
+def _next_stamps(state: dict, n: int) -> list[str]:
+    """``n`` consecutive drain-time stamps (to the second), strictly later than
+    the previous drain's, so no two landing files share a name."""
     now = datetime.now(timezone.utc).replace(microsecond=0)
     last = state.get("last")
     if last is not None and now <= last:
         time.sleep((last - now).total_seconds() + 1.0)
         now = last + timedelta(seconds=1)
-    state["last"] = now
-    return now.strftime("%Y-%m-%d_%H-%M-%S")
+    stamps = [now + timedelta(seconds=k) for k in range(n)]
+    state["last"] = stamps[-1]
+    return [t.strftime("%Y-%m-%d_%H-%M-%S") for t in stamps]
 
 
-def drain_writer(landing: str, drained_log: str, prefix: str = "post_detail_"):
+def drain_writer(landing: str, drained_log: str, prefix: str = "post_detail_",
+                 max_messages_per_file: int = MAX_MESSAGES_PER_FILE):
+    """foreachBatch callback: the drained messages are spread by hash over
+    ceil(n / max_messages_per_file) landing files (one file when the drain is
+    small), so each file holds about that many messages and no file is built
+    from an unbounded group."""
     state: dict = {}
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        valid = batch.filter(F.col("value").isNotNull())
-        one = valid.agg(
-            F.concat(F.lit("["), F.array_join(F.collect_list(F.col("value").cast("string")), ","),
-                     F.lit("]")).alias("body"),
-            F.count("*").alias("n_messages"),
-            F.min("offset").alias("min_offset"), F.max("offset").alias("max_offset"))
-        # the drain time of this batch names the file (one file per drain)
-        named = one.filter(F.col("n_messages") > 0).withColumn(
-            "file_name", F.lit(f"{prefix}{_next_stamp(state)}.json"))
-        named = named.persist()
+        valid = batch.filter(F.col("value").isNotNull()).persist()
         try:
-            write_named_files(named, landing)
-            append(named.select("file_name", "n_messages", "min_offset", "max_offset",
-                                F.lit(batch_id).alias("batch_id")), drained_log)
+            n = valid.count()
+            if n == 0:
+                return
+            chunks = -(-n // max_messages_per_file)
+            names = F.array(*[F.lit(f"{prefix}{s}.json") for s in _next_stamps(state, chunks)])
+            chunk = F.pmod(F.xxhash64("partition", "offset"), F.lit(chunks))
+            files = (valid.groupBy(chunk.alias("_chunk"))
+                     .agg(F.concat(F.lit("["), F.array_join(F.collect_list(F.col("value").cast("string")), ","),
+                                   F.lit("]")).alias("body"),
+                          F.count("*").alias("n_messages"),
+                          F.min("offset").alias("min_offset"), F.max("offset").alias("max_offset"))
+                     .withColumn("file_name", F.element_at(names, (F.col("_chunk") + 1).cast("int")))
+                     .persist())
+            try:
+                write_named_files(files, landing)
+                append(files.select("file_name", "n_messages", "min_offset", "max_offset",
+                                    F.lit(batch_id).alias("batch_id")), drained_log)
+            finally:
+                files.unpersist()
         finally:
-            named.unpersist()
+            valid.unpersist()
     return write
 
 

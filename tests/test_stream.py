@@ -161,3 +161,23 @@ def test_aggregate_ready_entry_c(spark, tmp_path):
     assert out == {(5, "2024-03-26"): "Success", (15, "2024-03-26"): "Skipped"}
     g = jobs.read_gold(spark, f"{root}/gold_5").collect()[0]
     assert (g["total_comments"], g["promoters"], g["detractors"]) == (2, 1, 1)
+
+
+def test_large_drain_is_split(spark, tmp_path):
+    root = str(tmp_path)
+    bodies = [json.dumps([post(f"m{i}", ["a"])]) for i in range(7)]
+    feed = spark.createDataFrame([(b"h", b.encode(), "topic", 0, i, None) for i, b in enumerate(bodies)],
+                                 "key binary, value binary, topic string, partition int, offset long, "
+                                 "timestamp timestamp")
+    feed.write.parquet(f"{root}/topic")
+    p = paths(root)
+    q = (spark.readStream.schema(feed.schema).parquet(f"{root}/topic").writeStream
+         .foreachBatch(drain.drain_writer(p.landing, f"{root}/drained", max_messages_per_file=3))
+         .option("checkpointLocation", f"{root}/dcp").trigger(availableNow=True).start())
+    q.awaitTermination()
+    names = sorted(os.listdir(p.landing))
+    assert len(names) == 3 and len(set(names)) == 3
+    log = spark.read.parquet(f"{root}/drained").collect()
+    assert sum(r["n_messages"] for r in log) == 7
+    jobs.ingest(spark, p, dataset_id=1)
+    assert read_bronze(spark, p.bronze).count() == 7
