@@ -38,34 +38,59 @@ def _next_stamps(state: dict, n: int) -> list[str]:
     return [t.strftime("%Y-%m-%d_%H-%M-%S") for t in stamps]
 
 
+def _planned_names(spark, plan_log: str, batch_id: int) -> list[str] | None:
+    """File names recorded for ``batch_id`` by an earlier attempt, if any."""
+    try:
+        rows = (spark.read.parquet(plan_log).filter(F.col("batch_id") == batch_id)
+                .orderBy("chunk").select("file_name").collect())
+    except Exception:  # noqa: BLE001 - no plan written yet
+        return None
+    return [r["file_name"] for r in rows] or None
+
+
 def drain_writer(landing: str, drained_log: str, prefix: str = "post_detail_",
                  max_messages_per_file: int = MAX_MESSAGES_PER_FILE):
     """foreachBatch callback: the drained messages are spread by hash over
     ceil(n / max_messages_per_file) landing files (one file when the drain is
     small), so each file holds about that many messages and no file is built
-    from an unbounded group."""
+    from an unbounded group.
+
+    Replay-safe: the file names of a batch are recorded under its batch id
+    (``<drained_log>/plan``) before any file is written, and a replayed batch
+    (same id, same messages) rewrites exactly those names instead of landing
+    the messages a second time under new ones. Per-file counts go to
+    ``<drained_log>/files``.
+    """
     state: dict = {}
+    plan_log, files_log = f"{drained_log}/plan", f"{drained_log}/files"
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
         valid = batch.filter(F.col("value").isNotNull()).persist()
         try:
             n = valid.count()
             if n == 0:
                 return
-            chunks = -(-n // max_messages_per_file)
-            names = F.array(*[F.lit(f"{prefix}{s}.json") for s in _next_stamps(state, chunks)])
-            chunk = F.pmod(F.xxhash64("partition", "offset"), F.lit(chunks))
+            names = _planned_names(spark, plan_log, batch_id)
+            if names is None:
+                chunks = -(-n // max_messages_per_file)
+                names = [f"{prefix}{s}.json" for s in _next_stamps(state, chunks)]
+                spark.createDataFrame([(batch_id, k, nm) for k, nm in enumerate(names)],
+                                      "batch_id long, chunk int, file_name string") \
+                    .write.mode("append").parquet(plan_log)
+            chunk = F.pmod(F.xxhash64("partition", "offset"), F.lit(len(names)))
+            name_arr = F.array(*[F.lit(nm) for nm in names])
             files = (valid.groupBy(chunk.alias("_chunk"))
                      .agg(F.concat(F.lit("["), F.array_join(F.collect_list(F.col("value").cast("string")), ","),
                                    F.lit("]")).alias("body"),
                           F.count("*").alias("n_messages"),
                           F.min("offset").alias("min_offset"), F.max("offset").alias("max_offset"))
-                     .withColumn("file_name", F.element_at(names, (F.col("_chunk") + 1).cast("int")))
+                     .withColumn("file_name", F.element_at(name_arr, (F.col("_chunk") + 1).cast("int")))
                      .persist())
             try:
                 write_named_files(files, landing)
                 append(files.select("file_name", "n_messages", "min_offset", "max_offset",
-                                    F.lit(batch_id).alias("batch_id")), drained_log)
+                                    F.lit(batch_id).alias("batch_id")), files_log)
             finally:
                 files.unpersist()
         finally:

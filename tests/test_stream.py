@@ -80,7 +80,7 @@ def test_drain_then_ingest(spark, tmp_path):
     q.awaitTermination()
     names = os.listdir(p.landing)
     assert len(names) == 1 and names[0].startswith("post_detail_") and names[0].endswith(".json")
-    log = spark.read.parquet(f"{root}/drained").collect()[0]
+    log = spark.read.parquet(f"{root}/drained/files").collect()[0]
     assert (log["n_messages"], log["min_offset"], log["max_offset"]) == (2, 0, 1)
     jobs.ingest(spark, p, dataset_id=1)
     assert sorted(r["id"] for r in read_bronze(spark, p.bronze).collect()) == ["m1", "m2", "m3"]
@@ -177,7 +177,23 @@ def test_large_drain_is_split(spark, tmp_path):
     q.awaitTermination()
     names = sorted(os.listdir(p.landing))
     assert len(names) == 3 and len(set(names)) == 3
-    log = spark.read.parquet(f"{root}/drained").collect()
+    log = spark.read.parquet(f"{root}/drained/files").collect()
     assert sum(r["n_messages"] for r in log) == 7
     jobs.ingest(spark, p, dataset_id=1)
     assert read_bronze(spark, p.bronze).count() == 7
+
+
+def test_replayed_drain_reuses_its_file_names(spark, tmp_path):
+    root = str(tmp_path)
+    bodies = [json.dumps([post(f"r{i}", ["a"])]) for i in range(4)]
+    feed = spark.createDataFrame([(b"h", b.encode(), "topic", 0, i, None) for i, b in enumerate(bodies)],
+                                 "key binary, value binary, topic string, partition int, offset long, "
+                                 "timestamp timestamp")
+    p = paths(root)
+    w = drain.drain_writer(p.landing, f"{root}/drained", max_messages_per_file=2)
+    w(feed, 0)
+    first = sorted(os.listdir(p.landing))
+    w(feed, 0)  # the same batch again, as after a failure before the commit
+    assert sorted(os.listdir(p.landing)) == first and len(first) == 2
+    w(feed, 1)  # a new batch gets new names
+    assert len(os.listdir(p.landing)) == 4
