@@ -6,9 +6,21 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-from feedlens.operators import reports, sentiment
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from feedlens.functions import kpi
+from feedlens.functions.rules import Rule
+from feedlens.functions.text import words
+from feedlens.operators import audit, cost, flatten, planning, quality, reports, sentiment, upsert
+from feedlens.plans import jobs
+from feedlens.session import materialize, scratch_path
+from feedlens.sinks import tables as sinks
+from feedlens.sources import control as ctl
+from feedlens.sources import files, fixtures, messages
 from feedlens.sources import tables as tb
+from feedlens.streaming import drain as drain_stream
+from feedlens.streaming.ingest import IngestPaths, read_bronze
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -60,11 +72,6 @@ def q_daily_net_sentiment(spark, sf_dir):
 
 
 # ---- sentiment at scale -------------------------------------------------------
-from pyspark.sql import functions as F  # noqa: E402
-
-from feedlens.functions import kpi  # noqa: E402
-from feedlens.functions.text import words  # noqa: E402
-from feedlens.operators import cost, flatten  # noqa: E402
 
 
 @register("document_sentiment")
@@ -117,8 +124,6 @@ def q_usage_cost(spark, sf_dir):
 
 
 # ---- data quality --------------------------------------------------------------
-from feedlens.functions.rules import Rule  # noqa: E402
-from feedlens.operators import quality, upsert  # noqa: E402
 
 # Rule bindings used on the orders-derived batch.
 ORDER_RULES = [
@@ -175,9 +180,6 @@ def q_error_upsert(spark, sf_dir):
 
 
 # ---- audit trail and planning ----------------------------------------------------
-from feedlens.operators import audit, planning  # noqa: E402
-from feedlens.session import materialize  # noqa: E402
-from feedlens.sources import control as ctl  # noqa: E402
 
 
 def _audit_current(spark, sf_dir):
@@ -247,9 +249,7 @@ def q_aggregation_guard(spark, sf_dir):
 
 
 # ---- sources: file names, quarantine, messages, rescue ---------------------------
-from pyspark.sql import types as T  # noqa: E402
 
-from feedlens.sources import files, messages  # noqa: E402
 
 K_SCHEMA = T.StructType([T.StructField("k", T.LongType())])
 
@@ -291,13 +291,6 @@ def q_rescue_unknown_keys(spark, sf_dir):
 
 
 # ---- streams, sinks and jobs (write to the shared folder, read back) ----------------
-from feedlens import schemas  # noqa: E402
-from feedlens.plans import jobs  # noqa: E402
-from feedlens.session import scratch_path  # noqa: E402
-from feedlens.sinks import tables as sinks  # noqa: E402
-from feedlens.sources import fixtures  # noqa: E402
-from feedlens.streaming import drain as drain_stream  # noqa: E402
-from feedlens.streaming.ingest import IngestPaths, read_bronze  # noqa: E402
 
 
 def _paths(root: str) -> IngestPaths:
