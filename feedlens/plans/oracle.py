@@ -377,7 +377,7 @@ named AS (SELECT *, regexp_full_match(filename, '{_PAT}') AND ts IS NOT NULL AS
 
 SQL["file_stamp_parse"] = f"""WITH {LANDING}
 SELECT DISTINCT source_file, filename, file_date, year, month, day,
-       CAST(ts AS DATE) AS business_date, hour(ts) AS batch_hour, ok AS name_ok
+       CAST(ts AS DATE) AS business_date, CAST(hour(ts) AS INTEGER) AS batch_hour, ok AS name_ok
 FROM named"""
 
 SQL["quarantine_split"] = f"""WITH {LANDING}
