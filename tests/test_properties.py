@@ -35,3 +35,30 @@ def test_valid_and_error_ids_cover_the_batch(spark, rows):
     assert got == batch_ids
     bad_ids = {r[0] for r in rows if r[1] is None and r[0] is not None}
     assert not ({r["id"] for r in valid.collect()} & bad_ids)
+
+
+msgs = st.sampled_from(["m1", "m2", "m3", "m1 | m2"])
+keyed = st.lists(st.tuples(st.integers(0, 4), st.one_of(st.none(), st.sampled_from(["x", "y"])), msgs),
+                 min_size=1, max_size=12)
+
+
+@settings(max_examples=5, deadline=None)
+@given(keyed, keyed)
+def test_upsert_set_semantics(spark, target_rows, source_rows):
+    from feedlens.operators import upsert
+    schema = "id int, a string, error_message string"
+    # a target has one row per key: fold duplicates the way an earlier upsert would
+    tgt = upsert.upsert_errors(None, spark.createDataFrame(target_rows, schema))
+    src = spark.createDataFrame(source_rows, schema)
+    once = upsert.upsert_errors(tgt, src)
+    twice = upsert.upsert_errors(once, src)
+    before = {(r["id"], r["a"]): r["error_message"] for r in tgt.collect()}
+    after = {(r["id"], r["a"]): r["error_message"] for r in once.collect()}
+    assert after == {(r["id"], r["a"]): r["error_message"] for r in twice.collect()}
+    for key, msg in after.items():
+        parts = msg.split(" | ")
+        assert len(parts) == len(set(parts))
+        old = before[key].split(" | ") if key in before else []
+        assert parts[:len(old)] == old  # existing messages keep their order, first
+    for i, a, m in source_rows:
+        assert set(m.split(" | ")) <= set(after[(i, a)].split(" | "))

@@ -197,3 +197,16 @@ def test_replayed_drain_reuses_its_file_names(spark, tmp_path):
     assert sorted(os.listdir(p.landing)) == first and len(first) == 2
     w(feed, 1)  # a new batch gets new names
     assert len(os.listdir(p.landing)) == 4
+
+
+def test_bronze_read_prunes_partitions(spark, tmp_path):
+    from tests.conftest import plan_text
+    root = str(tmp_path)
+    p = paths(root)
+    write(p.landing, "post_detail_2024-03-26_10-00-00.json", [post("a", ["x"])])
+    write(p.landing, "post_detail_2024-04-01_10-00-00.json", [post("b", ["y"])])
+    jobs.ingest(spark, p, dataset_id=1)
+    df = read_bronze(spark, p.bronze).filter((F.col("year") == "2024") & (F.col("month") == "03"))
+    plan = plan_text(df, "simple")
+    assert "PartitionFilters: [isnotnull(year" in plan and "(month#" in plan
+    assert [r["id"] for r in df.collect()] == ["a"]
