@@ -141,7 +141,7 @@ def test_validate_and_audit_entry_b(spark, tmp_path):
     assert sorted(r["id"] for r in spark.read.parquet(f"{root}/silver").collect()) == ["c1", "c3"]
     ra = {r["dataset_column_validation_id"]: r["error_message"] for r in spark.read.parquet(f"{root}/rule_audit").collect()}
     assert ra == {11: "1 error rows", 12: "1 error rows"}
-    err = spark.read.parquet(jobs.sinks.latest_snapshot_path(spark, f"{root}/errors")).collect()
+    err = spark.read.parquet(f"{root}/errors").collect()
     assert [r["error_message"] for r in err] == ["Column comment_message is null | Column ref is not INT"]
     assert spark.read.parquet(f"{root}/audit").collect()[0]["status"] == "Validated"
 
