@@ -86,7 +86,9 @@ def bronze_writer(paths: IngestPaths, dataset_id: int, fmt: str = "json"):
             if batch.isEmpty():  # M4
                 return
             report = files.file_report(batch).persist()
-            sinks.append(audit_rows(report, dataset_id, batch_id, "In-Progress", 1), paths.audit)
+            # Started and In-Progress for every file, in one append
+            sinks.append(audit_rows(report, dataset_id, batch_id, "Started", 0).unionByName(
+                audit_rows(report, dataset_id, batch_id, "In-Progress", 1)), paths.audit)
             accepted, rejected = files.quarantine_split(batch)
             cols = [c for c in accepted.columns if c not in ("batch_ts", "name_ok")]
             try:

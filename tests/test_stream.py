@@ -210,3 +210,15 @@ def test_bronze_read_prunes_partitions(spark, tmp_path):
     plan = plan_text(df, "simple")
     assert "PartitionFilters: [isnotnull(year" in plan and "(month#" in plan
     assert [r["id"] for r in df.collect()] == ["a"]
+
+
+def test_audit_lifecycle_of_one_file(spark, tmp_path):
+    from feedlens.operators import audit
+    root = str(tmp_path)
+    p = paths(root)
+    write(p.landing, "post_detail_2024-03-26_10-00-00.json", [post("a", ["x"])])
+    jobs.ingest(spark, p, dataset_id=3)
+    ev = spark.read.parquet(p.audit).filter("filename = 'post_detail_2024-03-26_10-00-00.json'")
+    assert [r["status"] for r in ev.orderBy("seq").collect()] == ["Started", "In-Progress", "Success"]
+    cur = audit.current(ev.drop("filename")).collect()[0]
+    assert (cur["dataset_id"], str(cur["business_date"]), cur["status"]) == (3, "2024-03-26", "Success")
