@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedlens.functions import lexicon as lx
+from feedlens.session import spread_if_narrow
 from feedlens.functions.text import with_previous, words
 
 Scorer = Callable[[Column], Column]
@@ -131,13 +132,18 @@ def pandas_scorer(fn: Callable[[pd.Series], pd.Series]) -> Scorer:
 
 
 def score(df: DataFrame, text_col: str = "comment_message", out: str = "sentiment_score",
-          scorer: Scorer | None = None, words_col: str | None = None) -> DataFrame:
+          scorer: Scorer | None = None, words_col: str | None = None,
+          spread: bool = True) -> DataFrame:
     """Add ``out`` = score of ``text_col``; default scorer is the seed lexicon.
 
     For a lexicon scorer the text is tokenised once into a column of its own
     (kept under ``words_col`` when given, so callers can reuse the tokens).
+    With ``spread`` an input narrower than the cluster is spread over its
+    cores first (``session.spread_if_narrow``; never fires on large inputs).
     """
     scorer = scorer or lexicon_scorer()
+    if spread:
+        df = spread_if_narrow(df)
     if isinstance(scorer, LexiconScorer):
         return scorer.apply(df, text_col, out, words_col)
     return df.withColumn(out, scorer(F.col(text_col)))

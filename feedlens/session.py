@@ -70,3 +70,19 @@ def materialize(df):
     For control-plane frames that a plan reads several times."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread_if_narrow(df, min_partitions: int | None = None):
+    """Round-robin ``df`` over the cluster's cores when it arrives in fewer
+    partitions than there are cores, before CPU-heavy row-local work.
+
+    Small inputs (e.g. a file with one parquet row group) are otherwise
+    scored by a single task. On large inputs this is a no-op: a scan of many
+    row groups already has more partitions than the cluster has cores, so no
+    shuffle is added. Retries stay deterministic (Spark sorts before a
+    round-robin repartition).
+    """
+    if df.isStreaming:  # a micro-batch is planned per trigger; leave it alone
+        return df
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df

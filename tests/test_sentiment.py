@@ -99,3 +99,22 @@ def test_lexicon_fixed_values_are_well_formed():
     rows = lx.seed_lexicon()
     assert len({w for w, _, _ in rows}) == len(rows)
     assert all(-1000 <= p <= 1000 and p % 2 == 0 for _, p, _ in rows)
+
+
+def test_scoring_a_stream(spark, tmp_path):
+    src = str(tmp_path / "in")
+    _df(spark).write.parquet(src)
+    stream = spark.readStream.schema("k long, text string").parquet(src)
+    q = (sentiment.score(stream, "text", "s").writeStream.format("memory").queryName("scored_stream")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = {r["k"]: r["s"] for r in spark.sql("SELECT * FROM scored_stream").collect()}
+    assert all(got[i] == brute(t) for i, t in enumerate(TEXTS))
+
+
+def test_spread_only_when_narrow(spark):
+    from feedlens.session import spread_if_narrow
+    narrow = spark.range(10).coalesce(1)
+    wide = spark.range(100).repartition(64)
+    assert spread_if_narrow(narrow, 8).rdd.getNumPartitions() == 8
+    assert spread_if_narrow(wide, 8) is wide
