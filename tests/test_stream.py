@@ -222,3 +222,10 @@ def test_audit_lifecycle_of_one_file(spark, tmp_path):
     assert [r["status"] for r in ev.orderBy("seq").collect()] == ["Started", "In-Progress", "Success"]
     cur = audit.current(ev.drop("filename")).collect()[0]
     assert (cur["dataset_id"], str(cur["business_date"]), cur["status"]) == (3, "2024-03-26", "Success")
+
+
+def test_kafka_feed_needs_the_connector(spark):
+    import pytest
+    with pytest.raises(Exception) as e:
+        drain.kafka_feed(spark, "localhost:1", "t")
+    assert "kafka" in str(e.value).lower()
