@@ -25,13 +25,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedlens.functions import lexicon as lx
-from feedlens.session import spread_if_narrow
 from feedlens.functions.text import with_previous, words
+from feedlens.session import spread_if_narrow
 
 Scorer = Callable[[Column], Column]
 
-# Embedding limit for the literal-map strategy (entries); beyond it use the table join.
-MAX_INLINE_LEXICON = 20_000
+# Embedding limit for the literal-map strategy (entries). The per-row
+# intersection walks the polar-word array, so larger lexicons use the table join.
+MAX_INLINE_LEXICON = 2_000
 # Row limit under which a lexicon table is broadcast.
 MAX_BROADCAST_LEXICON = 2_000_000
 
