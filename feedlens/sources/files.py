@@ -30,13 +30,21 @@ def with_source_file(df: DataFrame) -> DataFrame:
     return df.withColumn("source_file", F.col("_metadata.file_path"))
 
 
+def _accepted(batch: DataFrame):
+    ok = F.coalesce(F.col("name_ok"), F.lit(False))
+    if "parse_ok" in batch.columns:
+        ok = ok & F.coalesce(F.col("parse_ok"), F.lit(False))
+    return ok
+
+
 def quarantine_split(batch: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(accepted rows, rejected rows) by whole-name match (K5).
+    """(accepted rows, rejected rows) by whole-name match (K5), and, for
+    landing files, by whether the file parsed at all (``parse_ok``).
 
     Rejected rows keep their file name and carry a NULL stamp; nothing is
     moved on the driver -- the rejected frame is written to a quarantine table.
     """
-    ok = F.coalesce(F.col("name_ok"), F.lit(False))
+    ok = _accepted(batch)
     rejected = (batch.filter(~ok)
                 .withColumns({"file_date": F.lit(None).cast("string"),
                               "batch_ts": F.lit(None).cast("timestamp")}))
@@ -45,15 +53,21 @@ def quarantine_split(batch: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def file_report(batch: DataFrame) -> DataFrame:
     """One row per file of a batch (X1): status, business date, rows, message."""
-    ok = F.coalesce(F.col("name_ok"), F.lit(False))
-    return (batch.groupBy("source_file", "filename", "file_date", ok.alias("_ok"))
-            .agg(F.count("*").alias("n_rows"), F.min("batch_ts").alias("batch_ts"))
-            .select("source_file", "filename",
-                    F.when(F.col("_ok"), ACCEPTED).otherwise(QUARANTINED).alias("status"),
-                    F.when(F.col("_ok"), F.to_date("batch_ts")).alias("business_date"),
-                    "n_rows",
-                    F.when(~F.col("_ok"), F.concat(F.lit("Filename "), F.col("filename"),
-                                                   F.lit(" format mismatch"))).alias("error_message")))
+    name_ok = F.coalesce(F.col("name_ok"), F.lit(False))
+    parse_ok = (F.coalesce(F.col("parse_ok"), F.lit(False)) if "parse_ok" in batch.columns
+                else F.lit(True))
+    g = (batch.groupBy("source_file", "filename", "file_date", name_ok.alias("_name_ok"))
+         .agg(F.count("*").alias("n_rows"), F.min("batch_ts").alias("batch_ts"),
+              F.bool_and(parse_ok).alias("_parse_ok")))
+    ok = F.col("_name_ok") & F.col("_parse_ok")
+    message = (F.when(~F.col("_name_ok"), F.concat(F.lit("Filename "), F.col("filename"),
+                                                    F.lit(" format mismatch")))
+               .when(~F.col("_parse_ok"), F.concat(F.lit("File "), F.col("filename"),
+                                                    F.lit(" is not a JSON array of posts"))))
+    return g.select("source_file", "filename",
+                    F.when(ok, ACCEPTED).otherwise(QUARANTINED).alias("status"),
+                    F.when(ok, F.to_date("batch_ts")).alias("business_date"),
+                    "n_rows", message.alias("error_message"))
 
 
 def read_batch(spark: SparkSession, fmt: str, path: str, schema: T.StructType | None = None,

@@ -44,10 +44,13 @@ def parse_landing(raw: DataFrame, pattern: str = dates.POST_FILE_PATTERN) -> Dat
     nested = F.col("value").rlike(NESTED_SHAPE)
     elems = F.when(nested, F.flatten(F.from_json("value", "array<array<string>>"))) \
              .otherwise(F.from_json("value", "array<string>"))
-    posts = raw.select("source_file", F.explode_outer(elems).alias("_raw"))
-    parsed = rescue(posts, "_raw", schemas.POST).drop("_raw")
-    return files.with_file_columns(parsed.select(*schemas.POST_FIELDS, "_rescued", "source_file"),
-                                   pattern=pattern)
+    # a file that is not a JSON array yields one marker row (quarantined below);
+    # an empty array yields no rows
+    elems = F.coalesce(elems, F.array(F.lit(None).cast("string")))
+    posts = raw.select("source_file", F.explode(elems).alias("_raw"))
+    parsed = rescue(posts, "_raw", schemas.POST).withColumn("parse_ok", F.col("_raw").isNotNull())
+    return files.with_file_columns(
+        parsed.select(*schemas.POST_FIELDS, "_rescued", "source_file", "parse_ok"), pattern=pattern)
 
 
 def landing_stream(spark: SparkSession, landing: str, archive: str | None = None,
@@ -86,11 +89,13 @@ def bronze_writer(paths: IngestPaths, dataset_id: int, fmt: str = "json"):
             if batch.isEmpty():  # M4
                 return
             report = files.file_report(batch).persist()
-            # Started and In-Progress for every file, in one append
-            sinks.append(audit_rows(report, dataset_id, batch_id, "Started", 0).unionByName(
-                audit_rows(report, dataset_id, batch_id, "In-Progress", 1)), paths.audit)
+            # Started and In-Progress for each accepted file, in one append; a
+            # rejected file gets a single Failed event with the reason
+            started = report.filter(F.col("status") == files.ACCEPTED)
+            sinks.append(audit_rows(started, dataset_id, batch_id, "Started", 0).unionByName(
+                audit_rows(started, dataset_id, batch_id, "In-Progress", 1)), paths.audit)
             accepted, rejected = files.quarantine_split(batch)
-            cols = [c for c in accepted.columns if c not in ("batch_ts", "name_ok")]
+            cols = [c for c in accepted.columns if c not in ("batch_ts", "name_ok", "parse_ok")]
             try:
                 sinks.write_bronze(accepted.select(*cols), paths.bronze, fmt)
                 sinks.write_partitions(rejected.select(*cols), paths.quarantine, ["filename"], "json")
@@ -100,7 +105,8 @@ def bronze_writer(paths: IngestPaths, dataset_id: int, fmt: str = "json"):
                     "error_message", F.lit(str(e)[:2000]))
                 sinks.append(audit_rows(failed, dataset_id, batch_id, "Failed", 2), paths.audit)
                 raise
-            report.unpersist()
+            finally:
+                report.unpersist()
         finally:
             batch.unpersist()
     return write

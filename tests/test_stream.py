@@ -53,8 +53,8 @@ def test_ingest_restart_and_replay(spark, tmp_path):
     assert [r["id"] for r in q.collect()] == ["e"]
     aud = spark.read.parquet(p.audit)
     assert aud.filter("status = 'Success'").count() == 2
-    assert aud.filter("status = 'Failed'").select("error_message").collect()[0][0] == \
-        "Filename post_detail_2024-03-26.json format mismatch"
+    assert [r["error_message"] for r in aud.filter("status = 'Failed'").collect()] == \
+        ["Filename post_detail_2024-03-26.json format mismatch"]
 
     # restart from the checkpoint: only the new file is read
     write(p.landing, "post_detail_2024-03-27_09-00-00.json", [post("f", ["new"])])
@@ -229,3 +229,19 @@ def test_kafka_feed_needs_the_connector(spark):
     with pytest.raises(Exception) as e:
         drain.kafka_feed(spark, "localhost:1", "t")
     assert "kafka" in str(e.value).lower()
+
+
+def test_unparsable_and_empty_files(spark, tmp_path):
+    root = str(tmp_path)
+    p = paths(root)
+    os.makedirs(p.landing, exist_ok=True)
+    with open(os.path.join(p.landing, "post_detail_2024-03-26_10-00-00.json"), "w") as f:
+        f.write('[{"id": "a", "message": "cut off')
+    write(p.landing, "post_detail_2024-03-26_11-00-00.json", [])
+    write(p.landing, "post_detail_2024-03-26_12-00-00.json", [post("b", ["y"])])
+    jobs.ingest(spark, p, dataset_id=1)
+    assert [r["id"] for r in read_bronze(spark, p.bronze).collect()] == ["b"]
+    failed = spark.read.parquet(p.audit).filter("status = 'Failed'").collect()
+    assert [r["error_message"] for r in failed] == \
+        ["File post_detail_2024-03-26_10-00-00.json is not a JSON array of posts"]
+    assert spark.read.json(p.quarantine).count() == 1
