@@ -102,3 +102,17 @@ def registry_row(registry: DataFrame, name: str, source_name: str) -> dict:
 def table_exists(spark: SparkSession, name: str) -> bool:
     """(S12) catalog lookup instead of SHOW TABLES + count."""
     return spark.catalog.tableExists(name)
+
+
+def read_registered_batch(spark: SparkSession, registry_row: dict, business_date: str,
+                          schema: T.StructType | None = None) -> DataFrame:
+    """One day's batch of a registered dataset.
+
+    The registry row names the format and the bronze path. The day is
+    selected with filters on the typed partition columns (year / month / day
+    strings), which Spark turns into directory pruning, instead of building
+    ``bronze/y/m/d/*/`` paths by hand.
+    """
+    y, m, d = business_date[:4], business_date[5:7], business_date[8:10]
+    df = read_batch(spark, registry_row["format"], registry_row["bronze_path"], schema)
+    return df.filter((F.col("year") == y) & (F.col("month") == m) & (F.col("day") == d))

@@ -85,3 +85,17 @@ def test_default_business_date(spark):
     from feedlens.functions.dates import default_business_date
     r = spark.range(1).select(default_business_date().alias("d"), F.current_date().alias("t")).collect()[0]
     assert r["t"] - r["d"] == dt.timedelta(days=1)
+
+
+def test_read_registered_batch_prunes_to_one_day(spark, tmp_path):
+    from feedlens.sinks import tables as sinks
+    from tests.conftest import plan_text
+    rows = [("a", "2024", "03", "26", "f1"), ("b", "2024", "03", "27", "f2"), ("c", "2024", "03", "26", "f3")]
+    df = spark.createDataFrame(rows, "id string, year string, month string, day string, filename string")
+    schema = df.schema
+    for fmt in ("json", "csv"):
+        path = str(tmp_path / fmt)
+        sinks.write_bronze(df, path, fmt)
+        got = files.read_registered_batch(spark, {"format": fmt, "bronze_path": path}, "2024-03-26", schema)
+        assert sorted(r["id"] for r in got.collect()) == ["a", "c"]
+        assert "PartitionFilters: [isnotnull(year" in plan_text(got, "simple")
