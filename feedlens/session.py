@@ -84,5 +84,19 @@ def spread_if_narrow(df, min_partitions: int | None = None):
     """
     if df.isStreaming:  # a micro-batch is planned per trigger; leave it alone
         return df
+    if "Exchange" in _plan_text(df):
+        # already shuffled, so spread over the shuffle partitions; asking an
+        # adaptive plan for its partition count would run its shuffle stages
+        return df
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
+def _plan_text(df) -> str:
+    """Physical plan text, as ``explain`` prints it (planning only, no job)."""
+    import contextlib
+    import io
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    return buf.getvalue()

@@ -118,3 +118,5 @@ def test_spread_only_when_narrow(spark):
     wide = spark.range(100).repartition(64)
     assert spread_if_narrow(narrow, 8).rdd.getNumPartitions() == 8
     assert spread_if_narrow(wide, 8) is wide
+    shuffled = spark.range(100).groupBy((F.col("id") % 3).alias("k")).count().coalesce(1)
+    assert spread_if_narrow(shuffled, 8) is shuffled  # no probe of an adaptive plan
