@@ -1,0 +1,38 @@
+"""Plan shape of every registered query: no Python in the row
+path, no cartesian products, and scans read only the columns they use."""
+
+import re
+
+import pytest
+
+import __spark_entry__ as se
+
+from .conftest import SF_SMALL, plan_text
+
+WRITES_FIRST = {"stream_to_bronze", "topic_drain", "batch_read_formats", "gold_refresh"}
+# columns each scan may read (the queries where pruning matters most)
+READS = {
+    "daily_nps_csat": {"events": {"event_id", "ts"}},
+    "overall_csat": {"events": {"event_id"}},
+    "document_sentiment": {"documents": {"doc_id", "lang", "text"}},
+    "sentiment_by_lang": {"documents": {"lang", "text"}},
+    "conversation_sentiment": {"conversations": {"role", "text"}},
+    "usage_cost": {"events": {"ts", "user_id", "event_type", "value"}},
+    "file_stamp_parse": {"orders": {"o_orderdate"}},
+    "rule_outcomes": {"orders": {"o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"}},
+}
+
+
+def scans(plan):
+    out = re.findall(r"FileScan parquet \[([^\]]*)\].*?Location: \w+\(\d+ paths\)\[[^\]]*/(\w+)\.parquet", plan)
+    return [(t, {re.sub(r"#\d+L?$", "", c.strip()) for c in cols.split(",")}) for cols, t in out]
+
+
+@pytest.mark.parametrize("name", sorted(set(se.queries()) - WRITES_FIRST))
+def test_plan_shape(spark, name):
+    plan = plan_text(se.queries()[name](spark, SF_SMALL), "simple")
+    for bad in ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert bad not in plan, bad
+    for table, cols in scans(plan):
+        if name in READS and table in READS[name]:
+            assert cols == READS[name][table], (table, cols)
