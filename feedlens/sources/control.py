@@ -1,9 +1,10 @@
 """Control tables (registry, rule bindings, audits, aggregation wiring).
 
-``registry_table`` and friends read real control tables; the ``*_from_orders``
-builders derive a control feed from the given ``orders`` table so that the
-planning operators are exercised on data that grows with the input:
-dataset = ``o_custkey % 20``, business date = order date, seq = order key.
+``read_control`` reads a stored control table with its fixed schema; the
+``*_from_orders`` builders derive a control feed from the given ``orders``
+table so that the planning operators are exercised on data that grows with
+the input: dataset = ``o_custkey % 20``, business date = order date, seq =
+order key.
 """
 
 from __future__ import annotations
@@ -16,6 +17,24 @@ from feedlens.sources.tables import table
 
 N_DATASETS = 20
 
+CONTROL_SCHEMAS = {
+    "dataset": schemas.DATASET,
+    "dataset_audit": schemas.DATASET_AUDIT,
+    "dataset_column": schemas.DATASET_COLUMN,
+    "validation": schemas.VALIDATION,
+    "dataset_column_validation": schemas.DATASET_COLUMN_VALIDATION,
+    "validation_audit": schemas.VALIDATION_AUDIT,
+    "aggregation": schemas.AGGREGATION,
+    "dataset_aggregation": schemas.DATASET_AGGREGATION,
+    "aggregation_dependency": schemas.AGGREGATION_DEPENDENCY,
+}
+
+
+def read_control(spark: SparkSession, root: str, name: str, fmt: str = "parquet") -> DataFrame:
+    """A stored control table ``<root>/<name>`` read with its fixed schema."""
+    return spark.read.format(fmt).schema(CONTROL_SCHEMAS[name]).load(f"{root.rstrip('/')}/{name}")
+
+
 # Audit status by (o_orderstatus, o_orderpriority).
 def audit_status(status: Column, priority: Column) -> Column:
     return (F.when(status == "F", F.lit("Validated"))
@@ -40,10 +59,6 @@ INACTIVE_AGGREGATION_DATASET = 15
 RULE_FAIL_PRICE = 300000.0
 
 
-def empty(spark: SparkSession, schema) -> DataFrame:
-    return spark.createDataFrame([], schema)
-
-
 def audit_from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     status = audit_status(F.col("o_orderstatus"), F.col("o_orderpriority"))

@@ -3,11 +3,16 @@
 The feeds map the driver tables onto the data model, row-locally wherever
 possible (no shuffles except where a grouping is the point):
 
-* comment feed  (events)  -- one flat comment row per event
-* nested feed   (events)  -- comments grouped back to posts
-* usage feed    (events)  -- owner struct, day, SKU, decimal quantity
-* audit feed    (orders)  -- append-only dataset audit events
-* rule input    (orders)  -- orders with NULLs and a text column
+* comment feed   (events)            -- one flat comment row per event
+* nested feed    (events, customer)  -- comments grouped back to posts, plus
+                                        comment-less announcement posts
+* usage feed     (events)            -- owner struct, day, SKU, decimal quantity
+* rule input     (orders)            -- orders with NULLs and a text column
+* landing rows   (orders)            -- rows labelled with landing-file names
+* message feed   (events)            -- Kafka-shaped records, some malformed
+* raw JSON feed  (events)            -- JSON objects with unknown keys
+
+Control tables derived from ``orders`` live in ``sources/control.py``.
 """
 
 from __future__ import annotations
@@ -17,7 +22,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedlens import schemas
-
 from feedlens.functions.dates import iso_text
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",

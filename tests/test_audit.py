@@ -59,3 +59,12 @@ def test_datasets_to_validate_owner_filter(spark):
     assert {r["dataset_id"] for r in planning.datasets_to_validate(reg, cur).collect()} == {1, 2}
     mine = planning.datasets_to_validate(reg, cur, created_by="alice").collect()
     assert [r["dataset_id"] for r in mine] == [1]
+
+
+def test_read_control_table(spark, tmp_path):
+    from feedlens.sources import control as ctl
+    root = str(tmp_path)
+    ctl.validations(spark).write.parquet(f"{root}/validation")
+    got = ctl.read_control(spark, root, "validation")
+    assert got.schema == ctl.CONTROL_SCHEMAS["validation"]
+    assert sorted(r["name"] for r in got.collect()) == ["column_null_validation", "data_type_validation"]
