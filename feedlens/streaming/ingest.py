@@ -66,14 +66,15 @@ def landing_stream(spark: SparkSession, landing: str, archive: str | None = None
     return parse_landing(raw, pattern)
 
 
-def audit_rows(report: DataFrame, dataset_id: int, batch_id: int, status_ok: str,
-               phase_rank: int) -> DataFrame:
+def audit_rows(report: DataFrame, dataset_id: int, status_ok: str, phase_rank: int) -> DataFrame:
     ok = F.col("status") == files.ACCEPTED
     return report.select(
         F.lit(dataset_id).cast("int").alias("dataset_id"),
         F.col("business_date"),
         F.lit(None).cast("timestamp").alias("batch_ts"),
-        F.lit(batch_id * 10 + phase_rank).cast("long").alias("seq"),
+        # same clock as the other jobs' audit events, so events of all jobs order
+        # by time; the phase orders Started before In-Progress within one append
+        (F.unix_micros(F.current_timestamp()) + phase_rank).alias("seq"),
         F.when(ok, F.lit(status_ok)).otherwise(F.lit("Failed")).alias("status"),
         F.col("error_message"),
         F.current_user().alias("actor"),
@@ -92,18 +93,18 @@ def bronze_writer(paths: IngestPaths, dataset_id: int, fmt: str = "json"):
             # Started and In-Progress for each accepted file, in one append; a
             # rejected file gets a single Failed event with the reason
             started = report.filter(F.col("status") == files.ACCEPTED)
-            sinks.append(audit_rows(started, dataset_id, batch_id, "Started", 0).unionByName(
-                audit_rows(started, dataset_id, batch_id, "In-Progress", 1)), paths.audit)
+            sinks.append(audit_rows(started, dataset_id, "Started", 0).unionByName(
+                audit_rows(started, dataset_id, "In-Progress", 1)), paths.audit)
             accepted, rejected = files.quarantine_split(batch)
             cols = [c for c in accepted.columns if c not in ("batch_ts", "name_ok", "parse_ok")]
             try:
                 sinks.write_bronze(accepted.select(*cols), paths.bronze, fmt)
                 sinks.write_partitions(rejected.select(*cols), paths.quarantine, ["filename"], "json")
-                sinks.append(audit_rows(report, dataset_id, batch_id, "Success", 2), paths.audit)
+                sinks.append(audit_rows(report, dataset_id, "Success", 2), paths.audit)
             except Exception as e:  # noqa: BLE001 - record, then surface
                 failed = report.withColumn("status", F.lit("Failed")).withColumn(
                     "error_message", F.lit(str(e)[:2000]))
-                sinks.append(audit_rows(failed, dataset_id, batch_id, "Failed", 2), paths.audit)
+                sinks.append(audit_rows(failed, dataset_id, "Failed", 2), paths.audit)
                 raise
             finally:
                 report.unpersist()
