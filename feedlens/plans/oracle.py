@@ -417,7 +417,7 @@ FROM feed, (VALUES ('json'), ('csv')) f(format)
 GROUP BY 1, 2, 3, 4"""
 
 # Posts landed in bronze: every post of a landing file whose name matches
-# (files of hour 5 carry a ".json.bak" suffix and are quarantined), with the
+# (files of day 5 carry a ".json.bak" suffix and are quarantined), with the
 # date parts of the file stamp, the comment count and the rescued extra key.
 BRONZE_POSTS = """WITH ev AS (SELECT event_id // 4 AS post_no, date_trunc('hour', ts) AS h FROM events),
 posts AS (SELECT 'p' || CAST(post_no AS VARCHAR) AS id, post_no AS n, min(h) AS h, count(*) AS n_comments
@@ -428,7 +428,7 @@ allp AS (SELECT * FROM posts UNION ALL SELECT * FROM ann)
 SELECT id, strftime(h, '%Y') AS year, strftime(h, '%m') AS month, strftime(h, '%d') AS day,
        CAST(n_comments AS INTEGER) AS n_comments,
        CASE WHEN n % 50 = 0 THEN 'channel' END AS rescued_keys
-FROM allp WHERE hour(h) <> 5"""
+FROM allp WHERE dayofmonth(h) <> 5"""
 
 SQL["stream_to_bronze"] = BRONZE_POSTS
 SQL["topic_drain"] = f"""SELECT id, n_comments, rescued_keys FROM ({BRONZE_POSTS})"""

@@ -1,8 +1,9 @@
 """Landing files and message feeds derived from the given tables.
 
-They follow the registered name pattern (one file per post hour) and carry
-the edge cases the ingest path must handle: a few names that do not match,
-files in the array-of-arrays shape and posts with an unknown top-level key.
+They follow the registered name pattern (one file per post day, as the
+post generator writes them) and carry the edge cases the ingest path must
+handle: names that do not match, files in the array-of-arrays shape and posts
+with an unknown top-level key.
 """
 
 from __future__ import annotations
@@ -14,8 +15,8 @@ from feedlens import schemas
 from feedlens.sinks.tables import write_named_files
 from feedlens.sources.tables import nested_feed
 
-# Which post hours / days / posts carry the edge cases.
-BAD_NAME_HOUR = 5
+# Which post days / posts carry the edge cases.
+BAD_NAME_DAY = 5
 NESTED_SHAPE_DAY = 15
 EXTRA_KEY_EVERY = 50
 MAX_POSTS_PER_FILE = 2000
@@ -23,28 +24,27 @@ MAX_POSTS_PER_FILE = 2000
 
 def landing_files(spark: SparkSession, sf_dir: str,
                   nested_shape_day: int | None = NESTED_SHAPE_DAY) -> DataFrame:
-    """(file_name, body, n_posts): JSON-array files per post hour.
+    """(file_name, body, n_posts): JSON-array files per post day.
 
-    A file holds at most MAX_POSTS_PER_FILE posts: an hour with more posts is
-    split into several files stamped at successive seconds of that hour (up
-    to 3600 per hour; past that the files grow instead of the names colliding).
+    A file holds about MAX_POSTS_PER_FILE posts at most: a day with more
+    posts is split (by hash) into several files stamped at successive seconds
+    of that day, so no file is built from an unbounded group.
     """
     posts = nested_feed(spark, sf_dir)
-    hour = F.date_trunc("hour", F.col("created_time").try_cast("timestamp"))
+    day = F.date_trunc("day", F.col("created_time").try_cast("timestamp"))
     post_json = F.to_json(F.struct(*[F.col(c) for c in schemas.POST_FIELDS]))
     post_no = F.substring("id", 2, 20).cast("long")  # ids are p<post> / a<customer>
     post_json = F.when(post_no % EXTRA_KEY_EVERY == 0,
                        F.regexp_replace(post_json, "}$", ',"channel":"web"}')).otherwise(post_json)
-    per_post = posts.select(hour.alias("hour"), F.xxhash64("id").alias("_h"), post_json.alias("post"))
-    per_hour = (per_post.groupBy("hour").count()
-                .select("hour", F.least(F.lit(3600), F.ceil(F.col("count") / MAX_POSTS_PER_FILE))
-                        .cast("long").alias("_chunks")))
+    per_post = posts.select(day.alias("day"), F.xxhash64("id").alias("_h"), post_json.alias("post"))
+    per_day = (per_post.groupBy("day").count()
+               .select("day", F.ceil(F.col("count") / MAX_POSTS_PER_FILE).cast("long").alias("_chunks")))
     chunk = F.pmod(F.col("_h"), F.col("_chunks"))
-    stamp_ts = F.timestamp_seconds(F.unix_seconds("hour") + chunk)
+    stamp_ts = F.timestamp_seconds(F.unix_seconds("day") + chunk)
     name = F.concat(F.lit("post_detail_"), F.date_format(stamp_ts, "yyyy-MM-dd_HH-mm-ss"),
-                    F.when(F.hour("hour") == BAD_NAME_HOUR, F.lit(".json.bak")).otherwise(F.lit(".json")))
-    files = (per_post.join(per_hour, "hour")
-             .select(name.alias("file_name"), F.dayofmonth("hour").alias("_dom"), "post")
+                    F.when(F.dayofmonth("day") == BAD_NAME_DAY, F.lit(".json.bak")).otherwise(F.lit(".json")))
+    files = (per_post.join(per_day, "day")
+             .select(name.alias("file_name"), F.dayofmonth("day").alias("_dom"), "post")
              .groupBy("file_name", "_dom")
              .agg(F.concat(F.lit("["), F.array_join(F.collect_list("post"), ","), F.lit("]")).alias("body"),
                   F.count("*").alias("n_posts")))
