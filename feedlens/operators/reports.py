@@ -21,18 +21,30 @@ def enrich(scored: DataFrame, score_col: str = "sentiment_score",
     })
 
 
-def daily_nps_csat(enriched: DataFrame) -> DataFrame:
-    """Per comment_date: totals, promoters, detractors, CSAT-positive, NPS %, CSAT %."""
+DAILY_COUNTS = ["total_comments", "promoters", "detractors", "csat_positive"]
+
+
+def daily_counts(enriched: DataFrame) -> DataFrame:
+    """Per comment_date: the additive counts behind NPS and CSAT."""
     cat = F.col("sentiment_category")
     return (enriched.groupBy("comment_date")
             .agg(F.count("*").alias("total_comments"),
                  F.count_if(cat == kpi.PROMOTER).alias("promoters"),
                  F.count_if(cat == kpi.DETRACTOR).alias("detractors"),
-                 F.sum("csat_flag").cast("long").alias("csat_positive"))
-            .withColumns({
-                "NPS": kpi.pct(F.col("promoters") - F.col("detractors"), "total_comments"),
-                "CSAT": kpi.pct("csat_positive", "total_comments"),
-            }))
+                 F.sum("csat_flag").cast("long").alias("csat_positive")))
+
+
+def with_ratios(counts: DataFrame) -> DataFrame:
+    """NPS % and CSAT % from the daily counts."""
+    return counts.withColumns({
+        "NPS": kpi.pct(F.col("promoters") - F.col("detractors"), "total_comments"),
+        "CSAT": kpi.pct("csat_positive", "total_comments"),
+    })
+
+
+def daily_nps_csat(enriched: DataFrame) -> DataFrame:
+    """Per comment_date: totals, promoters, detractors, CSAT-positive, NPS %, CSAT %."""
+    return with_ratios(daily_counts(enriched))
 
 
 def overall_csat(scored: DataFrame, score_col: str = "sentiment_score",

@@ -176,3 +176,30 @@ def upsert_error_table(spark: SparkSession, source: DataFrame, path: str,
     merged = materialize(upsert.upsert_errors(target, source, msg_col).select(*source.columns))
     sinks.write_partitions(merged, path, [partition_col])
     return dates
+
+
+# ---- incremental gold (late comments) -----------------------------------------------------
+def refresh_gold_incremental(spark: SparkSession, silver_batch: DataFrame, batch_key: str,
+                             partials: str, gold: str, text_col: str = "comment_message") -> list:
+    """Fold one silver batch into the daily NPS/CSAT gold table.
+
+    Comments arrive up to days after their post, so one batch touches several
+    comment dates. The daily counts are additive: the batch's per-date
+    partial counts are stored under its ``batch_key`` (dynamic overwrite, so a
+    replayed batch replaces its partials instead of adding them twice), and
+    gold is rewritten only for the touched dates, as the sum of all batches'
+    partials for those dates. The cost follows the batch and the small
+    partials table, not the silver history. Returns the dates rewritten.
+    """
+    counts = reports.daily_counts(reports.enrich(sentiment.score(silver_batch, text_col)))
+    part = counts.withColumn("batch_key", F.lit(batch_key))
+    sinks.write_partitions(part, partials, ["batch_key"])
+    dates = [r[0] for r in spark.read.parquet(f"{partials}/batch_key={batch_key}")
+             .select("comment_date").distinct().collect()]
+    if not dates:
+        return []
+    summed = (spark.read.parquet(partials).filter(F.col("comment_date").isin(dates))
+              .groupBy("comment_date")
+              .agg(*[F.sum(c).cast("long").alias(c) for c in reports.DAILY_COUNTS]))
+    sinks.write_gold(reports.with_ratios(summed), gold, "comment_date", only_present=True)
+    return dates

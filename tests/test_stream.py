@@ -245,3 +245,19 @@ def test_unparsable_and_empty_files(spark, tmp_path):
     assert [r["error_message"] for r in failed] == \
         ["File post_detail_2024-03-26_10-00-00.json is not a JSON array of posts"]
     assert spark.read.json(p.quarantine).count() == 1
+
+
+def test_incremental_gold_equals_full_refresh(spark, tmp_path):
+    from feedlens.sources import tables as tb
+    from tests.conftest import SF_SMALL
+    root = str(tmp_path)
+    feed = tb.comment_feed(spark, SF_SMALL)
+    # three batches by event id, with comment dates overlapping across batches
+    b = (F.substring("comment_id", 2, 20).cast("long") % 3).cast("string")
+    for k in ("0", "1", "2"):
+        jobs.refresh_gold_incremental(spark, feed.filter(b == k), f"b{k}", f"{root}/partials", f"{root}/gold")
+    jobs.refresh_gold_incremental(spark, feed.filter(b == "1"), "b1", f"{root}/partials", f"{root}/gold")  # replay
+    inc = {str(r["comment_date"]): r.asDict() for r in jobs.read_gold(spark, f"{root}/gold").collect()}
+    jobs.refresh_gold(spark, feed, f"{root}/gold_full")
+    full = {str(r["comment_date"]): r.asDict() for r in jobs.read_gold(spark, f"{root}/gold_full").collect()}
+    assert inc == full and len(full) == 30
