@@ -48,9 +48,20 @@ def null_failures(rule: Rule, schema: T.StructType) -> list[tuple[Column, str]]:
     return out
 
 
+def _param(rule: Rule, name: str):
+    """A value from the rule's JSON parameters (None when absent or unparsable)."""
+    import json
+    try:
+        params = json.loads(rule.params) if rule.params else {}
+    except ValueError:
+        return None
+    return params.get(name) if isinstance(params, dict) else None
+
+
 def type_failures(rule: Rule, schema: T.StructType) -> list[tuple[Column, str]]:
-    """Value present but not castable to the declared type."""
-    dtype = (rule.datatype or "STRING").upper()
+    """Value present but not castable to the expected type: the ``type``
+    parameter when the binding has one, else the column's declared type."""
+    dtype = str(_param(rule, "type") or rule.datatype or "STRING").upper()
     c = F.col(rule.column)
     return [(c.isNotNull() & c.try_cast(dtype).isNull(), f"Column {rule.column} is not {dtype}")]
 

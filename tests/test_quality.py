@@ -107,3 +107,10 @@ def test_snapshot_versions(spark, tmp_path):
     # a table rewritten from its own previous version
     sinks.write_snapshot(spark, upsert.upsert_errors(prev, v1.withColumn("error_message", F.lit("m2"))), base)
     assert sinks.read_snapshot(spark, base).collect()[0]["error_message"] == "m1 | m2"
+
+
+def test_data_type_rule_parameters(spark):
+    df = spark.createDataFrame([(1, "2024-03-26"), (2, "26/03/2024"), (3, None)], "id long, d string")
+    rule = Rule(1, "d", "data_type_validation", "STRING", '{"type": "date"}')
+    got = {r["id"]: r["error_message"] for r in quality.error_rows(df, [rule]).collect()}
+    assert got == {2: "Column d is not DATE"}
