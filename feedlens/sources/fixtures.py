@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedlens import schemas
+from feedlens.functions.dates import utc_date
 from feedlens.sinks.tables import write_named_files
 from feedlens.sources.tables import nested_feed
 
@@ -31,7 +32,7 @@ def landing_files(spark: SparkSession, sf_dir: str,
     of that day, so no file is built from an unbounded group.
     """
     posts = nested_feed(spark, sf_dir)
-    day = F.date_trunc("day", F.col("created_time").try_cast("timestamp"))
+    day = utc_date("created_time")  # the post's UTC day, whatever the session time zone
     post_json = F.to_json(F.struct(*[F.col(c) for c in schemas.POST_FIELDS]))
     post_no = F.substring("id", 2, 20).cast("long")  # ids are p<post> / a<customer>
     post_json = F.when(post_no % EXTRA_KEY_EVERY == 0,
@@ -39,9 +40,10 @@ def landing_files(spark: SparkSession, sf_dir: str,
     per_post = posts.select(day.alias("day"), F.xxhash64("id").alias("_h"), post_json.alias("post"))
     per_day = (per_post.groupBy("day").count()
                .select("day", F.ceil(F.col("count") / MAX_POSTS_PER_FILE).cast("long").alias("_chunks")))
-    chunk = F.pmod(F.col("_h"), F.col("_chunks"))
-    stamp_ts = F.timestamp_seconds(F.unix_seconds("day") + chunk)
-    name = F.concat(F.lit("post_detail_"), F.date_format(stamp_ts, "yyyy-MM-dd_HH-mm-ss"),
+    chunk = F.pmod(F.col("_h"), F.col("_chunks"))  # file k of the day is stamped k seconds after 00:00
+    hms = F.concat_ws("-", *[F.lpad(x.cast("string"), 2, "0")
+                             for x in (F.floor(chunk / 3600), F.floor(chunk / 60) % 60, chunk % 60)])
+    name = F.concat(F.lit("post_detail_"), F.date_format("day", "yyyy-MM-dd"), F.lit("_"), hms,
                     F.when(F.dayofmonth("day") == BAD_NAME_DAY, F.lit(".json.bak")).otherwise(F.lit(".json")))
     files = (per_post.join(per_day, "day")
              .select(name.alias("file_name"), F.dayofmonth("day").alias("_dom"), "post")
