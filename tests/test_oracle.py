@@ -32,3 +32,16 @@ def test_entry_smoke(spark):
     assert df.columns == ["comment_date", "total_comments", "promoters", "detractors",
                           "csat_positive", "NPS", "CSAT"]
     assert df.count() > 0
+
+
+@pytest.mark.parametrize("name", ["daily_nps_csat", "usage_cost", "file_stamp_parse",
+                                  "quarantine_split", "audit_current", "stream_to_bronze"])
+def test_matches_oracle_in_another_time_zone(spark, con, name):
+    """Results do not depend on the session time zone."""
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        ours = digest(QUERIES[name](spark, SF_CHECK).toPandas())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert ours == digest(con.sql(SQL[name]).df())
