@@ -23,6 +23,7 @@ from feedlens.sinks.tables import append, write_named_files
 
 
 MAX_MESSAGES_PER_FILE = 1000
+MAX_BYTES_PER_FILE = 8 << 20  # a landing file is parsed whole by one task
 
 
 def _next_stamps(state: dict, n: int) -> list[str]:
@@ -49,11 +50,13 @@ def _planned_names(spark, plan_log: str, batch_id: int) -> list[str] | None:
 
 
 def drain_writer(landing: str, drained_log: str, prefix: str = "post_detail_",
-                 max_messages_per_file: int = MAX_MESSAGES_PER_FILE):
+                 max_messages_per_file: int = MAX_MESSAGES_PER_FILE,
+                 max_bytes_per_file: int = MAX_BYTES_PER_FILE):
     """foreachBatch callback: the drained messages are spread by hash over
-    ceil(n / max_messages_per_file) landing files (one file when the drain is
-    small), so each file holds about that many messages and no file is built
-    from an unbounded group.
+    max(ceil(messages / max_messages_per_file), ceil(bytes / max_bytes_per_file))
+    landing files (one file when the drain is small), so each file holds about
+    that many messages and bytes, no file is built from an unbounded group, and
+    the ingest that parses each file whole gets bounded, parallel tasks.
 
     Replay-safe: the file names of a batch are recorded under its batch id
     (``<drained_log>/plan``) before any file is written, and a replayed batch
@@ -68,12 +71,14 @@ def drain_writer(landing: str, drained_log: str, prefix: str = "post_detail_",
         spark = batch.sparkSession
         valid = batch.filter(F.col("value").isNotNull()).persist()
         try:
-            n = valid.count()
+            size = valid.agg(F.count("*").alias("n"),
+                             F.coalesce(F.sum(F.length("value")), F.lit(0)).alias("bytes")).collect()[0]
+            n, nbytes = size["n"], size["bytes"]
             if n == 0:
                 return
             names = _planned_names(spark, plan_log, batch_id)
             if names is None:
-                chunks = -(-n // max_messages_per_file)
+                chunks = max(-(-n // max_messages_per_file), -(-nbytes // max_bytes_per_file))
                 names = [f"{prefix}{s}.json" for s in _next_stamps(state, chunks)]
                 spark.createDataFrame([(batch_id, k, nm) for k, nm in enumerate(names)],
                                       "batch_id long, chunk int, file_name string") \

@@ -261,3 +261,17 @@ def test_incremental_gold_equals_full_refresh(spark, tmp_path):
     jobs.refresh_gold(spark, feed, f"{root}/gold_full")
     full = {str(r["comment_date"]): r.asDict() for r in jobs.read_gold(spark, f"{root}/gold_full").collect()}
     assert inc == full and len(full) == 30
+
+
+def test_drain_splits_by_bytes(spark, tmp_path):
+    root = str(tmp_path)
+    bodies = [json.dumps([post(f"z{i}", ["x" * 200])]) for i in range(6)]
+    feed = spark.createDataFrame([(b"h", b.encode(), "topic", 0, i, None) for i, b in enumerate(bodies)],
+                                 "key binary, value binary, topic string, partition int, offset long, "
+                                 "timestamp timestamp")
+    p = paths(root)
+    w = drain.drain_writer(p.landing, f"{root}/drained", max_bytes_per_file=len(bodies[0]) * 2)
+    w(feed, 0)
+    assert len(os.listdir(p.landing)) == 3
+    jobs.ingest(spark, p, dataset_id=1)
+    assert read_bronze(spark, p.bronze).count() == 6
