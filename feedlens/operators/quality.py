@@ -66,9 +66,12 @@ def rule_outcomes(df: DataFrame, rules: list[Rule]) -> DataFrame:
 def promote_valid(batch: DataFrame, errors: DataFrame, key: str = "id") -> DataFrame:
     """Batch rows whose key has no error row (left anti join on the key).
 
-    Error keys are de-duplicated first (partial aggregate before the shuffle);
-    a NULL key never matches, so such rows are kept, as in the reference.
-    A hot key on the batch side is split by AQE's skew-join handling.
+    A NULL key never matches, so such rows are kept, as in the reference.
+    The error keys are deliberately not de-duplicated: duplicates do not
+    change an anti join, and with a plain shuffle on both sides AQE's
+    skew-join rule can split a hot key of the batch (an aggregate between
+    the shuffle and the join would hide the join from that rule). When the
+    error keys are small, AQE broadcasts them instead.
     """
-    bad = errors.select(key).filter(F.col(key).isNotNull()).distinct()
+    bad = errors.select(key).filter(F.col(key).isNotNull())
     return batch.join(bad, key, "left_anti")

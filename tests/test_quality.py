@@ -114,3 +114,32 @@ def test_data_type_rule_parameters(spark):
     rule = Rule(1, "d", "data_type_validation", "STRING", '{"type": "date"}')
     got = {r["id"]: r["error_message"] for r in quality.error_rows(df, [rule]).collect()}
     assert got == {2: "Column d is not DATE"}
+
+
+def test_hot_key_in_promotion_is_split_by_aqe(spark):
+    """A key holding a third of the batch: AQE splits its partition of the
+    left anti join (thresholds scaled down to test size), results unchanged."""
+    from tests.conftest import plan_text
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        n = 30000
+        batch = spark.range(n).select(
+            F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("id"),
+            F.when((F.col("id") % 1000 == 1) & (F.col("id") % 3 != 0), F.lit(None))
+             .otherwise(F.lit("v")).alias("v"))
+        errors = quality.error_rows(batch, [Rule(1, "v", "column_null_validation")])
+        valid = quality.promote_valid(batch, errors, "id")
+        rows = valid.collect()  # runs this very plan, so explain shows its final form
+        assert len(rows) == n - 20  # 20 error rows off the hot key; all of key 7 stays
+        plan = plan_text(valid, "simple")
+        assert "isFinalPlan=true" in plan and "SortMergeJoin(skew=true)" in plan
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
