@@ -46,6 +46,10 @@ def rule_outcomes(df: DataFrame, rules: list[Rule]) -> DataFrame:
     per_rule: dict[int, list] = {}
     for r, cond, _ in cs:
         per_rule.setdefault(r.id, [r, []])[1].append(F.coalesce(cond, F.lit(False)))
+    if not per_rule:
+        return df.sparkSession.createDataFrame(
+            [], "dcv_id long, column_name string, validation_name string, n_errors long, "
+                "result string, status string")
     aggs = []
     for rid, (r, conds) in per_rule.items():
         any_c = conds[0]

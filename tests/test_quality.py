@@ -143,3 +143,9 @@ def test_hot_key_in_promotion_is_split_by_aqe(spark):
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_no_rules(spark):
+    df = spark.createDataFrame(ROWS, SCHEMA)
+    assert quality.error_rows(df, []).count() == 0
+    assert quality.rule_outcomes(df, []).count() == 0
