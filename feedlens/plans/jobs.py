@@ -203,3 +203,25 @@ def refresh_gold_incremental(spark: SparkSession, silver_batch: DataFrame, batch
               .agg(*[F.sum(c).cast("long").alias(c) for c in reports.DAILY_COUNTS]))
     sinks.write_gold(reports.with_ratios(summed), gold, "comment_date", only_present=True)
     return dates
+
+
+def start_gold_stream(spark: SparkSession, silver: str, silver_schema, partials: str, gold: str,
+                      checkpoint: str, text_col: str = "comment_message",
+                      available_now: bool = True, max_files_per_trigger: int | None = None):
+    """Keep the daily gold table current as silver files arrive (R11 as a stream).
+
+    Each micro-batch is folded in with ``refresh_gold_incremental`` under the
+    key ``batch-<id>``; micro-batch ids are stable across restarts, so a
+    replayed batch replaces its own partials.
+    """
+    reader = spark.readStream.schema(silver_schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    stream = reader.parquet(silver)
+
+    def fold(batch: DataFrame, batch_id: int) -> None:
+        refresh_gold_incremental(spark, batch, f"batch-{batch_id}", partials, gold, text_col)
+
+    w = stream.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
+    return w.start()

@@ -275,3 +275,20 @@ def test_drain_splits_by_bytes(spark, tmp_path):
     assert len(os.listdir(p.landing)) == 3
     jobs.ingest(spark, p, dataset_id=1)
     assert read_bronze(spark, p.bronze).count() == 6
+
+
+def test_gold_stream_equals_full_refresh(spark, tmp_path):
+    from feedlens.sources import tables as tb
+    from tests.conftest import SF_SMALL
+    root = str(tmp_path)
+    feed = tb.comment_feed(spark, SF_SMALL).select("comment_id", "comment_message", "comment_created_time")
+    half = F.substring("comment_created_time", 9, 2).cast("int") <= 15
+    feed.filter(half).write.parquet(f"{root}/silver/part=1")
+    args = (f"{root}/silver", feed.schema, f"{root}/partials", f"{root}/gold", f"{root}/gcp")
+    jobs.start_gold_stream(spark, *args, max_files_per_trigger=1).awaitTermination()
+    feed.filter(~half).write.parquet(f"{root}/silver/part=2")  # later files: a second run picks them up
+    jobs.start_gold_stream(spark, *args).awaitTermination()
+    got = {str(r["comment_date"]): r.asDict() for r in jobs.read_gold(spark, f"{root}/gold").collect()}
+    jobs.refresh_gold(spark, feed, f"{root}/gold_full")
+    full = {str(r["comment_date"]): r.asDict() for r in jobs.read_gold(spark, f"{root}/gold_full").collect()}
+    assert got == full and len(full) == 30
