@@ -16,6 +16,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+# Error-message templates of the rules.
+NULL_MESSAGE = "Column {column} is null"
+NULL_ELEMENT_MESSAGE = "Column {column} has null elements"
+TYPE_MESSAGE = "Column {column} is not {dtype}"
+
+
 @dataclass(frozen=True)
 class Rule:
     id: int                      # dataset_column_validation id (orders the messages)
@@ -41,10 +47,10 @@ def null_failures(rule: Rule, schema: T.StructType) -> list[tuple[Column, str]]:
     """Column is NULL. For a path through an array the reference check fires
     only when the whole array is NULL; a NULL element is reported separately."""
     c = F.col(rule.column)
-    out = [(c.isNull(), f"Column {rule.column} is null")]
+    out = [(c.isNull(), NULL_MESSAGE.format(column=rule.column))]
     if _through_array(rule.column, schema):
         out.append((F.exists(c, lambda x: x.isNull()),
-                    f"Column {rule.column} has null elements"))
+                    NULL_ELEMENT_MESSAGE.format(column=rule.column)))
     return out
 
 
@@ -63,7 +69,7 @@ def type_failures(rule: Rule, schema: T.StructType) -> list[tuple[Column, str]]:
     parameter when the binding has one, else the column's declared type."""
     dtype = str(_param(rule, "type") or rule.datatype or "STRING").upper()
     c = F.col(rule.column)
-    return [(c.isNotNull() & c.try_cast(dtype).isNull(), f"Column {rule.column} is not {dtype}")]
+    return [(c.isNotNull() & c.try_cast(dtype).isNull(), TYPE_MESSAGE.format(column=rule.column, dtype=dtype))]
 
 
 # Registered validation names.

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from feedlens.functions.rules import Rule, checks
 
+# Message separator and the rule-run outcome texts.
 SEP = " | "
 PASSED = "Validation Passed"
 PASSED_CLEAN = "Validation Passed with no errors"

@@ -8,7 +8,10 @@ from pyspark.sql import types as T
 
 from feedlens.functions import dates
 
+# File statuses and the quarantine messages ("Filename <name> format mismatch").
 ACCEPTED, QUARANTINED = "Accepted", "Quarantined"
+NAME_MISMATCH = ("Filename ", " format mismatch")
+NOT_PARSED = ("File ", " is not a JSON array of posts")
 
 
 def with_file_columns(df: DataFrame, path_col: str = "source_file",
@@ -60,10 +63,10 @@ def file_report(batch: DataFrame) -> DataFrame:
          .agg(F.count("*").alias("n_rows"), F.min("batch_ts").alias("batch_ts"),
               F.bool_and(parse_ok).alias("_parse_ok")))
     ok = F.col("_name_ok") & F.col("_parse_ok")
-    message = (F.when(~F.col("_name_ok"), F.concat(F.lit("Filename "), F.col("filename"),
-                                                    F.lit(" format mismatch")))
-               .when(~F.col("_parse_ok"), F.concat(F.lit("File "), F.col("filename"),
-                                                    F.lit(" is not a JSON array of posts"))))
+    message = (F.when(~F.col("_name_ok"), F.concat(F.lit(NAME_MISMATCH[0]), F.col("filename"),
+                                                    F.lit(NAME_MISMATCH[1])))
+               .when(~F.col("_parse_ok"), F.concat(F.lit(NOT_PARSED[0]), F.col("filename"),
+                                                    F.lit(NOT_PARSED[1]))))
     return g.select("source_file", "filename",
                     F.when(ok, ACCEPTED).otherwise(QUARANTINED).alias("status"),
                     F.when(ok, F.to_date("batch_ts")).alias("business_date"),
