@@ -408,6 +408,7 @@ FROM (SELECT event_id,
       FROM events)"""
 
 SQL["gold_refresh"] = SQL["daily_nps_csat"]
+SQL["gold_stream"] = SQL["daily_nps_csat"]
 
 SQL["batch_read_formats"] = f"""WITH {POOL},
 {FEED}

@@ -362,3 +362,16 @@ def q_gold_refresh(spark, sf_dir):
     sinks.write_partitions(flat, silver, ["file_date"])
     jobs.refresh_gold(spark, spark.read.parquet(silver), f"{root}/gold")
     return jobs.read_gold(spark, f"{root}/gold")
+
+
+@register("gold_stream")
+def q_gold_stream(spark, sf_dir):
+    """Silver comments land per source (event type); a file stream folds each
+    micro-batch into gold through additive per-batch partials. The final gold
+    must equal a full recomputation (the flagship)."""
+    root = scratch_path(spark, "gold_stream")
+    tb.comment_feed(spark, sf_dir, with_source=True).write.partitionBy("source").parquet(f"{root}/silver")
+    schema = spark.read.parquet(f"{root}/silver").schema
+    jobs.start_gold_stream(spark, f"{root}/silver", schema, f"{root}/partials", f"{root}/gold",
+                           f"{root}/checkpoint", max_files_per_trigger=2).awaitTermination()
+    return jobs.read_gold(spark, f"{root}/gold")

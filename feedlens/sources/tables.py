@@ -75,10 +75,12 @@ def _post_no() -> Column:
     return F.expr("event_id div 4")
 
 
-def comment_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flat comment rows (post columns repeated) derived from ``events``."""
+def comment_feed(spark: SparkSession, sf_dir: str, with_source: bool = False) -> DataFrame:
+    """Flat comment rows (post columns repeated) derived from ``events``;
+    ``with_source`` adds the event type as the feed's ``source``."""
     ev = table(spark, sf_dir, "events")
     post = _post_no()
+    extra = [F.col("event_type").alias("source")] if with_source else []
     return ev.select(
         F.concat(F.lit("p"), post.cast("string")).alias("id"),
         iso_text(F.date_trunc("hour", F.col("ts"))).alias("created_time"),
@@ -89,6 +91,7 @@ def comment_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         pool_text(F.col("event_id")).alias("comment_message"),
         F.floor("value").cast("long").alias("comment_likes"),
         F.concat(F.lit("user"), F.col("user_id").cast("string")).alias("comment_author"),
+        *extra,
     )
 
 

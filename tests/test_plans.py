@@ -9,7 +9,7 @@ import __spark_entry__ as se
 
 from .conftest import SF_SMALL, plan_text
 
-WRITES_FIRST = {"stream_to_bronze", "topic_drain", "batch_read_formats", "gold_refresh"}
+WRITES_FIRST = {"stream_to_bronze", "topic_drain", "batch_read_formats", "gold_refresh", "gold_stream"}
 # columns each scan may read (the queries where pruning matters most)
 READS = {
     "daily_nps_csat": {"events": {"event_id", "ts"}},
