@@ -169,3 +169,58 @@ def score_with_lexicon_table(df: DataFrame, key_cols: list[str], lexicon: DataFr
             .withColumn(out, F.when(F.col(text_col).isNull(), F.lit(None).cast("double"))
                         .otherwise(_score_from(F.coalesce("_s", F.lit(0)), F.coalesce("_n", F.lit(0)))))
             .drop("_s", "_n"))
+
+
+# Entry limit for shipping a lexicon to the tasks as a broadcast dictionary.
+MAX_BROADCAST_DICT = 5_000_000
+
+
+def score_in_pandas(df: DataFrame, text_col: str, out: str = "sentiment_score",
+                    rows=None, max_entries: int = MAX_BROADCAST_DICT) -> DataFrame:
+    """Row-local scoring for a lexicon too large to embed in the plan.
+
+    The lexicon goes to the tasks once as a broadcast dictionary (size
+    checked), and Arrow batches are scored in place by ``mapInPandas``: no
+    shuffle and no join back to the rows, unlike ``score_with_lexicon_table``.
+    The same rule as the JVM scorer, in a few lines of Python per text.
+    """
+    rows = rows if rows is not None else lx.seed_lexicon()
+    if len(rows) > max_entries:
+        raise ValueError(f"lexicon has {len(rows)} entries; use score_with_lexicon_table")
+    pol = {w: int(p) for w, p, k in rows if k == lx.POL}
+    mod = {w: k for w, _, k in rows if k != lx.POL}
+    shared = df.sparkSession.sparkContext.broadcast((pol, mod))
+    schema = T.StructType(df.schema.fields + [T.StructField(out, T.DoubleType())])
+
+    def score_batches(batches):
+        try:
+            import regex as re_mod
+            token = re_mod.compile(r"\p{L}+")
+        except ImportError:  # letters only: word characters minus digits and '_'
+            import re as re_mod
+            token = re_mod.compile(r"[^\W\d_]+")
+        pol_d, mod_d = shared.value
+
+        def one(text):
+            if text is None:
+                return None
+            ws = token.findall(text.lower())
+            total = n = 0
+            for i, w in enumerate(ws):
+                p = pol_d.get(w)
+                if p is None:
+                    continue
+                m = mod_d.get(ws[i - 1]) if i else None
+                if m == lx.NEG:
+                    p = -(p // 2)
+                elif m == lx.BOOST:
+                    p = max(-1000, min(1000, p + p // 2))
+                total += p
+                n += 1
+            return 0.0 if n == 0 else total / (1000.0 * n)
+
+        for pdf in batches:
+            pdf[out] = [one(t) for t in pdf[text_col]]
+            yield pdf
+
+    return df.mapInPandas(score_batches, schema)

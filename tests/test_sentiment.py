@@ -120,3 +120,13 @@ def test_spread_only_when_narrow(spark):
     assert spread_if_narrow(wide, 8) is wide
     shuffled = spark.range(100).groupBy((F.col("id") % 3).alias("k")).count().coalesce(1)
     assert spread_if_narrow(shuffled, 8) is shuffled  # no probe of an adaptive plan
+
+
+def test_pandas_strategy_agrees(spark):
+    docs = tb.table(spark, SF_SMALL, "documents").select("doc_id", "text")
+    a = sentiment.score(docs, "text", "a")
+    p = sentiment.score_in_pandas(docs, "text", "p")
+    j = a.join(p.select("doc_id", "p"), "doc_id")
+    assert j.count() == docs.count() and j.filter(~F.col("a").eqNullSafe(F.col("p"))).count() == 0
+    got = {r["k"]: r["s"] for r in sentiment.score_in_pandas(_df(spark), "text", "s").collect()}
+    assert all(got[i] == brute(t) for i, t in enumerate(TEXTS))
