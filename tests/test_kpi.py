@@ -54,3 +54,14 @@ def test_utc_date_ignores_session_time_zone(spark):
         assert str(r[0]["d"]) == "2024-01-01"
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_utc_date_with_other_offsets(spark):
+    from feedlens.functions.dates import utc_date
+    cases = {"2024-01-01T23:30:00.000000-0500": "2024-01-02",
+             "2024-01-02T03:00:00.000000+05:30": "2024-01-01",
+             "2024-01-01T12:00:00Z": "2024-01-01",
+             "not a time": None}
+    df = spark.createDataFrame([(k,) for k in cases], "t string")
+    got = {r["t"]: (str(r["d"]) if r["d"] else None) for r in df.select("t", utc_date("t").alias("d")).collect()}
+    assert got == cases
