@@ -130,3 +130,11 @@ def test_pandas_strategy_agrees(spark):
     assert j.count() == docs.count() and j.filter(~F.col("a").eqNullSafe(F.col("p"))).count() == 0
     got = {r["k"]: r["s"] for r in sentiment.score_in_pandas(_df(spark), "text", "s").collect()}
     assert all(got[i] == brute(t) for i, t in enumerate(TEXTS))
+
+
+def test_pandas_scorer_runs_once_under_a_filter(spark):
+    scorer = sentiment.pandas_scorer(lambda s: s.map(brute))
+    df = sentiment.score(_df(spark), "text", "s", scorer=scorer, spread=False).filter(F.col("s") > 0)
+    plan = plan_text(df, "simple")
+    assert plan.count("ArrowEvalPython") == 1
+    assert sorted(r["k"] for r in df.collect()) == sorted(i for i, t in enumerate(TEXTS) if (brute(t) or 0) > 0)
