@@ -100,8 +100,9 @@ def q_sentiment_by_lang(spark, sf_dir):
 @register("conversation_sentiment")
 def q_conversation_sentiment(spark, sf_dir, scorer=None):
     turns = tb.table(spark, sf_dir, "conversations").select("role", "text")
-    scored = sentiment.score(turns.withColumn("words", words("text")), "text",
-                             scorer=scorer, words_col="words")
+    scored = sentiment.score(turns, "text", scorer=scorer, words_col="words")
+    if "words" not in scored.columns:  # a custom scorer does not tokenise
+        scored = scored.withColumn("words", words("text"))
     return (scored.groupBy("role", kpi.sentiment_label().alias("sentiment_label"))
             .agg(F.count("*").alias("n_turns"),
                  F.sum(F.size("words")).cast("long").alias("total_words")))

@@ -138,3 +138,10 @@ def test_pandas_scorer_runs_once_under_a_filter(spark):
     plan = plan_text(df, "simple")
     assert plan.count("ArrowEvalPython") == 1
     assert sorted(r["k"] for r in df.collect()) == sorted(i for i, t in enumerate(TEXTS) if (brute(t) or 0) > 0)
+
+
+def test_conversation_query_with_a_plugged_scorer(spark):
+    from feedlens.plans.queries import q_conversation_sentiment
+    default = sorted(map(tuple, q_conversation_sentiment(spark, SF_SMALL).collect()))
+    plugged = sentiment.pandas_scorer(lambda s: s.map(brute))
+    assert sorted(map(tuple, q_conversation_sentiment(spark, SF_SMALL, scorer=plugged).collect())) == default
