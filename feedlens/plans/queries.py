@@ -187,11 +187,16 @@ def _audit_current(spark, sf_dir):
     return audit.current(ctl.audit_from_orders(spark, sf_dir))
 
 
+def _audit_status(spark, sf_dir):
+    """Current status only (hash-aggregated): what the planning views need."""
+    return audit.current_status(ctl.audit_from_orders(spark, sf_dir))
+
+
 def _control(spark, sf_dir):
-    """Registry and current audit, each computed once per query (both are read
-    several times by the planning joins)."""
+    """Registry and current status, each computed once per query (both are
+    read several times by the planning joins)."""
     return (materialize(ctl.registry_from_orders(spark, sf_dir)),
-            materialize(_audit_current(spark, sf_dir)))
+            materialize(_audit_status(spark, sf_dir)))
 
 
 @register("audit_current")
@@ -201,22 +206,22 @@ def q_audit_current(spark, sf_dir):
 
 @register("audit_lifecycle")
 def q_audit_lifecycle(spark, sf_dir):
-    return audit.lifecycle_summary(_audit_current(spark, sf_dir))
+    return audit.lifecycle_summary(_audit_status(spark, sf_dir))
 
 
 @register("datasets_to_validate")
 def q_datasets_to_validate(spark, sf_dir):
     return planning.datasets_to_validate(ctl.registry_from_orders(spark, sf_dir),
-                                         _audit_current(spark, sf_dir))
+                                         _audit_status(spark, sf_dir))
 
 
 @register("pending_rules")
 def q_pending_rules(spark, sf_dir):
     reg = materialize(ctl.registry_from_orders(spark, sf_dir))
     cols = ctl.columns_from_registry(reg)
-    rule_audit = audit.current(ctl.rule_audit_from_orders(spark, sf_dir),
-                               keys=("dataset_column_validation_id", "business_date"))
-    to_validate = planning.datasets_to_validate(reg, _audit_current(spark, sf_dir))
+    rule_audit = audit.current_status(ctl.rule_audit_from_orders(spark, sf_dir),
+                                      keys=("dataset_column_validation_id", "business_date"))
+    to_validate = planning.datasets_to_validate(reg, _audit_status(spark, sf_dir))
     return (planning.pending_rules(to_validate, ctl.bindings_from_columns(cols),
                                    cols.drop("validation_id", "ix"), ctl.validations(spark), rule_audit)
             .select("dataset_id", "business_date", "dcv_id", "column_name", "column_datatype",

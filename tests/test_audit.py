@@ -68,3 +68,17 @@ def test_read_control_table(spark, tmp_path):
     got = ctl.read_control(spark, root, "validation")
     assert got.schema == ctl.CONTROL_SCHEMAS["validation"]
     assert sorted(r["name"] for r in got.collect()) == ["column_null_validation", "data_type_validation"]
+
+
+def test_current_status_matches_current(spark):
+    from feedlens.sources import control as ctl
+    ev = ctl.audit_from_orders(spark, "/root/testdata/sf0.001")
+    a = audit.current(ev).select("dataset_id", "business_date", "status", "seq", "n_events")
+    b = audit.current_status(ev)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_event_rejects_unknown_status(spark):
+    import pytest
+    with pytest.raises(ValueError):
+        audit.event(1, "2024-03-26", "Done-ish")
