@@ -99,3 +99,20 @@ def test_read_registered_batch_prunes_to_one_day(spark, tmp_path):
         got = files.read_registered_batch(spark, {"format": fmt, "bronze_path": path}, "2024-03-26", schema)
         assert sorted(r["id"] for r in got.collect()) == ["a", "c"]
         assert "PartitionFilters: [isnotnull(year" in plan_text(got, "simple")
+
+
+def test_csv_batch_without_schema_infers_types(spark, tmp_path):
+    path = str(tmp_path / "csv")
+    spark.createDataFrame([(1, "a"), (2, "b")], "n int, s string").write.option("header", "true").csv(path)
+    df = files.read_batch(spark, "csv", path)
+    assert dict(df.dtypes) == {"n": "int", "s": "string"} and df.count() == 2
+
+
+def test_registry_row_rejects_duplicates(spark):
+    import pytest
+    from feedlens import schemas
+    n = len(schemas.DATASET.fields)
+    reg = spark.createDataFrame([tuple([i, "post_detail", "facebook"] + [None] * (n - 3)) for i in (1, 2)],
+                                schemas.DATASET)
+    with pytest.raises(LookupError):
+        files.registry_row(reg, "post_detail", "facebook")

@@ -292,3 +292,15 @@ def test_gold_stream_equals_full_refresh(spark, tmp_path):
     jobs.refresh_gold(spark, feed, f"{root}/gold_full")
     full = {str(r["comment_date"]): r.asDict() for r in jobs.read_gold(spark, f"{root}/gold_full").collect()}
     assert got == full and len(full) == 30
+
+
+def test_full_gold_refresh_drops_stale_dates(spark, tmp_path):
+    from feedlens.sinks import tables as sinks
+    root = str(tmp_path)
+    old = spark.createDataFrame([("2024-03-25", 1)], "d string, n int").withColumn("comment_date", F.to_date("d"))
+    new = spark.createDataFrame([("2024-03-26", 2)], "d string, n int").withColumn("comment_date", F.to_date("d"))
+    sinks.write_gold(old.drop("d"), f"{root}/g")
+    sinks.write_gold(new.drop("d"), f"{root}/g", only_present=True)
+    assert spark.read.parquet(f"{root}/g").count() == 2  # dynamic: the other date stays
+    sinks.write_gold(new.drop("d"), f"{root}/g")
+    assert [str(r["comment_date"]) for r in spark.read.parquet(f"{root}/g").collect()] == ["2024-03-26"]
