@@ -79,9 +79,30 @@ VALIDATIONS: dict[str, Callable[[Rule, T.StructType], list[tuple[Column, str]]]]
 }
 
 
+def column_exists(path: str, schema: T.StructType) -> bool:
+    """Whether a dotted path resolves in the schema (through structs and arrays)."""
+    dtype: T.DataType = schema
+    for part in path.split("."):
+        while isinstance(dtype, T.ArrayType):
+            dtype = dtype.elementType
+        if not isinstance(dtype, T.StructType) or part not in dtype.names:
+            return False
+        dtype = dtype[part].dataType
+    return True
+
+
+def missing_rules(rules: list[Rule], schema: T.StructType) -> list[Rule]:
+    """Rules whose column is not in the batch: they fail on their own."""
+    return [r for r in sorted(rules, key=lambda r: r.id) if not column_exists(r.column, schema)]
+
+
 def checks(rules: list[Rule], schema: T.StructType) -> list[tuple[Rule, Column, str]]:
+    """Failure conditions of the rules whose column exists (the others are
+    reported by ``missing_rules``, so one bad binding does not stop the rest)."""
     out = []
     for r in sorted(rules, key=lambda r: r.id):
+        if not column_exists(r.column, schema):
+            continue
         try:
             build = VALIDATIONS[r.validation]
         except KeyError:

@@ -11,12 +11,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedlens.functions.rules import Rule, checks
+from feedlens.functions.rules import Rule, checks, missing_rules
 
 # Message separator and the rule-run outcome texts.
 SEP = " | "
 PASSED = "Validation Passed"
 PASSED_CLEAN = "Validation Passed with no errors"
+FAILED = "Failed"
+NOT_FOUND = "Column {column} not found"
 
 
 def with_errors(df: DataFrame, rules: list[Rule], msg_col: str = "error_message") -> DataFrame:
@@ -41,16 +43,20 @@ def rule_outcomes(df: DataFrame, rules: list[Rule]) -> DataFrame:
     """One row per rule: error count and outcome, from a single global aggregate.
 
     A rule that ran is ``Validation Passed`` whether or not rows failed (the
-    notebook text distinguishes the two); a failure to run is left to the caller.
+    notebook text distinguishes the two). A rule whose column is not in the
+    batch did not run: it is ``Failed`` with a message, and stays pending.
     """
+    out_schema = ("dcv_id long, column_name string, validation_name string, n_errors long, "
+                  "result string, status string")
+    missing = df.sparkSession.createDataFrame(
+        [(r.id, r.column, r.validation, None, NOT_FOUND.format(column=r.column), FAILED)
+         for r in missing_rules(rules, df.schema)], out_schema)
     cs = checks(rules, df.schema)
     per_rule: dict[int, list] = {}
     for r, cond, _ in cs:
         per_rule.setdefault(r.id, [r, []])[1].append(F.coalesce(cond, F.lit(False)))
     if not per_rule:
-        return df.sparkSession.createDataFrame(
-            [], "dcv_id long, column_name string, validation_name string, n_errors long, "
-                "result string, status string")
+        return missing
     aggs = []
     for rid, (r, conds) in per_rule.items():
         any_c = conds[0]
@@ -63,9 +69,10 @@ def rule_outcomes(df: DataFrame, rules: list[Rule]) -> DataFrame:
                               F.lit(r.validation).alias("validation_name"),
                               F.col(f"_n{rid}").alias("n_errors"))
                      for rid, (r, _) in per_rule.items()])
-    return (counts.select(F.inline(rows))
-            .withColumn("result", F.when(F.col("n_errors") > 0, PASSED).otherwise(PASSED_CLEAN))
-            .withColumn("status", F.lit(PASSED)))
+    ran = (counts.select(F.inline(rows))
+           .withColumn("result", F.when(F.col("n_errors") > 0, PASSED).otherwise(PASSED_CLEAN))
+           .withColumn("status", F.lit(PASSED)))
+    return ran.unionByName(missing) if missing_rules(rules, df.schema) else ran
 
 
 def promote_valid(batch: DataFrame, errors: DataFrame, key: str = "id") -> DataFrame:

@@ -34,18 +34,25 @@ def validate(spark: SparkSession, batch: DataFrame, rules: list[Rule], key: str,
     """(B) one pass of all rules -> error table (incremental upsert by batch
     date) + silver rows (dynamic overwrite by batch date).
 
-    Returns the error-table path, the silver path and the rule outcomes (a
-    small frame). A dataset with no error table yet gets one from its first
-    errors; an all-clean first batch is still promoted.
+    Returns the error-table path, the silver path (None when not promoted),
+    the rule outcomes (a small frame) and the rules that could not run. A
+    batch is promoted only when every rule ran, as the reference promotes
+    only once nothing is pending. A dataset with no error table yet gets one
+    from its first errors; an all-clean first batch is still promoted.
     """
+    from feedlens.functions.rules import missing_rules
+
     batch = batch.persist()
     try:
+        missing = missing_rules(rules, batch.schema)
         errors = quality.error_rows(batch, rules)
         upsert_error_table(spark, errors, error_table, batch_col)
-        valid = quality.promote_valid(batch, errors, key)
-        sinks.write_partitions(valid, silver, [batch_col])
+        promoted = None
+        if not missing:
+            sinks.write_partitions(quality.promote_valid(batch, errors, key), silver, [batch_col])
+            promoted = silver
         outcomes = quality.rule_outcomes(batch, rules)
-        return {"errors": error_table, "silver": silver, "outcomes": outcomes}
+        return {"errors": error_table, "silver": promoted, "outcomes": outcomes, "missing": missing}
     finally:
         batch.unpersist()
 
@@ -85,13 +92,17 @@ def validate_and_audit(spark: SparkSession, batch: DataFrame, pending: DataFrame
     seq = F.unix_micros(F.current_timestamp())
     try:
         rules = rules_from_pending(pending)
+        missing = []
         if rules:
             out = validate(spark, batch, rules, key, error_base, silver, batch_col)
+            missing = out["missing"]
             events = out["outcomes"].select(
                 F.col("dcv_id").alias("dataset_column_validation_id"),
                 F.lit(business_date).cast("date").alias("business_date"),
                 seq.alias("seq"), F.col("status"),
-                F.concat(F.col("n_errors").cast("string"), F.lit(" error rows")).alias("error_message"))
+                F.when(F.col("n_errors").isNull(), F.col("result"))
+                 .otherwise(F.concat(F.col("n_errors").cast("string"), F.lit(" error rows")))
+                 .alias("error_message"))
             sinks.append(events, rule_audit)
         else:
             # nothing pending: promote against the errors already recorded for these dates
@@ -104,7 +115,11 @@ def validate_and_audit(spark: SparkSession, batch: DataFrame, pending: DataFrame
             except Exception:  # noqa: BLE001 - no error table yet
                 valid = batch
             sinks.write_partitions(valid, silver, [batch_col])
-        status, message = "Validated", None
+        if missing:  # some rules could not run: not promoted, retried next time
+            status = "Validation Failed"
+            message = "; ".join(f"Column {r.column} not found" for r in missing)
+        else:
+            status, message = "Validated", None
     except Exception as e:  # noqa: BLE001 - recorded in the audit, then re-raised
         status, message = "Validation Failed", str(e)[:2000]
         sinks.append(spark.range(1).select(*audit_ops.event(dataset_id, business_date, status, message)),

@@ -149,3 +149,13 @@ def test_no_rules(spark):
     df = spark.createDataFrame(ROWS, SCHEMA)
     assert quality.error_rows(df, []).count() == 0
     assert quality.rule_outcomes(df, []).count() == 0
+
+
+def test_rule_on_a_missing_column_fails_alone(spark):
+    df = spark.createDataFrame(ROWS, SCHEMA)
+    rules = RULES + [Rule(9, "no_such_column", "column_null_validation")]
+    got = {r["id"]: r["error_message"] for r in quality.error_rows(df, rules).collect()}
+    assert got[3] == "Column a is null | Column b is null | Column c is not INT"
+    out = {r["dcv_id"]: r for r in quality.rule_outcomes(df, rules).collect()}
+    assert out[9]["status"] == "Failed" and out[9]["result"] == "Column no_such_column not found"
+    assert out[9]["n_errors"] is None and out[1]["status"] == "Validation Passed"

@@ -304,3 +304,24 @@ def test_full_gold_refresh_drops_stale_dates(spark, tmp_path):
     assert spark.read.parquet(f"{root}/g").count() == 2  # dynamic: the other date stays
     sinks.write_gold(new.drop("d"), f"{root}/g")
     assert [str(r["comment_date"]) for r in spark.read.parquet(f"{root}/g").collect()] == ["2024-03-26"]
+
+
+def test_batch_with_a_failing_rule_is_not_promoted(spark, tmp_path):
+    root = str(tmp_path)
+    batch = spark.createDataFrame([("c1", "2024-03-26", None), ("c2", "2024-03-26", "ok")],
+                                  "id string, file_date string, comment_message string")
+    pending = spark.createDataFrame(
+        [(11, "comment_message", "column_null_validation", "STRING", None),
+         (12, "missing_col", "column_null_validation", "STRING", None)],
+        "dcv_id long, column_name string, validation_name string, column_datatype string, "
+        "validation_parameters string")
+    status = jobs.validate_and_audit(spark, batch, pending, "id", f"{root}/errors", f"{root}/silver",
+                                     f"{root}/rule_audit", f"{root}/audit", 1, "2024-03-26")
+    assert status == "Validation Failed"
+    assert not os.path.exists(f"{root}/silver")
+    assert spark.read.parquet(f"{root}/errors").count() == 1  # the rule that ran recorded its error
+    ra = {r["dataset_column_validation_id"]: (r["status"], r["error_message"])
+          for r in spark.read.parquet(f"{root}/rule_audit").collect()}
+    assert ra == {11: ("Validation Passed", "1 error rows"), 12: ("Failed", "Column missing_col not found")}
+    aud = spark.read.parquet(f"{root}/audit").collect()[0]
+    assert (aud["status"], aud["error_message"]) == ("Validation Failed", "Column missing_col not found")
