@@ -11,8 +11,11 @@ def datasets_to_validate(registry: DataFrame, audit_current: DataFrame,
                          statuses=("Success",), created_by: str | None = None) -> DataFrame:
     """(Q6) Ingested batches of a source/layer whose current status is in ``statuses``.
 
-    ``created_by`` keeps only batches whose current audit row was written by
-    that actor (the audit view must then carry ``actor``).
+    The default picks freshly ingested batches; pass
+    ``statuses=("Success", "Validation Failed")`` to retry batches whose
+    validation did not complete. ``created_by`` keeps only batches whose
+    current audit row was written by that actor (the audit view must then
+    carry ``actor``).
     """
     reg = (registry.filter((F.col("source_name") == source_name) & (F.col("layer") == layer))
            .select(F.col("id").alias("dataset_id"), "name", "silver_table", "error_table_name"))
