@@ -88,8 +88,12 @@ def spread_if_narrow(df, min_partitions: int | None = None):
         # already shuffled, so spread over the shuffle partitions; asking an
         # adaptive plan for its partition count would run its shuffle stages
         return df
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        narrow = df.rdd.getNumPartitions() < target
+    except Exception:  # noqa: BLE001 - no SparkContext here (e.g. a Connect session): leave it
+        return df
+    return df.repartition(target) if narrow else df
 
 
 def _plan_text(df) -> str:
