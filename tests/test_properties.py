@@ -62,3 +62,27 @@ def test_upsert_set_semantics(spark, target_rows, source_rows):
         assert parts[:len(old)] == old  # existing messages keep their order, first
     for i, a, m in source_rows:
         assert set(m.split(" | ")) <= set(after[(i, a)].split(" | "))
+
+
+from feedlens.functions import lexicon as _lx  # noqa: E402
+
+_ROWS = _lx.seed_lexicon()
+_WORDS = ([w for w, _, k in _ROWS if k == _lx.POL][:40] + [w for w, _, k in _ROWS if k != _lx.POL]
+          + ["the", "store", "dress", "was", "it", "Good", "NOT", "Très"])
+_SEPS = [" ", "  ", ", ", "! ", "'", " - ", "... ", "\n", " 3 "]
+texts = st.lists(st.one_of(st.none(), st.lists(st.tuples(st.sampled_from(_WORDS), st.sampled_from(_SEPS)),
+                                              max_size=12).map(lambda p: "".join(w + s for w, s in p))),
+                 min_size=1, max_size=25)
+
+
+@settings(max_examples=8, deadline=None)
+@given(texts)
+def test_scorer_matches_the_rule(spark, batch):
+    from feedlens.operators import sentiment
+    from tests.test_sentiment import brute
+    df = spark.createDataFrame(list(enumerate(batch)), "k long, text string")
+    got = {r["k"]: r["s"] for r in sentiment.score(df, "text", "s").collect()}
+    pandas_got = {r["k"]: r["s"] for r in sentiment.score_in_pandas(df, "text", "s").collect()}
+    for i, t in enumerate(batch):
+        assert got[i] == brute(t), t
+        assert pandas_got[i] == got[i], t
