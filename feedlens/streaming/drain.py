@@ -67,8 +67,22 @@ def drain_writer(landing: str, drained_log: str, prefix: str = "post_detail_",
     state: dict = {}
     plan_log, files_log = f"{drained_log}/plan", f"{drained_log}/files"
 
+    def seed_from_log(spark) -> None:
+        """After a restart, continue after the last stamp already used."""
+        if "last" in state:
+            return
+        try:
+            row = spark.read.parquet(plan_log).agg(F.max("file_name").alias("m")).collect()[0]
+        except Exception:  # noqa: BLE001 - nothing drained yet
+            state["last"] = None
+            return
+        last = row["m"][len(prefix):len(prefix) + 19] if row["m"] else None
+        state["last"] = (datetime.strptime(last, "%Y-%m-%d_%H-%M-%S").replace(tzinfo=timezone.utc)
+                         if last else None)
+
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        seed_from_log(spark)
         valid = batch.filter(F.col("value").isNotNull()).persist()
         try:
             size = valid.agg(F.count("*").alias("n"),

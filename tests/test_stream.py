@@ -325,3 +325,14 @@ def test_batch_with_a_failing_rule_is_not_promoted(spark, tmp_path):
     assert ra == {11: ("Validation Passed", "1 error rows"), 12: ("Failed", "Column missing_col not found")}
     aud = spark.read.parquet(f"{root}/audit").collect()[0]
     assert (aud["status"], aud["error_message"]) == ("Validation Failed", "Column missing_col not found")
+
+
+def test_restarted_drain_never_reuses_a_name(spark, tmp_path):
+    root = str(tmp_path)
+    feed = spark.createDataFrame([(b"h", json.dumps([post("r", ["a"])]).encode(), "topic", 0, 0, None)],
+                                 "key binary, value binary, topic string, partition int, offset long, "
+                                 "timestamp timestamp")
+    p = paths(root)
+    drain.drain_writer(p.landing, f"{root}/drained")(feed, 0)
+    drain.drain_writer(p.landing, f"{root}/drained")(feed, 1)  # a new writer, as after a restart
+    assert len(set(os.listdir(p.landing))) == 2
