@@ -336,3 +336,12 @@ def test_restarted_drain_never_reuses_a_name(spark, tmp_path):
     drain.drain_writer(p.landing, f"{root}/drained")(feed, 0)
     drain.drain_writer(p.landing, f"{root}/drained")(feed, 1)  # a new writer, as after a restart
     assert len(set(os.listdir(p.landing))) == 2
+
+
+def test_kafka_publish_needs_the_connector(spark):
+    import pytest
+    from feedlens.sources import messages
+    recs = messages.encode(spark.createDataFrame([(1, "a")], "id long, s string"), "id", "t")
+    with pytest.raises(Exception) as e:
+        drain.publish(recs, "localhost:1", "t")
+    assert "kafka" in str(e.value).lower()
