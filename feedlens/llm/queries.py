@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import attribution, bpe, packing, warc
+from . import attribution, bpe, merkle, packing, warc
 from .common import table
 
 
@@ -27,5 +27,9 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op4_byte_bpe, op7_token_counts, op8_warc, op9_packing)}
-SQL: dict[str, str] = {}
+def op10_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.fingerprints(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op4_byte_bpe, op7_token_counts, op8_warc, op9_packing, op10_merkle_fingerprints)}
+SQL: dict[str, str] = {"op10_merkle_fingerprints": merkle.SQL}
