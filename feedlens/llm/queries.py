@@ -5,10 +5,14 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import attribution, bpe, merkle, packing, warc
+from . import attribution, bpe, lsh_forest, merkle, packing, warc
 from .common import table
 
 
+def op2_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lsh_forest.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"),
                           public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
@@ -31,5 +35,6 @@ def op10_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.fingerprints(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op4_byte_bpe, op7_token_counts, op8_warc, op9_packing, op10_merkle_fingerprints)}
+QUERIES = {f.__name__: f for f in (
+    op2_lsh_forest, op4_byte_bpe, op7_token_counts, op8_warc, op9_packing, op10_merkle_fingerprints)}
 SQL: dict[str, str] = {"op10_merkle_fingerprints": merkle.SQL}
