@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import attribution, bpe, lsh_forest, merkle, packing, warc
+from . import attribution, bpe, byte_cnn, lsh_forest, merkle, packing, warc
 from .common import table
 
 
@@ -13,6 +13,10 @@ def op2_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lsh_forest.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_cnn.identify(table(spark, sf_dir, "documents"))
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"),
                           public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
@@ -36,5 +40,5 @@ def op10_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_lsh_forest, op4_byte_bpe, op7_token_counts, op8_warc, op9_packing, op10_merkle_fingerprints)}
+    op2_lsh_forest, op3_byte_cnn, op4_byte_bpe, op7_token_counts, op8_warc, op9_packing, op10_merkle_fingerprints)}
 SQL: dict[str, str] = {"op10_merkle_fingerprints": merkle.SQL}
