@@ -42,8 +42,8 @@ def records(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         yield from zip(*(column.to_pylist() for column in batch.columns))
 
 
-def arrow_schema(schema: str) -> pa.Schema:
-    return to_arrow_schema(StructType.fromDDL(schema))
+def arrow_schema(schema: str | StructType) -> pa.Schema:
+    return to_arrow_schema(StructType.fromDDL(schema) if isinstance(schema, str) else schema)
 
 
 def out_batches(rows: Iterator[tuple], schema: pa.Schema, size: int = OUT_ROWS,
@@ -83,7 +83,7 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(context.applicationId)
 
 
-def map_rows(df: DataFrame, function, schema: str) -> DataFrame:
+def map_rows(df: DataFrame, function, schema: str | StructType) -> DataFrame:
     """``mapInArrow`` for a generator that takes and gives tuples, one per row."""
     fields = arrow_schema(schema)
     ship(df.sparkSession)

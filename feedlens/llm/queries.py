@@ -5,10 +5,15 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import attribution, bpe, byte_cnn, lsh_forest, merkle, packing, warc
+from . import attribution, bpe, byte_cnn, lsh_forest, merkle, packing, pii, warc
 from .common import table
 
 
+def op1_bilstm_crf_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pii.detect(docs, pii.fit(docs))
+
+
 def op2_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lsh_forest.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -40,5 +45,5 @@ def op10_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_lsh_forest, op3_byte_cnn, op4_byte_bpe, op7_token_counts, op8_warc, op9_packing, op10_merkle_fingerprints)}
+    op1_bilstm_crf_pii, op2_lsh_forest, op3_byte_cnn, op4_byte_bpe, op7_token_counts, op8_warc, op9_packing, op10_merkle_fingerprints)}
 SQL: dict[str, str] = {"op10_merkle_fingerprints": merkle.SQL}
