@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import attribution, bpe, byte_cnn, lsh_forest, merkle, packing, pii, rp_forest, warc
+from . import attribution, bpe, byte_cnn, extraction, lsh_forest, merkle, packing, pii, rp_forest, warc
 from .common import table
 
 
@@ -31,6 +31,10 @@ def op5_rp_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rp_forest.nearest(table(spark, sf_dir, "embeddings"))
 
 
+def op6_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.extract(table(spark, sf_dir, "pages"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return attribution.token_counts(table(spark, sf_dir, "documents"),
                                     public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
@@ -49,5 +53,5 @@ def op10_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_bilstm_crf_pii, op2_lsh_forest, op3_byte_cnn, op4_byte_bpe, op5_rp_forest, op7_token_counts, op8_warc, op9_packing, op10_merkle_fingerprints)}
+    op1_bilstm_crf_pii, op2_lsh_forest, op3_byte_cnn, op4_byte_bpe, op5_rp_forest, op6_page_text, op7_token_counts, op8_warc, op9_packing, op10_merkle_fingerprints)}
 SQL: dict[str, str] = {"op10_merkle_fingerprints": merkle.SQL}
