@@ -202,3 +202,16 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     """
     found = predict(docs, fit(docs, id_col, text_col, lang_col), id_col, text_col)
     return found.select(id_col, F.coalesce(held_out(id_col), F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+def accepted(docs: DataFrame, net: Network | None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """The rows whose language is known, a null ``lang_col`` filled with the prediction; all columns stay as they are."""
+    names = docs.columns
+    t, known = names.index(text_col), names.index(lang_col)
+
+    def run(rows):
+        for row, lang, _ in predictions(net, ((row, row[t]) for row in rows)):
+            if lang != UNKNOWN:
+                yield row if row[known] is not None else (*row[:known], lang, *row[known + 1:])
+
+    return map_rows(docs, run, docs.schema)
