@@ -1,0 +1,61 @@
+"""The corpus pipeline against a plain version of its decisions, and odd tables."""
+
+from collections import defaultdict
+
+import public_tokenizers as P
+import regex
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from feedlens.llm import pii
+
+from .conftest import SCHEMA
+from .test_lsh_forest import plain as plain_groups
+
+
+def stage(spark, name, docs, folder):
+    path = f"{folder}/{name}"
+    dict(corpus_pipeline.STAGES)[name](spark, docs, "").write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def test_stages_and_run(spark, odd_rows, tmp_path):
+    rows = [r for r in odd_rows if r[0] != 5]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+
+    first = stage(spark, "language_id", docs, tmp_path)
+    letters = [r for r in rows if r[1] and regex.search(r"\p{L}", r[1])]
+    assert first.columns == docs.columns
+    assert sorted(map(repr, (tuple(r)[:2] for r in first.collect()))) == sorted(repr(r[:2]) for r in letters)
+    assert first.where("lang is null").count() == 0
+
+    second = stage(spark, "near_duplicates", first, tmp_path)
+    groups = plain_groups(letters)
+    kept = [r for r in letters if r[0] is None or groups[r[0]][1] == r[0]]
+    assert sorted(map(repr, (tuple(r)[:2] for r in second.collect()))) == sorted(repr(r[:2]) for r in kept)
+
+    third = stage(spark, "personal_data", second, tmp_path)
+    (*_,) = found = pii.find(pii.fit(second), [r[1] for r in kept])
+    masked = {r[0]: pii.masked(r[1], *f) for r, f in zip(kept, found)}
+    assert {r["doc_id"]: r["text"] for r in third.collect()} == masked
+    assert all(r["n_chars"] == len(r["text"]) for r in third.where("doc_id = 14").collect())
+
+    got = defaultdict(int)
+    for r in corpus_pipeline.run(spark, str(tmp_path)).collect():
+        got[r["doc_id"]] += r["length"]
+    e = Tokenizer.from_file(P.path("word_bpe_49k.json"))
+    e.encode_special_tokens = True
+    assert got == {d: len(e.encode(t, add_special_tokens=False).ids) + 1 for d, t in masked.items()}
+
+
+def test_an_empty_table_passes_through(spark, nothing, tmp_path):
+    nothing.write.parquet(str(tmp_path / "documents.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_extra_columns_stay(spark, clashing, tmp_path):
+    docs = clashing
+    for name in ("language_id", "near_duplicates", "personal_data"):
+        docs = stage(spark, name, docs, tmp_path)
+        assert docs.columns == clashing.columns
