@@ -5,11 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# The eight report columns of a flat comment row.
-REPORT_COLUMNS = ["id", "created_time", "message", "total_count", "comment_id",
-                  "comment_created_time", "comment_message", "comment_likes"]
-
-
 def flatten_posts(posts: DataFrame, outer: bool = False) -> DataFrame:
     """One row per comment with the post columns repeated.
 
@@ -25,7 +20,3 @@ def flatten_posts(posts: DataFrame, outer: bool = False) -> DataFrame:
                     F.col("c.created_time").alias("comment_created_time"),
                     F.col("c.message").alias("comment_message"),
                     F.col("c.like_count").alias("comment_likes")))
-
-
-def report_columns(flat: DataFrame) -> DataFrame:
-    return flat.select(*REPORT_COLUMNS)

@@ -5,9 +5,9 @@ Two strategies compute the same score:
 * ``lexicon_scorer`` (default): the lexicon is a bounded, fixed table, so it is
   embedded once in the plan as two literal maps and every row is scored where
   it lies -- no explode, no shuffle, no join back to the rows.
-* ``score_with_lexicon_table``: for a user lexicon too large to embed. Words are
-  exploded, joined to the lexicon (broadcast only below a checked row count,
-  otherwise a shuffle join), partially aggregated per row key and joined back.
+* ``score_with_lexicon_table``: for a user's lexicon held in a table of any size. Words are
+  exploded, joined to the lexicon (a plain join, so that Spark broadcasts a small one by its
+  own size limit and splits hot words otherwise), pre-aggregated per row key and joined back.
 
 Score of a text = sum of the (possibly modified) polarities of its matched
 words / (1000 * number of matched words); 0.0 when no word matches; NULL text
@@ -26,16 +26,9 @@ from pyspark.sql import types as T
 
 from feedlens.functions import lexicon as lx
 from feedlens.functions.text import with_previous, words
-from feedlens.session import spread_if_narrow
 
 Scorer = Callable[[Column], Column]
 
-# Embedding limit for the literal-map strategy (entries). The per-row
-# intersection walks the polar-word array, so larger lexicons use the table join.
-MAX_INLINE_LEXICON = 2_000
-# Row limit under which a lexicon table is broadcast.
-MAX_BROADCAST_LEXICON = 2_000_000
-
 LEXICON_SCHEMA = T.StructType([
     T.StructField("word", T.StringType(), False),
     T.StructField("pol_milli", T.IntegerType(), False),
@@ -73,8 +66,6 @@ class LexiconScorer:
 
     def __init__(self, rows=None):
         rows = rows if rows is not None else lx.seed_lexicon()
-        if len(rows) > MAX_INLINE_LEXICON:
-            raise ValueError(f"lexicon has {len(rows)} entries; use score_with_lexicon_table")
         pol = [(w, int(p)) for w, p, k in rows if k == lx.POL]
         mod = [(w, k) for w, _, k in rows if k != lx.POL]
         self.polar_words = F.array(*[F.lit(w) for w, _ in pol]) if pol else F.array().cast("array<string>")
@@ -134,32 +125,28 @@ def pandas_scorer(fn: Callable[[pd.Series], pd.Series]) -> Scorer:
 
 def score(df: DataFrame, text_col: str = "comment_message", out: str = "sentiment_score",
           scorer: Scorer | None = None, words_col: str | None = None,
-          spread: bool = True) -> DataFrame:
+          partitions: int | None = None) -> DataFrame:
     """Add ``out`` = score of ``text_col``; default scorer is the seed lexicon.
 
     For a lexicon scorer the text is tokenised once into a column of its own
     (kept under ``words_col`` when given, so callers can reuse the tokens).
-    With ``spread`` an input narrower than the cluster is spread over its
-    cores first (``session.spread_if_narrow``; never fires on large inputs).
+    ``partitions`` deals the rows out anew before scoring, for a caller whose input has fewer
+    partitions than the cluster has cores; by default rows are scored where they lie.
     """
     scorer = scorer or lexicon_scorer()
-    if spread:
-        df = spread_if_narrow(df)
+    if partitions:
+        df = df.repartition(partitions)
     if isinstance(scorer, LexiconScorer):
         return scorer.apply(df, text_col, out, words_col)
     return df.withColumn(out, scorer(F.col(text_col)))
 
 
 def score_with_lexicon_table(df: DataFrame, key_cols: list[str], lexicon: DataFrame,
-                             text_col: str = "comment_message", out: str = "sentiment_score",
-                             broadcast_max_rows: int = MAX_BROADCAST_LEXICON) -> DataFrame:
-    """Join-based scoring for large lexicons. ``key_cols`` must identify a row."""
-    small = lexicon.limit(broadcast_max_rows + 1).count() <= broadcast_max_rows
+                             text_col: str = "comment_message", out: str = "sentiment_score") -> DataFrame:
+    """Join-based scoring with a lexicon table. ``key_cols`` must identify a row."""
     pol = lexicon.filter(F.col("kind") == lx.POL).select(F.col("word").alias("w"), "pol_milli")
     mod = lexicon.filter(F.col("kind") != lx.POL).select(F.col("word").alias("prev"),
                                                          F.col("kind").alias("mod"))
-    if small:
-        pol, mod = F.broadcast(pol), F.broadcast(mod)
     toks = (df.select(*key_cols, words(F.col(text_col)).alias("_ws"))
             .select(*key_cols, F.inline(with_previous(F.col("_ws"))))
             .join(pol, "w").join(mod, "prev", "left")
@@ -169,58 +156,3 @@ def score_with_lexicon_table(df: DataFrame, key_cols: list[str], lexicon: DataFr
             .withColumn(out, F.when(F.col(text_col).isNull(), F.lit(None).cast("double"))
                         .otherwise(_score_from(F.coalesce("_s", F.lit(0)), F.coalesce("_n", F.lit(0)))))
             .drop("_s", "_n"))
-
-
-# Entry limit for shipping a lexicon to the tasks as a broadcast dictionary.
-MAX_BROADCAST_DICT = 5_000_000
-
-
-def score_in_pandas(df: DataFrame, text_col: str, out: str = "sentiment_score",
-                    rows=None, max_entries: int = MAX_BROADCAST_DICT) -> DataFrame:
-    """Row-local scoring for a lexicon too large to embed in the plan.
-
-    The lexicon goes to the tasks once as a broadcast dictionary (size
-    checked), and Arrow batches are scored in place by ``mapInPandas``: no
-    shuffle and no join back to the rows, unlike ``score_with_lexicon_table``.
-    The same rule as the JVM scorer, in a few lines of Python per text.
-    """
-    rows = rows if rows is not None else lx.seed_lexicon()
-    if len(rows) > max_entries:
-        raise ValueError(f"lexicon has {len(rows)} entries; use score_with_lexicon_table")
-    pol = {w: int(p) for w, p, k in rows if k == lx.POL}
-    mod = {w: k for w, _, k in rows if k != lx.POL}
-    shared = df.sparkSession.sparkContext.broadcast((pol, mod))
-    schema = T.StructType(df.schema.fields + [T.StructField(out, T.DoubleType())])
-
-    def score_batches(batches):
-        try:
-            import regex as re_mod
-            token = re_mod.compile(r"\p{L}+")
-        except ImportError:  # letters only: word characters minus digits and '_'
-            import re as re_mod
-            token = re_mod.compile(r"[^\W\d_]+")
-        pol_d, mod_d = shared.value
-
-        def one(text):
-            if text is None:
-                return None
-            ws = token.findall(text.lower())
-            total = n = 0
-            for i, w in enumerate(ws):
-                p = pol_d.get(w)
-                if p is None:
-                    continue
-                m = mod_d.get(ws[i - 1]) if i else None
-                if m == lx.NEG:
-                    p = -(p // 2)
-                elif m == lx.BOOST:
-                    p = max(-1000, min(1000, p + p // 2))
-                total += p
-                n += 1
-            return 0.0 if n == 0 else total / (1000.0 * n)
-
-        for pdf in batches:
-            pdf[out] = [one(t) for t in pdf[text_col]]
-            yield pdf
-
-    return df.mapInPandas(score_batches, schema)

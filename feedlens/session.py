@@ -39,13 +39,15 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide shared folder named by ``spark.checkpoint.dir``.
 
-    Only when the session names none (local tests) do we fall back to a folder
-    under the system temp dir, and register it as the checkpoint dir.
+    Only a local session may name none: it gets a folder under the system temp dir. On a
+    cluster such a folder would be each machine's own, so there the setting is required.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = os.path.join(os.environ.get("TMPDIR", "/tmp"), "feedlens-checkpoints")
         spark.conf.set("spark.checkpoint.dir", d)
     return d.rstrip("/")
@@ -70,37 +72,3 @@ def materialize(df):
     For control-plane frames that a plan reads several times."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def spread_if_narrow(df, min_partitions: int | None = None):
-    """Round-robin ``df`` over the cluster's cores when it arrives in fewer
-    partitions than there are cores, before CPU-heavy row-local work.
-
-    Small inputs (e.g. a file with one parquet row group) are otherwise
-    scored by a single task. On large inputs this is a no-op: a scan of many
-    row groups already has more partitions than the cluster has cores, so no
-    shuffle is added. Retries stay deterministic (Spark sorts before a
-    round-robin repartition).
-    """
-    if df.isStreaming:  # a micro-batch is planned per trigger; leave it alone
-        return df
-    if "Exchange" in _plan_text(df):
-        # already shuffled, so spread over the shuffle partitions; asking an
-        # adaptive plan for its partition count would run its shuffle stages
-        return df
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        narrow = df.rdd.getNumPartitions() < target
-    except Exception:  # noqa: BLE001 - no SparkContext here (e.g. a Connect session): leave it
-        return df
-    return df.repartition(target) if narrow else df
-
-
-def _plan_text(df) -> str:
-    """Physical plan text, as ``explain`` prints it (planning only, no job)."""
-    import contextlib
-    import io
-    buf = io.StringIO()
-    with contextlib.redirect_stdout(buf):
-        df.explain()
-    return buf.getvalue()

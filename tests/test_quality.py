@@ -97,18 +97,6 @@ def test_incremental_error_table(spark, tmp_path):
     assert [f for f in os.listdir(os.path.join(path, "file_date=2024-03-27")) if f.endswith(".parquet")] == day2
 
 
-def test_snapshot_versions(spark, tmp_path):
-    from feedlens.sinks import tables as sinks
-    base = str(tmp_path / "snap")
-    assert sinks.read_snapshot(spark, base) is None
-    v1 = spark.createDataFrame([(1, "m1")], "id long, error_message string")
-    sinks.write_snapshot(spark, v1, base)
-    prev = sinks.read_snapshot(spark, base)
-    # a table rewritten from its own previous version
-    sinks.write_snapshot(spark, upsert.upsert_errors(prev, v1.withColumn("error_message", F.lit("m2"))), base)
-    assert sinks.read_snapshot(spark, base).collect()[0]["error_message"] == "m1 | m2"
-
-
 def test_data_type_rule_parameters(spark):
     df = spark.createDataFrame([(1, "2024-03-26"), (2, "26/03/2024"), (3, None)], "id long, d string")
     rule = Rule(1, "d", "data_type_validation", "STRING", '{"type": "date"}')

@@ -68,12 +68,17 @@ def test_strategies_agree_on_documents(spark):
     assert j.count() == docs.count() and bad.count() == 0
 
 
-def test_table_strategy_without_broadcast(spark):
+def test_table_strategy_by_shuffle(spark):
     docs = tb.table(spark, SF_SMALL, "documents").select("doc_id", "text")
     lex = sentiment.lexicon_frame(spark)
-    a = sentiment.score(docs, "text", "a")
-    c = sentiment.score_with_lexicon_table(docs, ["doc_id"], lex, "text", "c", broadcast_max_rows=1)
-    assert a.join(c, "doc_id").filter(~F.col("a").eqNullSafe(F.col("c"))).count() == 0
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        a = sentiment.score(docs, "text", "a")
+        c = sentiment.score_with_lexicon_table(docs, ["doc_id"], lex, "text", "c")
+        assert a.join(c, "doc_id").filter(~F.col("a").eqNullSafe(F.col("c"))).count() == 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
 def test_pandas_scorer_hook(spark):
@@ -112,29 +117,15 @@ def test_scoring_a_stream(spark, tmp_path):
     assert all(got[i] == brute(t) for i, t in enumerate(TEXTS))
 
 
-def test_spread_only_when_narrow(spark):
-    from feedlens.session import spread_if_narrow
-    narrow = spark.range(10).coalesce(1)
-    wide = spark.range(100).repartition(64)
-    assert spread_if_narrow(narrow, 8).rdd.getNumPartitions() == 8
-    assert spread_if_narrow(wide, 8) is wide
-    shuffled = spark.range(100).groupBy((F.col("id") % 3).alias("k")).count().coalesce(1)
-    assert spread_if_narrow(shuffled, 8) is shuffled  # no probe of an adaptive plan
-
-
-def test_pandas_strategy_agrees(spark):
-    docs = tb.table(spark, SF_SMALL, "documents").select("doc_id", "text")
-    a = sentiment.score(docs, "text", "a")
-    p = sentiment.score_in_pandas(docs, "text", "p")
-    j = a.join(p.select("doc_id", "p"), "doc_id")
-    assert j.count() == docs.count() and j.filter(~F.col("a").eqNullSafe(F.col("p"))).count() == 0
-    got = {r["k"]: r["s"] for r in sentiment.score_in_pandas(_df(spark), "text", "s").collect()}
-    assert all(got[i] == brute(t) for i, t in enumerate(TEXTS))
+def test_partitions_are_the_callers_choice(spark):
+    narrow = _df(spark).coalesce(1)
+    assert sentiment.score(narrow, "text", "s").rdd.getNumPartitions() == 1
+    assert sentiment.score(narrow, "text", "s", partitions=3).rdd.getNumPartitions() == 3
 
 
 def test_pandas_scorer_runs_once_under_a_filter(spark):
     scorer = sentiment.pandas_scorer(lambda s: s.map(brute))
-    df = sentiment.score(_df(spark), "text", "s", scorer=scorer, spread=False).filter(F.col("s") > 0)
+    df = sentiment.score(_df(spark), "text", "s", scorer=scorer).filter(F.col("s") > 0)
     plan = plan_text(df, "simple")
     assert plan.count("ArrowEvalPython") == 1
     assert sorted(r["k"] for r in df.collect()) == sorted(i for i, t in enumerate(TEXTS) if (brute(t) or 0) > 0)
