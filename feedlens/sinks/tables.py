@@ -1,24 +1,31 @@
-"""Table sinks (K1-K6): partitioned, replay-safe writes and snapshot tables.
+"""Table sinks (K1-K6): partitioned, replay-safe writes.
 
 Replays are made harmless by dynamic partition overwrite: rewriting a batch
 replaces exactly the partitions it touches (bronze by file, gold by date),
-instead of appending duplicates.
+instead of appending duplicates. Rows are rebalanced by the partition columns
+before a write, so a partition gets files by its size, not one from each task; Spark splits
+a large partition over several tasks.
 """
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+#: A quote inside a value is doubled and line breaks may stand in quotes, so JSON text survives.
+CSV_OPTIONS = {"header": "true", "escape": '"', "multiLine": "true"}
 BRONZE_PARTITIONS = ["year", "month", "day", "filename"]
 
 
+def clustered(df: DataFrame, by: list[str]) -> DataFrame:
+    return df.hint("rebalance", *by)
+
+
 def write_partitions(df: DataFrame, path: str, partition_by: list[str], fmt: str = "parquet",
                      options: dict | None = None) -> None:
     """Dynamic partition overwrite: only partitions present in ``df`` are replaced."""
-    (df.write.format(fmt).mode("overwrite")
+    (clustered(df, partition_by).write.format(fmt).mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .options(**(options or {}))
      .partitionBy(*partition_by).save(path))
@@ -26,8 +33,10 @@ def write_partitions(df: DataFrame, path: str, partition_by: list[str], fmt: str
 
 def write_bronze(batch: DataFrame, path: str, fmt: str = "json") -> None:
     """(K1) one write per micro-batch, laid out year/month/day/filename."""
-    opts = {"header": "true"} if fmt == "csv" else {}
-    write_partitions(batch, path, BRONZE_PARTITIONS, fmt, opts)
+    if fmt == "csv":  # csv holds no nested values
+        batch = batch.select(*[F.to_json(f.name).alias(f.name) if isinstance(f.dataType, (T.StructType, T.ArrayType))
+                               else F.col(f.name) for f in batch.schema.fields])
+    write_partitions(batch, path, BRONZE_PARTITIONS, fmt, CSV_OPTIONS if fmt == "csv" else None)
 
 
 def append(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None) -> None:
@@ -43,7 +52,7 @@ def write_gold(df: DataFrame, path: str, partition_col: str = "comment_date",
     """(K4) gold table partitioned by date. Full replace by default; with
     ``only_present`` just the dates in ``df`` are rewritten. Rows are
     clustered by the partition column first so each date gets few files."""
-    w = (df.repartition(partition_col).write.format("parquet").mode("overwrite")
+    w = (clustered(df, [partition_col]).write.format("parquet").mode("overwrite")
          .partitionBy(partition_col))
     if only_present:
         w = w.option("partitionOverwriteMode", "dynamic")
@@ -52,60 +61,15 @@ def write_gold(df: DataFrame, path: str, partition_col: str = "comment_date",
     w.save(path)
 
 
-# ---- snapshot tables (upsert without MERGE) ---------------------------------------
-def write_snapshot(spark: SparkSession, df: DataFrame, base: str) -> str:
-    """Write ``df`` as a new immutable version under ``base`` and register it
-    in ``base/_versions`` only after the data write finished. Readers use the
-    newest registered version, so a half-written version is never read and a
-    table can be rewritten from its own previous version."""
-    version = f"v{uuid.uuid4().hex}"
-    path = f"{base}/{version}"
-    df.write.format("parquet").mode("error").save(path)
-    entry = spark.range(1).select(F.lit(path).alias("path"),
-                                  F.unix_micros(F.current_timestamp()).alias("committed_at"))
-    entry.write.format("parquet").mode("append").save(f"{base}/_versions")
-    return path
-
-
-def latest_snapshot_path(spark: SparkSession, base: str) -> str | None:
-    """Path of the newest committed version (one-row lookup on a tiny table)."""
-    try:
-        versions = spark.read.parquet(f"{base}/_versions")
-    except Exception:  # noqa: BLE001 - no version written yet
-        return None
-    row = versions.orderBy(F.col("committed_at").desc()).select("path").limit(1).collect()
-    return row[0]["path"] if row else None
-
-
-def read_snapshot(spark: SparkSession, base: str, schema=None) -> DataFrame | None:
-    path = latest_snapshot_path(spark, base)
-    if path is None:
-        return None
-    r = spark.read
-    if schema is not None:
-        r = r.schema(schema)
-    return r.parquet(path)
-
-
-# ---- landing files written by executors ---------------------------------------------
-def write_named_files(df: DataFrame, directory: str, name_col: str = "file_name",
-                      body_col: str = "body") -> None:
-    """Write each row's ``body`` to ``directory/<name>`` from the executors.
-
-    Used where a file must carry an exact name (landing files follow a
-    registered pattern). Each task writes its own rows through the Arrow
-    filesystem layer (local, HDFS, S3, GCS), so nothing passes the driver;
-    rewriting a name with the same body on a retry is harmless.
+LANDING_FILE = "landing_file"
+
+
+def write_landing(lines: DataFrame, landing: str, by: tuple[str, ...] = (LANDING_FILE,)) -> None:
+    """(K6) Rows (``line``, partition columns) as text below ``<landing>/.../landing_file=<name>/``.
+
+    A landing file of any size is one folder that carries its name, written in parts by
+    the tasks that hold its rows; each part appears whole. Rewriting the same folders
+    replaces them. Line breaks inside a line (white space in JSON) become spaces.
     """
-    uri = "file://" + directory[len("file:"):] if directory.startswith("file:/") \
-        and not directory.startswith("file://") else directory
-
-    def write_partition(rows):
-        from pyarrow import fs as pafs
-        filesystem, root = pafs.FileSystem.from_uri(uri)
-        filesystem.create_dir(root, recursive=True)
-        for row in rows:
-            with filesystem.open_output_stream(f"{root}/{row[name_col]}") as out:
-                out.write(row[body_col].encode("utf-8"))
-
-    df.select(name_col, body_col).foreachPartition(write_partition)
+    flat = lines.withColumn("line", F.regexp_replace("line", "[\\r\\n]+", " "))
+    write_partitions(flat.select("line", *by), landing, list(by), "text")

@@ -35,6 +35,16 @@ def read_control(spark: SparkSession, root: str, name: str, fmt: str = "parquet"
     return spark.read.format(fmt).schema(CONTROL_SCHEMAS[name]).load(f"{root.rstrip('/')}/{name}")
 
 
+# Batches a day in the derived audit trails, hours apart.
+BATCHES_A_DAY, HOURS_APART = 3, 8
+
+
+def batch_ts(date: Column, key: Column) -> Column:
+    """The batch of a row: its day, at one of the day's batch hours."""
+    hour = F.lpad((key % BATCHES_A_DAY * HOURS_APART).cast("string"), 2, "0")
+    return F.concat(F.date_format(date, "yyyy-MM-dd "), hour, F.lit(":00:00")).cast("timestamp")
+
+
 # Audit status by (o_orderstatus, o_orderpriority).
 def audit_status(status: Column, priority: Column) -> Column:
     return (F.when(status == "F", F.lit("Validated"))
@@ -65,7 +75,7 @@ def audit_from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select(
         (F.col("o_custkey") % N_DATASETS).cast("int").alias("dataset_id"),
         F.to_date("o_orderdate").alias("business_date"),
-        F.lit(None).cast("timestamp").alias("batch_ts"),
+        batch_ts(F.col("o_orderdate"), F.col("o_orderkey")).alias("batch_ts"),
         F.col("o_orderkey").alias("seq"),
         status.alias("status"),
         F.when(status.contains("Failed"),
@@ -138,9 +148,10 @@ def aggregations(spark: SparkSession) -> DataFrame:
 def rule_audit_from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     return o.select(
-        ((F.col("o_custkey") % N_DATASETS) * 10 + F.col("o_orderkey") % 3 + 1).cast("long")
+        ((F.col("o_custkey") % N_DATASETS) * 10 + F.col("o_custkey") % 3 + 1).cast("long")
          .alias("dataset_column_validation_id"),
         F.to_date("o_orderdate").alias("business_date"),
+        batch_ts(F.col("o_orderdate"), F.col("o_orderkey")).alias("batch_ts"),
         F.col("o_orderkey").alias("seq"),
         F.when(F.col("o_totalprice") > RULE_FAIL_PRICE, F.lit("Failed"))
          .otherwise(F.lit("Validation Passed")).alias("status"),
@@ -148,9 +159,11 @@ def rule_audit_from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dataset_aggregation_from_registry(registry: DataFrame) -> DataFrame:
+    """Every gold dataset has two aggregations; those of one are inactive."""
     gold = registry.filter(F.col("layer") == "gold")
+    both = F.array(*[F.lit(a).cast("int") for a, _ in AGGREGATIONS])
     return gold.select(
-        (F.lit(1) + F.col("id") % 2).cast("int").alias("aggregation_id"),
+        F.explode(both).alias("aggregation_id"),
         F.col("id").alias("dataset_id"),
         F.when(F.col("id") == INACTIVE_AGGREGATION_DATASET, F.lit("no")).otherwise(F.lit("yes"))
          .alias("is_active"))

@@ -2,16 +2,34 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedlens.functions import dates
+from feedlens.sinks.tables import CSV_OPTIONS, LANDING_FILE
 
-# File statuses and the quarantine messages ("Filename <name> format mismatch").
+# File statuses and the quarantine messages.
 ACCEPTED, QUARANTINED = "Accepted", "Quarantined"
-NAME_MISMATCH = ("Filename ", " format mismatch")
-NOT_PARSED = ("File ", " is not a JSON array of posts")
+NAME_MISMATCH = "Filename %s format mismatch"
+NOT_PARSED = "File %s holds no post"
+PARTLY_PARSED = "File %s: %d elements are no posts"
+
+
+_FOLDER = rf"(.*/)?{LANDING_FILE}=([^/]+)/([^/]*)$"
+
+
+def landing_path(path) -> Column:
+    """A landing file's path from that of one of its parts: its folder where it is one (``landing_file=<name>``)."""
+    p = F.col(path) if isinstance(path, str) else path
+    return F.when(p.rlike(_FOLDER), F.concat(F.regexp_extract(p, _FOLDER, 1), F.regexp_extract(p, _FOLDER, 2))).otherwise(p)
+
+
+def part_name(path) -> Column:
+    """The part's own name where a landing file is a folder of parts, else NULL."""
+    p = F.col(path) if isinstance(path, str) else path
+    return F.when(p.rlike(_FOLDER), F.regexp_extract(p, _FOLDER, 3))
 
 
 def with_file_columns(df: DataFrame, path_col: str = "source_file",
@@ -28,24 +46,20 @@ def with_file_columns(df: DataFrame, path_col: str = "source_file",
                           & F.col("batch_ts").isNotNull()}))
 
 
-def with_source_file(df: DataFrame) -> DataFrame:
-    """``_metadata.file_path`` of a file-based DataFrame as ``source_file``."""
-    return df.withColumn("source_file", F.col("_metadata.file_path"))
+def _parsed(batch: DataFrame) -> Column:
+    return F.coalesce(F.col("parse_ok"), F.lit(False)) if "parse_ok" in batch.columns else F.lit(True)
 
 
-def _accepted(batch: DataFrame):
-    ok = F.coalesce(F.col("name_ok"), F.lit(False))
-    if "parse_ok" in batch.columns:
-        ok = ok & F.coalesce(F.col("parse_ok"), F.lit(False))
-    return ok
+def _accepted(batch: DataFrame) -> Column:
+    return F.coalesce(F.col("name_ok"), F.lit(False)) & _parsed(batch)
 
 
 def quarantine_split(batch: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(accepted rows, rejected rows) by whole-name match (K5), and, for
-    landing files, by whether the file parsed at all (``parse_ok``).
+    landing files, by whether the element is a post (``parse_ok``).
 
-    Rejected rows keep their file name and carry a NULL stamp; nothing is
-    moved on the driver -- the rejected frame is written to a quarantine table.
+    Rejected rows keep their file name (and raw text, where the batch has it) and carry a NULL stamp;
+    nothing is moved on the driver -- the rejected frame is written to a quarantine table.
     """
     ok = _accepted(batch)
     rejected = (batch.filter(~ok)
@@ -55,24 +69,49 @@ def quarantine_split(batch: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def file_report(batch: DataFrame) -> DataFrame:
-    """One row per file of a batch (X1): status, business date, rows, message."""
+    """One row per file of a batch (X1): status, business date, batch time, rows, message.
+
+    A file of the right name is accepted if it holds a post; the message then says how many
+    of its elements are none.
+    """
     name_ok = F.coalesce(F.col("name_ok"), F.lit(False))
-    parse_ok = (F.coalesce(F.col("parse_ok"), F.lit(False)) if "parse_ok" in batch.columns
-                else F.lit(True))
     g = (batch.groupBy("source_file", "filename", "file_date", name_ok.alias("_name_ok"))
-         .agg(F.count("*").alias("n_rows"), F.min("batch_ts").alias("batch_ts"),
-              F.bool_and(parse_ok).alias("_parse_ok")))
-    ok = F.col("_name_ok") & F.col("_parse_ok")
-    message = (F.when(~F.col("_name_ok"), F.concat(F.lit(NAME_MISMATCH[0]), F.col("filename"),
-                                                    F.lit(NAME_MISMATCH[1])))
-               .when(~F.col("_parse_ok"), F.concat(F.lit(NOT_PARSED[0]), F.col("filename"),
-                                                    F.lit(NOT_PARSED[1]))))
+         .agg(F.count("*").alias("n_rows"), F.min("batch_ts").alias("_ts"),
+              F.count_if(~_parsed(batch)).alias("_bad")))
+    ok = F.col("_name_ok") & (F.col("_bad") < F.col("n_rows"))
+    message = (F.when(~F.col("_name_ok"), F.format_string(NAME_MISMATCH, "filename"))
+               .when(~ok, F.format_string(NOT_PARSED, "filename"))
+               .when(F.col("_bad") > 0, F.format_string(PARTLY_PARSED, "filename", "_bad")))
     return g.select("source_file", "filename",
                     F.when(ok, ACCEPTED).otherwise(QUARANTINED).alias("status"),
-                    F.when(ok, F.to_date("batch_ts")).alias("business_date"),
+                    F.when(ok, F.to_date("_ts")).alias("business_date"),
+                    F.when(ok, F.col("_ts")).alias("batch_ts"),
                     "n_rows", message.alias("error_message"))
 
 
+def read_if_exists(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
+    """A parquet table at ``path``, or None where nothing has been written yet; any other failure is raised."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
+def same_partitions(stored: DataFrame, batch: DataFrame, column: str) -> DataFrame:
+    """The stored rows of the partition values that occur in ``batch``, NULL included.
+
+    The values stay on the executors: an equality semi join, by which Spark prunes the partitions
+    read, and for NULL a filter on that one partition.
+    """
+    values = batch.select(column).distinct()
+    nulls = values.filter(F.col(column).isNull()).limit(1).select(F.lit(1).alias("_one"))
+    of_null = stored.filter(F.col(column).isNull()).withColumn("_one", F.lit(1)).join(nulls, "_one", "left_semi").drop("_one")
+    return stored.join(values.filter(F.col(column).isNotNull()), column, "left_semi").select(stored.columns).unionByName(
+        of_null.select(stored.columns))
+
+
 def read_batch(spark: SparkSession, fmt: str, path: str, schema: T.StructType | None = None,
                options: dict | None = None) -> DataFrame:
     """Format dispatch from a registry row (S5-S7). Partition columns in the
@@ -80,7 +119,7 @@ def read_batch(spark: SparkSession, fmt: str, path: str, schema: T.StructType |
     if fmt not in ("json", "csv", "parquet", "text"):
         raise ValueError(f"unsupported format {fmt!r}")
     reader = spark.read.format(fmt)
-    opts = {"header": "true"} if fmt == "csv" else {}
+    opts = dict(CSV_OPTIONS) if fmt == "csv" else {}
     opts.update(options or {})
     reader = reader.options(**opts)
     if schema is not None:

@@ -1,70 +1,62 @@
 """Landing files and message feeds derived from the given tables.
 
-They follow the registered name pattern (one file per post day, as the
-post generator writes them) and carry the edge cases the ingest path must
-handle: names that do not match, files in the array-of-arrays shape and posts
-with an unknown top-level key.
+They follow the registered name pattern (one landing file for each post hour, in parts of any number)
+and carry the edge cases that the ingest path must handle: names that do not match, the three
+shapes of a line, posts with unknown and mistyped values, and lines that hold no post.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedlens import schemas
 from feedlens.functions.dates import utc_date
-from feedlens.sinks.tables import write_named_files
-from feedlens.sources.tables import nested_feed
+from feedlens.sinks.tables import LANDING_FILE, write_landing as write_lines
+from feedlens.sources.tables import TOPIC, nested_feed
 
 # Which post days / posts carry the edge cases.
 BAD_NAME_DAY = 5
-NESTED_SHAPE_DAY = 15
-EXTRA_KEY_EVERY = 50
-MAX_POSTS_PER_FILE = 2000
+SHAPES = 3  # by post number: an array of one post, an array of arrays, a bare post
+EXTRA_KEY_EVERY, MISTYPED_EVERY, CUT_OFF_EVERY, SCALAR_EVERY = 50, 70, 60, 90
 
 
-def landing_files(spark: SparkSession, sf_dir: str,
-                  nested_shape_day: int | None = NESTED_SHAPE_DAY) -> DataFrame:
-    """(file_name, body, n_posts): JSON-array files per post day.
-
-    A file holds about MAX_POSTS_PER_FILE posts at most: a day with more
-    posts is split (by hash) into several files stamped at successive seconds
-    of that day, so no file is built from an unbounded group.
-    """
-    posts = nested_feed(spark, sf_dir)
-    day = utc_date("created_time")  # the post's UTC day, whatever the session time zone
+def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(n, day, hour, post): every post as JSON text, some with an unknown or a mistyped value."""
     post_json = F.to_json(F.struct(*[F.col(c) for c in schemas.POST_FIELDS]))
-    post_no = F.substring("id", 2, 20).cast("long")  # ids are p<post> / a<customer>
-    post_json = F.when(post_no % EXTRA_KEY_EVERY == 0,
-                       F.regexp_replace(post_json, "}$", ',"channel":"web"}')).otherwise(post_json)
-    per_post = posts.select(day.alias("day"), F.xxhash64("id").alias("_h"), post_json.alias("post"))
-    per_day = (per_post.groupBy("day").count()
-               .select("day", F.ceil(F.col("count") / MAX_POSTS_PER_FILE).cast("long").alias("_chunks")))
-    chunk = F.pmod(F.col("_h"), F.col("_chunks"))  # file k of the day is stamped k seconds after 00:00
-    hms = F.concat_ws("-", *[F.lpad(x.cast("string"), 2, "0")
-                             for x in (F.floor(chunk / 3600), F.floor(chunk / 60) % 60, chunk % 60)])
-    name = F.concat(F.lit("post_detail_"), F.date_format("day", "yyyy-MM-dd"), F.lit("_"), hms,
-                    F.when(F.dayofmonth("day") == BAD_NAME_DAY, F.lit(".json.bak")).otherwise(F.lit(".json")))
-    files = (per_post.join(per_day, "day")
-             .select(name.alias("file_name"), F.dayofmonth("day").alias("_dom"), "post")
-             .groupBy("file_name", "_dom")
-             .agg(F.concat(F.lit("["), F.array_join(F.collect_list("post"), ","), F.lit("]")).alias("body"),
-                  F.count("*").alias("n_posts")))
-    body = F.when(F.col("_dom") == F.lit(nested_shape_day),
-                  F.concat(F.lit("["), F.col("body"), F.lit("]"))).otherwise(F.col("body"))
-    return files.select("file_name", body.alias("body"), "n_posts")
+    n = F.substring("id", 2, 20).cast("long")  # ids are p<post> / a<customer>
+    hour = F.substring("created_time", 12, 2)
+    text = F.when(n % EXTRA_KEY_EVERY == 0, F.regexp_replace(post_json, "}$", ',"channel":"web"}')).otherwise(post_json)
+    text = F.when(n % MISTYPED_EVERY == 0, F.regexp_replace(
+        text, '"total_count":([0-9]+)', '"total_count":"many"')).otherwise(text)
+    return nested_feed(spark, sf_dir).select("id", n.alias("n"), utc_date("created_time").alias("day"), hour.alias("hour"),
+                                             text.alias("post"))
+
+
+def landing_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(landing_file, line): the posts' lines, and after some a line that is cut off or a bare scalar."""
+    n, post = F.col("n"), F.col("post")
+    line = (F.when(n % SHAPES == 0, F.concat(F.lit("["), post, F.lit("]")))
+            .when(n % SHAPES == 1, F.concat(F.lit("[["), post, F.lit("]]"))).otherwise(post))
+    junk = [F.when(n % CUT_OFF_EVERY == 0, F.concat(F.lit('[{"id": "'), F.col("id"), F.lit('", "message": "cut off'))),
+            F.when(n % SCALAR_EVERY == 0, F.concat(F.lit("["), n.cast("string"), F.lit(', "abc"]')))]
+    name = F.concat(F.lit("post_detail_"), F.date_format("day", "yyyy-MM-dd"), F.lit("_"), F.col("hour"), F.lit("-00-00.json"),
+                    F.when(F.dayofmonth("day") == BAD_NAME_DAY, F.lit(".bak")).otherwise(F.lit("")))
+    lines: Column = F.filter(F.array(line, *junk), lambda x: x.isNotNull())
+    return posts(spark, sf_dir).select(name.alias(LANDING_FILE), F.explode(lines).alias("line"))
 
 
 def write_landing(spark: SparkSession, sf_dir: str, landing: str) -> None:
-    write_named_files(landing_files(spark, sf_dir), landing)
-
-
-def message_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Kafka-shaped records: one message per landing file (as a producer sends)."""
-    lf = landing_files(spark, sf_dir, nested_shape_day=None).filter(~F.col("file_name").endswith(".bak"))
-    return lf.select(F.lit("host-1").cast("binary").alias("key"),
-                     F.col("body").cast("binary").alias("value"),
-                     F.lit("social_media_data").alias("topic"),
-                     (F.abs(F.xxhash64("file_name")) % 4).cast("int").alias("partition"),
-                     F.abs(F.xxhash64("file_name")).alias("offset"),
-                     F.current_timestamp().alias("timestamp"))
+    write_lines(landing_lines(spark, sf_dir), landing)
+
+
+def message_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kafka-shaped records of the posts of all days: one message a post, its value an array of one."""
+    announced = F.col("id").startswith("a").cast("int")
+    return posts(spark, sf_dir).select(
+        F.lit("host-1").cast("binary").alias("key"),
+        F.concat(F.lit("["), F.col("post"), F.lit("]")).cast("binary").alias("value"),
+        F.lit(TOPIC).alias("topic"),
+        (F.col("n") % 4 + 4 * announced).cast("int").alias("partition"),
+        F.floor(F.col("n") / 4).cast("long").alias("offset"),
+        F.col("day").cast("timestamp").alias("timestamp"))

@@ -8,7 +8,9 @@ file-backed feeds used in tests.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,14 +45,58 @@ def encode(records: DataFrame, key_col: str | None, topic: str,
                           F.lit(topic).alias("topic"))
 
 
+_OBJECT = "map<string,variant>"
+
+
+def unmatched(value: Column, parsed: Column, schema: T.StructType) -> Column:
+    """What of a JSON value (VARIANT) isn't in its parsed struct, as map<string,variant>: unknown keys,
+    values of another type than the schema's, and the same of nested objects and arrays of objects
+    (there NULL stands for elements that match). NULL where the value is no object."""
+    return _bound(F.try_variant_get(value, "$", _OBJECT), lambda entries: _unmatched_entries(entries, parsed, schema))
+
+
+def _bound(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _unmatched_entries(entries: Column, parsed: Column, schema: T.StructType) -> Column:
+    none = F.expr(f"cast(map() as {_OBJECT})")
+    parts = [F.map_filter(entries, lambda k, _: ~k.isin([f.name for f in schema.fields]))]
+    for f in schema.fields:
+        parts.append(F.coalesce(_bound(F.try_element_at(entries, F.lit(f.name)), _unmatched_field(f.name, parsed.getField(f.name), f.dataType)), none))
+    return F.when(entries.isNotNull(), F.map_concat(*parts))
+
+
+def _unmatched_field(name: str, got: Column, kind: T.DataType) -> Callable[[Column], Column]:
+    return lambda v: F.when(v.isNotNull() & ~F.is_variant_null(v), _unmatched_value(name, got, kind, v))
+
+
+def _unmatched_value(name: str, got: Column, kind: T.DataType, v: Column) -> Column:
+    def entry(x: Column) -> Column:
+        return F.create_map(F.lit(name), x)
+
+    if isinstance(kind, T.StructType):
+        return _bound(unmatched(v, got, kind), lambda m: F.when(m.isNull(), entry(v)).when(
+            F.size(m) > 0, entry(F.to_variant_object(m))))
+    if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StructType):
+        def element(x: Column, i: Column) -> Column:
+            return _bound(unmatched(x, F.get(got, i), kind.elementType), lambda m: F.when(
+                m.isNull() & ~F.is_variant_null(x), x).when(F.size(m) > 0, F.to_variant_object(m)))
+
+        def elements(a: Column) -> Column:
+            return F.when(a.isNull(), entry(v)).when(F.exists(a, lambda x: x.isNotNull()), entry(F.to_variant_object(a)))
+
+        return _bound(F.transform(F.try_variant_get(v, "$", "array<variant>"), element), elements)
+    return F.when(got.isNull(), entry(v))
+
+
 def rescue(raw: DataFrame, raw_col: str, schema: T.StructType,
            rescued_col: str = "_rescued") -> DataFrame:
-    """Parse ``raw_col`` with ``schema`` and keep the names of unknown
-    top-level keys (sorted, comma-separated) instead of failing."""
-    known = F.array(*[F.lit(f.name) for f in schema.fields])
-    keys = F.json_object_keys(F.col(raw_col))
-    unknown = F.array_sort(F.array_except(keys, known))
-    return raw.withColumns({
-        "_p": F.from_json(F.col(raw_col), schema),
-        rescued_col: F.when(F.size(unknown) > 0, F.array_join(unknown, ",")),
-    }).select("*", *[F.col(f"_p.{f.name}").alias(f.name) for f in schema.fields]).drop("_p")
+    """Parse ``raw_col`` with ``schema``; what doesn't fit it is kept with its values, as a JSON object
+    in ``rescued_col`` (NULL if all fits), instead of failing."""
+    out = raw.withColumn("_p", F.from_json(F.col(raw_col), schema))
+    rest = _bound(unmatched(F.try_parse_json(raw_col), F.col("_p"), schema),
+                  lambda m: F.when(F.size(m) > 0, F.to_json(F.to_variant_object(m))))
+    return (out.withColumn(rescued_col, rest)
+            .select("*", *[F.col(f"_p.{f.name}").alias(f.name) for f in schema.fields]).drop("_p"))

@@ -27,22 +27,25 @@ from feedlens.functions.dates import iso_text
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
-# Message pool of the derived comment feed (index = event_id % 12).
+# Message pool of the derived comment feed (index = event_id % 12): remarks on a night train.
 MESSAGE_POOL = [
-    "I love this collection, the quality is great!",
-    "Not happy with the fabric. Very disappointing.",
-    "Looks okay in the store, nothing special.",
-    "Super comfortable and stylish, best purchase this year",
-    "Too expensive for what it is, not worth it",
+    "A wonderful journey, the bunk was great and the crew helpful!",
+    "We did not enjoy the ride; the heating was awful all night.",
+    "Carriage seven, upper berth, window on the left.",
+    "Excellent breakfast and a beautiful view over the lake",
+    "Terrible noise near the buffet car, a waste of money",
     None,
-    "The sizes are wrong again, terrible service",
-    "Really nice colours and a perfect fit",
+    "The booking desk made a bad mistake with our tickets",
+    "Very friendly conductor, I love travelling this way",
     "",
-    "Meh. Some designs are cool, some are bad.",
-    "Never disappoints! Amazing and beautiful pieces.",
-    "Why do they always run out of stock so fast?",
+    "Hmm. Good pillows, poor lighting, otherwise fine.",
+    "Arrived early: amazing! The staff were perfect hosts.",
+    "Is there a place for bicycles on the evening service?",
 ]
 
+# Name of the derived message feed's topic.
+TOPIC = "post_feed"
+
 # SKU per event type in the usage feed.
 SKU_BY_EVENT = {
     "view": "STANDARD_ALL_PURPOSE_COMPUTE",
@@ -206,7 +209,7 @@ def message_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("host-"), F.col("user_id").cast("string")))
     value = F.when(F.col("event_id") % BAD_VALUE_EVERY == 0, F.lit("not json {")).otherwise(F.col("props"))
     return ev.select(key.cast("binary").alias("key"), value.cast("binary").alias("value"),
-                     F.lit("social_media_data").alias("topic"),
+                     F.lit(TOPIC).alias("topic"),
                      (F.col("user_id") % 4).cast("int").alias("partition"),
                      F.col("event_id").alias("offset"),
                      F.col("ts").cast("timestamp").alias("timestamp"))
@@ -221,5 +224,6 @@ def raw_json_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
            .when(F.col("event_type") == "error",
                  F.regexp_replace(props, "}$", F.concat(F.lit(', "code": '), F.col("user_id").cast("string"),
                                                         F.lit(', "extra": null}'))))
+           .when(F.col("event_type") == "signup", F.lit('{"k": "many", "v": [1, {"w": 2.5}]}'))
            .otherwise(props))
     return ev.select("event_id", raw.alias("raw"))

@@ -1,117 +1,40 @@
-"""Bounded drain of a message feed into one landing file per drain.
+"""Bounded drain of a message feed into landing files.
 
 The feed has the Kafka-source record shape. Each micro-batch (bounded by
-``maxFilesPerTrigger`` here, ``maxOffsetsPerTrigger`` on a Kafka source) becomes
-landing files ``post_detail_<drain time>.json`` holding JSON arrays of the
-message values -- the array-of-arrays shape the ingest stream accepts. A
-drain larger than MAX_MESSAGES_PER_FILE is split over several files stamped
-at consecutive seconds. With ``availableNow`` the drain stops once the feed
-is exhausted.
+``maxFilesPerTrigger`` here, ``maxOffsetsPerTrigger`` on a Kafka source) becomes one landing
+file: the folder ``drain=<query id>-<batch id>/landing_file=post_detail_<drain time>.json``, one message
+value a line, written in parts by the tasks that hold them. The query id lives in the checkpoint,
+and the drain time is the micro-batch's own time, which Spark keeps in its offset log: a
+replayed batch overwrites exactly its folder, and a drain under a new checkpoint gets folders
+of its own. With ``availableNow`` the drain stops once the feed is exhausted.
 """
 
 from __future__ import annotations
 
-import time
-from datetime import datetime, timedelta, timezone
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from feedlens import schemas
-from feedlens.sinks.tables import append, write_named_files
-
-
-MAX_MESSAGES_PER_FILE = 1000
-MAX_BYTES_PER_FILE = 8 << 20  # a landing file is parsed whole by one task
-
+from feedlens.functions.dates import STAMP_FORMAT
+from feedlens.sinks.tables import LANDING_FILE, write_landing, write_partitions
+from feedlens.streaming.ingest import stream_key
 
-def _next_stamps(state: dict, n: int) -> list[str]:
-    """``n`` consecutive drain-time stamps (to the second), strictly later than
-    the previous drain's, so no two landing files share a name."""
-    now = datetime.now(timezone.utc).replace(microsecond=0)
-    last = state.get("last")
-    if last is not None and now <= last:
-        time.sleep((last - now).total_seconds() + 1.0)
-        now = last + timedelta(seconds=1)
-    stamps = [now + timedelta(seconds=k) for k in range(n)]
-    state["last"] = stamps[-1]
-    return [t.strftime("%Y-%m-%d_%H-%M-%S") for t in stamps]
+DRAIN, DRAINED_AT = "drain", "_drained_at"
 
 
-def _planned_names(spark, plan_log: str, batch_id: int) -> list[str] | None:
-    """File names recorded for ``batch_id`` by an earlier attempt, if any."""
-    try:
-        rows = (spark.read.parquet(plan_log).filter(F.col("batch_id") == batch_id)
-                .orderBy("chunk").select("file_name").collect())
-    except Exception:  # noqa: BLE001 - no plan written yet
-        return None
-    return [r["file_name"] for r in rows] or None
-
-
-def drain_writer(landing: str, drained_log: str, prefix: str = "post_detail_",
-                 max_messages_per_file: int = MAX_MESSAGES_PER_FILE,
-                 max_bytes_per_file: int = MAX_BYTES_PER_FILE):
-    """foreachBatch callback: the drained messages are spread by hash over
-    max(ceil(messages / max_messages_per_file), ceil(bytes / max_bytes_per_file))
-    landing files (one file when the drain is small), so each file holds about
-    that many messages and bytes, no file is built from an unbounded group, and
-    the ingest that parses each file whole gets bounded, parallel tasks.
-
-    Replay-safe: the file names of a batch are recorded under its batch id
-    (``<drained_log>/plan``) before any file is written, and a replayed batch
-    (same id, same messages) rewrites exactly those names instead of landing
-    the messages a second time under new ones. Per-file counts go to
-    ``<drained_log>/files``.
-    """
-    state: dict = {}
-    plan_log, files_log = f"{drained_log}/plan", f"{drained_log}/files"
-
-    def seed_from_log(spark) -> None:
-        """After a restart, continue after the last stamp already used."""
-        if "last" in state:
-            return
-        try:
-            row = spark.read.parquet(plan_log).agg(F.max("file_name").alias("m")).collect()[0]
-        except Exception:  # noqa: BLE001 - nothing drained yet
-            state["last"] = None
-            return
-        last = row["m"][len(prefix):len(prefix) + 19] if row["m"] else None
-        state["last"] = (datetime.strptime(last, "%Y-%m-%d_%H-%M-%S").replace(tzinfo=timezone.utc)
-                         if last else None)
-
+def drain_writer(landing: str, drained_log: str, key, prefix: str = "post_detail_"):
+    """foreachBatch callback. ``key(spark, batch_id)`` names the micro-batch for good; the batch carries its time
+    in ``DRAINED_AT``. Message counts and offset ranges by source partition go to ``drained_log``."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        seed_from_log(spark)
-        valid = batch.filter(F.col("value").isNotNull()).persist()
+        name = F.concat(F.lit(prefix), F.date_format(DRAINED_AT, STAMP_FORMAT), F.lit(".json"))
+        valid = batch.filter(F.col("value").isNotNull()).withColumns(
+            {DRAIN: F.lit(key(batch.sparkSession, batch_id)), LANDING_FILE: name}).persist()
         try:
-            size = valid.agg(F.count("*").alias("n"),
-                             F.coalesce(F.sum(F.length("value")), F.lit(0)).alias("bytes")).collect()[0]
-            n, nbytes = size["n"], size["bytes"]
-            if n == 0:
-                return
-            names = _planned_names(spark, plan_log, batch_id)
-            if names is None:
-                chunks = max(-(-n // max_messages_per_file), -(-nbytes // max_bytes_per_file))
-                names = [f"{prefix}{s}.json" for s in _next_stamps(state, chunks)]
-                spark.createDataFrame([(batch_id, k, nm) for k, nm in enumerate(names)],
-                                      "batch_id long, chunk int, file_name string") \
-                    .write.mode("append").parquet(plan_log)
-            chunk = F.pmod(F.xxhash64("partition", "offset"), F.lit(len(names)))
-            name_arr = F.array(*[F.lit(nm) for nm in names])
-            files = (valid.groupBy(chunk.alias("_chunk"))
-                     .agg(F.concat(F.lit("["), F.array_join(F.collect_list(F.col("value").cast("string")), ","),
-                                   F.lit("]")).alias("body"),
-                          F.count("*").alias("n_messages"),
-                          F.min("offset").alias("min_offset"), F.max("offset").alias("max_offset"))
-                     .withColumn("file_name", F.element_at(name_arr, (F.col("_chunk") + 1).cast("int")))
-                     .persist())
-            try:
-                write_named_files(files, landing)
-                append(files.select("file_name", "n_messages", "min_offset", "max_offset",
-                                    F.lit(batch_id).alias("batch_id")), files_log)
-            finally:
-                files.unpersist()
+            write_landing(valid.withColumn("line", F.col("value").cast("string")), landing, (DRAIN, LANDING_FILE))
+            counts = valid.groupBy(DRAIN, LANDING_FILE, "topic", "partition").agg(
+                F.count("*").alias("n_messages"), F.min("offset").alias("min_offset"), F.max("offset").alias("max_offset"))
+            write_partitions(counts, drained_log, [DRAIN])
         finally:
             valid.unpersist()
     return write
@@ -145,7 +68,11 @@ def file_feed(spark: SparkSession, feed_path: str, max_files_per_trigger: int =
 
 def drain(feed: DataFrame, landing: str, drained_log: str, checkpoint: str) -> StreamingQuery:
     """Drain any message stream (Kafka or file-backed); stops when nothing is left."""
-    return (feed.writeStream.foreachBatch(drain_writer(landing, drained_log))
+    def key(spark: SparkSession, batch_id: int) -> str:
+        return f"{stream_key(spark, checkpoint)}-{batch_id}"
+
+    return (feed.withColumn(DRAINED_AT, F.current_timestamp())
+            .writeStream.foreachBatch(drain_writer(landing, drained_log, key))
             .option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
 

@@ -1,23 +1,30 @@
 """Landing files -> bronze with Structured Streaming.
 
-Each landing file holds a JSON array of posts, or an array of such arrays
-(a drained topic file). The file is read whole (``wholetext``), its elements
-are kept as raw JSON text, exploded to one row per post and parsed with the
-explicit post schema; unknown top-level keys are kept in ``_rescued`` rather
-than failing the stream.
+A landing file is a file of the registered name, or a folder ``landing_file=<name>`` of
+parts (as a drain writes). Its text is read in one of two layouts:
+
+* ``json``: any JSON text over several lines, read whole: an array of posts, an array of such arrays, a
+  single post, or one post a line. Spark bounds the files of a micro-batch by bytes;
+* ``lines``: one JSON value a line (a post, or an array as above). Nothing larger than a line is held,
+  so files may have any size.
+
+Elements are exploded to one row per post and parsed with the explicit post schema; what doesn't fit it
+(unknown keys at any level, values of another type) is kept in ``_rescued`` as JSON. Elements that
+are no JSON object go to quarantine with their text, and so does a text that can't be read as JSON at all.
 
 Per micro-batch (``foreachBatch``) there is exactly one bronze write (dynamic
 partition overwrite by year/month/day/filename, so a replayed batch rewrites
-the same partitions instead of duplicating them), one quarantine write for
-files whose name does not match, and one audit append per phase.
+the same partitions instead of duplicating them), one quarantine write (by batch and file),
+and one audit append per phase.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from feedlens import schemas
@@ -27,6 +34,9 @@ from feedlens.sources import files
 from feedlens.sources.messages import rescue
 
 NESTED_SHAPE = r"^\s*\[\s*\["
+LAYOUTS = ("json", "lines")
+#: Bytes of landing files in a micro-batch, unless the caller says otherwise.
+MAX_BYTES_PER_TRIGGER = 4 << 30
 
 
 @dataclass
@@ -39,31 +49,55 @@ class IngestPaths:
     archive: str | None = None
 
 
-def parse_landing(raw: DataFrame, pattern: str = dates.POST_FILE_PATTERN) -> DataFrame:
-    """(value, source_file) rows of whole files -> one row per post + file columns."""
-    nested = F.col("value").rlike(NESTED_SHAPE)
-    elems = F.when(nested, F.flatten(F.from_json("value", "array<array<string>>"))) \
-             .otherwise(F.from_json("value", "array<string>"))
-    # a file that is not a JSON array yields one marker row (quarantined below);
-    # an empty array yields no rows
-    elems = F.coalesce(elems, F.array(F.lit(None).cast("string")))
-    posts = raw.select("source_file", F.explode(elems).alias("_raw"))
-    parsed = rescue(posts, "_raw", schemas.POST).withColumn("parse_ok", F.col("_raw").isNotNull())
-    return files.with_file_columns(
-        parsed.select(*schemas.POST_FIELDS, "_rescued", "source_file", "parse_ok"), pattern=pattern)
+def stream_key(spark: SparkSession, checkpoint: str) -> str:
+    """The streaming query's id, which Spark keeps in its checkpoint: the same after a restart, another
+    for a new checkpoint. With a batch id it names a micro-batch for good."""
+    return spark.read.json(f"{checkpoint}/metadata").select("id").first()["id"]
+
+
+def elements(value: Column, layout: str) -> Column:
+    """The raw elements of a landing text; a text that isn't JSON is one element."""
+    array = F.when(value.rlike(NESTED_SHAPE), F.flatten(F.from_json(value, "array<array<string>>"))).otherwise(
+        F.from_json(value, "array<string>"))
+    whole = F.array(value)
+    if layout == "json":  # one object, or one a line
+        by_line = F.filter(F.split(value, "\n"), lambda line: F.trim(line) != "")
+        whole = F.when(value.rlike(r"^\s*\{") & F.json_object_keys(value).isNull(), by_line).otherwise(whole)
+        whole = F.when(value.rlike(r"^\s*\{\s*") & (F.size(by_line) > 1) & F.forall(
+            by_line, lambda line: F.json_object_keys(line).isNotNull()), by_line).otherwise(whole)
+    return F.when(value.rlike(r"^\s*\["), F.coalesce(array, whole)).otherwise(whole)
+
+
+def parse_landing(raw: DataFrame, pattern: str = dates.POST_FILE_PATTERN, layout: str = "json") -> DataFrame:
+    """(value, source_file) rows -> one row per post + file columns; ``_raw`` keeps the text of what is no post."""
+    if layout not in LAYOUTS:
+        raise ValueError(f"layout must be one of {LAYOUTS}")
+    text = raw.filter(F.trim("value") != "") if layout == "lines" else raw
+    named = text.select(files.landing_path("source_file").alias("source_file"),
+                        files.part_name("source_file").alias("part"), "value")
+    posts = named.select("source_file", "part", F.explode(elements(F.col("value"), layout)).alias("_raw"))
+    parsed = rescue(posts, "_raw", schemas.POST).withColumn("parse_ok", F.json_object_keys("_raw").isNotNull())
+    # ``part`` stays apart from the file's name: a micro-batch may hold some parts of a landing file only
+    return files.with_file_columns(parsed.select(
+        *schemas.POST_FIELDS, "_rescued", "source_file", "part", "parse_ok",
+        F.when(~F.col("parse_ok"), F.col("_raw")).alias("_raw")), pattern=pattern)
 
 
 def landing_stream(spark: SparkSession, landing: str, archive: str | None = None,
                    max_files_per_trigger: int | None = None,
-                   pattern: str = dates.POST_FILE_PATTERN) -> DataFrame:
-    reader = spark.readStream.format("text").option("wholetext", "true")
-    if max_files_per_trigger:
+                   pattern: str = dates.POST_FILE_PATTERN, layout: str = "json",
+                   max_bytes_per_trigger: int = MAX_BYTES_PER_TRIGGER) -> DataFrame:
+    reader = (spark.readStream.format("text").option("wholetext", str(layout == "json").lower())
+              .option("recursiveFileLookup", "true"))
+    if max_files_per_trigger:  # Spark takes one of the two bounds
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    else:
+        reader = reader.option("maxBytesPerTrigger", str(max_bytes_per_trigger))
     if archive:
         # a file is archived once the batch after the one that read it commits
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     raw = reader.load(landing).select("value", F.col("_metadata.file_path").alias("source_file"))
-    return parse_landing(raw, pattern)
+    return parse_landing(raw, pattern, layout)
 
 
 def audit_rows(report: DataFrame, dataset_id: int, status_ok: str, phase_rank: int) -> DataFrame:
@@ -71,7 +105,7 @@ def audit_rows(report: DataFrame, dataset_id: int, status_ok: str, phase_rank: i
     return report.select(
         F.lit(dataset_id).cast("int").alias("dataset_id"),
         F.col("business_date"),
-        F.lit(None).cast("timestamp").alias("batch_ts"),
+        F.col("batch_ts"),
         # same clock as the other jobs' audit events, so events of all jobs order
         # by time; the phase orders Started before In-Progress within one append
         (F.unix_micros(F.current_timestamp()) + phase_rank).alias("seq"),
@@ -96,10 +130,13 @@ def bronze_writer(paths: IngestPaths, dataset_id: int, fmt: str = "json"):
             sinks.append(audit_rows(started, dataset_id, "Started", 0).unionByName(
                 audit_rows(started, dataset_id, "In-Progress", 1)), paths.audit)
             accepted, rejected = files.quarantine_split(batch)
-            cols = [c for c in accepted.columns if c not in ("batch_ts", "name_ok", "parse_ok")]
+            name = F.concat_ws("~", "filename", "part").alias("filename")
+            cols = [c for c in accepted.columns if c not in ("batch_ts", "name_ok", "parse_ok", "part", "filename", "_raw")]
+            key = F.lit(f"{stream_key(batch.sparkSession, paths.checkpoint)}-{batch_id}").alias("ingest_batch")
             try:
-                sinks.write_bronze(accepted.select(*cols), paths.bronze, fmt)
-                sinks.write_partitions(rejected.select(*cols), paths.quarantine, ["filename"], "json")
+                sinks.write_bronze(accepted.select(*cols, name), paths.bronze, fmt)
+                sinks.write_partitions(rejected.select(*cols, "_raw", key, name), paths.quarantine,
+                                       ["ingest_batch", "filename"], "json")
                 sinks.append(audit_rows(report, dataset_id, "Success", 2), paths.audit)
             except Exception as e:  # noqa: BLE001 - record, then surface
                 failed = report.withColumn("status", F.lit("Failed")).withColumn(
@@ -115,9 +152,11 @@ def bronze_writer(paths: IngestPaths, dataset_id: int, fmt: str = "json"):
 
 def start_ingest(spark: SparkSession, paths: IngestPaths, dataset_id: int, fmt: str = "json",
                  available_now: bool = True, processing_time: str | None = None,
-                 max_files_per_trigger: int | None = None) -> StreamingQuery:
+                 max_files_per_trigger: int | None = None, pattern: str = dates.POST_FILE_PATTERN,
+                 layout: str = "json", max_bytes_per_trigger: int = MAX_BYTES_PER_TRIGGER) -> StreamingQuery:
     """Start landing -> bronze. ``available_now`` processes what is there and stops."""
-    stream = landing_stream(spark, paths.landing, paths.archive, max_files_per_trigger)
+    stream = landing_stream(spark, paths.landing, paths.archive, max_files_per_trigger, pattern, layout,
+                            max_bytes_per_trigger)
     w = (stream.writeStream.foreachBatch(bronze_writer(paths, dataset_id, fmt))
          .option("checkpointLocation", paths.checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "1 minute")
@@ -125,5 +164,10 @@ def start_ingest(spark: SparkSession, paths: IngestPaths, dataset_id: int, fmt:
 
 
 def read_bronze(spark: SparkSession, bronze: str, fmt: str = "json") -> DataFrame:
-    """Batch read of bronze with its partition columns typed as strings."""
-    return spark.read.format(fmt).schema(schemas.BRONZE).load(bronze)
+    """Batch read of bronze with its partition columns typed as strings (S5); nested columns of a csv bronze are parsed back."""
+    if fmt != "csv":
+        return spark.read.format(fmt).schema(schemas.BRONZE).load(bronze)
+    nested = {f.name: f.dataType for f in schemas.BRONZE.fields if not isinstance(f.dataType, T.StringType)}
+    flat = T.StructType([T.StructField(f.name, T.StringType()) for f in schemas.BRONZE.fields])
+    return spark.read.format("csv").options(**sinks.CSV_OPTIONS).schema(flat).load(bronze).select(
+        *[F.from_json(c, nested[c]).alias(c) if c in nested else F.col(c) for c in flat.names])

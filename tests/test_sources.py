@@ -61,10 +61,49 @@ def test_rescue_unknown_keys(spark):
     out = messages.rescue(raw, "raw", T.StructType([T.StructField("k", T.LongType())])).collect()
     got = {r["raw"]: (r["k"], r["_rescued"]) for r in out}
     assert got['{"k": 1}'] == (1, None)
-    assert got['{"k": 2, "b": 1, "a": {"x": 1}}'] == (2, "a,b")
+    assert got['{"k": 2, "b": 1, "a": {"x": 1}}'] == (2, '{"a":{"x":1},"b":1}')
     assert got["bad"] == (None, None)
 
 
+def test_rescue_keeps_values_nested_and_mistyped(spark):
+    from feedlens import schemas
+    raw = [
+        ('{"id": "a", "message": 5, "likes": {"summary": {"total_count": "many", "x": null}}}', '{"likes":{"summary":{"total_count":"many","x":null}}}'),
+        ('{"id": "b", "comments": {"data": [{"id": "c"}, {"id": "d", "mood": ["up"]}]}}', '{"comments":{"data":[null,{"mood":["up"]}]}}'),
+        # an element of another type costs the parse its whole array, so all of it is kept
+        ('{"id": "e", "comments": {"data": [{"id": "c"}, 7]}}', '{"comments":{"data":[{"id":"c"},7]}}'),
+        ('{"id": "c", "comments": [1], "from": "me"}', '{"comments":[1],"from":"me"}'),
+        ('{"id": "d", "comments": {"data": null}, "likes": null}', None), ('{}', None), ('[1]', None), (None, None)]
+    out = messages.rescue(spark.createDataFrame([(r,) for r, _ in raw], "raw string"), "raw", schemas.POST).collect()
+    assert [(r["raw"], r["_rescued"]) for r in out] == raw
+    assert out[0]["message"] == "5" and out[0]["likes"]["summary"]["total_count"] is None
+
+
+def test_landing_folders_count_as_files(spark):
+    paths = ["file:/l/drain=q-0/landing_file=post_detail_2024-03-26_10-00-00.json/part-0-x.txt", "/l/post_detail_2024-03-26.json"]
+    df = spark.createDataFrame([(p,) for p in paths], "p string").select(
+        files.landing_path("p").alias("source_file"), files.part_name("p").alias("part"))
+    got = files.with_file_columns(df).collect()
+    assert [(r["filename"], r["part"], r["name_ok"]) for r in got] == [
+        ("post_detail_2024-03-26_10-00-00.json", "part-0-x.txt", True), ("post_detail_2024-03-26.json", None, False)]
+
+
+def test_same_partitions_matches_null(spark):
+    stored = spark.createDataFrame([(1, "a"), (2, None), (3, "b")], "n int, d string")
+    pick = lambda values: sorted(r["n"] for r in files.same_partitions(
+        stored, spark.createDataFrame([(v,) for v in values], "d string"), "d").collect())
+    assert pick(["a", None, None]) == [1, 2] and pick(["b", "c"]) == [3] and pick([]) == []
+
+
+def test_only_a_missing_table_counts_as_not_written(spark, tmp_path):
+    import pytest
+    from pyspark.sql import types as T
+    schema = T.StructType([T.StructField("n", T.IntegerType())])
+    assert files.read_if_exists(spark, str(tmp_path / "none"), schema) is None
+    with pytest.raises(Exception):
+        files.read_if_exists(spark, "nosuchscheme://x/y", schema)
+
+
 def test_registry_row_and_table_exists(spark):
     import pytest
     from feedlens import schemas
