@@ -14,6 +14,10 @@ from pyspark.sql import functions as F
 
 from feedlens import schemas
 
+#: A batch of a dataset: feeds arrive several times a day, so the batch time is part of the
+#: key; the business date is its calendar day and comes along.
+BATCH_KEYS = ("dataset_id", "batch_ts", "business_date")
+
 # Status lifecycle -> (phase, terminal?).
 LIFECYCLE = {
     "Started": ("ingest", False),
@@ -42,6 +46,10 @@ def audit_events(spark: SparkSession, rows: list[tuple]) -> DataFrame:
     return spark.createDataFrame(rows, schemas.DATASET_AUDIT)
 
 
+def _col(value) -> Column:
+    return value if isinstance(value, Column) else F.lit(value)
+
+
 def event(dataset_id: int, business_date, status: str, error_message: str | None = None,
           seq: Column | None = None, batch_ts=None) -> list[Column]:
     """Columns of one audit event; seq defaults to the commit clock in microseconds.
@@ -49,8 +57,8 @@ def event(dataset_id: int, business_date, status: str, error_message: str | None
     if status not in LIFECYCLE:
         raise ValueError(f"unknown audit status {status!r}")
     return [F.lit(dataset_id).cast("int").alias("dataset_id"),
-            F.lit(business_date).cast("date").alias("business_date"),
-            F.lit(batch_ts).cast("timestamp").alias("batch_ts"),
+            _col(business_date).cast("date").alias("business_date"),
+            _col(batch_ts).cast("timestamp").alias("batch_ts"),
             (seq if seq is not None else F.unix_micros(F.current_timestamp())).alias("seq"),
             F.lit(status).alias("status"),
             F.lit(error_message).cast("string").alias("error_message"),
@@ -58,7 +66,7 @@ def event(dataset_id: int, business_date, status: str, error_message: str | None
             F.current_timestamp().alias("at")]
 
 
-def current(events: DataFrame, keys=("dataset_id", "business_date"),
+def current(events: DataFrame, keys=BATCH_KEYS,
             seq: str = "seq", carry=("status", "error_message")) -> DataFrame:
     """Latest event per key (W1), plus the number of events seen for it."""
     latest = F.max_by(F.struct(*[F.col(c) for c in carry], F.col(seq).alias(seq)), F.col(seq))
@@ -67,7 +75,7 @@ def current(events: DataFrame, keys=("dataset_id", "business_date"),
             .select(*keys, *[F.col(f"_l.{c}").alias(c) for c in (*carry, seq)], "n_events"))
 
 
-def current_status(events: DataFrame, keys=("dataset_id", "business_date"),
+def current_status(events: DataFrame, keys=BATCH_KEYS,
                    seq: str = "seq", statuses=tuple(LIFECYCLE)) -> DataFrame:
     """Latest status per key, for views that need only the status.
 
@@ -85,14 +93,15 @@ def current_status(events: DataFrame, keys=("dataset_id", "business_date"),
 
 
 def lifecycle_summary(current_state: DataFrame, key: str = "dataset_id") -> DataFrame:
-    """Per key and current status: lifecycle phase, terminal flag and date count."""
+    """Per key and current status: lifecycle phase, terminal flag and batch count."""
     return (current_state.groupBy(key, "status")
-            .agg(F.count("*").alias("n_dates"))
+            .agg(F.count("*").alias("n_batches"))
             .withColumns({"phase": phase("status"), "is_terminal": is_terminal("status")}))
 
 
 def not_yet_done(requested: DataFrame, current_state: DataFrame,
-                 keys=("dataset_id", "business_date"), done_status: str = "Success") -> DataFrame:
-    """Guard (G1): requested keys without a ``done_status`` audit (left anti)."""
-    done = current_state.filter(F.col("status") == done_status).select(*keys)
-    return requested.join(done, list(keys), "left_anti")
+                 keys=("dataset_id", "batch_ts"), done_status: str = "Success") -> DataFrame:
+    """Guard (G1): requested keys without a ``done_status`` audit (left anti; NULL keys match NULL)."""
+    done = current_state.filter(F.col("status") == done_status).select(*[F.col(k).alias(f"_{k}") for k in keys])
+    same = [requested[k].eqNullSafe(done[f"_{k}"]) for k in keys]
+    return requested.join(done, same, "left_anti")

@@ -22,17 +22,18 @@ def datasets_to_validate(registry: DataFrame, audit_current: DataFrame,
     aud = audit_current.filter(F.col("status").isin(list(statuses)))
     if created_by is not None:
         aud = aud.filter(F.col("actor") == created_by)
-    aud = aud.select("dataset_id", "business_date")
+    aud = aud.select("dataset_id", "batch_ts", "business_date")
     return (reg.join(aud, "dataset_id")
-            .select("dataset_id", "name", "business_date", "silver_table", "error_table_name"))
+            .select("dataset_id", "name", "batch_ts", "business_date", "silver_table", "error_table_name"))
 
 
 def pending_rules(to_validate: DataFrame, bindings: DataFrame, columns: DataFrame,
                   validations: DataFrame, rule_audit_current: DataFrame) -> DataFrame:
-    """(Q5) Active rules of each batch with no audit row for its date, or a Failed one.
+    """(Q5) Active rules of each batch with no audit row for it, or a Failed one.
 
-    The rule audit is filtered to the batch's date inside the left join (the
-    date is part of the join key), so rules without an audit row survive.
+    The rule audit is filtered to the batch inside the left join (the batch time is
+    part of the join key), so rules without an audit row survive, and a later batch of the same
+    day has all its rules pending again.
     """
     b = (bindings.filter(F.col("is_active") == "yes")
          .select(F.col("id").alias("dcv_id"), F.col("dataset_column_id").alias("_dc"),
@@ -43,17 +44,17 @@ def pending_rules(to_validate: DataFrame, bindings: DataFrame, columns: DataFram
              .select("dataset_id", "dcv_id", "column_name", "column_datatype",
                      "validation_name", "validation_parameters"))
     va = rule_audit_current.select(F.col("dataset_column_validation_id").alias("dcv_id"),
-                                   "business_date", F.col("status").alias("audit_status"))
-    return (to_validate.select("dataset_id", "business_date")
+                                   "batch_ts", F.col("status").alias("audit_status"))
+    return (to_validate.select("dataset_id", "batch_ts", "business_date")
             .join(rules, "dataset_id")
-            .join(va, ["dcv_id", "business_date"], "left")
+            .join(va, ["dcv_id", "batch_ts"], "left")
             .filter(F.col("audit_status").isNull() | (F.col("audit_status") == "Failed")))
 
 
 def aggregation_plan(registry: DataFrame, dataset_aggregation: DataFrame,
                      aggregations: DataFrame, dependencies: DataFrame,
                      audit_current: DataFrame) -> DataFrame:
-    """(G2) For each active aggregation and each date at which any dependency
+    """(G2) For each active aggregation and each batch time at which any dependency
     has an audit row: one row per dependency with its silver table and its
     status if Validated (else NULL), plus the target dataset's own status."""
     aggs = aggregations.select(F.col("id").alias("aggregation_id"),
@@ -63,31 +64,30 @@ def aggregation_plan(registry: DataFrame, dataset_aggregation: DataFrame,
     target = registry.select(F.col("id").alias("dataset_id"), "gold_schema", "gold_table")
     deps = dependencies.select("dataset_id", "dependant_dataset_id")
     dep_audit = audit_current.select(F.col("dataset_id").alias("dependant_dataset_id"),
-                                     "business_date", F.col("status").alias("_dep_status"))
+                                     "batch_ts", "business_date", F.col("status").alias("_dep_status"))
     dates = (active.select("dataset_id").join(deps, "dataset_id")
              .join(dep_audit, "dependant_dataset_id")
-             .select("dataset_id", "business_date").distinct())
+             .select("dataset_id", "batch_ts", "business_date").distinct())
     dep_info = registry.select(F.col("id").alias("dependant_dataset_id"), "silver_table",
                                "catalog", "silver_schema")
-    own = audit_current.select("dataset_id", "business_date",
-                               F.col("status").alias("dataset_status"))
+    own = audit_current.select("dataset_id", "batch_ts", F.col("status").alias("dataset_status"))
     return (dates.join(active, "dataset_id").join(target, "dataset_id")
             .join(deps, "dataset_id")
             .join(dep_info, "dependant_dataset_id")
-            .join(dep_audit, ["dependant_dataset_id", "business_date"], "left")
-            .join(own, ["dataset_id", "business_date"], "left")
+            .join(dep_audit.drop("business_date"), ["dependant_dataset_id", "batch_ts"], "left")
+            .join(own, ["dataset_id", "batch_ts"], "left")
             .withColumn("status", F.when(F.col("_dep_status") == "Validated", F.col("_dep_status")))
             .drop("_dep_status"))
 
 
 def dependency_readiness(plan: DataFrame) -> DataFrame:
-    """(G3) Per target dataset and date: ready when every dependency is Validated.
+    """(G3) Per target dataset, aggregation and batch: ready when every dependency is Validated.
 
     The missing-dependency list is bounded by the dependencies registered for
     one dataset (a control-table fan-out), not by data volume.
     """
     missing = F.when(F.col("status").isNull(), F.col("dependant_dataset_id"))
-    return (plan.groupBy("dataset_id", "business_date")
+    return (plan.groupBy("dataset_id", "aggregation_id", "aggregation_name", "batch_ts", "business_date")
             .agg(F.count("*").alias("n_dependencies"),
                  F.count("status").alias("n_validated"),
                  F.array_join(F.array_sort(F.collect_list(missing.cast("string"))), ",")

@@ -24,10 +24,10 @@ def enrich(scored: DataFrame, score_col: str = "sentiment_score",
 DAILY_COUNTS = ["total_comments", "promoters", "detractors", "csat_positive"]
 
 
-def daily_counts(enriched: DataFrame) -> DataFrame:
-    """Per comment_date: the additive counts behind NPS and CSAT."""
+def daily_counts(enriched: DataFrame, keys: tuple[str, ...] = ("comment_date",)) -> DataFrame:
+    """Per comment_date (or ``keys``): the additive counts behind NPS and CSAT."""
     cat = F.col("sentiment_category")
-    return (enriched.groupBy("comment_date")
+    return (enriched.groupBy(*keys)
             .agg(F.count("*").alias("total_comments"),
                  F.count_if(cat == kpi.PROMOTER).alias("promoters"),
                  F.count_if(cat == kpi.DETRACTOR).alias("detractors"),
@@ -71,10 +71,12 @@ def category_distribution(scored: DataFrame, score_col: str = "sentiment_score")
             .agg(F.count("*").alias("count")))
 
 
+def label_counts(enriched: DataFrame, keys: tuple[str, ...] = ("comment_date", "sentiment_label")) -> DataFrame:
+    return enriched.groupBy(*keys).agg(F.count("*").alias("count"))
+
+
 def daily_sentiment_trend(enriched: DataFrame) -> DataFrame:
-    return (enriched.groupBy("comment_date", "sentiment_label")
-            .agg(F.count("*").alias("count"))
-            .orderBy("comment_date", "sentiment_label"))
+    return label_counts(enriched).orderBy("comment_date", "sentiment_label")
 
 
 def daily_net_sentiment(enriched: DataFrame) -> DataFrame:

@@ -29,7 +29,7 @@ def test_lifecycle_summary(spark):
 
 
 def test_guard_blocks_only_success(spark):
-    req = spark.createDataFrame([(1, D), (2, D), (4, D)], "dataset_id int, business_date date")
+    req = spark.createDataFrame([(1, None), (2, None), (4, None)], "dataset_id int, batch_ts timestamp")
     left = sorted(r["dataset_id"] for r in audit.not_yet_done(req, audit.current(_events(spark))).collect())
     assert left == [2, 4]
 
@@ -41,11 +41,32 @@ def test_event_columns(spark):
 
 
 def test_readiness(spark):
-    plan = spark.createDataFrame([(10, D, 11, "Validated"), (10, D, 12, None), (20, D, 21, "Validated")],
-                                 "dataset_id int, business_date date, dependant_dataset_id int, status string")
-    out = {r["dataset_id"]: r for r in planning.dependency_readiness(plan).collect()}
-    assert not out[10]["ready"] and out[10]["missing"] == "12"
-    assert out[20]["ready"] and out[20]["missing"] == ""
+    ts = dt.datetime(2024, 3, 26, 8)
+    rows = [(10, a, ts, D, d, s) for a in (1, 2) for d, s in ((11, "Validated"), (12, None))] + [(20, 1, ts, D, 21, "Validated")]
+    plan = spark.createDataFrame(rows, "dataset_id int, aggregation_id int, batch_ts timestamp, business_date date, "
+                                 "dependant_dataset_id int, status string").selectExpr("*", "'x' AS aggregation_name")
+    out = {(r["dataset_id"], r["aggregation_id"]): r for r in planning.dependency_readiness(plan).collect()}
+    for a in (1, 2):  # each aggregation counts its own dependencies
+        assert not out[10, a]["ready"] and out[10, a]["missing"] == "12" and out[10, a]["n_dependencies"] == 2
+    assert out[20, 1]["ready"] and out[20, 1]["missing"] == ""
+
+
+def test_batches_of_one_day_are_kept_apart(spark):
+    """The second batch of a day has its own state, and its rules are pending again."""
+    from feedlens import schemas
+    ts = [dt.datetime(2024, 3, 26, h) for h in (1, 2)]
+    ev = audit.audit_events(spark, [(1, D, ts[0], 1, "Validated", None, "u", None), (1, D, ts[1], 2, "Success", None, "u", None)])
+    cur = audit.current(ev)
+    assert sorted((r["batch_ts"], r["status"]) for r in cur.collect()) == [(ts[0], "Validated"), (ts[1], "Success")]
+    n = len(schemas.DATASET.fields)
+    reg = spark.createDataFrame([tuple([1, "d1", "facebook", "silver"] + [None] * (n - 4))], schemas.DATASET)
+    rule_audit = spark.createDataFrame([(7, ts[0], "Validation Passed")], "dataset_column_validation_id long, batch_ts timestamp, status string")
+    pending = planning.pending_rules(
+        planning.datasets_to_validate(reg, cur, statuses=("Success", "Validated")),
+        spark.createDataFrame([(7, 7, 1, "yes", None)], schemas.DATASET_COLUMN_VALIDATION),
+        spark.createDataFrame([(7, 1, "c", "STRING")], schemas.DATASET_COLUMN),
+        spark.createDataFrame([(1, "column_null_validation", "column")], schemas.VALIDATION), rule_audit).collect()
+    assert [(r["dcv_id"], r["batch_ts"]) for r in pending] == [(7, ts[1])]
 
 
 def test_datasets_to_validate_owner_filter(spark):
@@ -73,7 +94,7 @@ def test_read_control_table(spark, tmp_path):
 def test_current_status_matches_current(spark):
     from feedlens.sources import control as ctl
     ev = ctl.audit_from_orders(spark, "/root/testdata/sf0.001")
-    a = audit.current(ev).select("dataset_id", "business_date", "status", "seq", "n_events")
+    a = audit.current(ev).select("dataset_id", "batch_ts", "business_date", "status", "seq", "n_events")
     b = audit.current_status(ev)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
