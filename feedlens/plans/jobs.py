@@ -6,6 +6,10 @@ are control rows (registry row, pending rules), never the data itself.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,13 +18,14 @@ from feedlens import schemas
 from feedlens.functions.rules import Rule
 from feedlens.operators import quality, reports, sentiment, upsert
 from feedlens.sinks import tables as sinks
-from feedlens.streaming.ingest import IngestPaths, start_ingest
+from feedlens.sources import files
+from feedlens.streaming.ingest import IngestPaths, start_ingest, stream_key
 
 
 def ingest(spark: SparkSession, paths: IngestPaths, dataset_id: int, fmt: str = "json",
-           timeout_s: int | None = None) -> None:
-    """(A) landing -> bronze, processing what is available, then stop."""
-    q = start_ingest(spark, paths, dataset_id, fmt, available_now=True)
+           timeout_s: int | None = None, **options) -> None:
+    """(A) landing -> bronze, processing what is available, then stop; ``options`` as for ``start_ingest``."""
+    q = start_ingest(spark, paths, dataset_id, fmt, available_now=True, **options)
     q.awaitTermination(timeout_s)
     if q.isActive:
         q.stop()
@@ -29,27 +34,39 @@ def ingest(spark: SparkSession, paths: IngestPaths, dataset_id: int, fmt: str =
         raise q.exception()
 
 
+def ingest_registered(spark: SparkSession, registry: DataFrame, name: str, source_name: str, audit: str,
+                      checkpoint: str, timeout_s: int | None = None) -> IngestPaths:
+    """(A) for a dataset as registered (S9): its row names the paths, the file-name pattern, the landing
+    layout (``file_name`` ends in ``.lines`` for one value a line) and the bronze format."""
+    row = files.registry_row(registry, name, source_name)
+    paths = IngestPaths(landing=row["source_path"], bronze=row["bronze_path"], quarantine=row["unknown_file_path"],
+                        audit=audit, checkpoint=checkpoint, archive=row["archive_path"])
+    ingest(spark, paths, row["id"], row["format"], timeout_s, pattern=row["file_name_format"],
+           layout="lines" if (row["file_name"] or "").endswith(".lines") else "json")
+    return paths
+
+
 def validate(spark: SparkSession, batch: DataFrame, rules: list[Rule], key: str,
              error_table: str, silver: str, batch_col: str = "file_date") -> dict:
-    """(B) one pass of all rules -> error table (incremental upsert by batch
-    date) + silver rows (dynamic overwrite by batch date).
+    """(B) one pass of all rules -> error table (incremental upsert by batch)
+    + silver rows (dynamic overwrite by batch).
 
     Returns the error-table path, the silver path (None when not promoted),
     the rule outcomes (a small frame) and the rules that could not run. A
     batch is promoted only when every rule ran, as the reference promotes
-    only once nothing is pending. A dataset with no error table yet gets one
-    from its first errors; an all-clean first batch is still promoted.
+    only once nothing is pending, and against *all* stored errors of the batch: a
+    row that an earlier run rejected stays out when only the remaining rules run later.
     """
     from feedlens.functions.rules import missing_rules
 
     batch = batch.persist()
     try:
         missing = missing_rules(rules, batch.schema)
-        errors = quality.error_rows(batch, rules)
-        upsert_error_table(spark, errors, error_table, batch_col)
+        if rules:
+            upsert_error_table(spark, quality.error_rows(batch, rules), error_table, batch_col)
         promoted = None
         if not missing:
-            sinks.write_partitions(quality.promote_valid(batch, errors, key), silver, [batch_col])
+            sinks.write_partitions(promotable(spark, batch, key, error_table, batch_col), silver, [batch_col])
             promoted = silver
         outcomes = quality.rule_outcomes(batch, rules)
         return {"errors": error_table, "silver": promoted, "outcomes": outcomes, "missing": missing}
@@ -57,6 +74,15 @@ def validate(spark: SparkSession, batch: DataFrame, rules: list[Rule], key: str,
         batch.unpersist()
 
 
+def promotable(spark: SparkSession, batch: DataFrame, key: str, error_table: str, batch_col: str) -> DataFrame:
+    """The batch's rows without any stored error of their batch."""
+    schema = T.StructType([f for f in batch.schema.fields if f.name in (key, batch_col)])
+    recorded = files.read_if_exists(spark, error_table, schema)
+    if recorded is None:
+        return batch
+    return quality.promote_valid(batch, files.same_partitions(recorded, batch, batch_col), key)
+
+
 def refresh_gold(spark: SparkSession, silver: DataFrame, gold: str,
                  text_col: str = "comment_message", only_present_dates: bool = False) -> None:
     """(C / R11) silver comments -> score -> daily NPS/CSAT -> gold by comment_date."""
@@ -80,144 +106,158 @@ def rules_from_pending(pending: DataFrame) -> list[Rule]:
 
 def validate_and_audit(spark: SparkSession, batch: DataFrame, pending: DataFrame, key: str,
                        error_base: str, silver: str, rule_audit: str, dataset_audit: str,
-                       dataset_id: int, business_date: str, batch_col: str = "file_date") -> str:
+                       dataset_id: int, batch_ts: str, batch_col: str = "file_date") -> str:
     """Validate one batch with its pending rules and record the outcome.
 
-    Rule audit rows get ``Validation Passed`` (with their error counts); the
-    dataset gets ``Validated``, or ``Validation Failed`` with the error text
-    when a step raises. Returns the dataset status.
+    ``batch_ts`` is the batch's time (its business date is the day of it). Rule audit rows
+    get ``Validation Passed`` (with their error counts); the dataset gets ``Validated``, or
+    ``Validation Failed`` with the error text when a step raises. Returns the dataset status.
     """
     from feedlens.operators import audit as audit_ops
 
     seq = F.unix_micros(F.current_timestamp())
+    ts = F.lit(batch_ts).cast("timestamp")
+
+    def record(status: str, message: str | None) -> None:
+        sinks.append(spark.range(1).select(*audit_ops.event(
+            dataset_id, F.to_date(ts), status, message, batch_ts=ts)), dataset_audit)
+
     try:
-        rules = rules_from_pending(pending)
-        missing = []
-        if rules:
-            out = validate(spark, batch, rules, key, error_base, silver, batch_col)
-            missing = out["missing"]
-            events = out["outcomes"].select(
-                F.col("dcv_id").alias("dataset_column_validation_id"),
-                F.lit(business_date).cast("date").alias("business_date"),
-                seq.alias("seq"), F.col("status"),
-                F.when(F.col("n_errors").isNull(), F.col("result"))
-                 .otherwise(F.concat(F.col("n_errors").cast("string"), F.lit(" error rows")))
-                 .alias("error_message"))
-            sinks.append(events, rule_audit)
-        else:
-            # nothing pending: promote against the errors already recorded for these dates
-            dates = [r[0] for r in batch.select(batch_col).distinct().collect()]
-            try:
-                schema = T.StructType(batch.schema.fields + [T.StructField("error_message", T.StringType())])
-                recorded = (spark.read.schema(schema).parquet(error_base)
-                            .filter(F.col(batch_col).isin(dates)))
-                valid = quality.promote_valid(batch, recorded, key)
-            except Exception:  # noqa: BLE001 - no error table yet
-                valid = batch
-            sinks.write_partitions(valid, silver, [batch_col])
-        if missing:  # some rules could not run: not promoted, retried next time
-            status = "Validation Failed"
-            message = "; ".join(f"Column {r.column} not found" for r in missing)
-        else:
-            status, message = "Validated", None
+        out = validate(spark, batch, rules_from_pending(pending), key, error_base, silver, batch_col)
+        sinks.append(out["outcomes"].select(
+            F.col("dcv_id").alias("dataset_column_validation_id"), F.to_date(ts).alias("business_date"),
+            ts.alias("batch_ts"), seq.alias("seq"), F.col("status"),
+            F.when(F.col("n_errors").isNull(), F.col("result"))
+             .otherwise(F.concat(F.col("n_errors").cast("string"), F.lit(" error rows")))
+             .alias("error_message")), rule_audit)
     except Exception as e:  # noqa: BLE001 - recorded in the audit, then re-raised
-        status, message = "Validation Failed", str(e)[:2000]
-        sinks.append(spark.range(1).select(*audit_ops.event(dataset_id, business_date, status, message)),
-                     dataset_audit)
+        record("Validation Failed", str(e)[:2000])
         raise
-    sinks.append(spark.range(1).select(*audit_ops.event(dataset_id, business_date, status, message)),
-                 dataset_audit)
-    return status
+    if out["missing"]:  # some rules could not run: not promoted, retried next time
+        record("Validation Failed", "; ".join(f"Column {r.column} not found" for r in out["missing"]))
+        return "Validation Failed"
+    record("Validated", None)
+    return "Validated"
 
 
 # ---- entry C as a whole: every ready aggregation, with its audit ---------------------------
-def aggregate_ready(spark: SparkSession, readiness: DataFrame, silver_of: dict[int, list[str]],
-                    gold_of: dict[int, str], dataset_audit: str) -> dict[tuple, str]:
-    """Refresh gold for each ready (dataset, date) of ``readiness``.
-
-    The ready list is a control frame (one row per target dataset and date).
-    Each target reads the silver tables of its dependencies and rewrites only
-    the dates present (dynamic overwrite). An empty plan is logged ``Skipped``
-    so that it does not block a later run.
+@dataclass(frozen=True)
+class Report:
+    """A gold report whose counts add up over batches: grouping keys (the comment date first), counts, and the final columns."""
+
+    keys: tuple[str, ...]
+    counts: Callable[[DataFrame, tuple[str, ...]], DataFrame]
+    sums: tuple[str, ...]
+    finish: Callable[[DataFrame], DataFrame]
+
+
+#: The report of each registered aggregation (by name).
+REPORTS = {
+    "daily_kpi": Report(("comment_date",), reports.daily_counts, tuple(reports.DAILY_COUNTS), reports.with_ratios),
+    "sentiment_trend": Report(("comment_date", "sentiment_label"), reports.label_counts, ("count",), lambda df: df),
+}
+
+
+def fold_partials(spark: SparkSession, enriched: DataFrame, report: Report, partials: str, gold: str) -> None:
+    """Fold enriched comments, with the ``batch_key`` they came in, into a gold report.
+
+    The batches' partial counts are stored by comment date and ``batch_key`` (dynamic overwrite, so a batch
+    that is run again replaces its partials instead of adding them twice). Gold is rewritten only for the
+    touched dates, NULL (an unparsable time) among them, as the sum of all batches' partials of
+    those dates; as partials are partitioned by date first, only those are read.
+    """
+    from feedlens.session import materialize
+
+    part = materialize(report.counts(enriched, ("batch_key", *report.keys)))
+    sinks.write_partitions(part, partials, ["comment_date", "batch_key"])
+    stored = files.read_if_exists(spark, partials, part.schema)
+    if stored is not None:
+        summed = (files.same_partitions(stored, part, "comment_date").groupBy(*report.keys)
+                  .agg(*[F.sum(c).cast("long").alias(c) for c in report.sums]))
+        sinks.write_gold(report.finish(summed), gold, "comment_date", only_present=True)
+
+
+def aggregate_ready(spark: SparkSession, readiness: DataFrame, audit_state: DataFrame, silver_of: dict[int, list[str]],
+                    gold_of: dict[tuple[int, str], str], dataset_audit: str, day_col: str = "file_date") -> DataFrame:
+    """Refresh the gold of every ready (dataset, aggregation, batch) that isn't done yet (G1), and log it.
+
+    One job for each registered aggregation of a dataset (``gold_of``), however many batches are ready: the dependencies'
+    silver is joined to the ready days on its partition column, so Spark reads only those, and folded into
+    the report that the aggregation's registered name decides, each day as a batch of its own. A dataset whose silver isn't there yet is ``Skipped``, so that it doesn't block a later run.
+    Returns the audit events written, all in one append.
     """
     from feedlens.operators import audit as audit_ops
+    from feedlens.session import materialize
 
-    ready = readiness.filter("ready").select("dataset_id", "business_date").collect()
-    results: dict[tuple, str] = {}
-    for r in ready:
-        ds, day = int(r["dataset_id"]), r["business_date"]
+    keys = ["dataset_id", "aggregation_name", "batch_ts", "business_date"]
+    ready = materialize(audit_ops.not_yet_done(readiness.filter("ready").select(*keys), audit_state))
+    outcomes = []
+    for (dataset, aggregation), gold in gold_of.items():
+        mine = ready.filter((F.col("dataset_id") == dataset) & (F.col("aggregation_name") == aggregation))
+        if mine.isEmpty():
+            continue
+        status, message = "Success", None
+        parts = [p for p in (_silver(spark, path) for path in silver_of.get(dataset, [])) if p is not None]
         try:
-            silver = None
-            for path in silver_of.get(ds, []):
-                part = spark.read.parquet(path)
-                silver = part if silver is None else silver.unionByName(part, allowMissingColumns=True)
-            if silver is None:
+            if not parts:
                 status = "Skipped"
             else:
-                refresh_gold(spark, silver, gold_of[ds], only_present_dates=True)
-                status = "Success"
-            message = None
+                silver = parts[0]
+                for part in parts[1:]:
+                    silver = silver.unionByName(part, allowMissingColumns=True)
+                days = mine.select(F.col("business_date").cast("string").alias(day_col)).distinct()
+                comments = silver.join(days, day_col, "left_semi").withColumn("batch_key", F.col(day_col))
+                fold_partials(spark, reports.enrich(sentiment.score(comments, "comment_message")), REPORTS[aggregation],
+                              f"{gold}_partials", gold)
         except Exception as e:  # noqa: BLE001 - recorded, the next target still runs
             status, message = "Failed", str(e)[:2000]
-        sinks.append(spark.range(1).select(*audit_ops.event(ds, day, status, message)), dataset_audit)
-        results[(ds, str(day))] = status
-    return results
+        outcomes.append((dataset, aggregation, status, message))
+    done = spark.createDataFrame(outcomes, "dataset_id int, aggregation_name string, status string, error_message string")
+    events = materialize(ready.join(done, ["dataset_id", "aggregation_name"]).select(
+        "dataset_id", "business_date", "batch_ts", F.unix_micros(F.current_timestamp()).alias("seq"), "status",
+        "error_message", F.current_user().alias("actor"), F.current_timestamp().alias("at"), "aggregation_name"))
+    sinks.append(events, dataset_audit)
+    return events
+
+
+def _silver(spark: SparkSession, path: str) -> DataFrame | None:
+    """A silver table with its partition column as text, or None where it doesn't exist."""
+    try:
+        table = spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    return table.withColumn("file_date", F.col("file_date").cast("string")) if "file_date" in table.columns else table
 
 
 # ---- incremental error table ------------------------------------------------------------
 def upsert_error_table(spark: SparkSession, source: DataFrame, path: str,
-                       partition_col: str = "file_date", msg_col: str = "error_message") -> list:
+                       partition_col: str = "file_date", msg_col: str = "error_message") -> None:
     """Upsert ``source`` error rows into the error table at ``path``, which is
-    partitioned by ``partition_col`` (the batch date).
-
-    Rows match on every column, the batch date included, so rows from
-    different dates can never match. Only the partitions of the dates in
-    ``source`` are read (static partition pruning on the batch's few dates,
-    a control set), merged, and rewritten with dynamic partition overwrite.
-    The per-batch cost follows the batch, not the table's history. The
-    merged frame is cut from its lineage with a reliable checkpoint before
-    it overwrites the path it was read from. Returns the dates rewritten.
+    partitioned by ``partition_col`` (the batch).
+
+    Rows match on every column, the batch included, so rows from different
+    batches can never match. Only the partitions that occur in ``source`` (NULL among them) are
+    merged and rewritten, with dynamic partition overwrite: the cost follows the batch, not the
+    table's history. The merged frame is cut from its lineage with a reliable checkpoint before
+    it overwrites the path it was read from. The first errors create the table (K3).
     """
     from feedlens.session import materialize
 
-    dates = [r[0] for r in source.select(partition_col).distinct().collect()]
-    if not dates:
-        return []
-    try:
-        table = spark.read.schema(source.schema).parquet(path)
-        target = table.filter(F.col(partition_col).isin(dates))
-    except Exception:  # noqa: BLE001 - first errors of this dataset create the table (K3)
-        target = None
+    table = files.read_if_exists(spark, path, source.schema)
+    target = None if table is None else files.same_partitions(table, source, partition_col)
     merged = materialize(upsert.upsert_errors(target, source, msg_col).select(*source.columns))
     sinks.write_partitions(merged, path, [partition_col])
-    return dates
 
 
 # ---- incremental gold (late comments) -----------------------------------------------------
 def refresh_gold_incremental(spark: SparkSession, silver_batch: DataFrame, batch_key: str,
-                             partials: str, gold: str, text_col: str = "comment_message") -> list:
-    """Fold one silver batch into the daily NPS/CSAT gold table.
-
-    Comments arrive up to days after their post, so one batch touches several
-    comment dates. The daily counts are additive: the batch's per-date
-    partial counts are stored under its ``batch_key`` (dynamic overwrite, so a
-    replayed batch replaces its partials instead of adding them twice), and
-    gold is rewritten only for the touched dates, as the sum of all batches'
-    partials for those dates. The cost follows the batch and the small
-    partials table, not the silver history. Returns the dates rewritten.
-    """
-    counts = reports.daily_counts(reports.enrich(sentiment.score(silver_batch, text_col)))
-    part = counts.withColumn("batch_key", F.lit(batch_key))
-    sinks.write_partitions(part, partials, ["batch_key"])
-    dates = [r[0] for r in spark.read.parquet(f"{partials}/batch_key={batch_key}")
-             .select("comment_date").distinct().collect()]
-    if not dates:
-        return []
-    summed = (spark.read.parquet(partials).filter(F.col("comment_date").isin(dates))
-              .groupBy("comment_date")
-              .agg(*[F.sum(c).cast("long").alias(c) for c in reports.DAILY_COUNTS]))
-    sinks.write_gold(reports.with_ratios(summed), gold, "comment_date", only_present=True)
-    return dates
+                             partials: str, gold: str, text_col: str = "comment_message") -> None:
+    """Fold one silver batch into the daily NPS/CSAT gold table. Comments arrive up to days after their
+    post, so one batch touches several comment dates; see ``fold_partials``."""
+    scored = sentiment.score(silver_batch.withColumn("batch_key", F.lit(batch_key)), text_col)
+    fold_partials(spark, reports.enrich(scored), REPORTS["daily_kpi"], partials, gold)
 
 
 def start_gold_stream(spark: SparkSession, silver: str, silver_schema, partials: str, gold: str,
@@ -225,9 +265,9 @@ def start_gold_stream(spark: SparkSession, silver: str, silver_schema, partials:
                       available_now: bool = True, max_files_per_trigger: int | None = None):
     """Keep the daily gold table current as silver files arrive (R11 as a stream).
 
-    Each micro-batch is folded in with ``refresh_gold_incremental`` under the
-    key ``batch-<id>``; micro-batch ids are stable across restarts, so a
-    replayed batch replaces its own partials.
+    Each micro-batch is folded in with ``refresh_gold_incremental`` under a key of the query's id, which
+    its checkpoint keeps, and the batch's: a replayed batch replaces its own partials. A new checkpoint reads
+    all silver again, so it needs new ``partials`` too.
     """
     reader = spark.readStream.schema(silver_schema)
     if max_files_per_trigger:
@@ -235,7 +275,8 @@ def start_gold_stream(spark: SparkSession, silver: str, silver_schema, partials:
     stream = reader.parquet(silver)
 
     def fold(batch: DataFrame, batch_id: int) -> None:
-        refresh_gold_incremental(spark, batch, f"batch-{batch_id}", partials, gold, text_col)
+        key = f"{stream_key(batch.sparkSession, checkpoint)}-{batch_id}"
+        refresh_gold_incremental(spark, batch, key, partials, gold, text_col)
 
     w = stream.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")

@@ -257,6 +257,7 @@ FROM t FULL OUTER JOIN s ON {_NS}"""
 
 AUD = """aud AS (
   SELECT CAST(o_custkey % 20 AS INTEGER) AS dataset_id, CAST(o_orderdate AS DATE) AS business_date,
+         CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) + to_hours(CAST(o_orderkey % 3 * 8 AS INTEGER)) AS batch_ts,
          o_orderkey AS seq,
          CASE WHEN o_orderstatus = 'F' THEN 'Validated'
               WHEN o_orderstatus = 'O' THEN CASE WHEN o_orderpriority = '3-MEDIUM' THEN 'In-Progress' ELSE 'Success' END
@@ -264,9 +265,9 @@ AUD = """aud AS (
   FROM orders),
 aud2 AS (SELECT *, CASE WHEN status LIKE '%Failed%' THEN 'order ' || CAST(seq AS VARCHAR) || ' failed' END AS error_message
          FROM aud),
-cur AS (SELECT dataset_id, business_date, arg_max(status, seq) AS status,
+cur AS (SELECT dataset_id, batch_ts, business_date, arg_max(status, seq) AS status,
                arg_max_null(error_message, seq) AS error_message, max(seq) AS seq, count(*) AS n_events
-        FROM aud2 GROUP BY dataset_id, business_date),
+        FROM aud2 GROUP BY dataset_id, batch_ts, business_date),
 reg AS (SELECT dataset_id AS id, 'dataset_' || CAST(dataset_id AS VARCHAR) AS name,
                CASE WHEN dataset_id % 3 = 2 THEN 'instagram' ELSE 'facebook' END AS source_name,
                CASE WHEN dataset_id % 5 = 0 THEN 'gold' ELSE 'silver' END AS layer,
@@ -274,7 +275,7 @@ reg AS (SELECT dataset_id AS id, 'dataset_' || CAST(dataset_id AS VARCHAR) AS na
                'errors_' || CAST(dataset_id AS VARCHAR) AS error_table_name,
                CASE WHEN dataset_id % 5 = 0 THEN 'gold_' || CAST(dataset_id AS VARCHAR) END AS gold_table
         FROM (SELECT DISTINCT dataset_id FROM aud)),
-tv AS (SELECT r.id AS dataset_id, r.name, c.business_date, r.silver_table, r.error_table_name
+tv AS (SELECT r.id AS dataset_id, r.name, c.batch_ts, c.business_date, r.silver_table, r.error_table_name
        FROM reg r JOIN cur c ON c.dataset_id = r.id
        WHERE c.status = 'Success' AND r.source_name = 'facebook' AND r.layer = 'silver')"""
 
@@ -282,7 +283,7 @@ SQL["audit_current"] = f"""WITH {AUD}
 SELECT * FROM cur"""
 
 SQL["audit_lifecycle"] = f"""WITH {AUD}
-SELECT dataset_id, status, count(*) AS n_dates,
+SELECT dataset_id, status, count(*) AS n_batches,
        CASE WHEN status IN ('Started', 'In-Progress', 'Success', 'Failed') THEN 'ingest'
             WHEN status IN ('Validated', 'Validation Failed') THEN 'validation'
             WHEN status = 'Validation Passed' THEN 'rule'
@@ -303,20 +304,20 @@ cols AS (SELECT id AS dataset_id,
 binds AS (SELECT CAST(dataset_id * 10 + ix AS BIGINT) AS dcv_id, dataset_id, column_name, column_datatype, validation_id
           FROM cols WHERE (dataset_id + ix) % 4 <> 0),
 val(id, vname) AS (VALUES (1, 'column_null_validation'), (2, 'data_type_validation')),
-ra AS (SELECT CAST((o_custkey % 20) * 10 + o_orderkey % 3 + 1 AS BIGINT) AS dcv_id,
-              CAST(o_orderdate AS DATE) AS business_date, o_orderkey AS seq,
+ra AS (SELECT CAST((o_custkey % 20) * 10 + o_custkey % 3 + 1 AS BIGINT) AS dcv_id,
+              CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) + to_hours(CAST(o_orderkey % 3 * 8 AS INTEGER)) AS batch_ts, o_orderkey AS seq,
               CASE WHEN o_totalprice > 300000 THEN 'Failed' ELSE 'Validation Passed' END AS status
        FROM orders),
-racur AS (SELECT dcv_id, business_date, arg_max(status, seq) AS status FROM ra GROUP BY 1, 2)
-SELECT tv.dataset_id, tv.business_date, b.dcv_id, b.column_name, b.column_datatype,
+racur AS (SELECT dcv_id, batch_ts, arg_max(status, seq) AS status FROM ra GROUP BY 1, 2)
+SELECT tv.dataset_id, tv.batch_ts, tv.business_date, b.dcv_id, b.column_name, b.column_datatype,
        v.vname AS validation_name, r.status AS audit_status
 FROM tv JOIN binds b ON b.dataset_id = tv.dataset_id
 JOIN val v ON v.id = b.validation_id
-LEFT JOIN racur r ON r.dcv_id = b.dcv_id AND r.business_date = tv.business_date
+LEFT JOIN racur r ON r.dcv_id = b.dcv_id AND r.batch_ts = tv.batch_ts
 WHERE r.status IS NULL OR r.status = 'Failed'"""
 
 PLAN = f"""{AUD},
-da AS (SELECT CAST(1 + id % 2 AS INTEGER) AS aggregation_id, id AS dataset_id,
+da AS (SELECT unnest([1, 2])::INTEGER AS aggregation_id, id AS dataset_id,
               CASE WHEN id = 15 THEN 'no' ELSE 'yes' END AS is_active
        FROM reg WHERE layer = 'gold'),
 ag(aggregation_id, aggregation_name) AS (VALUES (1, 'daily_kpi'), (2, 'sentiment_trend')),
@@ -324,23 +325,23 @@ deps AS (SELECT id AS dataset_id, CAST((id + unnest([1, 2, 3])) % 20 AS INTEGER)
          FROM reg WHERE layer = 'gold'),
 active AS (SELECT da.dataset_id, da.aggregation_id, ag.aggregation_name
            FROM da JOIN ag ON ag.aggregation_id = da.aggregation_id WHERE da.is_active = 'yes'),
-dates AS (SELECT DISTINCT d.dataset_id, c.business_date
+dates AS (SELECT DISTINCT d.dataset_id, c.batch_ts, c.business_date
           FROM active x JOIN deps d ON d.dataset_id = x.dataset_id
           JOIN cur c ON c.dataset_id = d.dependant_dataset_id),
-plan AS (SELECT dt.dataset_id, dt.business_date, x.aggregation_id, x.aggregation_name, g.gold_table,
+plan AS (SELECT dt.dataset_id, dt.batch_ts, dt.business_date, x.aggregation_id, x.aggregation_name, g.gold_table,
                 d.dependant_dataset_id, s.silver_table,
                 CASE WHEN c.status = 'Validated' THEN c.status END AS status, own.status AS dataset_status
          FROM dates dt JOIN active x ON x.dataset_id = dt.dataset_id
          JOIN reg g ON g.id = dt.dataset_id
          JOIN deps d ON d.dataset_id = dt.dataset_id
          JOIN reg s ON s.id = d.dependant_dataset_id
-         LEFT JOIN cur c ON c.dataset_id = d.dependant_dataset_id AND c.business_date = dt.business_date
-         LEFT JOIN cur own ON own.dataset_id = dt.dataset_id AND own.business_date = dt.business_date),
-ready AS (SELECT dataset_id, business_date, count(*) AS n_dependencies, count(status) AS n_validated,
+         LEFT JOIN cur c ON c.dataset_id = d.dependant_dataset_id AND c.batch_ts = dt.batch_ts
+         LEFT JOIN cur own ON own.dataset_id = dt.dataset_id AND own.batch_ts = dt.batch_ts),
+ready AS (SELECT dataset_id, aggregation_id, aggregation_name, batch_ts, business_date, count(*) AS n_dependencies, count(status) AS n_validated,
                  coalesce(string_agg(CASE WHEN status IS NULL THEN CAST(dependant_dataset_id AS VARCHAR) END, ','
                                      ORDER BY CAST(dependant_dataset_id AS VARCHAR)), '') AS missing,
                  count(status) = count(*) AS ready
-          FROM plan GROUP BY dataset_id, business_date)"""
+          FROM plan GROUP BY dataset_id, aggregation_id, aggregation_name, batch_ts, business_date)"""
 
 SQL["aggregation_plan"] = f"""WITH {PLAN}
 SELECT * FROM plan"""
@@ -349,9 +350,9 @@ SQL["dependency_readiness"] = f"""WITH {PLAN}
 SELECT * FROM ready"""
 
 SQL["aggregation_guard"] = f"""WITH {PLAN}
-SELECT r.dataset_id, r.business_date FROM ready r
+SELECT r.dataset_id, r.aggregation_id, r.batch_ts, r.business_date FROM ready r
 WHERE r.ready AND NOT EXISTS (SELECT 1 FROM cur c WHERE c.dataset_id = r.dataset_id
-                              AND c.business_date = r.business_date AND c.status = 'Success')"""
+                              AND c.batch_ts = r.batch_ts AND c.status = 'Success')"""
 
 _PAT = r"post_detail_(\d{4}-\d{2}-\d{2}_\d{2}-\d{2}-\d{2})\.json"
 LANDING = f"""lr AS (
@@ -382,33 +383,54 @@ FROM named"""
 
 SQL["quarantine_split"] = f"""WITH {LANDING}
 SELECT source_file, filename, CASE WHEN ok THEN 'Accepted' ELSE 'Quarantined' END AS status,
-       CASE WHEN ok THEN CAST(min(ts) AS DATE) END AS business_date, count(*) AS n_rows,
+       CASE WHEN ok THEN CAST(min(ts) AS DATE) END AS business_date,
+       CASE WHEN ok THEN min(ts) END AS batch_ts, count(*) AS n_rows,
        CASE WHEN NOT ok THEN 'Filename ' || filename || ' format mismatch' END AS error_message
 FROM named GROUP BY source_file, filename, ok"""
 
-SQL["message_decode"] = """SELECT 'social_media_data' AS topic, CAST(user_id % 4 AS INTEGER) AS partition,
+SQL["message_decode"] = f"""SELECT '{tb.TOPIC}' AS topic, CAST(user_id % 4 AS INTEGER) AS partition,
        event_id AS "offset",
        CASE WHEN user_id % 50 = 0 THEN NULL ELSE 'host-' || CAST(user_id AS VARCHAR) END AS key,
        CASE WHEN json_valid(v) THEN CAST(json_extract(v, '$.k') AS BIGINT) END AS k,
        json_valid(v) AS is_valid, v AS raw_value
-FROM (SELECT *, CASE WHEN event_id % 97 = 0 THEN 'not json {' ELSE props END AS v FROM events)"""
+FROM (SELECT *, CASE WHEN event_id % 97 = 0 THEN 'not json {{' ELSE props END AS v FROM events)"""
 
-SQL["message_encode"] = """SELECT CAST(user_id AS VARCHAR) AS key,
-       to_json({'event_id': event_id, 'event_type': event_type, 'user_id': user_id,
-                'value_cents': CAST(round(value * 100) AS BIGINT)}) :: VARCHAR AS value,
-       'social_media_data' AS topic
+SQL["message_encode"] = f"""SELECT CAST(user_id AS VARCHAR) AS key,
+       to_json({{'event_id': event_id, 'event_type': event_type, 'user_id': user_id,
+                'value_cents': CAST(round(value * 100) AS BIGINT)}}) :: VARCHAR AS value,
+       '{tb.TOPIC}' AS topic
 FROM events"""
 
-SQL["rescue_unknown_keys"] = """SELECT event_id, CAST(json_extract(raw, '$.k') AS BIGINT) AS k,
-       nullif(array_to_string(list_sort(list_filter(json_keys(raw), lambda x: x <> 'k')), ','), '') AS rescued_keys
-FROM (SELECT event_id,
-             CASE WHEN event_type = 'click' THEN regexp_replace(props, '}$', ', "src": "' || event_type || '"}')
-                  WHEN event_type = 'error' THEN regexp_replace(props, '}$', ', "code": ' || CAST(user_id AS VARCHAR) || ', "extra": null}')
-                  ELSE props END AS raw
-      FROM events)"""
+SQL["rescue_unknown_keys"] = """SELECT event_id,
+       CASE WHEN event_type <> 'signup' THEN CAST(json_extract(props, '$.k') AS BIGINT) END AS k,
+       CASE event_type WHEN 'click' THEN '{"src":"click"}'
+                       WHEN 'error' THEN '{"code":' || CAST(user_id AS VARCHAR) || ',"extra":null}'
+                       WHEN 'signup' THEN '{"k":"many","v":[1,{"w":2.5}]}' END AS rescued
+FROM events"""
 
-SQL["gold_refresh"] = SQL["daily_nps_csat"]
-SQL["gold_stream"] = SQL["daily_nps_csat"]
+TIMED = f"""{COMMENTS},
+timed AS (SELECT * REPLACE (CASE WHEN CAST(substr(comment_id, 2) AS BIGINT) % 40 = 0 THEN NULL ELSE comment_date END AS comment_date),
+                 comment_date AS file_date FROM scored)"""
+SQL["gold_refresh"] = SQL["daily_nps_csat"].replace(COMMENTS, TIMED).replace("FROM scored GROUP BY comment_date", "FROM timed GROUP BY comment_date")
+SQL["gold_stream"] = SQL["gold_refresh"]
+
+SQL["aggregate_ready"] = f"""{TIMED}
+SELECT comment_date, count(*) AS total_comments,
+       count(*) FILTER (WHERE {CATEGORY} = 'Promoter') AS promoters,
+       CAST(count(*) FILTER (WHERE sentiment_score > 0) AS BIGINT) AS n_positive
+FROM timed WHERE day(file_date) IN (3, 17) GROUP BY comment_date"""
+
+BATCH_DAY = "CASE WHEN o_custkey % 100 = 1 THEN NULL ELSE strftime(o_orderdate, '%Y-%m') END"
+SQL["validate_retry"] = f"""WITH {BASE},
+errs AS (SELECT DISTINCT o_orderkey FROM base WHERE o_orderstatus IS NULL OR o_orderpriority IS NULL)
+SELECT o_orderkey, o_custkey, {BATCH_DAY} AS file_date FROM base b
+WHERE NOT EXISTS (SELECT 1 FROM errs e WHERE e.o_orderkey = b.o_orderkey)"""
+
+SQL["error_table_upsert"] = f"""WITH {BASE}
+SELECT o_orderkey, o_custkey, {BATCH_DAY} AS file_date,
+       concat_ws(' | ', CASE WHEN o_orderstatus IS NULL THEN 'Column o_orderstatus is null' END,
+                 CASE WHEN o_orderpriority IS NULL THEN 'Column o_orderpriority is null' END) AS error_message
+FROM base WHERE o_orderstatus IS NULL OR o_orderpriority IS NULL"""
 
 SQL["batch_read_formats"] = f"""WITH {POOL},
 {FEED}
@@ -419,17 +441,30 @@ GROUP BY 1, 2, 3, 4"""
 
 # Posts landed in bronze: every post of a landing file whose name matches
 # (files of day 5 carry a ".json.bak" suffix and are quarantined), with the
-# date parts of the file stamp, the comment count and the rescued extra key.
-BRONZE_POSTS = """WITH ev AS (SELECT event_id // 4 AS post_no, date_trunc('hour', ts) AS h FROM events),
+# date parts of the file stamp, the comment count and what didn't fit the schema.
+ALL_POSTS = """WITH ev AS (SELECT event_id // 4 AS post_no, date_trunc('hour', ts) AS h FROM events),
 posts AS (SELECT 'p' || CAST(post_no AS VARCHAR) AS id, post_no AS n, min(h) AS h, count(*) AS n_comments
           FROM ev GROUP BY post_no),
 ann AS (SELECT 'a' || CAST(c_custkey AS VARCHAR) AS id, c_custkey AS n,
                TIMESTAMP '2024-01-01 00:00:00' AS h, 0 AS n_comments FROM customer),
-allp AS (SELECT * FROM posts UNION ALL SELECT * FROM ann)
-SELECT id, strftime(h, '%Y') AS year, strftime(h, '%m') AS month, strftime(h, '%d') AS day,
-       CAST(n_comments AS INTEGER) AS n_comments,
-       CASE WHEN n % 50 = 0 THEN 'channel' END AS rescued_keys
-FROM allp WHERE dayofmonth(h) <> 5"""
+allp AS (SELECT *, nullif(concat_ws(',', CASE WHEN n % 50 = 0 THEN '"channel":"web"' END,
+                 CASE WHEN n % 70 = 0 THEN '"likes":{"summary":{"total_count":"many"}}' END), '') AS rest
+         FROM (SELECT * FROM posts UNION ALL SELECT * FROM ann))"""
+BRONZE_COLS = "CAST(n_comments AS INTEGER) AS n_comments, '{' || rest || '}' AS rescued"
 
-SQL["stream_to_bronze"] = BRONZE_POSTS
-SQL["topic_drain"] = f"""SELECT id, n_comments, rescued_keys FROM ({BRONZE_POSTS})"""
+SQL["stream_to_bronze"] = f"""{ALL_POSTS}
+SELECT id, strftime(h, '%Y') AS year, strftime(h, '%m') AS month, strftime(h, '%d') AS day, {BRONZE_COLS}
+FROM allp WHERE dayofmonth(h) <> 5"""
+SQL["stream_to_csv_bronze"] = SQL["stream_to_bronze"]
+
+SQL["stream_quarantine"] = f"""{ALL_POSTS},
+named AS (SELECT *, 'post_detail_' || strftime(h, '%Y-%m-%d_%H') || '-00-00.json'
+                    || CASE WHEN dayofmonth(h) = 5 THEN '.bak' ELSE '' END AS landing_file FROM allp)
+SELECT id, NULL::VARCHAR AS raw, landing_file FROM named WHERE dayofmonth(h) = 5
+UNION ALL SELECT NULL, '[{{"id": "' || id || '", "message": "cut off', landing_file FROM named WHERE n % 60 = 0
+UNION ALL SELECT NULL, unnest([CAST(n AS VARCHAR), 'abc']), landing_file FROM named WHERE n % 90 = 0"""
+
+# the first drain has the messages of even offsets, the second all
+SQL["topic_drain"] = f"""{ALL_POSTS}
+SELECT id, {BRONZE_COLS} FROM allp
+UNION ALL SELECT id, {BRONZE_COLS} FROM allp WHERE (n // 4) % 2 = 0"""

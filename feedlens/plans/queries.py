@@ -9,12 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from feedlens import schemas
 from feedlens.functions import kpi
+from feedlens.functions.dates import POST_FILE_PATTERN
 from feedlens.functions.rules import Rule
 from feedlens.functions.text import words
 from feedlens.operators import audit, cost, flatten, planning, quality, reports, sentiment, upsert
 from feedlens.plans import jobs
-from feedlens.session import materialize, scratch_path
+from feedlens.session import scratch_path
 from feedlens.sinks import tables as sinks
 from feedlens.sources import control as ctl
 from feedlens.sources import files, fixtures, messages
@@ -183,25 +185,14 @@ def q_error_upsert(spark, sf_dir):
 # ---- audit trail and planning ----------------------------------------------------
 
 
-def _audit_current(spark, sf_dir):
-    return audit.current(ctl.audit_from_orders(spark, sf_dir))
-
-
 def _audit_status(spark, sf_dir):
     """Current status only (hash-aggregated): what the planning views need."""
     return audit.current_status(ctl.audit_from_orders(spark, sf_dir))
 
 
-def _control(spark, sf_dir):
-    """Registry and current status, each computed once per query (both are
-    read several times by the planning joins)."""
-    return (materialize(ctl.registry_from_orders(spark, sf_dir)),
-            materialize(_audit_status(spark, sf_dir)))
-
-
 @register("audit_current")
 def q_audit_current(spark, sf_dir):
-    return _audit_current(spark, sf_dir)
+    return audit.current(ctl.audit_from_orders(spark, sf_dir))
 
 
 @register("audit_lifecycle")
@@ -217,27 +208,27 @@ def q_datasets_to_validate(spark, sf_dir):
 
 @register("pending_rules")
 def q_pending_rules(spark, sf_dir):
-    reg = materialize(ctl.registry_from_orders(spark, sf_dir))
+    reg = ctl.registry_from_orders(spark, sf_dir)
     cols = ctl.columns_from_registry(reg)
     rule_audit = audit.current_status(ctl.rule_audit_from_orders(spark, sf_dir),
-                                      keys=("dataset_column_validation_id", "business_date"))
+                                      keys=("dataset_column_validation_id", "batch_ts"))
     to_validate = planning.datasets_to_validate(reg, _audit_status(spark, sf_dir))
     return (planning.pending_rules(to_validate, ctl.bindings_from_columns(cols),
                                    cols.drop("validation_id", "ix"), ctl.validations(spark), rule_audit)
-            .select("dataset_id", "business_date", "dcv_id", "column_name", "column_datatype",
+            .select("dataset_id", "batch_ts", "business_date", "dcv_id", "column_name", "column_datatype",
                     "validation_name", "audit_status"))
 
 
-def _aggregation_plan(spark, sf_dir, control=None):
-    reg, cur = control or _control(spark, sf_dir)
-    return planning.aggregation_plan(reg, ctl.dataset_aggregation_from_registry(reg),
-                                     ctl.aggregations(spark), ctl.dependencies_from_registry(reg), cur)
+def _aggregation_plan(spark, sf_dir):
+    reg = ctl.registry_from_orders(spark, sf_dir)
+    return planning.aggregation_plan(reg, ctl.dataset_aggregation_from_registry(reg), ctl.aggregations(spark),
+                                     ctl.dependencies_from_registry(reg), _audit_status(spark, sf_dir))
 
 
 @register("aggregation_plan")
 def q_aggregation_plan(spark, sf_dir):
     return _aggregation_plan(spark, sf_dir).select(
-        "dataset_id", "business_date", "aggregation_id", "aggregation_name", "gold_table",
+        "dataset_id", "batch_ts", "business_date", "aggregation_id", "aggregation_name", "gold_table",
         "dependant_dataset_id", "silver_table", "status", "dataset_status")
 
 
@@ -248,10 +239,9 @@ def q_dependency_readiness(spark, sf_dir):
 
 @register("aggregation_guard")
 def q_aggregation_guard(spark, sf_dir):
-    control = _control(spark, sf_dir)
-    ready = (planning.dependency_readiness(_aggregation_plan(spark, sf_dir, control))
-             .filter("ready").select("dataset_id", "business_date"))
-    return audit.not_yet_done(ready, control[1])
+    ready = (planning.dependency_readiness(_aggregation_plan(spark, sf_dir))
+             .filter("ready").select("dataset_id", "aggregation_id", "batch_ts", "business_date"))
+    return audit.not_yet_done(ready, _audit_status(spark, sf_dir))
 
 
 # ---- sources: file names, quarantine, messages, rescue ---------------------------
@@ -260,6 +250,10 @@ def q_aggregation_guard(spark, sf_dir):
 K_SCHEMA = T.StructType([T.StructField("k", T.LongType())])
 
 
+KV_SCHEMA = T.StructType(K_SCHEMA.fields + [
+    T.StructField("v", T.ArrayType(T.StructType([T.StructField("u", T.LongType())])))])
+
+
 @register("file_stamp_parse")
 def q_file_stamp_parse(spark, sf_dir):
     names = tb.landing_rows(spark, sf_dir).select("source_file").distinct()
@@ -284,7 +278,7 @@ def q_message_encode(spark, sf_dir):
     ev = tb.table(spark, sf_dir, "events").select(
         "event_id", "event_type", "user_id",
         F.round(F.col("value") * 100).cast("long").alias("value_cents"))
-    enc = messages.encode(ev, "user_id", "social_media_data",
+    enc = messages.encode(ev, "user_id", tb.TOPIC,
                           ["event_id", "event_type", "user_id", "value_cents"])
     return enc.select(F.col("key").cast("string").alias("key"),
                       F.col("value").cast("string").alias("value"), "topic")
@@ -292,8 +286,8 @@ def q_message_encode(spark, sf_dir):
 
 @register("rescue_unknown_keys")
 def q_rescue_unknown_keys(spark, sf_dir):
-    return (messages.rescue(tb.raw_json_feed(spark, sf_dir), "raw", K_SCHEMA, "rescued_keys")
-            .select("event_id", "k", "rescued_keys"))
+    return (messages.rescue(tb.raw_json_feed(spark, sf_dir), "raw", KV_SCHEMA, "rescued")
+            .select("event_id", "k", "rescued"))
 
 
 # ---- streams, sinks and jobs (write to the shared folder, read back) ----------------
@@ -305,32 +299,53 @@ def _paths(root: str) -> IngestPaths:
                        checkpoint=f"{root}/checkpoint")
 
 
-def _bronze_summary(spark, paths: IngestPaths) -> DataFrame:
-    return read_bronze(spark, paths.bronze).select(
+def _bronze_summary(spark, paths: IngestPaths, fmt: str = "json") -> DataFrame:
+    return read_bronze(spark, paths.bronze, fmt).select(
         "id", "year", "month", "day",
         F.size(F.coalesce(F.col("comments.data"), F.array())).alias("n_comments"),
-        F.col("_rescued").alias("rescued_keys"))
+        F.col("_rescued").alias("rescued"))
+
+
+def _ingested(spark, sf_dir, name: str, fmt: str = "json") -> IngestPaths:
+    """The derived landing files, ingested by the registry row of a dataset."""
+    root = scratch_path(spark, name)
+    fixtures.write_landing(spark, sf_dir, f"{root}/landing")
+    row = {"id": 1, "name": "post_detail", "source_name": "feed", "source_path": f"{root}/landing", "bronze_path": f"{root}/bronze",
+           "unknown_file_path": f"{root}/quarantine", "file_name": "post_detail.lines", "file_name_format": POST_FILE_PATTERN, "format": fmt}
+    registry = spark.createDataFrame([tuple(row.get(f.name) for f in schemas.DATASET.fields)], schemas.DATASET)
+    return jobs.ingest_registered(spark, registry, "post_detail", "feed", f"{root}/audit", f"{root}/checkpoint")
 
 
 @register("stream_to_bronze")
 def q_stream_to_bronze(spark, sf_dir):
-    root = scratch_path(spark, "stream_to_bronze")
-    paths = _paths(root)
-    fixtures.write_landing(spark, sf_dir, paths.landing)
-    jobs.ingest(spark, paths, dataset_id=1)
-    return _bronze_summary(spark, paths)
+    return _bronze_summary(spark, _ingested(spark, sf_dir, "stream_to_bronze"))
+
+
+@register("stream_to_csv_bronze")
+def q_stream_to_csv_bronze(spark, sf_dir):
+    return _bronze_summary(spark, _ingested(spark, sf_dir, "stream_to_csv_bronze", "csv"), "csv")
+
+
+@register("stream_quarantine")
+def q_stream_quarantine(spark, sf_dir):
+    """What the ingest kept out of bronze: posts of wrongly named files, and the texts of lines that are no post."""
+    paths = _ingested(spark, sf_dir, "stream_quarantine")
+    return spark.read.schema("id string, _raw string, filename string").json(paths.quarantine).select(
+        "id", F.col("_raw").alias("raw"), F.regexp_extract("filename", "^([^~]*)", 1).alias("landing_file"))
 
 
 @register("topic_drain")
 def q_topic_drain(spark, sf_dir):
+    """A feed drained twice: again from its start, under a new checkpoint, after messages have been added. The
+    second drain lands the old messages and the new ones, and loses nothing of the first."""
     root = scratch_path(spark, "topic_drain")
-    feed = f"{root}/topic"
-    fixtures.message_files(spark, sf_dir).write.parquet(feed)
-    paths = _paths(root)
-    q = drain_stream.start_drain(spark, feed, paths.landing, f"{root}/drained",
-                                 f"{root}/drain_checkpoint", max_files_per_trigger=4)
-    q.awaitTermination()
-    jobs.ingest(spark, paths, dataset_id=1)
+    feed, paths = f"{root}/topic", _paths(root)
+    messages_ = fixtures.message_rows(spark, sf_dir)
+    for drained, part in (("first", F.col("offset") % 2 == 0), ("second", F.col("offset") % 2 == 1)):
+        messages_.filter(part).write.mode("append").parquet(feed)
+        drain_stream.start_drain(spark, feed, paths.landing, f"{root}/drained", f"{root}/checkpoint_{drained}",
+                                 max_files_per_trigger=4).awaitTermination()
+    jobs.ingest(spark, paths, dataset_id=1, layout="lines")
     # a drained file is stamped with the drain time, so its date parts are not data
     return _bronze_summary(spark, paths).drop("year", "month", "day")
 
@@ -352,32 +367,98 @@ def q_batch_read_formats(spark, sf_dir):
                            T.StructField("year", T.StringType()),
                            T.StructField("month", T.StringType()),
                            T.StructField("day", T.StringType())])
-    parts = [files.read_batch(spark, fmt, f"{root}/{fmt}", schema).withColumn("format", F.lit(fmt))
-             for fmt in ("json", "csv")]
+    parts = [files.read_batch(spark, row["format"], row["bronze_path"], schema).withColumn("format", F.lit(row["format"]))
+             for row in ({"format": fmt, "bronze_path": f"{root}/{fmt}"} for fmt in ("json", "csv"))]
     both = parts[0].unionByName(parts[1])
     return (both.groupBy("format", "year", "month", "day")
             .agg(F.count("*").alias("n_rows"), F.sum("comment_likes").alias("sum_likes")))
 
 
+def _silver(spark, sf_dir, path: str) -> None:
+    """Silver comments by file date; the times of some can't be parsed."""
+    bad = F.substring("comment_id", 2, 20).cast("long") % BAD_TIME_EVERY == 0
+    flat = tb.comment_feed(spark, sf_dir, with_source=True).withColumn("file_date", F.substring("comment_created_time", 1, 10))
+    flat = flat.withColumn("comment_created_time", F.when(bad, F.lit("soon")).otherwise(F.col("comment_created_time")))
+    sinks.write_partitions(flat, path, ["file_date"])
+
+
+# Comments whose time can't be parsed; batch days that are ready, by day of the month.
+BAD_TIME_EVERY = 40
+READY_DAYS = (2, 3, 17)
+
+
 @register("gold_refresh")
 def q_gold_refresh(spark, sf_dir):
     root = scratch_path(spark, "gold_refresh")
-    silver = f"{root}/silver"
-    flat = tb.comment_feed(spark, sf_dir).withColumn(
-        "file_date", F.substring("comment_created_time", 1, 10))
-    sinks.write_partitions(flat, silver, ["file_date"])
-    jobs.refresh_gold(spark, spark.read.parquet(silver), f"{root}/gold")
+    _silver(spark, sf_dir, f"{root}/silver")
+    jobs.refresh_gold(spark, spark.read.parquet(f"{root}/silver"), f"{root}/gold")
     return jobs.read_gold(spark, f"{root}/gold")
 
 
 @register("gold_stream")
 def q_gold_stream(spark, sf_dir):
-    """Silver comments land per source (event type); a file stream folds each
-    micro-batch into gold through additive per-batch partials. The final gold
-    must equal a full recomputation (the flagship)."""
+    """A file stream folds each micro-batch of silver files into gold through additive per-batch partials. The
+    final gold must equal a full recomputation, unparsable times included."""
     root = scratch_path(spark, "gold_stream")
-    tb.comment_feed(spark, sf_dir, with_source=True).write.partitionBy("source").parquet(f"{root}/silver")
+    _silver(spark, sf_dir, f"{root}/silver")
     schema = spark.read.parquet(f"{root}/silver").schema
     jobs.start_gold_stream(spark, f"{root}/silver", schema, f"{root}/partials", f"{root}/gold",
-                           f"{root}/checkpoint", max_files_per_trigger=2).awaitTermination()
+                           f"{root}/checkpoint", max_files_per_trigger=12).awaitTermination()
     return jobs.read_gold(spark, f"{root}/gold")
+
+
+@register("aggregate_ready")
+def q_aggregate_ready(spark, sf_dir):
+    """Two aggregations of a dataset over the days that are ready; one of those days is already done for the
+    dataset, so the guard keeps it out."""
+    root = scratch_path(spark, "aggregate_ready")
+    _silver(spark, sf_dir, f"{root}/silver")
+    day = F.to_date(F.substring("comment_created_time", 1, 10))
+    batches = (tb.comment_feed(spark, sf_dir).select(day.alias("business_date")).distinct()
+               .withColumns({"batch_ts": F.col("business_date").cast("timestamp"), "dataset_id": F.lit(5),
+                             "ready": F.dayofmonth("business_date").isin(*READY_DAYS)}))
+    readiness = batches.withColumn("aggregation_name", F.explode(F.array(F.lit("daily_kpi"), F.lit("sentiment_trend"))))
+    state = batches.filter(F.dayofmonth("business_date") == READY_DAYS[0]).withColumn("status", F.lit("Success"))
+    gold = {(5, a): f"{root}/gold_{a}" for a in ("daily_kpi", "sentiment_trend")}
+    jobs.aggregate_ready(spark, readiness, state, {5: [f"{root}/silver"]}, gold, f"{root}/audit")
+    trend = spark.read.parquet(gold[5, "sentiment_trend"]).groupBy("comment_date").agg(
+        F.sum(F.when(F.col("sentiment_label") == kpi.POSITIVE, F.col("count")).otherwise(0)).alias("n_positive"))
+    daily = jobs.read_gold(spark, gold[5, "daily_kpi"]).select("comment_date", "total_comments", "promoters")
+    joined = daily.join(trend, daily["comment_date"].eqNullSafe(trend["comment_date"])).select(
+        daily["comment_date"], "total_comments", "promoters", "n_positive")
+    return joined
+
+
+# ---- entry B with stored errors -----------------------------------------------------------
+
+
+def _batches(spark, sf_dir) -> DataFrame:
+    """Rule input by batch day (NULL for some rows); a status column whose rule rejects rows, and a priority column."""
+    late = F.col("o_custkey") % 100 == 1
+    return tb.rule_input(spark, sf_dir).withColumn(
+        "file_date", F.when(late, F.lit(None).cast("string")).otherwise(F.date_format("o_orderdate", "yyyy-MM")))
+
+
+@register("validate_retry")
+def q_validate_retry(spark, sf_dir):
+    """A batch validated twice: first with a rule that rejects rows and one whose column is missing, so that nothing is promoted;
+    then with only the second rule pending. Silver must hold neither the rows of the first run's errors nor the second's."""
+    root = scratch_path(spark, "validate_retry")
+    batch = _batches(spark, sf_dir)
+    first, second = ORDER_RULES[0], ORDER_RULES[1]
+    jobs.validate(spark, batch.drop("o_orderpriority"), [first, second], "o_orderkey", f"{root}/errors_of_first", f"{root}/silver")
+    jobs.validate(spark, batch, [first], "o_orderkey", f"{root}/errors", f"{root}/ignored")
+    jobs.validate(spark, batch, [second], "o_orderkey", f"{root}/errors", f"{root}/silver")
+    schema = T.StructType([f for f in batch.schema.fields])
+    return spark.read.schema(schema).parquet(f"{root}/silver").select("o_orderkey", "o_custkey", "file_date")
+
+
+@register("error_table_upsert")
+def q_error_table_upsert(spark, sf_dir):
+    """The stored error table after two upserts; batches without a date are kept."""
+    root = scratch_path(spark, "error_table_upsert")
+    batch = _batches(spark, sf_dir)
+    for rule in ORDER_RULES[:2]:
+        jobs.upsert_error_table(spark, quality.error_rows(batch, [rule]), f"{root}/errors")
+    stored = quality.error_rows(batch, ORDER_RULES[:1]).schema
+    return spark.read.schema(stored).parquet(f"{root}/errors").select("o_orderkey", "o_custkey", "file_date", "error_message")

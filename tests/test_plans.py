@@ -5,11 +5,12 @@ import re
 
 import pytest
 
-import __spark_entry__ as se
+from feedlens.plans.queries import QUERIES
 
 from .conftest import SF_SMALL, plan_text
 
-WRITES_FIRST = {"stream_to_bronze", "topic_drain", "batch_read_formats", "gold_refresh", "gold_stream"}
+WRITES_FIRST = {"stream_to_bronze", "topic_drain", "batch_read_formats", "gold_refresh", "gold_stream",
+                "stream_to_csv_bronze", "stream_quarantine", "aggregate_ready", "validate_retry", "error_table_upsert"}
 # columns each scan may read (the queries where pruning matters most)
 READS = {
     "daily_nps_csat": {"events": {"event_id", "ts"}},
@@ -28,9 +29,9 @@ def scans(plan):
     return [(t, {re.sub(r"#\d+L?$", "", c.strip()) for c in cols.split(",")}) for cols, t in out]
 
 
-@pytest.mark.parametrize("name", sorted(set(se.queries()) - WRITES_FIRST))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - WRITES_FIRST))
 def test_plan_shape(spark, name):
-    plan = plan_text(se.queries()[name](spark, SF_SMALL), "simple")
+    plan = plan_text(QUERIES[name](spark, SF_SMALL), "simple")
     for bad in ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert bad not in plan, bad
     for table, cols in scans(plan):

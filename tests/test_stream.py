@@ -45,12 +45,12 @@ def test_ingest_restart_and_replay(spark, tmp_path):
     bronze = read_bronze(spark, p.bronze)
     got = {r["id"]: r for r in bronze.collect()}
     assert sorted(got) == ["a", "b", "c", "d"]
-    assert got["b"]["_rescued"] == "channel" and got["a"]["_rescued"] is None
+    assert got["b"]["_rescued"] == '{"channel":"web"}' and got["a"]["_rescued"] is None
     assert got["a"]["year"] == "2024" and got["a"]["month"] == "03" and got["a"]["day"] == "26"
     assert got["c"]["filename"] == "post_detail_2024-03-26_11-00-00.json"
     assert [c["message"] for c in got["a"]["comments"]["data"]] == ["good", None]
     q = spark.read.json(p.quarantine)
-    assert [r["id"] for r in q.collect()] == ["e"]
+    assert [r["id"] for r in q.collect()] == ["e"] and q.columns.count("ingest_batch") == 1
     aud = spark.read.parquet(p.audit)
     assert aud.filter("status = 'Success'").count() == 2
     assert [r["error_message"] for r in aud.filter("status = 'Failed'").collect()] == \
@@ -68,22 +68,101 @@ def test_ingest_restart_and_replay(spark, tmp_path):
     assert read_bronze(spark, p.bronze).count() == 5
 
 
+MESSAGE = "key binary, value binary, topic string, partition int, offset long, timestamp timestamp"
+
+
+def feed_of(spark, bodies, start=0):
+    return spark.createDataFrame([(b"host", b if b is None else b.encode(), "topic", 0, start + i, None) for i, b in enumerate(bodies)], MESSAGE)
+
+
+def landed(root):
+    return sorted(f"{d.rsplit('/', 1)[1]}/{f}" for d, _, fs in os.walk(root) for f in fs if f.startswith("part-"))
+
+
 def test_drain_then_ingest(spark, tmp_path):
     root = str(tmp_path)
-    bodies = [json.dumps([post("m1", ["a"]), post("m2", [])]), json.dumps([post("m3", ["b"])])]
-    feed = spark.createDataFrame([(b"host", b.encode(), "topic", 0, i, None) for i, b in enumerate(bodies)],
-                                 "key binary, value binary, topic string, partition int, offset long, "
-                                 "timestamp timestamp")
-    feed.write.parquet(f"{root}/topic")
+    bodies = [json.dumps([post("m1", ["a"]), post("m2", [])], indent=1), json.dumps([[post("m3", ["b"])]]), json.dumps(post("m4", [])),
+              None, "cut off {"]
+    feed_of(spark, bodies).write.parquet(f"{root}/topic")
     p = paths(root)
-    q = drain.start_drain(spark, f"{root}/topic", p.landing, f"{root}/drained", f"{root}/dcp")
-    q.awaitTermination()
-    names = os.listdir(p.landing)
-    assert len(names) == 1 and names[0].startswith("post_detail_") and names[0].endswith(".json")
-    log = spark.read.parquet(f"{root}/drained/files").collect()[0]
-    assert (log["n_messages"], log["min_offset"], log["max_offset"]) == (2, 0, 1)
+    drain.start_drain(spark, f"{root}/topic", p.landing, f"{root}/drained", f"{root}/dcp").awaitTermination()
+    assert all(n.startswith("landing_file=post_detail_") and ".json/part-" in n for n in landed(p.landing))
+    log = spark.read.parquet(f"{root}/drained").collect()
+    assert [(r["n_messages"], r["min_offset"], r["max_offset"]) for r in log] == [(4, 0, 4)]
+    jobs.ingest(spark, p, dataset_id=1, layout="lines")
+    assert sorted(r["id"] for r in read_bronze(spark, p.bronze).collect()) == ["m1", "m2", "m3", "m4"]
+    assert [r["_raw"] for r in spark.read.schema("_raw string").json(p.quarantine).collect()] == ["cut off {"]
+
+
+def test_a_second_drain_lands_old_and_new_messages(spark, tmp_path):
+    root = str(tmp_path)
+    p = paths(root)
+    for k, body in enumerate([[post("a", [])], [post("b", [])]]):
+        feed_of(spark, [json.dumps(body)], k).write.mode("append").parquet(f"{root}/topic")
+        drain.start_drain(spark, f"{root}/topic", p.landing, f"{root}/drained", f"{root}/dcp{k}").awaitTermination()
+        jobs.ingest(spark, p, dataset_id=1, layout="lines")
+    assert sorted(r["id"] for r in read_bronze(spark, p.bronze).collect()) == ["a", "a", "b"]
+
+
+def test_a_replayed_drain_batch_overwrites_its_folder(spark, tmp_path):
+    root = str(tmp_path)
+    p = paths(root)
+    feed = feed_of(spark, [json.dumps([post(f"r{i}", [])]) for i in range(4)]).withColumn(
+        drain.DRAINED_AT, F.lit("2024-05-01 10:00:00").cast("timestamp"))
+    w = drain.drain_writer(p.landing, f"{root}/drained", lambda spark, batch_id: f"q-{batch_id}")
+    for batch_id in (0, 0, 1):
+        w(feed, batch_id)
+    lines = spark.read.option("recursiveFileLookup", "true").text(p.landing)
+    assert lines.count() == 8
+    assert sorted(os.listdir(p.landing)) == ["_SUCCESS", "drain=q-0", "drain=q-1"] or {"drain=q-0", "drain=q-1"} <= set(os.listdir(p.landing))
+
+
+def test_shapes_of_landing_files(spark, tmp_path):
+    """One object, one object a line, elements that are no post, a truncated array; nothing readable or raw is lost."""
+    root = str(tmp_path)
+    p = paths(root)
+    write(p.landing, "post_detail_2024-03-26_01-00-00.json", post("one", []))
+    os.makedirs(p.landing, exist_ok=True)
+    texts = {"02": json.dumps(post("l1", [])) + "\n" + json.dumps(post("l2", [])) + "\n", "03": json.dumps([post("ok", []), 1, "abc", None]),
+             "04": '[{"id": "x", "message": "cut', "05": "", "06": json.dumps(post("last", []))[:-3]}
+    for hour, text in texts.items():
+        with open(os.path.join(p.landing, f"post_detail_2024-03-26_{hour}-00-00.json"), "w") as f:
+            f.write(text)
     jobs.ingest(spark, p, dataset_id=1)
-    assert sorted(r["id"] for r in read_bronze(spark, p.bronze).collect()) == ["m1", "m2", "m3"]
+    assert sorted(r["id"] for r in read_bronze(spark, p.bronze).collect()) == ["l1", "l2", "ok", "one"]
+    raw = [r["_raw"] for r in spark.read.schema("_raw string").json(p.quarantine).collect()]
+    assert sorted(x for x in raw if x) == sorted(["1", "abc", texts["04"], texts["06"]])
+    said = {r["filename"][23:25]: (r["status"], r["error_message"]) for r in spark.read.parquet(p.audit).filter("status in ('Success', 'Failed')").collect()}
+    assert said["03"][0] == "Success" and "3 elements are no posts" in said["03"][1] and said["04"][0] == "Failed"
+    assert all(r["batch_ts"] is not None for r in spark.read.parquet(p.audit).filter("status = 'Success'").collect())
+
+
+def test_registered_pattern_and_format_reach_the_stream(spark, tmp_path):
+    from feedlens import schemas
+    root = str(tmp_path)
+    write(f"{root}/in", "notes_2024-03-26_10-00-00.json", [post("n1", ["x"])])
+    write(f"{root}/in", "post_detail_2024-03-26_10-00-00.json", [post("other", [])])
+    row = {"id": 4, "name": "notes", "source_name": "s", "source_path": f"{root}/in", "bronze_path": f"{root}/b", "unknown_file_path": f"{root}/q",
+           "file_name": "notes", "file_name_format": r"notes_(\d{4}-\d{2}-\d{2}_\d{2}-\d{2}-\d{2})\.json", "format": "csv"}
+    reg = spark.createDataFrame([tuple(row.get(f.name) for f in schemas.DATASET.fields)], schemas.DATASET)
+    jobs.ingest_registered(spark, reg, "notes", "s", f"{root}/audit", f"{root}/cp")
+    got = read_bronze(spark, f"{root}/b", "csv").collect()
+    assert [(r["id"], r["day"], r["comments"]["data"][0]["message"]) for r in got] == [("n1", "26", "x")]
+    assert spark.read.parquet(f"{root}/audit").filter("status = 'Failed'").count() == 1
+
+
+def test_rejected_rows_stay_out_when_the_other_rules_run_later(spark, tmp_path):
+    root = str(tmp_path)
+    rows = [("c1", "2024-03-26", None, "x"), ("c2", "2024-03-26", "ok", None), ("c3", "2024-03-26", "ok", "y"), ("c4", None, None, "z"), ("c5", None, "ok", "z")]
+    batch = spark.createDataFrame(rows, "id string, file_date string, a string, b string")
+    cols = "dcv_id long, column_name string, validation_name string, column_datatype string, validation_parameters string"
+    rule = lambda k, c: spark.createDataFrame([(k, c, "column_null_validation", "STRING", None)], cols)
+    args = ("id", f"{root}/errors", f"{root}/silver", f"{root}/rule_audit", f"{root}/audit", 1, "2024-03-26 05:00:00")
+    both = rule(11, "a").unionByName(rule(12, "b"))
+    assert jobs.validate_and_audit(spark, batch.drop("b"), both, *args) == "Validation Failed"
+    assert jobs.validate_and_audit(spark, batch, rule(12, "b"), *args) == "Validated"
+    assert sorted(r["id"] for r in spark.read.parquet(f"{root}/silver").collect()) == ["c3", "c5"]
+    assert {str(r["batch_ts"]) for r in spark.read.parquet(f"{root}/rule_audit").collect()} == {"2024-03-26 05:00:00"}
 
 
 def test_validate_job_and_gold(spark, tmp_path):
@@ -136,7 +215,7 @@ def test_validate_and_audit_entry_b(spark, tmp_path):
         "dcv_id long, column_name string, validation_name string, column_datatype string, "
         "validation_parameters string")
     status = jobs.validate_and_audit(spark, batch, pending, "id", f"{root}/errors", f"{root}/silver",
-                                     f"{root}/rule_audit", f"{root}/audit", 1, "2024-03-26")
+                                     f"{root}/rule_audit", f"{root}/audit", 1, "2024-03-26 00:00:00")
     assert status == "Validated"
     assert sorted(r["id"] for r in spark.read.parquet(f"{root}/silver").collect()) == ["c1", "c3"]
     ra = {r["dataset_column_validation_id"]: r["error_message"] for r in spark.read.parquet(f"{root}/rule_audit").collect()}
@@ -150,53 +229,24 @@ def test_aggregate_ready_entry_c(spark, tmp_path):
     import datetime as dt
     root = str(tmp_path)
     silver = spark.createDataFrame(
-        [("c1", "love it", "2024-03-26T10:00:00.000000+0000"), ("c2", "bad", "2024-03-26T11:00:00.000000+0000")],
-        "comment_id string, comment_message string, comment_created_time string")
-    silver.write.parquet(f"{root}/silver_1")
-    readiness = spark.createDataFrame([(5, dt.date(2024, 3, 26), True), (10, dt.date(2024, 3, 26), False),
-                                       (15, dt.date(2024, 3, 26), True)],
-                                      "dataset_id int, business_date date, ready boolean")
-    out = jobs.aggregate_ready(spark, readiness, {5: [f"{root}/silver_1"]},
-                               {5: f"{root}/gold_5", 15: f"{root}/gold_15"}, f"{root}/audit")
-    assert out == {(5, "2024-03-26"): "Success", (15, "2024-03-26"): "Skipped"}
-    g = jobs.read_gold(spark, f"{root}/gold_5").collect()[0]
-    assert (g["total_comments"], g["promoters"], g["detractors"]) == (2, 1, 1)
-
-
-def test_large_drain_is_split(spark, tmp_path):
-    root = str(tmp_path)
-    bodies = [json.dumps([post(f"m{i}", ["a"])]) for i in range(7)]
-    feed = spark.createDataFrame([(b"h", b.encode(), "topic", 0, i, None) for i, b in enumerate(bodies)],
-                                 "key binary, value binary, topic string, partition int, offset long, "
-                                 "timestamp timestamp")
-    feed.write.parquet(f"{root}/topic")
-    p = paths(root)
-    q = (spark.readStream.schema(feed.schema).parquet(f"{root}/topic").writeStream
-         .foreachBatch(drain.drain_writer(p.landing, f"{root}/drained", max_messages_per_file=3))
-         .option("checkpointLocation", f"{root}/dcp").trigger(availableNow=True).start())
-    q.awaitTermination()
-    names = sorted(os.listdir(p.landing))
-    assert len(names) == 3 and len(set(names)) == 3
-    log = spark.read.parquet(f"{root}/drained/files").collect()
-    assert sum(r["n_messages"] for r in log) == 7
-    jobs.ingest(spark, p, dataset_id=1)
-    assert read_bronze(spark, p.bronze).count() == 7
-
-
-def test_replayed_drain_reuses_its_file_names(spark, tmp_path):
-    root = str(tmp_path)
-    bodies = [json.dumps([post(f"r{i}", ["a"])]) for i in range(4)]
-    feed = spark.createDataFrame([(b"h", b.encode(), "topic", 0, i, None) for i, b in enumerate(bodies)],
-                                 "key binary, value binary, topic string, partition int, offset long, "
-                                 "timestamp timestamp")
-    p = paths(root)
-    w = drain.drain_writer(p.landing, f"{root}/drained", max_messages_per_file=2)
-    w(feed, 0)
-    first = sorted(os.listdir(p.landing))
-    w(feed, 0)  # the same batch again, as after a failure before the commit
-    assert sorted(os.listdir(p.landing)) == first and len(first) == 2
-    w(feed, 1)  # a new batch gets new names
-    assert len(os.listdir(p.landing)) == 4
+        [("c1", "love it", "2024-03-26T10:00:00.000000+0000", "2024-03-26"), ("c2", "bad", "2024-03-27T11:00:00.000000+0000", "2024-03-26"),
+         ("c3", "bad", "2024-03-27T12:00:00.000000+0000", "2024-03-27"), ("c4", "bad", "soon", "2024-03-26")],
+        "comment_id string, comment_message string, comment_created_time string, file_date string")
+    silver.write.partitionBy("file_date").parquet(f"{root}/silver_1")
+    d = [dt.date(2024, 3, k) for k in (25, 26, 27)]
+    rows = [(ds, a, dt.datetime.combine(day, dt.time()), day, ready) for ds, a, day, ready in [
+        (5, "daily_kpi", d[0], True), (5, "daily_kpi", d[1], True), (5, "daily_kpi", d[2], False), (5, "sentiment_trend", d[1], True),
+        (15, "daily_kpi", d[1], True)]]
+    readiness = spark.createDataFrame(rows, "dataset_id int, aggregation_name string, batch_ts timestamp, business_date date, ready boolean")
+    state = readiness.filter("business_date = date'2024-03-25'").selectExpr("dataset_id", "batch_ts", "'Success' AS status")
+    gold = {(5, "daily_kpi"): f"{root}/g_kpi", (5, "sentiment_trend"): f"{root}/g_trend", (15, "daily_kpi"): f"{root}/g15"}
+    for _ in range(2):  # a second run replaces its own partials
+        out = jobs.aggregate_ready(spark, readiness, state, {5: [f"{root}/silver_1"], 15: [f"{root}/none"]}, gold, f"{root}/audit")
+    assert sorted((r["dataset_id"], r["aggregation_name"], str(r["business_date"]), r["status"]) for r in out.collect()) == [
+        (5, "daily_kpi", "2024-03-26", "Success"), (5, "sentiment_trend", "2024-03-26", "Success"), (15, "daily_kpi", "2024-03-26", "Skipped")]
+    g = {str(r["comment_date"]): r["total_comments"] for r in jobs.read_gold(spark, f"{root}/g_kpi").collect()}
+    assert g == {"2024-03-26": 1, "2024-03-27": 1, "None": 1}  # the day that isn't ready isn't read
+    assert spark.read.parquet(f"{root}/g_trend").count() == 3
 
 
 def test_bronze_read_prunes_partitions(spark, tmp_path):
@@ -243,7 +293,7 @@ def test_unparsable_and_empty_files(spark, tmp_path):
     assert [r["id"] for r in read_bronze(spark, p.bronze).collect()] == ["b"]
     failed = spark.read.parquet(p.audit).filter("status = 'Failed'").collect()
     assert [r["error_message"] for r in failed] == \
-        ["File post_detail_2024-03-26_10-00-00.json is not a JSON array of posts"]
+        ["File post_detail_2024-03-26_10-00-00.json holds no post"]
     assert spark.read.json(p.quarantine).count() == 1
 
 
@@ -263,20 +313,6 @@ def test_incremental_gold_equals_full_refresh(spark, tmp_path):
     assert inc == full and len(full) == 30
 
 
-def test_drain_splits_by_bytes(spark, tmp_path):
-    root = str(tmp_path)
-    bodies = [json.dumps([post(f"z{i}", ["x" * 200])]) for i in range(6)]
-    feed = spark.createDataFrame([(b"h", b.encode(), "topic", 0, i, None) for i, b in enumerate(bodies)],
-                                 "key binary, value binary, topic string, partition int, offset long, "
-                                 "timestamp timestamp")
-    p = paths(root)
-    w = drain.drain_writer(p.landing, f"{root}/drained", max_bytes_per_file=len(bodies[0]) * 2)
-    w(feed, 0)
-    assert len(os.listdir(p.landing)) == 3
-    jobs.ingest(spark, p, dataset_id=1)
-    assert read_bronze(spark, p.bronze).count() == 6
-
-
 def test_gold_stream_equals_full_refresh(spark, tmp_path):
     from feedlens.sources import tables as tb
     from tests.conftest import SF_SMALL
@@ -316,7 +352,7 @@ def test_batch_with_a_failing_rule_is_not_promoted(spark, tmp_path):
         "dcv_id long, column_name string, validation_name string, column_datatype string, "
         "validation_parameters string")
     status = jobs.validate_and_audit(spark, batch, pending, "id", f"{root}/errors", f"{root}/silver",
-                                     f"{root}/rule_audit", f"{root}/audit", 1, "2024-03-26")
+                                     f"{root}/rule_audit", f"{root}/audit", 1, "2024-03-26 00:00:00")
     assert status == "Validation Failed"
     assert not os.path.exists(f"{root}/silver")
     assert spark.read.parquet(f"{root}/errors").count() == 1  # the rule that ran recorded its error
@@ -327,17 +363,6 @@ def test_batch_with_a_failing_rule_is_not_promoted(spark, tmp_path):
     assert (aud["status"], aud["error_message"]) == ("Validation Failed", "Column missing_col not found")
 
 
-def test_restarted_drain_never_reuses_a_name(spark, tmp_path):
-    root = str(tmp_path)
-    feed = spark.createDataFrame([(b"h", json.dumps([post("r", ["a"])]).encode(), "topic", 0, 0, None)],
-                                 "key binary, value binary, topic string, partition int, offset long, "
-                                 "timestamp timestamp")
-    p = paths(root)
-    drain.drain_writer(p.landing, f"{root}/drained")(feed, 0)
-    drain.drain_writer(p.landing, f"{root}/drained")(feed, 1)  # a new writer, as after a restart
-    assert len(set(os.listdir(p.landing))) == 2
-
-
 def test_kafka_publish_needs_the_connector(spark):
     import pytest
     from feedlens.sources import messages
