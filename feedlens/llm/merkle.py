@@ -78,12 +78,11 @@ def with_next(docs: DataFrame) -> DataFrame:
     borders = docs.agg(F.percentile_approx("doc_id", [k / n for k in range(1, n)], 20 * n)).first()[0] or []
     borders = sorted(set(borders))
     docs = docs.withColumns({"range": rank_among(borders, F.col("doc_id")), "tie": F.md5(F.col("text").cast("binary"))})
-    first = (docs.groupBy("range").agg(F.min(F.struct("doc_id", "tie")).alias("at"))
-             .withColumn("before", F.coalesce(F.lag("range").over(Window.orderBy("range")), F.lit(-1))))
-    last = docs.agg(F.max("range").alias("last"))
-    guards = first.crossJoin(F.broadcast(last)).select(
-        F.col("at.doc_id").alias("g_id"), F.col("at.tie").alias("g_tie"),
-        F.when(F.col("before") < 0, F.col("last")).otherwise(F.col("before")).alias("before"))
+    order = Window.orderBy("range")
+    guards = (docs.groupBy("range").agg(F.min(F.struct("doc_id", "tie")).alias("at"))  # a row for each range
+              .select(F.col("at.doc_id").alias("g_id"), F.col("at.tie").alias("g_tie"), F.coalesce(
+                  F.lag("range").over(order), F.last("range").over(order.rowsBetween(
+                      Window.unboundedPreceding, Window.unboundedFollowing))).alias("before")))
     slots = F.array(F.struct(F.col("range").alias("range"), F.lit(False).alias("guard")),
                     F.struct(F.col("before").alias("range"), F.lit(True).alias("guard")))
     dealt = (docs.join(F.broadcast(guards), F.col("doc_id").eqNullSafe(F.col("g_id")) & (F.col("tie") == F.col("g_tie")), "left")
