@@ -458,7 +458,7 @@ FROM allp WHERE dayofmonth(h) <> 5"""
 SQL["stream_to_csv_bronze"] = SQL["stream_to_bronze"]
 
 SQL["stream_quarantine"] = f"""{ALL_POSTS},
-named AS (SELECT *, 'post_detail_' || strftime(h, '%Y-%m-%d_%H') || '-00-00.json'
+named AS (SELECT *, 'post_detail_' || strftime(h, '%Y-%m-%d') || '_00-00-00.json'
                     || CASE WHEN dayofmonth(h) = 5 THEN '.bak' ELSE '' END AS landing_file FROM allp)
 SELECT id, NULL::VARCHAR AS raw, landing_file FROM named WHERE dayofmonth(h) = 5
 UNION ALL SELECT NULL, '[{{"id": "' || id || '", "message": "cut off', landing_file FROM named WHERE n % 60 = 0

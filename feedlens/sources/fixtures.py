@@ -1,6 +1,6 @@
 """Landing files and message feeds derived from the given tables.
 
-They follow the registered name pattern (one landing file for each post hour, in parts of any number)
+They follow the registered name pattern (one landing file for each post day, in parts of any number)
 and carry the edge cases that the ingest path must handle: names that do not match, the three
 shapes of a line, posts with unknown and mistyped values, and lines that hold no post.
 """
@@ -22,14 +22,13 @@ EXTRA_KEY_EVERY, MISTYPED_EVERY, CUT_OFF_EVERY, SCALAR_EVERY = 50, 70, 60, 90
 
 
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(n, day, hour, post): every post as JSON text, some with an unknown or a mistyped value."""
+    """(id, n, day, post): every post as JSON text, some with an unknown or a mistyped value."""
     post_json = F.to_json(F.struct(*[F.col(c) for c in schemas.POST_FIELDS]))
     n = F.substring("id", 2, 20).cast("long")  # ids are p<post> / a<customer>
-    hour = F.substring("created_time", 12, 2)
     text = F.when(n % EXTRA_KEY_EVERY == 0, F.regexp_replace(post_json, "}$", ',"channel":"web"}')).otherwise(post_json)
     text = F.when(n % MISTYPED_EVERY == 0, F.regexp_replace(
         text, '"total_count":([0-9]+)', '"total_count":"many"')).otherwise(text)
-    return nested_feed(spark, sf_dir).select("id", n.alias("n"), utc_date("created_time").alias("day"), hour.alias("hour"),
+    return nested_feed(spark, sf_dir).select("id", n.alias("n"), utc_date("created_time").alias("day"),
                                              text.alias("post"))
 
 
@@ -40,7 +39,7 @@ def landing_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
             .when(n % SHAPES == 1, F.concat(F.lit("[["), post, F.lit("]]"))).otherwise(post))
     junk = [F.when(n % CUT_OFF_EVERY == 0, F.concat(F.lit('[{"id": "'), F.col("id"), F.lit('", "message": "cut off'))),
             F.when(n % SCALAR_EVERY == 0, F.concat(F.lit("["), n.cast("string"), F.lit(', "abc"]')))]
-    name = F.concat(F.lit("post_detail_"), F.date_format("day", "yyyy-MM-dd"), F.lit("_"), F.col("hour"), F.lit("-00-00.json"),
+    name = F.concat(F.lit("post_detail_"), F.date_format("day", "yyyy-MM-dd"), F.lit("_00-00-00.json"),
                     F.when(F.dayofmonth("day") == BAD_NAME_DAY, F.lit(".bak")).otherwise(F.lit("")))
     lines: Column = F.filter(F.array(line, *junk), lambda x: x.isNotNull())
     return posts(spark, sf_dir).select(name.alias(LANDING_FILE), F.explode(lines).alias("line"))
