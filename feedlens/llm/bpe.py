@@ -16,8 +16,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .common import map_rows
-from .tokens import CACHE_WORDS, read_ranks
+from .tokens import groups, read_ranks
 
+#: Pieces kept in a worker's memory before it starts anew (a memory bound; results don't depend on it).
+CACHE_PIECES = 400_000
 #: Bytes of new pieces contracted by one recursive query, and tokens decoded by one: memory bounds only.
 QUERY_BYTES = 4 << 20
 DECODE_TOKENS = 1 << 20
@@ -100,7 +102,7 @@ class Bpe:
 
     def learn(self, pieces: set[str]) -> None:
         """Add the ids of pieces not known yet."""
-        if len(self.known) + len(pieces) > CACHE_WORDS:
+        if len(self.known) + len(pieces) > CACHE_PIECES:
             self.known.clear()
         held: list[tuple[str, bytes]] = []
         weight = 0
@@ -127,7 +129,7 @@ class Bpe:
         wanted = set().union(*split) if split else set()
         new = {p for p in wanted if p not in self.known}
         if new:
-            if len(self.known) + len(new) > CACHE_WORDS:
+            if len(self.known) + len(new) > CACHE_PIECES:
                 new = wanted
             self.learn(new)
         out = []
@@ -174,19 +176,6 @@ def worker_bpe(ranks_path: str, pattern: str) -> Bpe:
     return Bpe(ranks_path, pattern)
 
 
-def groups(rows, weigh, most: int):
-    """Lists of rows of bounded weight."""
-    held, weight = [], 0
-    for row in rows:
-        held.append(row)
-        weight += weigh(row)
-        if weight >= most:
-            yield held
-            held, weight = [], 0
-    if held:
-        yield held
-
-
 def encode(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, token_ids array<int>) of every whole text, as the rank file's encoder gives without special tokens.
 

@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from .common import map_rows
-from .tokens import word_encoder
+from .tokens import groups, word_encoder
 
 #: Longest window; shorter tiers are its halves.
 WINDOW = 2048
@@ -28,6 +28,8 @@ END_ID = 1
 FLUSH_TOKENS = 1 << 20
 #: Tokens of a step group: so many windows of a tier as hold this many tokens.
 STEP_TOKENS = 1 << 15
+#: Text encoded together by a task.
+GROUP_CHARS = 1 << 20
 
 SCHEMA = ("{id} bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
           "sequence_id bigint, offset bigint, window_length int, step_group bigint")
@@ -141,8 +143,9 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
         context = TaskContext.get()
         packer = Packer(context.partitionId() if context else 0, window, flush_tokens)
         encoder = word_encoder(tokenizer_path)
-        for doc, text in rows:
-            yield from packer.add(doc, np.append(encoder.encode(text or ""), np.uint32(END_ID)))
+        for group in groups(rows, lambda r: len(r[1] or ""), GROUP_CHARS):
+            for (doc, _), ids in zip(group, encoder.encode([text or "" for _, text in group])):
+                yield from packer.add(doc, np.append(ids, np.uint32(END_ID)))
         yield from packer.flush(last=True)
 
     return map_rows(docs.select(id_col, text_col), run, schema)

@@ -5,12 +5,16 @@ from __future__ import annotations
 import base64
 import os
 import re
+from array import array
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 
-#: Words kept in a worker's memory before it starts anew (a memory bound; results don't depend on it).
-CACHE_WORDS = 400_000
+#: Words kept in a worker's memory; when there are more, the first half, which holds the frequent ones, stays (a
+#: memory bound; results don't depend on it).
+CACHE_WORDS = 700_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -34,11 +38,14 @@ class WordEncoder:
     """Ids of the white-space-dropping word BPE, found once for each distinct word.
 
     The tokenizer drops white space and never merges across it, so a text's ids are those of
-    its words in order. Only tab, line feed, carriage return and space separate words
-    here; rarer white space stays inside a word and is left to the tokenizer itself.
+    its words in order. Python also splits at the separators U+001C to U+001F, which are no white
+    space to the tokenizer; texts that hold one are split at common white space only.
+    A full stop or comma after an ASCII letter is always a token of its own, and the tokenizer lowers
+    letters, so such words are looked up by their stem in lower case.
     """
 
     _split = re.compile("[ \t\n\r]+")
+    _odd = "\x1c\x1d\x1e\x1f"
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -46,22 +53,56 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, bytes] = {}
+        self.ends = dict(zip(".,", self._ids([".", ","])))
 
-    def encode(self, text: str) -> np.ndarray:
-        words = self._split.split(text)
-        known = self.known
-        new = list({w for w in words if w not in known})
-        if new:
-            if len(known) + len(new) > CACHE_WORDS:
-                known.clear()
-                new = list(set(words))
-            for word, found in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-                known[word] = found.ids
-        out: list[int] = []
+    def _ids(self, words: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
+        return [array("I", f.ids).tobytes() for f in found]
+
+    def _learn(self, words: set[str]) -> None:
+        stems: dict[str, str] = {}
         for word in words:
-            out += known[word]
-        return np.array(out, dtype=np.uint32)
+            stem = word
+            if len(word) > 1 and word[-1] in self.ends and word[-2].isascii() and word[-2].isalpha():
+                stem = word[:-1]
+            stems[word] = stem.lower() if stem.isascii() else stem
+        new = list({stem for stem in stems.values() if stem not in self.known})
+        self.known.update(zip(new, self._ids(new)))
+        for word, stem in stems.items():
+            ids = self.known[stem]
+            ended = len(word) > len(stem)
+            self.known[word] = ids + self.ends[word[-1]] if ended else ids
+
+    def words(self, text: str) -> list[str]:
+        return self._split.split(text) if any(c in text for c in self._odd) else text.split()
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids (uint32) of each text."""
+        split = [self.words(text) for text in texts]
+        found = [list(map(self.known.get, words)) for words in split]
+        new = {w for words, ids in zip(split, found) if None in ids for w, i in zip(words, ids) if i is None}
+        if new:
+            self._learn(new)
+            for words, ids in zip(split, found):
+                if None in ids:
+                    ids[:] = [self.known[w] if i is None else i for w, i in zip(words, ids)]
+            if len(self.known) > CACHE_WORDS:
+                self.known = dict(islice(self.known.items(), CACHE_WORDS // 2))
+        return [np.frombuffer(b"".join(ids), dtype=np.uint32) for ids in found]
+
+
+def groups(rows: Iterable, weigh: Callable, most: int) -> Iterator[list]:
+    """Lists of rows of bounded weight."""
+    held, weight = [], 0
+    for row in rows:
+        held.append(row)
+        weight += weigh(row)
+        if weight >= most:
+            yield held
+            held, weight = [], 0
+    if held:
+        yield held
 
 
 @lru_cache(maxsize=2)

@@ -49,7 +49,7 @@ def test_op4_memory_bounds_change_nothing(monkeypatch):
     texts = ["the quick brown foxes", "  spaces   and\n\nlines ", "", "aaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaa", "naïve façade 漢字"]
     want = [encoder(MULTI).encode_ordinary(t) for t in texts]
     import feedlens.llm.bpe as module
-    for name, value in (("QUERY_BYTES", 6), ("DECODE_TOKENS", 3), ("CACHE_WORDS", 2)):
+    for name, value in (("QUERY_BYTES", 6), ("DECODE_TOKENS", 3), ("CACHE_PIECES", 2)):
         monkeypatch.setattr(module, name, value)
     one = Bpe(MULTI, P.PATTERN)
     assert one.encode(texts) == want
