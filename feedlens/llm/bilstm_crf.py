@@ -139,17 +139,21 @@ def gradients(w: Weights, x: np.ndarray, y: np.ndarray) -> tuple[float, Weights]
                 by_score.sum(axis=(0, 1)), move, first)
     dh = np.zeros_like(hidden[:, 0])
     dc = np.zeros_like(dh)
+    by_gate = np.empty((2, len(saved), x.shape[0], 4 * size), np.float32)
     for t in range(len(saved) - 1, -1, -1):
         i, f, o, gate, before, tc, h = saved[t]
         dh = dh + by_hidden[:, t]
         dc = dc + dh * o * (1 - tc * tc)
         dz = np.concatenate([dc * gate * i * (1 - i), dc * before * f * (1 - f), dh * tc * o * (1 - o),
                              dc * i * (1 - gate * gate)], axis=-1)
-        for d in (0, 1):
-            np.add.at(g.into[d], order[d, t], dz[d])
+        by_gate[:, t] = dz
         g.through += np.matmul(h.transpose(0, 2, 1), dz)
         dh = np.matmul(dz, w.through.transpose(0, 2, 1))
         dc = dc * f
+    for d in (0, 1):  # the gradient of a table row is the sum over the places where its character stands
+        places = np.argsort(order[d], axis=None, kind="stable")
+        chars, starts = np.unique(order[d].ravel()[places], return_index=True)
+        g.into[d][chars] = np.add.reduceat(by_gate[d].reshape(-1, 4 * size)[places], starts, axis=0)
     return float(loss), g
 
 

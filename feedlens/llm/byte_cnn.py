@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_rows
+from .common import map_rows, sample
 
 WINDOW = 256
 EMBED, WIDTHS, FILTERS = 6, (2, 3, 4), 12
@@ -131,12 +131,13 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     At most ``TRAIN_DOCS`` documents, the first by a hash of their ids, each with one window of text from a
     place set by that hash. Rows with a null id, text or language teach nothing.
     """
-    key = F.xxhash64(id_col)
-    at = F.pmod(key, F.greatest(F.length(text_col) - WINDOW, F.lit(1))).cast("int") + 1
-    sample = (docs.where(~held_out(id_col) & F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}"))
-              .select(F.substring(F.col(text_col), at, F.lit(WINDOW)).alias("text"), F.col(lang_col).alias("lang"), key.alias("key"))
-              .orderBy("key", "text", "lang").limit(TRAIN_DOCS).collect())
-    return train([r["text"] for r in sample], [r["lang"] for r in sample])
+    at = F.pmod(F.xxhash64(id_col), F.greatest(F.length(text_col) - WINDOW, F.lit(1))).cast("int") + 1
+    labelled = docs.where(~held_out(id_col) & F.col(lang_col).isNotNull()).select(
+        F.xxhash64(id_col).alias("key"), F.substring(F.col(text_col), at, F.lit(WINDOW)).alias("text"),
+        F.col(lang_col).alias("lang"), F.col(text_col).rlike(r"\p{L}").alias("letters"))
+    rows = sample(labelled, F.col("key"), TRAIN_DOCS).where("letters").select("key", "text", "lang").collect()
+    rows.sort()
+    return train([r["text"] for r in rows], [r["lang"] for r in rows])
 
 
 def predictions(net: Network | None, rows: Iterator[tuple]) -> Iterator[tuple]:

@@ -10,7 +10,7 @@ from collections.abc import Iterator
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.types import StructType
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -30,16 +30,24 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def compact(df: DataFrame, rows: int = 200_000) -> tuple[DataFrame, int]:
+    """``cut``, then as many partitions as its rows (of a few numbers each) fill; also the number of rows."""
+    done = cut(df)
+    n = done.count()
+    return done.coalesce(max(1, -(-n // rows))), n
+
+
 def fresh_folder(spark: SparkSession, name: str) -> str:
     """A never-used path in the shared folder, as a URI with a scheme."""
     path = scratch_path(spark, f"{name}-{uuid.uuid4().hex[:8]}")
     return path if "://" in path or path.startswith("file:") else f"file://{path}"
 
 
-def records(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-    """The rows of Arrow batches as tuples."""
+def records(batches: Iterator[pa.RecordBatch], size: int = 256) -> Iterator[tuple]:
+    """The rows of Arrow batches as tuples, so many at a time as Python objects."""
     for batch in batches:
-        yield from zip(*(column.to_pylist() for column in batch.columns))
+        for at in range(0, batch.num_rows, size):
+            yield from zip(*(column.to_pylist() for column in batch.slice(at, size).columns))
 
 
 def arrow_schema(schema: str | StructType) -> pa.Schema:
@@ -53,7 +61,7 @@ def out_batches(rows: Iterator[tuple], schema: pa.Schema, size: int = OUT_ROWS,
     weight = 0
     for row in rows:
         held.append(row)
-        weight += sum(len(v) for v in row if isinstance(v, (str, bytes)))
+        weight += sum(len(v) * (8 if isinstance(v, list) else 1) for v in row if isinstance(v, (str, bytes, list)))
         if len(held) >= size or weight >= max_bytes:
             yield _batch(held, schema)
             held, weight = [], 0
@@ -66,6 +74,16 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
         [pa.array(column, type=field.type) for column, field in zip(zip(*rows), schema)], schema=schema)
 
 
+def sample(df: DataFrame, key: Column, n: int) -> DataFrame:
+    """At most ``n`` rows, those with the smallest keys (a hash, as a long), in order of the key.
+
+    Rows are counted first, so that tasks send the driver about twice as many as are kept in all, not ``n`` each.
+    """
+    rows = df.count()
+    most = -(2**63) + int(min(1.0, 2 * n / max(1, rows)) * (2**64 - 1))
+    return df.where(key <= min(most, 2**63 - 1)).orderBy(key).limit(n)
+
+
 _SHIPPED: set[str] = set()
 
 

@@ -19,16 +19,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bilstm_crf as lstm
-from .bpe import groups
-from .common import map_rows
+from .common import map_rows, sample
 from .pii_rules import KINDS, base_spans, digits_of, luhn
+from .tokens import groups
 
 TAGS = 1 + 2 * len(KINDS)
 HIDDEN, WINDOW, STRIDE = 20, 96, 48
 #: Characters around a digit or @ that are read with it.
 CONTEXT = 32
 #: Surroundings sampled from the corpus at most, labelled windows made from them, and the training.
-SAMPLE_DOCS, TRAIN_WINDOWS, STEPS, BATCH, RATE = 400, 6000, 420, 48, 0.02
+SAMPLE_DOCS, TRAIN_WINDOWS, WINDOWS_PER_TEXT, STEPS, BATCH, RATE = 400, 4000, 4, 260, 40, 0.025
 #: Text handled together by a task, and windows computed together.
 GROUP_CHARS, BLOCK = 2 << 20, 256
 
@@ -72,8 +72,10 @@ def training_windows(texts: list[str], n: int, seed: int) -> tuple[np.ndarray, n
     rng = np.random.default_rng(seed)
     texts = [t for t in texts if not _TRIGGER.search(t)] or [_FILLER]
     x, y = np.zeros((n, WINDOW), np.int64), np.zeros((n, WINDOW), np.int64)
+    text, tags = "", []
     for k in range(n):
-        text, tags = "", []
+        if k % WINDOWS_PER_TEXT == 0:
+            text, tags = "", []
         while len(text) < 3 * WINDOW:
             around = texts[rng.integers(len(texts))]
             at = int(rng.integers(0, max(1, len(around) - 60)))
@@ -95,9 +97,10 @@ def training_windows(texts: list[str], n: int, seed: int) -> tuple[np.ndarray, n
 def fit(docs: DataFrame, text_col: str = "text") -> lstm.Weights:
     """Train on surroundings from at most ``SAMPLE_DOCS`` texts, the first by a hash; an empty table leaves built-in ones."""
     key = F.xxhash64(text_col)
-    rows = (docs.where(F.length(text_col) > 0).select(F.substring(
-        F.col(text_col), F.pmod(key, F.length(text_col)).cast("int") + 1, F.lit(400)).alias("text"), key.alias("key"))
-        .orderBy("key", "text").limit(SAMPLE_DOCS).collect())
+    texts = docs.where(F.col(text_col).isNotNull()).select(key.alias("key"), F.substring(
+        F.col(text_col), F.pmod(key, F.greatest(F.length(text_col), F.lit(1))).cast("int") + 1, F.lit(400)).alias("text"))
+    rows = sample(texts, F.col("key"), SAMPLE_DOCS).where("text <> ''").collect()
+    rows.sort()
     x, y = training_windows([r["text"] for r in rows], TRAIN_WINDOWS, seed=11)
     return lstm.train(x, y, TAGS, HIDDEN, STEPS, BATCH, RATE, seed=12)
 
