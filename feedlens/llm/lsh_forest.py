@@ -24,16 +24,18 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, map_rows
+from .common import compact, cut, map_rows
 from .components import components
 
 #: Words of a shingle; a link needs 100 * intersection >= SHARE * union.
 WORDS, SHARE = 5, 75
 VALUES, ORDERS, DEPTH = 64, 32, 3
-#: Bytes of a sort key after the region: one for each further value of the order.
-DEEPER = 13
+#: Further values of the order in a row's sort key, a byte each (a long).
+DEEPER = 8
 #: Rows sorted together in a dense region.
 CHUNK = 512
+#: Counters by which shingles are ordered from rare to frequent.
+SLOTS = 1 << 16
 #: Neighbours of a document confirmed in the first round, and rows outside a region's largest component paired directly.
 NEAREST, FEW = 2, 64
 
@@ -54,7 +56,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 class WordHashes(dict):
     """Hashes of words met in a task; emptied when large."""
 
-    LIMIT = 500_000
+    LIMIT = 200_000
 
     def __missing__(self, word: bytes) -> int:
         import xxhash
@@ -105,18 +107,19 @@ def sketches(docs: DataFrame) -> DataFrame:
 
 
 def regions(reps: DataFrame) -> DataFrame:
-    """A row for each representative and tree: region (first values) and key (further values, a byte each)."""
+    """A row for each representative and tree: region (the tree and its order's first values) and key (further values)."""
     def run(rows: Iterator[tuple]) -> Iterator[tuple]:
         for rep, n, sig in rows:
             values = np.frombuffer(sig, dtype="<u4").astype(np.uint64)[_TREES]
-            head = np.full(ORDERS, 7, dtype=np.uint64)
+            head = np.arange(ORDERS, dtype=np.uint64)
             for k in range(DEPTH):
                 head = mix(head * _MIX[0] + values[:, k])
             deeper = (mix(values[:, DEPTH:DEPTH + DEEPER]) & np.uint64(255)).astype(np.uint8)
-            for tree, (region, key) in enumerate(zip(head.astype(np.int64).tolist(), deeper)):
-                yield tree, region, key.tobytes(), rep, n
+            keys = np.ascontiguousarray(deeper).view(">i8")[:, 0]
+            for region, key in zip(head.astype(np.int64).tolist(), keys.tolist()):
+                yield region, key, rep, n
 
-    return map_rows(reps, run, "tree int, region bigint, key binary, rep bigint, n bigint")
+    return map_rows(reps, run, "region bigint, key bigint, rep bigint, n bigint")
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -124,10 +127,10 @@ def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     def run(rows: Iterator[tuple]) -> Iterator[tuple]:
         hashes = WordHashes()
         for doc, text in rows:
-            yield doc, shingles(text, hashes).astype("<u8").tobytes()
+            yield doc, shingles(text, hashes).astype(np.int64).tolist()
 
     texts = docs.join(wanted, docs["doc_id"] == wanted["rep"], "left_semi").dropDuplicates(["doc_id"])
-    return map_rows(texts.select("doc_id", "text"), run, "doc_id bigint, shingles binary")
+    return map_rows(texts.select("doc_id", "text"), run, "doc_id bigint, shingles array<bigint>")
 
 
 def alike(n: str, m: str):
@@ -137,29 +140,17 @@ def alike(n: str, m: str):
 
 def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) whose whole sets are similar enough."""
-    def run(rows: Iterator[tuple]) -> Iterator[tuple]:
-        for a, b, left, right in rows:
-            x, y = np.frombuffer(left, dtype="<u8"), np.frombuffer(right, dtype="<u8")
-            if len(x) > len(y):
-                x, y = y, x
-            at = np.searchsorted(y, x)
-            both = int((y[np.minimum(at, len(y) - 1)] == x).sum())
-            if 100 * both >= SHARE * (len(x) + len(y) - both):
-                yield a, b
-
-    joined = (pairs.select("a", "b").join(sets.toDF("a", "left"), "a").join(sets.toDF("b", "right"), "b")
-              .select("a", "b", "left", "right"))
-    return map_rows(joined, run, "a bigint, b bigint")
+    joined = pairs.select("a", "b").join(sets.toDF("a", "left"), "a").join(sets.toDF("b", "right"), "b").select(
+        "a", "b", (F.size("left") + F.size("right")).alias("all"), F.size(F.array_intersect("left", "right")).alias("both"))
+    return joined.where(100 * F.col("both") >= SHARE * (F.col("all") - F.col("both"))).select("a", "b")
 
 
 def merged(nodes: DataFrame, links: DataFrame) -> DataFrame:
     """nodes (rep, component) after the components joined by links (a, b between representatives) become one."""
-    name = nodes.select("rep", "component")
-    edges = (links.join(name.toDF("a", "x"), "a").join(name.toDF("b", "y"), "b")
+    edges = (links.join(nodes.toDF("a", "x"), "a").join(nodes.toDF("b", "y"), "b")
              .where("x <> y").select(F.col("x").alias("a"), F.col("y").alias("b")))
     found = components(edges).toDF("component", "least")
-    return cut(nodes.join(found, "component", "left").select(
-        "rep", F.coalesce("least", "component").alias("component")))
+    return compact(nodes.join(found, "component", "left").select("rep", F.coalesce("least", "component").alias("component")))[0]
 
 
 def ordered(a: str, b: str) -> list:
@@ -168,7 +159,7 @@ def ordered(a: str, b: str) -> list:
 
 def neighbours(active: DataFrame) -> DataFrame:
     """Round 1: each row's next one in its sorted chunk; the pairs that meet in most orders, for each document."""
-    order = Window.partitionBy("tree", "region", F.pmod(F.xxhash64("rep"), F.ceil(F.col("size") / CHUNK))).orderBy("key", "rep")
+    order = Window.partitionBy("region", F.pmod(F.xxhash64("rep"), F.ceil(F.col("size") / CHUNK))).orderBy("key", "rep")
     pairs = (active.withColumns({"next": F.lead("rep").over(order), "next_n": F.lead("n").over(order)})
              .where(F.col("next").isNotNull() & alike("n", "next_n")).groupBy(*ordered("rep", "next")).count())
     best = lambda one: Window.partitionBy(one).orderBy(F.desc("count"), "a", "b")
@@ -178,63 +169,86 @@ def neighbours(active: DataFrame) -> DataFrame:
 
 def split_regions(active: DataFrame, nodes: DataFrame) -> DataFrame:
     """Rows of the regions that hold several components, with their component and the region's largest one."""
-    rows = active.join(nodes, "rep")
-    sizes = rows.groupBy("tree", "region", "component").agg(F.count("*").alias("own"))
-    whole = (sizes.groupBy("tree", "region").agg(F.max(F.struct("own", "component")).alias("top"),
-                                                 F.sum("own").alias("all"), F.count("*").alias("parts"))
-             .where("parts > 1").select("tree", "region", F.col("top.component").alias("largest"),
+    rows = active.select("region", "rep", "n").join(nodes, "rep")
+    sizes = rows.groupBy("region", "component").agg(F.count("*").alias("own"))
+    whole = (sizes.groupBy("region").agg(F.max(F.struct("own", "component")).alias("top"),
+                                         F.sum("own").alias("all"), F.count("*").alias("parts"))
+             .where("parts > 1").select("region", F.col("top.component").alias("largest"),
                                         (F.col("all") - F.col("top.own")).alias("outside")))
-    return rows.join(whole, ["tree", "region"])
+    return compact(rows.join(whole, "region"))[0]
 
 
 def leaders(split: DataFrame, links: DataFrame) -> DataFrame:
     """Round 2: rows of dense regions with their region's most linked row, one candidate a document."""
     degree = links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count("*").alias("degree"))
     rows = split.where(F.col("outside") > FEW).join(degree, "rep", "left").fillna(0, ["degree"])
-    heads = rows.groupBy("tree", "region").agg(F.max(F.struct("degree", "rep", "component", "n")).alias("head")).select(
-        "tree", "region", "head.degree", F.col("head.rep").alias("head"), F.col("head.component").alias("head_component"),
+    heads = rows.groupBy("region").agg(F.max(F.struct("degree", "rep", "component", "n")).alias("head")).select(
+        "region", "head.degree", F.col("head.rep").alias("head"), F.col("head.component").alias("head_component"),
         F.col("head.n").alias("head_n"))
-    best = (rows.drop("degree").join(heads, ["tree", "region"]).where((F.col("component") != F.col("head_component")) & alike("n", "head_n"))
+    best = (rows.drop("degree").join(heads, "region").where((F.col("component") != F.col("head_component")) & alike("n", "head_n"))
             .groupBy("rep").agg(F.max(F.struct("degree", "head")).alias("best")))
     return best.select(*ordered("rep", "best.head")).distinct()
 
 
 def direct(split: DataFrame) -> DataFrame:
     """Round 3: rows outside a region's largest component, with all its rows of other components."""
-    near = split.where(F.col("outside") <= FEW)
-    minor = near.where("component <> largest").select(
-        "tree", "region", F.col("rep").alias("x"), F.col("component").alias("cx"), F.col("n").alias("nx"))
-    return (near.join(minor, ["tree", "region"]).where((F.col("component") != F.col("cx")) & alike("n", "nx"))
+    return across(split.where(F.col("outside") <= FEW).withColumn("leads", F.lit(True)), "region")
+
+
+def across(rows: DataFrame, key: str) -> DataFrame:
+    """Pairs of rows of one key and different components: each row outside the key's largest component, with all
+    others; of each pair the smaller set's row must be one that ``leads``."""
+    minor = rows.where("component <> largest").select(
+        key, F.col("rep").alias("x"), F.col("component").alias("cx"), F.col("n").alias("nx"), F.col("leads").alias("lx"))
+    first = (F.col("n") < F.col("nx")) | ((F.col("n") == F.col("nx")) & (F.col("rep") < F.col("x")))
+    smaller = F.when(first, F.col("leads")).otherwise(F.col("lx"))
+    return (rows.join(minor, key).where((F.col("component") != F.col("cx")) & alike("n", "nx") & smaller)
             .select(*ordered("rep", "x")).distinct())
 
 
 def by_rare_shingles(split: DataFrame, sets: DataFrame) -> DataFrame:
     """Round 3 in the regions that stay divided: unconnected documents that share one of their rarest shingles.
 
-    Two sets with a similarity of SHARE / 100 share a shingle among the n - ceil(n * SHARE / 100) + 1 first of each, in any common
-    order; the order is by rarity, so what very many texts share isn't reached.
+    Two sets of a similarity t share at least t * n elements with the larger set's n, and 2t / (1 + t) * n with
+    the smaller's; so in any common order they share one among the first n - ceil(t * n) + 1 of the larger and
+    the first n - ceil(2t / (1 + t) * n) + 1 of the smaller (which lead). The order is from rare to frequent,
+    so a passage that very many texts share isn't reached unless they are near copies; frequencies are
+    counted in ``SLOTS`` slots of hashes, a table of fixed size that every task gets.
     """
-    def explode(rows: Iterator[tuple]) -> Iterator[tuple]:
-        for rep, component, n, data in rows:
-            for value in np.frombuffer(data, dtype="<i8").tolist():
-                yield rep, component, n, value
-
+    def count(rows: Iterator[tuple]) -> Iterator[tuple]:
+        total = np.zeros(SLOTS, dtype=np.int64)
+        for data, in rows:
+            total += np.bincount(slots(np.array(data, dtype=np.int64)), minlength=SLOTS)
+        for slot in np.flatnonzero(total).tolist():
+            yield slot, int(total[slot])
+
+    spark = sets.sparkSession
     members = split.where(F.col("outside") > FEW).select("rep", "component", "n").distinct()
-    all_rows = map_rows(members.join(sets.toDF("rep", "shingles"), "rep"), explode,
-                        "rep bigint, component bigint, n bigint, shingle bigint")
-    often = all_rows.groupBy("shingle").agg(F.count("*").alias("often"))
-    rare = (all_rows.join(often, "shingle")
-            .groupBy("rep", "component", "n").agg(F.array_sort(F.collect_list(F.struct("often", "shingle"))).alias("own"))
-            .withColumn("own", F.slice("own", F.lit(1), (F.col("n") - F.ceil(F.col("n") * SHARE / 100) + 1).cast("int")))
-            .select("rep", "component", "n", F.inline("own")).where("often > 1").drop("often"))
+    held = members.join(sets.toDF("rep", "shingles"), "rep")
+    often = np.zeros(SLOTS, dtype=np.int64)
+    for r in map_rows(held.select("shingles"), count, "slot bigint, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).collect():
+        often[r["slot"]] = r["n"]
+    shared = spark.sparkContext.broadcast(often)
+
+    def rarest(rows: Iterator[tuple]) -> Iterator[tuple]:
+        for rep, component, n, data in rows:
+            values = np.array(data, dtype=np.int64)
+            frequency = shared.value[slots(values)]
+            first = np.lexsort((values, frequency))[:n - -(-n * SHARE // 100) + 1]
+            leading = n - -(-n * 2 * SHARE // (100 + SHARE)) + 1
+            for place, value in enumerate(values[first].tolist()):
+                if frequency[first[place]] > 1:
+                    yield rep, component, n, value, place < leading
+
+    rare = map_rows(held, rarest, "rep bigint, component bigint, n bigint, shingle bigint, leads boolean")
     sizes = rare.groupBy("shingle", "component").agg(F.count("*").alias("own"))
     tops = (sizes.groupBy("shingle").agg(F.max(F.struct("own", "component")).alias("top"), F.count("*").alias("parts"))
             .where("parts > 1").select("shingle", F.col("top.component").alias("largest")))
-    rows = rare.join(tops, "shingle")
-    minor = rows.where("component <> largest").select(
-        "shingle", F.col("rep").alias("x"), F.col("component").alias("cx"), F.col("n").alias("nx"))
-    return (rows.join(minor, "shingle").where((F.col("component") != F.col("cx")) & alike("n", "nx"))
-            .select(*ordered("rep", "x")).distinct())
+    return across(rare.join(tops, "shingle"), "shingle")
+
+
+def slots(values: np.ndarray) -> np.ndarray:
+    return values & (SLOTS - 1)
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -250,17 +264,16 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     classes = cut(sketch.where("n_shingles > 0 and doc_id is not null").groupBy("set_key").agg(
         F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("signature").alias("signature")))
     rows = regions(classes.select("rep", "n", "signature"))
-    sizes = rows.groupBy("tree", "region").agg(F.count("*").alias("size")).where("size > 1")
-    active = cut(rows.join(sizes, ["tree", "region"]))
+    sizes = rows.groupBy("region").agg(F.count("*").alias("size")).where("size > 1")
+    active, _ = compact(rows.join(sizes, "region"))
     wanted = active.select("rep").distinct()
     sets = cut(sets_of(docs, wanted))
 
-    nodes = wanted.withColumn("component", F.col("rep"))
-    links = cut(confirmed(neighbours(active), sets))
-    nodes = merged(nodes, links)
-    found = confirmed(leaders(split_regions(active, nodes), links), sets)
-    nodes = merged(nodes, found)
-    split = cut(split_regions(active, nodes))
+    links, _ = compact(confirmed(neighbours(active), sets))
+    nodes = merged(wanted.withColumn("component", F.col("rep")), links)
+    split = split_regions(active, nodes)
+    nodes = merged(nodes, confirmed(leaders(split, links), sets))
+    split = split_regions(split, nodes)  # a region in one component stays so
     rest = direct(split).unionByName(by_rare_shingles(split, sets)).distinct()
     nodes = merged(nodes, confirmed(rest, sets))
 
