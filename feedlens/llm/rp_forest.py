@@ -7,6 +7,9 @@ the probability that a neighbour as near as those found so far lies below a node
 leaves hold such a neighbour with probability ``TARGET``. Close neighbours take few leaves; the queue
 goes on for queries whose neighbours are hardly nearer than chance, and nothing caps it.
 
+A leaf's rows are dealt into parts of bounded size, however large the table is beside the sample. Each visit
+goes to all parts of its leaf; a task holds the vectors of one part and lets its visits pass in blocks.
+
 Equal vectors are indexed once, with as many of their smallest ids as an answer can need.
 """
 
@@ -18,7 +21,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, FloatType
@@ -31,8 +34,8 @@ TREES, LEAF_ROWS = 4, 400
 SAMPLE, SAMPLE_PER_LEAF = 32768, 16
 #: Leaves of the first walk, the angle it assumes, and the probability at which the second one stops.
 FIRST_LEAVES, FIRST_COSINE, TARGET = 6, 0.8, 0.95
-#: Queries that meet a leaf in one task.
-QUERY_CHUNK = 8192
+#: Queries that meet a leaf part at once, numbers in a part's vectors, and scores computed at once, at most.
+QUERY_CHUNK, PART_VALUES, BLOCK_SCORES = 8192, 1 << 21, 1 << 20
 SALTS = 64
 
 
@@ -145,45 +148,91 @@ def matrix(column, kind: str) -> np.ndarray:
     return np.frombuffer(b"".join(column), dtype=kind).reshape(len(column), -1).astype(np.float64)
 
 
-def probes(queries: DataFrame, forest: Forest, kind: str, chunks: int, second: bool) -> DataFrame:
-    """(tree, leaf, chunk, query_id, class, qvec, floor) for the leaves that each query visits."""
+def probes(queries: DataFrame, forest: Forest, kind: str, second: bool) -> DataFrame:
+    """(tree, leaf, query_id, class, vec, floor) for the leaves that each query visits."""
     def run(rows: Iterator[tuple]) -> Iterator[tuple]:
         for query, own, vec, floor in rows:
             q = matrix([vec], kind)
             cosine = floor / (float(np.linalg.norm(q)) * forest.norm) if second else FIRST_COSINE
             right = [r[0].tolist() for r in forest.right_probability(q, np.array([cosine]))]
             for t, leaf in walk(right, forest.depth, None if second else FIRST_LEAVES, TARGET):
-                yield t, leaf, query % chunks, query, own, vec, floor
-
-    return map_rows(queries, run, "tree int, leaf bigint, chunk bigint, query_id bigint, class bigint, qvec binary, floor double")
-
-
-def scored(index: DataFrame, visits: DataFrame, kind: str, k: int, second: bool) -> DataFrame:
-    """(query_id, class, score) from visited leaves: the k best of each, or in the second walk all not below the floor."""
-    def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"query_id": [], "class": [], "score": []}).astype({"query_id": "i8", "class": "i8", "score": "f8"})
-        if left.empty or right.empty:
-            return empty
-        x, names = matrix(left["vec"], kind), left["class"].to_numpy()
-        q = matrix(right["qvec"], kind)
-        rough = q @ x.T
-        rough[right["class"].to_numpy()[:, None] == names[None, :]] = -np.inf
-        if second:
-            near = rough >= right["floor"].to_numpy()[:, None] - 1e-9 * (1 + np.abs(rough, where=np.isfinite(rough), out=np.zeros_like(rough)))
-            i, j = np.nonzero(near)
-        else:
-            best = np.argpartition(-rough, min(k, rough.shape[1]) - 1, axis=1)[:, :k]
-            i, j = np.repeat(np.arange(len(q)), best.shape[1]), best.ravel()
-            keep = np.isfinite(rough[i, j])
-            i, j = i[keep], j[keep]
-        if not len(i):
-            return empty
-        score = np.concatenate([(q[i[a:a + 4096]] * x[j[a:a + 4096]]).sum(axis=1) for a in range(0, len(i), 4096)])
-        return pd.DataFrame({"query_id": right["query_id"].to_numpy()[i], "class": names[j], "score": score})
-
-    keys = ["tree", "leaf", "chunk"]
-    return (index.groupBy(*keys).cogroup(visits.groupBy(*keys))
-            .applyInPandas(meet, "query_id bigint, class bigint, score double")
+                yield t, leaf, query, own, vec, floor
+
+    return map_rows(queries, run, "tree int, leaf bigint, query_id bigint, class bigint, vec binary, floor double")
+
+
+def parts_of(index: DataFrame, rows: int) -> DataFrame:
+    """(tree, leaf, parts): the parts of about so many rows, at most, into which each leaf's rows are dealt."""
+    return index.groupBy("tree", "leaf").agg(F.ceil(F.count("*") / rows).cast("int").alias("parts"))
+
+
+def meetings(index: DataFrame, visits: DataFrame, parts: DataFrame) -> DataFrame:
+    """Index rows (with a null query_id) and visits side by side, sorted so that a leaf part's index rows come before its visits."""
+    keys = ["tree", "leaf", "part"]
+    each = F.broadcast(parts)
+    stored = index.join(each, ["tree", "leaf"]).select(
+        "tree", "leaf", F.pmod(F.xxhash64("class"), F.col("parts")).cast("int").alias("part"),
+        F.lit(None).cast("bigint").alias("query_id"), "class", "vec", F.lit(0.0).alias("floor"))
+    asked = visits.join(each, ["tree", "leaf"]).select(
+        "tree", "leaf", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "query_id", "class", "vec", "floor")
+    return stored.unionByName(asked).repartition(*keys).sortWithinPartitions(*keys, "query_id")
+
+
+def compared(q: np.ndarray, own: np.ndarray, floor: np.ndarray, x: np.ndarray, names: np.ndarray, k: int,
+             second: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(i, j, score) of a block of queries i and vectors j: the k best of each query, or in the second walk all not below its floor."""
+    rough = q @ x.T
+    rough[own[:, None] == names[None, :]] = -np.inf
+    if second:
+        near = rough >= floor[:, None] - 1e-9 * (1 + np.abs(rough, where=np.isfinite(rough), out=np.zeros_like(rough)))
+        i, j = np.nonzero(near)
+    else:
+        best = np.argpartition(-rough, min(k, rough.shape[1]) - 1, axis=1)[:, :k]
+        i, j = np.repeat(np.arange(len(q)), best.shape[1]), best.ravel()
+        keep = np.isfinite(rough[i, j])
+        i, j = i[keep], j[keep]
+    scores = [(q[i[a:a + 4096]] * x[j[a:a + 4096]]).sum(axis=1) for a in range(0, len(i), 4096)]
+    return i, j, np.concatenate(scores) if scores else np.zeros(0)
+
+
+def met(batches: Iterator[pa.RecordBatch], kind: str, k: int, second: bool, most: int = QUERY_CHUNK,
+        scores: int = BLOCK_SCORES) -> Iterator[pa.RecordBatch]:
+    """(query_id, class, score) from the sorted rows of ``meetings``; one leaf part's vectors are held, its visits pass in blocks."""
+    key, held = None, []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in range(3)])
+        query, own, vec = batch.column(3), batch.column(4).to_numpy(), batch.column(5)
+        floor = batch.column(6).to_numpy()
+        stored = query.is_null().to_numpy(zero_copy_only=False)
+        new = (keys[:, 1:] != keys[:, :-1]).any(axis=0) | (stored[1:] != stored[:-1])
+        starts = [0, *(np.flatnonzero(new) + 1).tolist(), batch.num_rows]
+        for a, b in zip(starts, starts[1:]):
+            if key != (here := tuple(keys[:, a].tolist())):
+                key, held = here, []
+            if stored[a]:
+                held.append((matrix(vec.slice(a, b - a).to_pylist(), kind), own[a:b]))
+                continue
+            if not held:
+                continue
+            if len(held) > 1:
+                held = [tuple(map(np.concatenate, zip(*held)))]
+            x, names = held[0]
+            step = min(most, max(1, scores // len(x)))
+            for at in range(a, b, step):
+                n = min(step, b - at)
+                q = matrix(vec.slice(at, n).to_pylist(), kind)
+                i, j, score = compared(q, own[at:at + n], floor[at:at + n], x, names, k, second)
+                if len(i):
+                    ids = query.slice(at, n).to_numpy(zero_copy_only=False).astype(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(ids[i]), pa.array(names[j]), pa.array(score)], ["query_id", "class", "score"])
+
+
+def scored(index: DataFrame, visits: DataFrame, parts: DataFrame, kind: str, k: int, second: bool) -> DataFrame:
+    """(query_id, class, score) from visited leaves: the k best of each part, or in the second walk all not below the floor."""
+    return (meetings(index, visits, parts)
+            .mapInArrow(lambda batches: met(batches, kind, k, second), "query_id bigint, class bigint, score double")
             .groupBy("query_id", "class").agg(F.max("score").alias("score")))
 
 
@@ -213,22 +262,21 @@ def nearest(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding"
     asked = rows.where(F.col("vec_id") % every == 0)
     queries = cut(asked.join(classes.select("class", "vec"), "vec").select(
         F.col("vec_id").alias("query_id"), "class", "vec", F.lit(0.0).alias("floor")))
-    chunks = max(1, -(-queries.count() // QUERY_CHUNK))
 
     def indexed(batch: Iterator[tuple]) -> Iterator[tuple]:
         for name, vec in batch:
             for t, leaf in enumerate(forest.leaves(matrix([vec], kind))[:, 0].tolist()):
-                for chunk in range(chunks):
-                    yield t, leaf, chunk, name, vec
+                yield t, leaf, name, vec
 
-    index = cut(map_rows(classes.select("class", "vec"), indexed, "tree int, leaf bigint, chunk bigint, class bigint, vec binary"))
+    index = cut(map_rows(classes.select("class", "vec"), indexed, "tree int, leaf bigint, class bigint, vec binary"))
+    parts = cut(parts_of(index, max(1, PART_VALUES // size["size"])))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "class")
-    first = scored(index, probes(queries, forest, kind, chunks, False), kind, k, False)
+    first = scored(index, probes(queries, forest, kind, False), parts, kind, k, False)
     floors = (first.withColumn("place", F.row_number().over(best)).where(F.col("place") == k)
               .select("query_id", F.col("score").alias("found")))
     asked_again = queries.join(floors, "query_id", "left").select(
         "query_id", "class", "vec", F.coalesce("found", F.lit(-longest)).alias("floor"))
-    second = scored(index, probes(asked_again, forest, kind, chunks, True), kind, k, True)
+    second = scored(index, probes(asked_again, forest, kind, True), parts, kind, k, True)
     return answers(first.unionByName(second), queries, classes, kind, k)
 
 

@@ -80,3 +80,30 @@ def test_a_walk_takes_leaves_by_falling_probability():
     chance = {(t, leaf): np.prod([p if bit else 1 - p for p, bit in zip((r[0], r[1 + (leaf >> 1)]), (leaf >> 1, leaf & 1))])
               for t, r in enumerate(right) for leaf in range(4)}
     assert len(set(found)) == 8 and [chance[f] for f in found] == sorted(chance.values(), reverse=True)
+
+
+def test_leaves_and_visits_of_any_size_meet_in_bounded_blocks(spark, monkeypatch):
+    """A sample far smaller than the table, queries whose ids share a divisor: parts and blocks keep their bounds, the answers stay."""
+    rng = np.random.default_rng(8)
+    rows = spark.createDataFrame([(20 * k, [float(a) for a in v], 0) for k, v in enumerate(rng.normal(size=(900, 8)).astype(np.float32))], SCHEMA)
+    monkeypatch.setattr(rp_forest, "SAMPLE", 32)
+    whole = table_of(rp_forest.nearest(rows, k=5))
+    monkeypatch.setattr(rp_forest, "PART_VALUES", 8 * 50)
+    seen = []
+    plain = rp_forest.meetings
+    monkeypatch.setattr(rp_forest, "meetings", lambda *a: seen.append(plain(*a)) or seen[-1])
+    assert table_of(rp_forest.nearest(rows, k=5)) == whole
+
+    sizes = seen[0].where("query_id is null").groupBy("tree", "leaf", "part").count().collect()
+    assert max(r["count"] for r in sizes) < 100 and sum(r["count"] for r in sizes) == rp_forest.TREES * 900
+    blocks = []
+    plain_compared = rp_forest.compared
+    monkeypatch.setattr(rp_forest, "compared", lambda q, own, floor, x, *a: blocks.append((len(q), len(x))) or plain_compared(q, own, floor, x, *a))
+    batches = seen[0].coalesce(1).sortWithinPartitions("tree", "leaf", "part", "query_id").toArrow().to_batches(max_chunksize=64)
+    best = {}
+    for most, scores in ((8192, 1 << 20), (7, 1 << 20), (8192, 300)):
+        blocks.clear()
+        found = [r for b in rp_forest.met(iter(batches), "<f4", 5, False, most, scores) for r in zip(*(c.to_pylist() for c in b.columns))]
+        assert all(n <= most and (n == 1 or n * size <= scores) for n, size in blocks)
+        best[most, scores] = sorted(found)
+    assert len({tuple((q, c) for q, c, _ in found) for found in best.values()}) == 1
