@@ -23,6 +23,8 @@ TRAIN_DOCS, EPOCHS, BATCH, RATE = 6000, 14, 128, 0.01
 #: Windows computed together.
 BLOCK = 256
 UNKNOWN = "und"
+#: Score, and characters of text, from which on a prediction overrules a row's label.
+SURE, SURE_CHARS = 0.7, 128
 
 
 @dataclass
@@ -140,11 +142,16 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     return train([r["text"] for r in rows], [r["lang"] for r in rows])
 
 
-def predictions(net: Network | None, rows: Iterator[tuple]) -> Iterator[tuple]:
-    """(id, language, score) of texts, in blocks of windows across texts; score: geometric mean of the probabilities."""
+def letters():
+    """A pattern that finds a letter of any script."""
     import regex
 
-    letter = regex.compile(r"\p{L}")
+    return regex.compile(r"\p{L}")
+
+
+def predictions(net: Network | None, rows: Iterator[tuple]) -> Iterator[tuple]:
+    """(id, language, score) of texts, in blocks of windows across texts; score: geometric mean of the probabilities."""
+    letter = letters()
     waiting: list[list] = []  # id, windows left, sum of log-probabilities, windows in all
     held: list[tuple[int, np.ndarray]] = []
 
@@ -205,14 +212,28 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     return found.select(id_col, F.coalesce(held_out(id_col), F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
+def contradicted(net: Network, text: str, label: str | None, lang: str, score: float) -> bool:
+    """Whether a text of at least ``SURE_CHARS`` is surely (score of at least ``SURE``) in another language than its label, one that the network has learnt."""
+    return label is not None and label != lang and score >= SURE and len(text) >= SURE_CHARS and label in net.labels
+
+
 def accepted(docs: DataFrame, net: Network | None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """The rows whose language is known, a null ``lang_col`` filled with the prediction; all columns stay as they are."""
+    """The rows with a letter whose label the network doesn't contradict, a null ``lang_col`` filled with the prediction.
+
+    The score is a geometric mean over all windows, so a short text, one in several languages, or one that the network is in
+    doubt about, stays with its label, as does a label that it never learnt. Without a network every row
+    with a letter stays as it is, a null label included. All other columns stay as they are.
+    """
     names = docs.columns
     t, known = names.index(text_col), names.index(lang_col)
 
     def run(rows):
-        for row, lang, _ in predictions(net, ((row, row[t]) for row in rows)):
-            if lang != UNKNOWN:
+        if net is None:
+            letter = letters()
+            yield from (row for row in rows if row[t] and letter.search(row[t]))
+            return
+        for row, lang, score in predictions(net, ((row, row[t]) for row in rows)):
+            if lang != UNKNOWN and not contradicted(net, row[t], row[known], lang, score):
                 yield row if row[known] is not None else (*row[:known], lang, *row[known + 1:])
 
     return map_rows(docs, run, docs.schema)

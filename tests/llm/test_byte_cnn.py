@@ -65,3 +65,35 @@ def test_empty_unlabelled_and_clashing(spark, nothing, odd, clashing):
     bare = spark.createDataFrame([(1, "some text", None, None, None)], SCHEMA)
     assert table_of(byte_cnn.identify(bare)) == [(1, False, "und", 0.0)]
     assert table_of(byte_cnn.identify(clashing)) == table_of(byte_cnn.identify(odd))
+
+
+def test_predictions_reject_wrong_labels_and_keep_clean_documents(spark):
+    docs = table(spark, SF_CHECK, "documents").where("text is not null and lang is not null")
+    held = "crc32(cast(doc_id as string)) % 4 = 2"
+    mixed = docs.selectExpr("doc_id", "text", f"case when {held} and doc_id % 3 = 0 then if(lang = 'en', 'de', 'en') "
+                            f"when {held} and doc_id % 3 = 1 then null when {held} and doc_id % 6 = 2 then 'xx' else lang end as lang")
+    rows, want = mixed.collect(), {r["doc_id"]: r["lang"] for r in docs.collect()}
+    net = byte_cnn.fit(mixed)
+    assert {"en", "de"} <= set(net.labels)
+    got = {r["doc_id"]: r["lang"] for r in byte_cnn.accepted(mixed, net).collect()}
+    wrong = {r["doc_id"] for r in rows if r["lang"] not in (None, "xx", want[r["doc_id"]]) and len(r["text"]) >= byte_cnn.SURE_CHARS}
+    clean = {r["doc_id"] for r in rows if r["lang"] == want[r["doc_id"]]}
+    empty = {r["doc_id"] for r in rows if r["lang"] is None}
+    assert len(wrong) > 20 and len(wrong - set(got)) / len(wrong) > 0.9
+    assert clean <= set(got) and empty <= set(got) and {r["doc_id"] for r in rows if r["lang"] == "xx"} <= set(got)
+    assert sum(got[k] == want[k] for k in empty) / len(empty) > 0.97
+
+
+def test_doubt_and_unlearnt_labels_keep_a_row():
+    net = byte_cnn.train(["abc def " * 9, "xyz uvw " * 9], ["a", "b"])
+    text = "xyz " * 40
+    assert byte_cnn.contradicted(net, text, "a", "b", 0.95) and not byte_cnn.contradicted(net, text, "a", "b", 0.5)
+    assert not byte_cnn.contradicted(net, text[:100], "a", "b", 0.95)
+    assert not any(byte_cnn.contradicted(net, text, label, "b", 0.95) for label in (None, "b", "c"))
+
+
+def test_an_unlabelled_table_keeps_its_texts(spark, odd):
+    bare = odd.selectExpr("doc_id", "text", "cast(null as string) as lang", "source", "n_chars")
+    net = byte_cnn.fit(bare)
+    assert net is None
+    assert table_of(byte_cnn.accepted(bare, net)) == table_of(bare.where(r"text rlike '\\p{L}'"))
