@@ -220,8 +220,8 @@ def contradicted(net: Network, text: str, label: str | None, lang: str, score: f
 def accepted(docs: DataFrame, net: Network | None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """The rows with a letter whose label the network doesn't contradict, a null ``lang_col`` filled with the prediction.
 
-    The score is a geometric mean over all windows, so a short text, one in several languages, or one that the network is in
-    doubt about, stays with its label, as does a label that it never learnt. Without a network every row
+    The score is a geometric mean over all windows, so a text that the network is in doubt about in some part stays with its
+    label, as does a short one and one with a label that it never learnt. Without a network every row
     with a letter stays as it is, a null label included. All other columns stay as they are.
     """
     names = docs.columns
