@@ -30,8 +30,8 @@ MIN_REVISIT_BYTES = 0
 #: Bytes of archive that one reading task owns.
 SPLIT_BYTES = 8 << 20
 READ_BYTES = 1 << 20
-#: Bytes inflated to tell a record's header from accidental magic; a header must end within them.
-HEADER_BYTES = 64 << 10
+#: Bytes of archive inflated at a time.
+INFLATE_BYTES = 64 << 10
 
 HTTP_HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 FILES = "file string, file_bytes bigint, records bigint"
@@ -137,7 +137,7 @@ def member(window: Window, at: int) -> tuple[bytes, int] | None:
     engine = zlib.decompressobj(31)
     out, fed, checked = [], at, False
     while not engine.eof:
-        chunk = window.data[fed - window.base:fed - window.base + HEADER_BYTES]
+        chunk = window.data[fed - window.base:fed - window.base + INFLATE_BYTES]
         if not chunk:
             if not window.more():
                 return None
@@ -151,10 +151,13 @@ def member(window: Window, at: int) -> tuple[bytes, int] | None:
             start = b"".join(out)
             if start[:len(VERSION)] != VERSION[:len(start)]:
                 return None
-            if len(start) >= HEADER_BYTES or engine.eof:
-                if b"\r\nContent-Length: " not in start or b"\r\n\r\n" not in start:
+            head, ended, _ = start.partition(b"\r\n\r\n")
+            if ended:
+                if b"\r\nContent-Length: " not in head:
                     return None
                 checked = True
+            elif engine.eof:
+                return None
     return b"".join(out), fed - len(engine.unused_data)
 
 
@@ -198,9 +201,13 @@ def read(spark: SparkSession, files: DataFrame, split_bytes: int = SPLIT_BYTES)
 
 
 def round_trip(pages: DataFrame) -> DataFrame:
-    """Write the pages as archives into the shared folder, read them back: one row per page."""
+    """Write the pages as archives into the shared folder, read them back: one row per page, or an error."""
     spark = pages.sparkSession
     files = cut(write(pages, fresh_folder(spark, "warc")))
-    return read(spark, files).select(
+    found = cut(read(spark, files).select(
         F.col("record_id").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
-        F.col("refers_to").cast("long").alias("refers_to"))
+        F.col("refers_to").cast("long").alias("refers_to")))
+    written, got = files.agg(F.coalesce(F.sum("records"), F.lit(0))).first()[0], found.count()
+    if got != written:
+        raise RuntimeError(f"{written} records written, {got} read")
+    return found

@@ -69,3 +69,19 @@ def test_empty_table_and_clashing_columns(spark):
     assert warc.round_trip(spark.createDataFrame([], SCHEMA)).count() == 0
     more = spark.createDataFrame(ROWS, SCHEMA).selectExpr("*", "1 as page", "2 as body", "3 as leader", "4 as sha", "5 as size")
     assert table_of(warc.round_trip(more)) == want(ROWS)
+
+
+@pytest.mark.parametrize("size", [1000, 70_000, 500_000])
+def test_a_header_of_any_length_is_read(size):
+    import random
+    url = "http://" + random.Random(size).randbytes(size // 2).hex()
+    data = b"".join(warc.record("response", k, url, b"payload %d" % k, None) for k in range(3))
+    found = [r for a in range(0, len(data), 5000) for r in warc.records_in(io.BytesIO(data), len(data), a, min(len(data), a + 5000))]
+    assert [(int(r[1]), r[2], r[6]) for r in found] == [(k, url, b"payload %d" % k) for k in range(3)]
+
+
+def test_a_record_that_is_not_read_is_an_error(spark, monkeypatch):
+    plain = warc.read
+    monkeypatch.setattr(warc, "read", lambda *a: plain(*a).where("record_id <> '4'"))
+    with pytest.raises(RuntimeError):
+        warc.round_trip(spark.createDataFrame(ROWS, SCHEMA))
