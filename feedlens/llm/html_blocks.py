@@ -6,10 +6,10 @@ import html
 import re
 from dataclasses import dataclass, field
 
-#: Comments, declarations, and tags with quoted attribute values; an overlong or unclosed quote ends at the next >.
+#: Comments, declarations, and tags with quoted attribute values; a tag with a quote that is never closed ends at the next >.
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|</?([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^>\"']++|\"[^\"]{0,4000}\"|'[^']{0,4000}')*+)>"
+    r"|</?([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|</?([a-zA-Z][a-zA-Z0-9:-]*+)([^>]*)(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"""\b(class|id|role|style)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 HIDDEN = re.compile(r"\bhidden\b|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)

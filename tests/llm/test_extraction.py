@@ -74,3 +74,10 @@ def test_tables_nulls_and_clashing_columns(spark):
     assert [r["text"] for r in got.where("page_id is null or page_id in (2, 3)").collect()] == ["", "", ""]
     assert extraction.extract(df.limit(0)).count() == 0
     assert table_of(extraction.extract(df.selectExpr("*", "1 as text", "2 as n_chars"))) == table_of(got)
+
+
+@pytest.mark.parametrize("quote", ['"', "'"])
+def test_a_long_attribute_is_no_text(quote):
+    value = "<p>not text</p> > " * 300
+    assert [b.text for b in blocks_of(f"<p>one</p><iframe srcdoc={quote}{value}{quote}></iframe><p>two</p>")] == ["one", "two"]
+    assert [b.text for b in blocks_of(f"<p title={quote}open>one</p><p>two</p>")] == ["one", "two"]
