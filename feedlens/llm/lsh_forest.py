@@ -13,7 +13,7 @@ round confirms its candidates on whole sets and merges components, so the next o
    a region has more than ``FEW`` rows outside its largest component (a passage common to very many short
    texts), its members are compared by an exact prefix filter on their rarest shingles instead.
 
-Two texts at the threshold miss all regions with a probability of about 1e-6; nothing is capped after that.
+Two texts at the threshold miss all regions with a probability of about 1.3e-5; nothing is capped after that.
 """
 
 from __future__ import annotations
