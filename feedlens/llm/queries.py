@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import attribution, bpe, byte_cnn, extraction, lsh_forest, merkle, packing, pii, rp_forest, warc
+from . import (alignment, attribution, bpe, byte_cnn, extraction, lsh_forest, merkle, packing, periodic_runs, pii, rp_forest,
+               url_filter, warc)
 from .common import table
 
 
@@ -52,6 +53,20 @@ def op10_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op11_recompression_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.periodic_runs(table(spark, sf_dir, "documents"))
+
+
+def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"), url_filter.fit())
+
+
+def op13_spill_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                           public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_bilstm_crf_pii, op2_lsh_forest, op3_byte_cnn, op4_byte_bpe, op5_rp_forest, op6_page_text, op7_token_counts, op8_warc, op9_packing, op10_merkle_fingerprints)}
+    op1_bilstm_crf_pii, op2_lsh_forest, op3_byte_cnn, op4_byte_bpe, op5_rp_forest, op6_page_text, op7_token_counts, op8_warc, op9_packing, op10_merkle_fingerprints,
+    op11_recompression_runs, op12_url_filter, op13_spill_alignment)}
 SQL: dict[str, str] = {"op10_merkle_fingerprints": merkle.SQL}
