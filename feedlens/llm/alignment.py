@@ -14,8 +14,9 @@ A hot A id costs no task more than others: in 2 a run holds each of its pairs on
 from __future__ import annotations
 
 import hashlib
+import json
 import os
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -47,19 +48,13 @@ class Pair:
     """The two tokenizers, and the bytes and decimal strings of their ids."""
 
     def __init__(self, path_a: str, path_b: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
-        from tokenizers import Tokenizer
 
-        self.a = Tokenizer.from_file(path_a)
-        self.a.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.encode_a, self.bytes_a = byte_level_encoder(path_a)
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
-        byte_of = {c: b for b, c in byte_level_alphabet().items()}
-        n_a, n_b = self.a.get_vocab_size(with_added_tokens=True), self.b.get_piece_size()
+        n_a, n_b = len(self.bytes_a), self.b.get_piece_size()
         if n_b > WIDTH:
             raise ValueError(f"side B has more than {WIDTH} ids")
-        entries = [self.a.id_to_token(i) or "" for i in range(n_a)]
-        self.bytes_a = [bytes(byte_of[c] for c in e) if all(c in byte_of for c in e) else e.encode() for e in entries]
         self.bytes_b = [self._piece_bytes(i) for i in range(n_b)]
         self.length_a = np.array([len(t) for t in self.bytes_a], dtype=np.int64)
         self.length_b = np.array([len(t) for t in self.bytes_b], dtype=np.int64)
@@ -73,7 +68,7 @@ class Pair:
     def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray] | None]:
         """Both sides' ids of each text; None where either side's bytes aren't those of a space and the text."""
         spaced = [" " + text for text in texts]
-        side_a = [found.ids for found in self.a.encode_batch_fast(spaced, add_special_tokens=False)]
+        side_a = self.encode_a(spaced)
         side_b = self.b.encode(texts, num_threads=1)
         out = []
         for text, a, b in zip(spaced, side_a, side_b):
@@ -87,7 +82,8 @@ class Pair:
         """Of one text's ids: the number of groups, their written form and the key of every link."""
         ends_a, ends_b = np.cumsum(self.length_a[a]), np.cumsum(self.length_b[b])
         # every stretch between neighbouring ends of either side is the overlap of one A and one B token
-        ends = np.union1d(ends_a, ends_b)
+        ends = np.sort(np.concatenate([ends_a, ends_b]), kind="stable")
+        ends = ends[np.diff(ends, prepend=0) > 0]
         at_a, at_b = np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
         keys = a[at_a] * WIDTH + b[at_b]
         common = (ends_a[at_a] == ends) & (ends_b[at_b] == ends)
@@ -112,6 +108,43 @@ def byte_level_alphabet() -> dict[int, str]:
     return shown | {b: chr(0x100 + k) for k, b in enumerate(hidden)}
 
 
+#: Fixed value: how byte-level tokenizers split a text before merging.
+BYTE_LEVEL_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
+
+def byte_level_encoder(path: str) -> tuple[Callable[[list[str]], list[list[int]]], list[bytes]]:
+    """How a byte-level ``tokenizers`` file encodes texts (special tokens' strings are ordinary text), and the bytes of its ids.
+
+    A plain file, whose merges stand in the order of the ids that they make, is a table of ranks: its texts go to tiktoken,
+    which gives the same ids several times faster. Any other file is left to the ``tokenizers`` library.
+    """
+    byte_of = {c: b for b, c in byte_level_alphabet().items()}
+    with open(path, encoding="utf-8") as file:
+        spec = json.load(file)
+    model, pre = spec["model"], spec.get("pre_tokenizer") or {}
+    special = {t["content"]: t["id"] for t in spec.get("added_tokens", ())}
+    entries = {**model["vocab"], **special}
+    tokens = [b""] * (max(entries.values()) + 1)
+    for entry, i in entries.items():
+        tokens[i] = entry.encode() if entry in special else bytes(byte_of[c] for c in entry)
+    made = [model["vocab"]["".join(m if isinstance(m, list) else m.split(" "))] for m in model["merges"]]
+    plain = (pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
+             and not spec.get("normalizer") and made == list(range(256, 256 + len(made)))
+             and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges")))
+    if plain:
+        import tiktoken
+
+        ranks = {tokens[i]: i for entry, i in model["vocab"].items() if entry not in special}
+        encoding = tiktoken.Encoding("side_a", pat_str=BYTE_LEVEL_PATTERN, mergeable_ranks=ranks, special_tokens={})
+        return lambda texts: list(map(encoding.encode_ordinary, texts)), tokens
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(path)
+    library.encode_special_tokens = True
+    return lambda texts: [found.ids for found in library.encode_batch_fast(texts, add_special_tokens=False)], tokens
+
+
 @lru_cache(maxsize=1)
 def tokenizer_pair(path_a: str, path_b: str) -> Pair:
     return Pair(path_a, path_b)

@@ -1,6 +1,7 @@
 """Operator 13 against counting by dictionaries over the tokenizer libraries' own output."""
 
 import hashlib
+import json
 import random
 from collections import Counter, defaultdict
 
@@ -130,6 +131,23 @@ def test_op13_empty_table(spark):
     assert found.collect() == []
 
 
+def test_ranks_of_the_file_encode_as_the_library(rows, tmp_path):
+    """Every code point of two planes in several surroundings, and a file whose merges are out of order (library path)."""
+    encode, tokens = alignment.byte_level_encoder(A)
+    library = Tokenizer.from_file(A)
+    library.encode_special_tokens = True
+    points = [c for c in range(0x20000) if not 0xD800 <= c < 0xE000]
+    texts = ["".join(f"a{chr(c)} {chr(c)}1{chr(c)}  {chr(c)}{chr(c)}!" for c in points[k:k + 64]) for k in range(0, len(points), 64)]
+    texts += [t for _, t in rows if t]
+    assert encode(texts) == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    spec = json.loads(open(A, encoding="utf-8").read())
+    spec["model"]["merges"] = spec["model"]["merges"][::-1]
+    (tmp_path / "other.json").write_text(json.dumps(spec), encoding="utf-8")
+    other, other_tokens = alignment.byte_level_encoder(str(tmp_path / "other.json"))
+    reversed_ = Tokenizer.from_file(str(tmp_path / "other.json"))
+    assert other_tokens == tokens and other(["some words here"]) == [reversed_.encode("some words here", add_special_tokens=False).ids]
+
+
 def test_merge_equals_a_dictionary():
     rng = np.random.default_rng(3)
     held, runs = Counter(), []
