@@ -99,9 +99,20 @@ def lifecycle_summary(current_state: DataFrame, key: str = "dataset_id") -> Data
             .withColumns({"phase": phase("status"), "is_terminal": is_terminal("status")}))
 
 
+#: A run of one aggregation over one batch: a dataset's aggregations are done, and fail, one by one.
+AGGREGATION_KEYS = ("dataset_id", "aggregation_name", "batch_ts")
+
+
 def not_yet_done(requested: DataFrame, current_state: DataFrame,
-                 keys=("dataset_id", "batch_ts"), done_status: str = "Success") -> DataFrame:
-    """Guard (G1): requested keys without a ``done_status`` audit (left anti; NULL keys match NULL)."""
-    done = current_state.filter(F.col("status") == done_status).select(*[F.col(k).alias(f"_{k}") for k in keys])
+                 keys=AGGREGATION_KEYS, done_status: str = "Success", since: str | None = None) -> DataFrame:
+    """Guard (G1): requested keys without a ``done_status`` audit (left anti; NULL keys match NULL).
+
+    With ``since``, a column of ``requested`` on the audit's clock (``seq``), an older audit counts for nothing: a batch that has been
+    validated anew is asked for again.
+    """
+    done = current_state.filter(F.col("status") == done_status).select(
+        *[F.col(k).alias(f"_{k}") for k in keys], *([F.col("seq").alias("_seq")] if since else []))
     same = [requested[k].eqNullSafe(done[f"_{k}"]) for k in keys]
+    if since:
+        same.append(done["_seq"] >= requested[since])
     return requested.join(done, same, "left_anti")

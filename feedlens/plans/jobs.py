@@ -6,7 +6,8 @@ are control rows (registry row, pending rules), never the data itself.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -15,8 +16,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedlens import schemas
+from feedlens.functions import dates
 from feedlens.functions.rules import Rule
-from feedlens.operators import quality, reports, sentiment, upsert
+from feedlens.operators import flatten, quality, reports, row_rules, rulesets, sentiment, upsert
 from feedlens.sinks import tables as sinks
 from feedlens.sources import files
 from feedlens.streaming.ingest import IngestPaths, start_ingest, stream_key
@@ -47,7 +49,7 @@ def ingest_registered(spark: SparkSession, registry: DataFrame, name: str, sourc
 
 
 def validate(spark: SparkSession, batch: DataFrame, rules: list[Rule], key: str,
-             error_table: str, silver: str, batch_col: str = "file_date") -> dict:
+             error_table: str, silver: str, batch_col: str = "file_date", tables: Mapping[str, DataFrame] | None = None) -> dict:
     """(B) one pass of all rules -> error table (incremental upsert by batch)
     + silver rows (dynamic overwrite by batch).
 
@@ -56,19 +58,21 @@ def validate(spark: SparkSession, batch: DataFrame, rules: list[Rule], key: str,
     batch is promoted only when every rule ran, as the reference promotes
     only once nothing is pending, and against *all* stored errors of the batch: a
     row that an earlier run rejected stays out when only the remaining rules run later.
+    ``tables`` are those that reference rules name.
     """
     from feedlens.functions.rules import missing_rules
 
     batch = batch.persist()
     try:
         missing = missing_rules(rules, batch.schema)
+        marked = row_rules.mark(batch, rules, tables)
         if rules:
-            upsert_error_table(spark, quality.error_rows(batch, rules), error_table, batch_col)
+            upsert_error_table(spark, row_rules.unmark(quality.error_rows(marked, rules), rules), error_table, batch_col)
         promoted = None
         if not missing:
             sinks.write_partitions(promotable(spark, batch, key, error_table, batch_col), silver, [batch_col])
             promoted = silver
-        outcomes = quality.rule_outcomes(batch, rules)
+        outcomes = quality.rule_outcomes(marked, rules)
         return {"errors": error_table, "silver": promoted, "outcomes": outcomes, "missing": missing}
     finally:
         batch.unpersist()
@@ -91,7 +95,13 @@ def refresh_gold(spark: SparkSession, silver: DataFrame, gold: str,
 
 
 def read_gold(spark: SparkSession, gold: str) -> DataFrame:
-    return spark.read.schema(schemas.DAILY_KPI).parquet(gold)
+    """The daily gold table; dates whose comments have all been taken back hold zero rows, which are left out."""
+    return spark.read.schema(schemas.DAILY_KPI).parquet(gold).filter("total_comments > 0")
+
+
+def read_trend(spark: SparkSession, gold: str) -> DataFrame:
+    """The gold table of label counts by day, without zero rows."""
+    return spark.read.schema("comment_date date, sentiment_label string, count bigint").parquet(gold).filter("count > 0")
 
 
 # ---- entry B as a whole: pending rules -> one pass -> audits --------------------------
@@ -117,19 +127,20 @@ def validate_and_audit(spark: SparkSession, batch: DataFrame, pending: DataFrame
 
     seq = F.unix_micros(F.current_timestamp())
     ts = F.lit(batch_ts).cast("timestamp")
+    run = uuid.uuid4().hex
 
     def record(status: str, message: str | None) -> None:
-        sinks.append(spark.range(1).select(*audit_ops.event(
-            dataset_id, F.to_date(ts), status, message, batch_ts=ts)), dataset_audit)
+        sinks.write_events(spark.range(1).select(*audit_ops.event(
+            dataset_id, F.to_date(ts), status, message, batch_ts=ts)), dataset_audit, f"validation-{run}")
 
     try:
         out = validate(spark, batch, rules_from_pending(pending), key, error_base, silver, batch_col)
-        sinks.append(out["outcomes"].select(
+        sinks.write_events(out["outcomes"].select(
             F.col("dcv_id").alias("dataset_column_validation_id"), F.to_date(ts).alias("business_date"),
             ts.alias("batch_ts"), seq.alias("seq"), F.col("status"),
             F.when(F.col("n_errors").isNull(), F.col("result"))
              .otherwise(F.concat(F.col("n_errors").cast("string"), F.lit(" error rows")))
-             .alias("error_message")), rule_audit)
+             .alias("error_message")), rule_audit, f"validation-{run}")
     except Exception as e:  # noqa: BLE001 - recorded in the audit, then re-raised
         record("Validation Failed", str(e)[:2000])
         raise
@@ -140,6 +151,67 @@ def validate_and_audit(spark: SparkSession, batch: DataFrame, pending: DataFrame
     return "Validated"
 
 
+# ---- entry B over every pending batch ---------------------------------------------------------
+def validate_pending(spark: SparkSession, rows: DataFrame, to_validate: DataFrame, pending: DataFrame, key: str,
+                     errors: str, silver: str, rule_audit: str, dataset_audit: str,
+                     tables: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    """Validate every pending batch of every dataset in one job, and record the outcomes.
+
+    ``rows`` are the bronze rows of the datasets of one layout, with ``dataset_id``, ``batch_ts`` and ``file_date`` (the batch's stamp);
+    ``to_validate`` and ``pending`` come from ``planning``. The number of jobs doesn't depend on the number of batches:
+    failing rows are found in one scan and staged, merged into the error table (by dataset and batch), counted
+    into rule outcomes; then the rows of batches whose rules have all run, and that have no stored error, go to silver
+    (by dataset and batch). A batch with a rule that can't run (missing column), or without rows, is ``Validation Failed`` and stays
+    out of silver. Errors and silver of a batch that was delivered again (``pending.rerun``) are dropped first.
+    Batches are named by their time, so ``to_validate`` must hold none without.
+    Returns one row a batch: dataset_id, batch_ts, business_date, status, error_message.
+    """
+    from feedlens.session import materialize, scratch_path
+
+    where = ["dataset_id", "file_date"]
+    checks = rulesets.distinct_checks(pending)
+    rules = materialize(rulesets.numbered(pending, checks))
+    batches = materialize(rulesets.batches_with_rules(to_validate, rules)
+                          .withColumn("file_date", F.date_format("batch_ts", dates.STAMP_FORMAT)))
+    again = batches.join(rules.filter("rerun"), list(rulesets.BATCH), "left_semi")
+    for path in (errors, silver):
+        sinks.drop_partitions(spark, path, again, where)
+
+    staged = scratch_path(spark, "failing_rows")
+    rulesets.failing_rows(rows, batches, checks, tables).write.parquet(staged)
+    failing = spark.read.parquet(staged)
+    if not failing.isEmpty():
+        upsert_error_table(spark, failing.drop("failed_rules", "batch_ts"), errors, where)
+    present = materialize(rows.select(*rulesets.BATCH).join(batches, list(rulesets.BATCH), "left_semi").distinct())
+    results = materialize(rulesets.outcomes(rules, checks, failing, present, rows.schema))
+
+    not_run = (results.filter(F.col("status") == quality.FAILED).groupBy(*rulesets.BATCH)
+               .agg(F.array_join(F.array_sort(F.collect_set("result")), "; ").alias("_not_run")))
+    reason = F.when(F.col("_present").isNull(), F.lit("Batch has no rows")).otherwise(F.col("_not_run"))
+    states = materialize(batches.join(present.withColumn("_present", F.lit(True)), list(rulesets.BATCH), "left")
+                         .join(not_run, list(rulesets.BATCH), "left")
+                         .select(*rulesets.BATCH, "business_date", "file_date",
+                                 F.when(reason.isNull(), "Validated").otherwise("Validation Failed").alias("status"),
+                                 reason.alias("error_message")))
+
+    done = states.filter("status = 'Validated'").select(*where)
+    valid = rows.join(done, where, "left_semi").drop("batch_ts")
+    stored = files.read_if_exists(spark, errors, T.StructType([f for f in rows.schema.fields if f.name in (key, *where)]))
+    if stored is not None:
+        bad = files.same_partitions(stored, done, where).filter(F.col(key).isNotNull()).select(key, *where)
+        valid = valid.join(bad, [key, *where], "left_anti")
+    sinks.write_partitions(valid.select([c for c in rows.columns if c != "batch_ts"]), silver, where)
+
+    run, seq = uuid.uuid4().hex, F.unix_micros(F.current_timestamp())
+    told = F.when(F.col("n_errors").isNull(), F.col("result")).otherwise(F.concat(F.col("n_errors").cast("string"), F.lit(" error rows")))
+    sinks.write_events(results.select(F.col("dcv_id").alias("dataset_column_validation_id"), "business_date", "batch_ts",
+                                      seq.alias("seq"), "status", told.alias("error_message")), rule_audit, f"validation-{run}")
+    sinks.write_events(states.select("dataset_id", "business_date", "batch_ts", seq.alias("seq"), "status", "error_message",
+                                     F.current_user().alias("actor"), F.current_timestamp().alias("at")),
+                       dataset_audit, f"validation-{run}")
+    return states.drop("file_date")
+
+
 # ---- entry C as a whole: every ready aggregation, with its audit ---------------------------
 @dataclass(frozen=True)
 class Report:
@@ -158,66 +230,116 @@ REPORTS = {
 }
 
 
-def fold_partials(spark: SparkSession, enriched: DataFrame, report: Report, partials: str, gold: str) -> None:
+def fold_partials(spark: SparkSession, enriched: DataFrame, report: Report, partials: str, gold: str,
+                  batches: DataFrame | None = None) -> None:
     """Fold enriched comments, with the ``batch_key`` they came in, into a gold report.
 
     The batches' partial counts are stored by comment date and ``batch_key`` (dynamic overwrite, so a batch
-    that is run again replaces its partials instead of adding them twice). Gold is rewritten only for the
-    touched dates, NULL (an unparsable time) among them, as the sum of all batches' partials of
-    those dates; as partials are partitioned by date first, only those are read.
+    that is run again replaces its partials instead of adding them twice). The dates that a batch has ever touched stand in
+    ``<partials>_dates``, by batch; for those it touches no more it writes zero counts, which takes its
+    old ones back. ``batches`` (``batch_key``) names the batches folded, also those that hold no comment now. Gold is rewritten
+    only for the touched dates, NULL (an unparsable time) among them, as the sum of all batches' partials of
+    those dates; as partials are partitioned by date first, only those are read. A date left without comments keeps zero rows,
+    which ``read_gold`` leaves out. The dates are recorded first, so a run that was broken off is simply run again.
     """
     from feedlens.session import materialize
 
     part = materialize(report.counts(enriched, ("batch_key", *report.keys)))
-    sinks.write_partitions(part, partials, ["comment_date", "batch_key"])
+    touches = part.select("batch_key", "comment_date").distinct()
+    folded = touches.select("batch_key").distinct() if batches is None else batches.select("batch_key").distinct()
+    known = files.read_if_exists(spark, f"{partials}_dates", touches.schema)
+    if known is not None:
+        touches = known.join(folded, "batch_key", "left_semi").select(touches.columns).unionByName(touches).distinct()
+    touches = materialize(touches)
+    sinks.write_partitions(touches, f"{partials}_dates", ["batch_key"])
+    now = part.select(F.col("batch_key").alias("_b"), F.col("comment_date").alias("_d"))
+    left = touches.join(now, (F.col("batch_key") == F.col("_b")) & F.col("comment_date").eqNullSafe(F.col("_d")), "left_anti")
+    zero = left.select(*[F.col(f.name) if f.name in left.columns else F.lit(0 if f.name in report.sums else None).cast(f.dataType).alias(f.name)
+                         for f in part.schema.fields])
+    sinks.write_partitions(part.unionByName(zero), partials, ["comment_date", "batch_key"])
     stored = files.read_if_exists(spark, partials, part.schema)
     if stored is not None:
-        summed = (files.same_partitions(stored, part, "comment_date").groupBy(*report.keys)
+        summed = (files.same_partitions(stored, touches, "comment_date").groupBy(*report.keys)
                   .agg(*[F.sum(c).cast("long").alias(c) for c in report.sums]))
         sinks.write_gold(report.finish(summed), gold, "comment_date", only_present=True)
 
 
-def aggregate_ready(spark: SparkSession, readiness: DataFrame, audit_state: DataFrame, silver_of: dict[int, list[str]],
-                    gold_of: dict[tuple[int, str], str], dataset_audit: str, day_col: str = "file_date") -> DataFrame:
+def silver_comments(spark: SparkSession, paths: Sequence[str], batch_col: str = "file_date") -> DataFrame | None:
+    """The comments of some silver tables with their batch column as text; silver that holds posts is flattened. None where no table exists yet."""
+    out = None
+    for path in paths:
+        silver = _silver(spark, path)
+        if silver is None:
+            continue
+        if "comments" in silver.columns and "comment_message" not in silver.columns:
+            silver = flatten.flatten_posts(silver, keep=(batch_col,))
+        out = silver if out is None else out.unionByName(silver, allowMissingColumns=True)
+    return out
+
+
+def aggregate_ready(spark: SparkSession, readiness: DataFrame, silver_of: dict[int, list[str]],
+                    gold_of: dict[tuple[int, str], str], aggregation_audit: str, batch_col: str = "file_date",
+                    reports_: Mapping[str, Report] = REPORTS) -> DataFrame:
     """Refresh the gold of every ready (dataset, aggregation, batch) that isn't done yet (G1), and log it.
 
-    One job for each registered aggregation of a dataset (``gold_of``), however many batches are ready: the dependencies'
-    silver is joined to the ready days on its partition column, so Spark reads only those, and folded into
-    the report that the aggregation's registered name decides, each day as a batch of its own. A dataset whose silver isn't there yet is ``Skipped``, so that it doesn't block a later run.
-    Returns the audit events written, all in one append.
+    ``readiness`` is that of ``planning.dependency_readiness``. Done means: the aggregation's own audit of that batch says ``Success``,
+    written after the batch became ready; so one aggregation's failure leaves the others done, and a batch
+    validated again is folded again. One job for each registered aggregation of a dataset (``gold_of``), however many batches are
+    ready: the dependencies' silver (as ``validate_pending`` writes it: by the batch's stamp) is joined to the ready batches on
+    its partition column, so Spark reads only those, and folded into the report that the aggregation's registered
+    name decides, each batch by itself. A batch without a silver row is ``Skipped``, so that it doesn't block a later run, and
+    what an earlier delivery of it added is taken back. Returns the audit events written.
     """
     from feedlens.operators import audit as audit_ops
     from feedlens.session import materialize
 
     keys = ["dataset_id", "aggregation_name", "batch_ts", "business_date"]
-    ready = materialize(audit_ops.not_yet_done(readiness.filter("ready").select(*keys), audit_state))
-    outcomes = []
+    wanted = readiness.filter("ready").select(*keys, "ready_seq")
+    log = files.read_if_exists(spark, aggregation_audit, schemas.AGGREGATION_AUDIT)
+    if log is not None:
+        wanted = audit_ops.not_yet_done(wanted, audit_ops.current_status(log, audit_ops.AGGREGATION_KEYS), since="ready_seq")
+    # stamped before silver is read, so a batch validated while this runs is asked for again
+    clock = F.unix_micros(F.current_timestamp())
+    ready = materialize(wanted.select(*keys, clock.alias("seq"), F.date_format("batch_ts", dates.STAMP_FORMAT).alias("batch_key")))
+    events = None
     for (dataset, aggregation), gold in gold_of.items():
         mine = ready.filter((F.col("dataset_id") == dataset) & (F.col("aggregation_name") == aggregation))
         if mine.isEmpty():
             continue
-        status, message = "Success", None
-        parts = [p for p in (_silver(spark, path) for path in silver_of.get(dataset, [])) if p is not None]
         try:
-            if not parts:
-                status = "Skipped"
-            else:
-                silver = parts[0]
-                for part in parts[1:]:
-                    silver = silver.unionByName(part, allowMissingColumns=True)
-                days = mine.select(F.col("business_date").cast("string").alias(day_col)).distinct()
-                comments = silver.join(days, day_col, "left_semi").withColumn("batch_key", F.col(day_col))
-                fold_partials(spark, reports.enrich(sentiment.score(comments, "comment_message")), REPORTS[aggregation],
-                              f"{gold}_partials", gold)
+            comments = silver_comments(spark, silver_of.get(dataset, []), batch_col)
+            held = mine.select("batch_key").limit(0)
+            if comments is not None:
+                batches = mine.select(F.col("batch_key").alias(batch_col)).distinct()
+                held = _batches_held(spark, silver_of[dataset], batches, batch_col)
+                scored = sentiment.score(comments.join(batches, batch_col, "left_semi")
+                                         .withColumn("batch_key", F.col(batch_col)), "comment_message")
+                fold_partials(spark, reports.enrich(scored), reports_[aggregation], f"{gold}_partials", gold,
+                              mine.select("batch_key"))
+            there = held.select("batch_key", F.lit("Success").alias("_there"))
+            mine = mine.join(there, "batch_key", "left").withColumns({
+                "status": F.coalesce("_there", F.lit("Skipped")), "error_message": F.lit(None).cast("string")})
         except Exception as e:  # noqa: BLE001 - recorded, the next target still runs
-            status, message = "Failed", str(e)[:2000]
-        outcomes.append((dataset, aggregation, status, message))
-    done = spark.createDataFrame(outcomes, "dataset_id int, aggregation_name string, status string, error_message string")
-    events = materialize(ready.join(done, ["dataset_id", "aggregation_name"]).select(
-        "dataset_id", "business_date", "batch_ts", F.unix_micros(F.current_timestamp()).alias("seq"), "status",
-        "error_message", F.current_user().alias("actor"), F.current_timestamp().alias("at"), "aggregation_name"))
-    sinks.append(events, dataset_audit)
-    return events
+            mine = mine.withColumns({"status": F.lit("Failed"), "error_message": F.lit(str(e)[:2000])})
+        own = materialize(mine.select(*keys, "seq", "status", "error_message", F.current_user().alias("actor"),
+                                      F.current_timestamp().alias("at")))
+        sinks.write_events(own, aggregation_audit, f"aggregation-{dataset}-{aggregation}-{uuid.uuid4().hex}")
+        events = own if events is None else events.unionByName(own)
+    empty = spark.createDataFrame([], schemas.AGGREGATION_AUDIT)
+    return empty if events is None else empty.unionByName(events)
+
+
+def _batches_held(spark: SparkSession, paths: Sequence[str], batches: DataFrame, batch_col: str) -> DataFrame:
+    """Those of the batches (``batch_key``) of which some silver table holds a row; only the partition column is read."""
+    from feedlens.session import materialize
+
+    out = None
+    for path in paths:
+        silver = _silver(spark, path)
+        if silver is not None:
+            held = silver.select(batch_col).join(batches, batch_col, "left_semi")
+            out = held if out is None else out.unionByName(held)
+    return materialize(out.distinct().withColumnRenamed(batch_col, "batch_key"))
 
 
 def _silver(spark: SparkSession, path: str) -> DataFrame | None:
@@ -233,9 +355,9 @@ def _silver(spark: SparkSession, path: str) -> DataFrame | None:
 
 # ---- incremental error table ------------------------------------------------------------
 def upsert_error_table(spark: SparkSession, source: DataFrame, path: str,
-                       partition_col: str = "file_date", msg_col: str = "error_message") -> None:
+                       partition_col: str | list[str] = "file_date", msg_col: str = "error_message") -> None:
     """Upsert ``source`` error rows into the error table at ``path``, which is
-    partitioned by ``partition_col`` (the batch).
+    partitioned by ``partition_col`` (the batch; a list for several columns).
 
     Rows match on every column, the batch included, so rows from different
     batches can never match. Only the partitions that occur in ``source`` (NULL among them) are
@@ -248,7 +370,7 @@ def upsert_error_table(spark: SparkSession, source: DataFrame, path: str,
     table = files.read_if_exists(spark, path, source.schema)
     target = None if table is None else files.same_partitions(table, source, partition_col)
     merged = materialize(upsert.upsert_errors(target, source, msg_col).select(*source.columns))
-    sinks.write_partitions(merged, path, [partition_col])
+    sinks.write_partitions(merged, path, [partition_col] if isinstance(partition_col, str) else partition_col)
 
 
 # ---- incremental gold (late comments) -----------------------------------------------------

@@ -316,7 +316,11 @@ JOIN val v ON v.id = b.validation_id
 LEFT JOIN racur r ON r.dcv_id = b.dcv_id AND r.batch_ts = tv.batch_ts
 WHERE r.status IS NULL OR r.status = 'Failed'"""
 
-PLAN = f"""{AUD},
+AUD_MONTHLY = AUD.replace("CAST(o_orderdate AS DATE)", "CAST(date_trunc('month', o_orderdate) AS DATE)")
+
+
+def plan_cte(aud: str) -> str:
+    return f"""{aud},
 da AS (SELECT unnest([1, 2])::INTEGER AS aggregation_id, id AS dataset_id,
               CASE WHEN id = 15 THEN 'no' ELSE 'yes' END AS is_active
        FROM reg WHERE layer = 'gold'),
@@ -330,7 +334,8 @@ dates AS (SELECT DISTINCT d.dataset_id, c.batch_ts, c.business_date
           JOIN cur c ON c.dataset_id = d.dependant_dataset_id),
 plan AS (SELECT dt.dataset_id, dt.batch_ts, dt.business_date, x.aggregation_id, x.aggregation_name, g.gold_table,
                 d.dependant_dataset_id, s.silver_table,
-                CASE WHEN c.status = 'Validated' THEN c.status END AS status, own.status AS dataset_status
+                CASE WHEN c.status = 'Validated' THEN c.status END AS status, own.status AS dataset_status,
+                c.seq AS dependency_seq
          FROM dates dt JOIN active x ON x.dataset_id = dt.dataset_id
          JOIN reg g ON g.id = dt.dataset_id
          JOIN deps d ON d.dataset_id = dt.dataset_id
@@ -340,19 +345,84 @@ plan AS (SELECT dt.dataset_id, dt.batch_ts, dt.business_date, x.aggregation_id,
 ready AS (SELECT dataset_id, aggregation_id, aggregation_name, batch_ts, business_date, count(*) AS n_dependencies, count(status) AS n_validated,
                  coalesce(string_agg(CASE WHEN status IS NULL THEN CAST(dependant_dataset_id AS VARCHAR) END, ','
                                      ORDER BY CAST(dependant_dataset_id AS VARCHAR)), '') AS missing,
-                 count(status) = count(*) AS ready
+                 count(status) = count(*) AS ready, max(dependency_seq) AS ready_seq
           FROM plan GROUP BY dataset_id, aggregation_id, aggregation_name, batch_ts, business_date)"""
 
+
+PLAN = plan_cte(AUD)
+
 SQL["aggregation_plan"] = f"""WITH {PLAN}
-SELECT * FROM plan"""
+SELECT * EXCLUDE (dependency_seq) FROM plan"""
 
 SQL["dependency_readiness"] = f"""WITH {PLAN}
 SELECT * FROM ready"""
 
-SQL["aggregation_guard"] = f"""WITH {PLAN}
-SELECT r.dataset_id, r.aggregation_id, r.batch_ts, r.business_date FROM ready r
-WHERE r.ready AND NOT EXISTS (SELECT 1 FROM cur c WHERE c.dataset_id = r.dataset_id
-                              AND c.batch_ts = r.batch_ts AND c.status = 'Success')"""
+SQL["aggregation_guard"] = f"""WITH {plan_cte(AUD_MONTHLY)},
+runs AS (SELECT CAST(o_custkey % 4 * 5 AS INTEGER) AS dataset_id,
+                CASE WHEN o_orderkey % 2 = 0 THEN 'daily_kpi' ELSE 'sentiment_trend' END AS aggregation_name,
+                CAST(date_trunc('month', o_orderdate) AS TIMESTAMP) + to_hours(CAST(o_orderkey % 3 * 8 AS INTEGER)) AS batch_ts,
+                max(o_orderkey) AS seq,
+                arg_max(CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'Failed' ELSE 'Success' END, o_orderkey) AS status
+         FROM orders GROUP BY 1, 2, 3)
+SELECT r.dataset_id, r.aggregation_id, r.aggregation_name, r.batch_ts, r.business_date, r.ready_seq FROM ready r
+WHERE r.ready AND NOT EXISTS (SELECT 1 FROM runs x WHERE x.dataset_id = r.dataset_id AND x.aggregation_name = r.aggregation_name
+                              AND x.batch_ts = r.batch_ts AND x.status = 'Success' AND x.seq >= r.ready_seq)"""
+
+SQL["row_rules"] = """WITH items AS (
+  SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_discount, l_tax,
+         count(*) OVER (PARTITION BY l_orderkey, l_suppkey) > 1 AS f1,
+         l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size > 5) AS f2,
+         NOT (l_quantity < 49 OR l_discount + l_tax < 0.1) AS f3 FROM lineitem)
+SELECT * EXCLUDE (f1, f2, f3),
+       concat_ws(' | ', CASE WHEN f1 THEN 'Key l_orderkey, l_suppkey is not unique' END,
+                 CASE WHEN f2 THEN 'Key l_partkey is not in part' END,
+                 CASE WHEN f3 THEN 'Row does not satisfy l_quantity < 49 OR l_discount + l_tax < 0.1' END) AS error_message
+FROM items WHERE f1 OR f2 OR f3"""
+
+SQL["row_rule_outcomes"] = f"""WITH marked AS ({SQL["row_rules"]}),
+n AS (SELECT unnest([1, 2, 3]) AS dcv_id, unnest(['l_orderkey', 'l_partkey', 'l_quantity']) AS column_name,
+             unnest(['row_unique_validation', 'row_reference_validation', 'row_condition_validation']) AS validation_name,
+             unnest([count(*) FILTER (WHERE contains(error_message, 'is not unique')),
+                     count(*) FILTER (WHERE contains(error_message, 'is not in part')),
+                     count(*) FILTER (WHERE contains(error_message, 'does not satisfy'))]) AS n_errors FROM marked)
+SELECT CAST(dcv_id AS BIGINT) AS dcv_id, column_name, validation_name, n_errors,
+       CASE WHEN n_errors > 0 THEN 'Validation Passed' ELSE 'Validation Passed with no errors' END AS result, 'Validation Passed' AS status FROM n
+UNION ALL SELECT 4, 'l_returns', 'column_null_validation', NULL, 'Column l_returns not found', 'Failed'"""
+
+_PENDING = SQL["pending_rules"]
+SQL["validate_all_pending"] = f"""{_PENDING[:_PENDING.index("SELECT tv.dataset_id")].rstrip()},
+allbinds AS (SELECT dcv_id, dataset_id FROM binds
+             UNION ALL SELECT * FROM (VALUES (14, 1), (64, 6), (74, 7), (94, 9))),
+pend AS (SELECT tv.dataset_id, tv.batch_ts, b.dcv_id FROM tv JOIN allbinds b ON b.dataset_id = tv.dataset_id
+         LEFT JOIN racur r ON r.dcv_id = b.dcv_id AND r.batch_ts = tv.batch_ts
+         WHERE r.status IS NULL OR r.status = 'Failed'),
+b AS (SELECT o.*, tv.dataset_id, tv.batch_ts FROM (
+        SELECT o_orderkey AS ok, o_orderkey % 500 = 13 AS no_key, o_custkey, NULLIF(o_orderstatus, 'P') AS st, o_totalprice AS price,
+               NULLIF(o_orderpriority, '5-LOW') AS pr, o_orderkey % 7 = 0 AS bad_ref,
+               CAST(o_custkey % 20 AS INTEGER) AS ds,
+               CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) + to_hours(CAST(o_orderkey % 3 * 8 AS INTEGER)) AS ts FROM orders) o
+      JOIN tv ON tv.dataset_id = o.ds AND tv.batch_ts = o.ts),
+fails AS (SELECT ok, dataset_id, batch_ts, dataset_id * 10 + 1 AS dcv_id FROM b WHERE st IS NULL
+          UNION ALL SELECT ok, dataset_id, batch_ts, dataset_id * 10 + 2 FROM b WHERE pr IS NULL
+          UNION ALL SELECT ok, dataset_id, batch_ts, dataset_id * 10 + 3 FROM b WHERE bad_ref
+          UNION ALL SELECT ok, dataset_id, batch_ts, 14 FROM b
+                    WHERE dataset_id = 1 AND o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_nationkey < 20)
+          UNION ALL SELECT ok, dataset_id, batch_ts, 64 FROM (
+                    SELECT *, count(*) OVER (PARTITION BY batch_ts, o_custkey, pr) AS same FROM b WHERE dataset_id = 6 AND pr IS NOT NULL)
+                    WHERE same > 1
+          UNION ALL SELECT ok, dataset_id, batch_ts, 94 FROM b WHERE dataset_id = 9 AND NOT (price < 200000 OR st = 'F')),
+hits AS (SELECT f.* FROM fails f JOIN pend p ON p.dataset_id = f.dataset_id AND p.batch_ts = f.batch_ts AND p.dcv_id = f.dcv_id),
+rules AS (SELECT dataset_id, batch_ts, count(*) AS n_rules, count(*) FILTER (WHERE dcv_id = 74) AS n_failed FROM pend GROUP BY 1, 2),
+errs AS (SELECT dataset_id, batch_ts, count(*) AS n_rule_errors, count(DISTINCT ok) AS n_errors FROM hits GROUP BY 1, 2),
+good AS (SELECT dataset_id, batch_ts, count(*) AS n_silver FROM b
+         WHERE dataset_id <> 7 AND (no_key OR ok NOT IN (SELECT ok FROM hits)) GROUP BY 1, 2)
+SELECT tv.dataset_id, tv.batch_ts, tv.business_date,
+       CASE WHEN tv.dataset_id = 7 THEN 'Validation Failed' ELSE 'Validated' END AS status,
+       CASE WHEN tv.dataset_id = 7 THEN 'Column o_region not found' END AS error_message,
+       coalesce(n_rules, 0) AS n_rules, coalesce(n_failed, 0) AS n_failed, coalesce(n_rule_errors, 0) AS n_rule_errors,
+       coalesce(n_errors, 0) AS n_errors, coalesce(n_silver, 0) AS n_silver
+FROM tv LEFT JOIN rules USING (dataset_id, batch_ts) LEFT JOIN errs USING (dataset_id, batch_ts) LEFT JOIN good USING (dataset_id, batch_ts)""".replace(
+    "CAST(o_orderdate AS DATE)", "CAST(date_trunc('month', o_orderdate) AS DATE)")
 
 _PAT = r"post_detail_(\d{4}-\d{2}-\d{2}_\d{2}-\d{2}-\d{2})\.json"
 LANDING = f"""lr AS (
@@ -414,11 +484,27 @@ timed AS (SELECT * REPLACE (CASE WHEN CAST(substr(comment_id, 2) AS BIGINT) % 40
 SQL["gold_refresh"] = SQL["daily_nps_csat"].replace(COMMENTS, TIMED).replace("FROM scored GROUP BY comment_date", "FROM timed GROUP BY comment_date")
 SQL["gold_stream"] = SQL["gold_refresh"]
 
-SQL["aggregate_ready"] = f"""{TIMED}
-SELECT comment_date, count(*) AS total_comments,
-       count(*) FILTER (WHERE {CATEGORY} = 'Promoter') AS promoters,
-       CAST(count(*) FILTER (WHERE sentiment_score > 0) AS BIGINT) AS n_positive
-FROM timed WHERE day(file_date) IN (3, 17) GROUP BY comment_date"""
+def gold_by_day(source: str, daily: str = "true") -> str:
+    """Two reports over ``source``, the first over some of its rows only."""
+    return f"""d AS (SELECT comment_date, count(*) AS total_comments, count(*) FILTER (WHERE {CATEGORY} = 'Promoter') AS promoters
+      FROM {source} WHERE {daily} GROUP BY 1),
+t AS (SELECT comment_date, count(*) AS n_labelled, count(*) FILTER (WHERE sentiment_score > 0) AS n_positive
+      FROM {source} GROUP BY 1)
+SELECT coalesce(d.comment_date, t.comment_date) AS comment_date, total_comments, promoters, n_labelled, n_positive
+FROM d FULL JOIN t ON d.comment_date IS NOT DISTINCT FROM t.comment_date"""
+
+
+SQL["aggregate_ready"] = f"""{TIMED},
+ready AS (SELECT * FROM timed WHERE day(file_date) IN (2, 3, 17)),
+{gold_by_day("ready", "day(file_date) <> 2")}"""
+
+SQL["batches_to_gold"] = f"""{COMMENTS},
+p AS (SELECT post_no, day(CAST(min(substr(created_time, 1, 10)) AS DATE)) = 10 AND post_no // 3 % 3 = 1 AS again
+      FROM feed GROUP BY post_no HAVING bool_and(message IS NOT NULL) AND bool_and(comment_message IS NOT NULL)),
+kept AS (SELECT s.* REPLACE (CASE WHEN p.again THEN CAST(CAST(substr(comment_created_time, 1, 26) AS TIMESTAMP) + INTERVAL 36 HOURS AS DATE)
+                                  ELSE comment_date END AS comment_date)
+         FROM scored s JOIN p ON p.post_no = s.post_no WHERE NOT p.again OR p.post_no % 2 <> 0),
+{gold_by_day("kept")}"""
 
 BATCH_DAY = "CASE WHEN o_custkey % 100 = 1 THEN NULL ELSE strftime(o_orderdate, '%Y-%m') END"
 SQL["validate_retry"] = f"""WITH {BASE},

@@ -5,16 +5,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedlens import schemas
-from feedlens.functions import kpi
+from feedlens.functions import dates, kpi
 from feedlens.functions.dates import POST_FILE_PATTERN
 from feedlens.functions.rules import Rule
 from feedlens.functions.text import words
-from feedlens.operators import audit, cost, flatten, planning, quality, reports, sentiment, upsert
+from feedlens.operators import audit, cost, flatten, planning, quality, reports, row_rules, sentiment, upsert
 from feedlens.plans import jobs
 from feedlens.session import scratch_path
 from feedlens.sinks import tables as sinks
@@ -239,9 +239,16 @@ def q_dependency_readiness(spark, sf_dir):
 
 @register("aggregation_guard")
 def q_aggregation_guard(spark, sf_dir):
-    ready = (planning.dependency_readiness(_aggregation_plan(spark, sf_dir))
-             .filter("ready").select("dataset_id", "aggregation_id", "batch_ts", "business_date"))
-    return audit.not_yet_done(ready, _audit_status(spark, sf_dir))
+    """Ready batches of each aggregation that it has not folded, or not since they became ready: monthly batches, whose
+    aggregations have succeeded, failed or not run."""
+    reg = ctl.registry_from_orders(spark, sf_dir)
+    state = audit.current_status(ctl.audit_from_orders(spark, sf_dir, monthly=True))
+    plan = planning.aggregation_plan(reg, ctl.dataset_aggregation_from_registry(reg), ctl.aggregations(spark),
+                                     ctl.dependencies_from_registry(reg), state)
+    ready = (planning.dependency_readiness(plan).filter("ready")
+             .select("dataset_id", "aggregation_id", "aggregation_name", "batch_ts", "business_date", "ready_seq"))
+    runs = audit.current_status(ctl.aggregation_audit_from_orders(spark, sf_dir), audit.AGGREGATION_KEYS)
+    return audit.not_yet_done(ready, runs, since="ready_seq")
 
 
 # ---- sources: file names, quarantine, messages, rescue ---------------------------
@@ -374,10 +381,16 @@ def q_batch_read_formats(spark, sf_dir):
             .agg(F.count("*").alias("n_rows"), F.sum("comment_likes").alias("sum_likes")))
 
 
+def _stamp() -> Column:
+    """The stamp of a comment's batch: its day, and one of the day's three hours by its number."""
+    hour = F.lpad((F.substring("comment_id", 2, 20).cast("long") % 3 * 8).cast("string"), 2, "0")
+    return F.concat(F.substring("comment_created_time", 1, 10), F.lit("_"), hour, F.lit("-00-00"))
+
+
 def _silver(spark, sf_dir, path: str) -> None:
-    """Silver comments by file date; the times of some can't be parsed."""
+    """Silver comments by batch stamp; the times of some can't be parsed."""
     bad = F.substring("comment_id", 2, 20).cast("long") % BAD_TIME_EVERY == 0
-    flat = tb.comment_feed(spark, sf_dir, with_source=True).withColumn("file_date", F.substring("comment_created_time", 1, 10))
+    flat = tb.comment_feed(spark, sf_dir, with_source=True).withColumn("file_date", _stamp())
     flat = flat.withColumn("comment_created_time", F.when(bad, F.lit("soon")).otherwise(F.col("comment_created_time")))
     sinks.write_partitions(flat, path, ["file_date"])
 
@@ -409,24 +422,155 @@ def q_gold_stream(spark, sf_dir):
 
 @register("aggregate_ready")
 def q_aggregate_ready(spark, sf_dir):
-    """Two aggregations of a dataset over the days that are ready; one of those days is already done for the
-    dataset, so the guard keeps it out."""
+    """Two aggregations of a dataset over the batches that are ready, three a day. One has folded the batches of one of those days
+    already, the other has failed on them: the guard keeps them out of the first and lets the second run again."""
     root = scratch_path(spark, "aggregate_ready")
     _silver(spark, sf_dir, f"{root}/silver")
-    day = F.to_date(F.substring("comment_created_time", 1, 10))
-    batches = (tb.comment_feed(spark, sf_dir).select(day.alias("business_date")).distinct()
-               .withColumns({"batch_ts": F.col("business_date").cast("timestamp"), "dataset_id": F.lit(5),
-                             "ready": F.dayofmonth("business_date").isin(*READY_DAYS)}))
-    readiness = batches.withColumn("aggregation_name", F.explode(F.array(F.lit("daily_kpi"), F.lit("sentiment_trend"))))
-    state = batches.filter(F.dayofmonth("business_date") == READY_DAYS[0]).withColumn("status", F.lit("Success"))
-    gold = {(5, a): f"{root}/gold_{a}" for a in ("daily_kpi", "sentiment_trend")}
-    jobs.aggregate_ready(spark, readiness, state, {5: [f"{root}/silver"]}, gold, f"{root}/audit")
-    trend = spark.read.parquet(gold[5, "sentiment_trend"]).groupBy("comment_date").agg(
+    stamp = _stamp().alias("stamp")
+    batches = (tb.comment_feed(spark, sf_dir).select(stamp).distinct()
+               .select(F.to_timestamp("stamp", dates.STAMP_FORMAT).alias("batch_ts"))
+               .withColumns({"business_date": F.to_date("batch_ts"), "dataset_id": F.lit(5), "ready_seq": F.lit(1).cast("long"),
+                             "ready": F.dayofmonth("batch_ts").isin(*READY_DAYS)}))
+    names = ("daily_kpi", "sentiment_trend")
+    readiness = batches.withColumn("aggregation_name", F.explode(F.array(*[F.lit(a) for a in names])))
+    ran = readiness.filter(F.dayofmonth("batch_ts") == READY_DAYS[0])
+    sinks.write_events(ran.select("dataset_id", "aggregation_name", "business_date", "batch_ts", F.lit(2).cast("long").alias("seq"),
+                                  F.when(F.col("aggregation_name") == names[0], "Success").otherwise("Failed").alias("status")),
+                       f"{root}/audit", "earlier")
+    gold = {(5, a): f"{root}/gold_{a}" for a in names}
+    jobs.aggregate_ready(spark, readiness, {5: [f"{root}/silver"]}, gold, f"{root}/audit")
+    return _gold_by_day(spark, gold[5, "daily_kpi"], gold[5, "sentiment_trend"])
+
+
+def _gold_by_day(spark, daily_path: str, trend_path: str) -> DataFrame:
+    """The two gold tables side by side, by day (NULL: comments without a readable time)."""
+    trend = jobs.read_trend(spark, trend_path).groupBy("comment_date").agg(
+        F.sum("count").alias("n_labelled"),
         F.sum(F.when(F.col("sentiment_label") == kpi.POSITIVE, F.col("count")).otherwise(0)).alias("n_positive"))
-    daily = jobs.read_gold(spark, gold[5, "daily_kpi"]).select("comment_date", "total_comments", "promoters")
-    joined = daily.join(trend, daily["comment_date"].eqNullSafe(trend["comment_date"])).select(
-        daily["comment_date"], "total_comments", "promoters", "n_positive")
-    return joined
+    daily = jobs.read_gold(spark, daily_path).select("comment_date", "total_comments", "promoters")
+    same = daily["comment_date"].eqNullSafe(trend["comment_date"])
+    return daily.join(trend, same, "full").select(F.coalesce(daily["comment_date"], trend["comment_date"]).alias("comment_date"),
+                                                  "total_comments", "promoters", "n_labelled", "n_positive")
+
+
+# ---- all pending batches, and the whole way from landing files to gold ---------------------------
+
+
+@register("row_rules")
+def q_row_rules(spark, sf_dir):
+    """Column and row validations in one pass over ``lineitem``: uniqueness of a key, presence in another table, a condition over columns."""
+    items = tb.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_discount", "l_tax")
+    stocked = tb.table(spark, sf_dir, "part").filter("p_size > 5")
+    return row_rules.error_rows(items, LINE_RULES, {"part": stocked})
+
+
+@register("row_rule_outcomes")
+def q_row_rule_outcomes(spark, sf_dir):
+    items = tb.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_discount", "l_tax")
+    return row_rules.rule_outcomes(items, LINE_RULES, {"part": tb.table(spark, sf_dir, "part").filter("p_size > 5")})
+
+
+# Rules over line items; an order's supplier should come once, parts should be stocked (size over 5).
+LINE_RULES = [
+    Rule(1, "l_orderkey", "row_unique_validation", None, '{"columns": ["l_orderkey", "l_suppkey"]}'),
+    Rule(2, "l_partkey", "row_reference_validation", None, '{"columns": ["l_partkey"], "table": "part", "references": ["p_partkey"]}'),
+    Rule(3, "l_quantity", "row_condition_validation", None, '{"condition": "l_quantity < 49 OR l_discount + l_tax < 0.1", "columns": ["l_quantity", "l_discount", "l_tax"]}'),
+    Rule(4, "l_returns", "column_null_validation"),
+]
+
+
+@register("validate_all_pending")
+def q_validate_all_pending(spark, sf_dir):
+    """Every pending batch (a month's at one hour) of every dataset in one job, column and row rules, one dataset with a rule on a column it doesn't have:
+    per batch its status, rule outcomes, error rows and silver rows."""
+    root = scratch_path(spark, "validate_all_pending")
+    rows = tb.rule_input(spark, sf_dir, *ctl.order_batch(monthly=True)).drop("business_date").withColumn(
+        "file_date", F.date_format("batch_ts", dates.STAMP_FORMAT))
+    reg = ctl.registry_from_orders(spark, sf_dir)
+    cols = ctl.columns_from_registry(reg)
+    bindings = ctl.bindings_from_columns(cols).unionByName(ctl.row_bindings(spark))
+    ran = audit.current_status(ctl.rule_audit_from_orders(spark, sf_dir, monthly=True), keys=("dataset_column_validation_id", "batch_ts"))
+    to_validate = planning.datasets_to_validate(reg, audit.current_status(ctl.audit_from_orders(spark, sf_dir, monthly=True)))
+    pending = planning.pending_rules(to_validate, bindings, cols.drop("validation_id", "ix").unionByName(ctl.row_columns(spark)),
+                                     ctl.validations(spark).unionByName(ctl.row_validations(spark)), ran)
+    customers = tb.table(spark, sf_dir, "customer").filter("c_nationkey < 20")
+    states = jobs.validate_pending(spark, rows, to_validate, pending, "o_orderkey", f"{root}/errors", f"{root}/silver",
+                                   f"{root}/rule_audit", f"{root}/audit", {"customer": customers})
+    batch = "dataset_id int, file_date string"
+    outcomes = spark.read.schema(schemas.VALIDATION_AUDIT).parquet(f"{root}/rule_audit").groupBy(
+        F.expr("cast(dataset_column_validation_id div 10 as int)").alias("dataset_id"), "batch_ts").agg(
+        F.count("*").alias("n_rules"), F.count_if(F.col("status") == "Failed").alias("n_failed"),
+        F.sum(F.regexp_extract("error_message", "^([0-9]+) error", 1).try_cast("long")).alias("n_rule_errors"))
+    counts = [spark.read.schema(batch).parquet(f"{root}/{t}").groupBy("dataset_id", F.to_timestamp("file_date", dates.STAMP_FORMAT).alias("batch_ts"))
+              .agg(F.count("*").alias(f"n_{t}")) for t in ("errors", "silver")]
+    out = states.join(outcomes, ["dataset_id", "batch_ts"], "left")
+    for n in counts:
+        out = out.join(n, ["dataset_id", "batch_ts"], "left")
+    return out.na.fill(0).select("dataset_id", "batch_ts", "business_date", "status", "error_message", "n_rules", "n_failed",
+                                 "n_rule_errors", "n_errors", "n_silver")
+
+
+class Medallion:
+    """The whole way of one feed in a folder of its own: landing, bronze, silver and error table, two gold tables, three audits.
+
+    Dataset 1 holds the feed's posts, validated by the two seeded rules; the aggregations of dataset 5 depend on it.
+    """
+
+    SOURCE, GOLD = 1, 5
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root
+        row = {"source_name": "feed", "source_path": f"{root}/landing", "bronze_path": f"{root}/bronze", "unknown_file_path": f"{root}/quarantine",
+               "file_name": "post_detail.lines", "file_name_format": POST_FILE_PATTERN, "format": "json"}
+        rows = [row | {"id": self.SOURCE, "name": "post_detail", "layer": "silver"}, row | {"id": self.GOLD, "name": "feedback", "layer": "gold"}]
+        self.registry = spark.createDataFrame([tuple(r.get(f.name) for f in schemas.DATASET.fields) for r in rows], schemas.DATASET)
+        rules = POST_RULES
+        self.columns = spark.createDataFrame([(r.id, self.SOURCE, r.column, r.datatype) for r in rules], schemas.DATASET_COLUMN)
+        self.bindings = spark.createDataFrame([(r.id, r.id, 1, "yes", None) for r in rules], schemas.DATASET_COLUMN_VALIDATION)
+        names = [name for _, name in ctl.AGGREGATIONS]
+        self.wiring = (spark.createDataFrame([(i, self.GOLD, "yes") for i, _ in ctl.AGGREGATIONS], "aggregation_id int, dataset_id int, is_active string"),
+                       ctl.aggregations(spark), spark.createDataFrame([(self.GOLD, self.SOURCE)], schemas.AGGREGATION_DEPENDENCY))
+        self.gold = {(self.GOLD, name): f"{root}/gold_{name}" for name in names}
+
+    def state(self) -> DataFrame:
+        return audit.current_status(self.spark.read.schema(schemas.DATASET_AUDIT).parquet(f"{self.root}/audit"))
+
+    def land_and_ingest(self, lines: DataFrame) -> None:
+        sinks.write_landing(lines, f"{self.root}/landing")
+        jobs.ingest_registered(self.spark, self.registry, "post_detail", "feed", f"{self.root}/audit", f"{self.root}/checkpoint")
+
+    def validate(self) -> DataFrame:
+        """Every batch whose current state is freshly ingested; bronze of files delivered again counts as last delivered."""
+        ran = files.read_if_exists(self.spark, f"{self.root}/rule_audit", schemas.VALIDATION_AUDIT)
+        ran = self.spark.createDataFrame([], schemas.VALIDATION_AUDIT) if ran is None else ran
+        batches = planning.datasets_to_validate(self.registry, self.state(), "feed", with_seq=True)
+        pending = planning.pending_rules(batches, self.bindings, self.columns, ctl.validations(self.spark),
+                                         audit.current_status(ran, ("dataset_column_validation_id", "batch_ts")))
+        rows = files.latest_delivery(read_bronze(self.spark, f"{self.root}/bronze")).withColumns(
+            {"dataset_id": F.lit(self.SOURCE), "batch_ts": dates.batch_ts("file_date")})
+        return jobs.validate_pending(self.spark, rows, batches, pending, "id", f"{self.root}/errors", f"{self.root}/silver",
+                                     f"{self.root}/rule_audit", f"{self.root}/audit")
+
+    def aggregate(self, reports_=jobs.REPORTS) -> DataFrame:
+        readiness = planning.dependency_readiness(planning.aggregation_plan(self.registry, *self.wiring, self.state()))
+        return jobs.aggregate_ready(self.spark, readiness, {self.GOLD: [f"{self.root}/silver/dataset_id={self.SOURCE}"]}, self.gold,
+                                    f"{self.root}/aggregation_audit", reports_=reports_)
+
+
+@register("batches_to_gold")
+def q_batches_to_gold(spark, sf_dir):
+    """Landing files of three batches a day to two gold tables: ingested, validated, flattened, scored, folded. The trend fails at first and
+    is retried by itself. Then one batch of some days is delivered again with later comment times and fewer posts: it is ingested and
+    validated again, and folded into gold in place of what it added before. Gold equals a computation over the last deliveries."""
+    m = Medallion(spark, scratch_path(spark, "batches_to_gold"))
+    m.land_and_ingest(fixtures.batch_posts(spark, sf_dir))
+    m.validate()
+    m.aggregate({"daily_kpi": jobs.REPORTS["daily_kpi"]})  # the trend's report isn't there yet
+    m.aggregate()
+    m.land_and_ingest(fixtures.batch_posts(spark, sf_dir, redelivered=True))
+    m.validate()
+    m.aggregate()
+    return _gold_by_day(spark, *m.gold.values())
 
 
 # ---- entry B with stored errors -----------------------------------------------------------

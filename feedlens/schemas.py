@@ -31,6 +31,7 @@ POST_FIELDS = [f.name for f in POST.fields]
 # Columns added at ingest (all strings, as in the bronze layout).
 BRONZE_EXTRA = T.StructType([
     T.StructField("source_file", T.StringType()),
+    T.StructField("landed_at", T.StringType()),
     T.StructField("file_date", T.StringType()),
     T.StructField("year", T.StringType()),
     T.StructField("month", T.StringType()),
@@ -96,6 +97,19 @@ DATASET_AUDIT = T.StructType([
     T.StructField("at", T.TimestampType()),
 ])
 
+# One event of an aggregation's run over a batch.
+AGGREGATION_AUDIT = T.StructType([
+    T.StructField("dataset_id", T.IntegerType()),
+    T.StructField("aggregation_name", T.StringType()),
+    T.StructField("business_date", T.DateType()),
+    T.StructField("batch_ts", T.TimestampType()),
+    T.StructField("seq", T.LongType()),
+    T.StructField("status", T.StringType()),
+    T.StructField("error_message", T.StringType()),
+    T.StructField("actor", T.StringType()),
+    T.StructField("at", T.TimestampType()),
+])
+
 DATASET_COLUMN = T.StructType([
     T.StructField("id", T.LongType()),
     T.StructField("dataset_id", T.IntegerType()),

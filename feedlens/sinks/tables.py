@@ -9,7 +9,7 @@ a large partition over several tasks.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -61,6 +61,33 @@ def write_gold(df: DataFrame, path: str, partition_col: str = "comment_date",
     w.save(path)
 
 
+EVENT_KEY = "event_key"
+
+
+def write_events(events: DataFrame, path: str, key: str) -> None:
+    """(M5, U2) Audit events under the key of what wrote them, each exactly once.
+
+    The log is partitioned by the key, and a key's events are replaced: a micro-batch or job step that is run again under its
+    key leaves as many events as before. All writers of one log go through here, so its layout is one.
+    """
+    (events.withColumn(EVENT_KEY, F.lit(key)).coalesce(1).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(EVENT_KEY).parquet(path))
+
+
+def drop_partitions(spark: SparkSession, path: str, values: DataFrame, columns: list[str]) -> None:
+    """Remove the folders of some partitions of the table at ``path``; those that aren't there are passed over.
+
+    ``values`` is a control frame (batches), collected here. A dynamic overwrite replaces only partitions that
+    get rows, so a batch that is left without any needs this.
+    """
+    jvm = spark._jvm  # Spark's own naming of partition folders, and the file system of the path
+    name = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
+    conf = spark._jsc.hadoopConfiguration()
+    for row in values.select(*[F.col(c).cast("string") for c in columns]).distinct().collect():
+        folder = jvm.org.apache.hadoop.fs.Path("/".join([path, *[name(c, v) for c, v in zip(columns, row)]]))
+        folder.getFileSystem(conf).delete(folder, True)
+
+
 LANDING_FILE = "landing_file"
 
 

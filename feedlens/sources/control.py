@@ -69,13 +69,19 @@ INACTIVE_AGGREGATION_DATASET = 15
 RULE_FAIL_PRICE = 300000.0
 
 
-def audit_from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_batch(monthly: bool = False) -> tuple[Column, Column, Column]:
+    """(dataset_id, business_date, batch_ts) of an order; ``monthly`` gathers a month's orders on its first day, so that batches of
+    all datasets meet at the same times."""
+    day = F.to_date(F.date_trunc("month", "o_orderdate")) if monthly else F.to_date("o_orderdate")
+    return ((F.col("o_custkey") % N_DATASETS).cast("int").alias("dataset_id"), day.alias("business_date"),
+            batch_ts(day, F.col("o_orderkey")).alias("batch_ts"))
+
+
+def audit_from_orders(spark: SparkSession, sf_dir: str, monthly: bool = False) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     status = audit_status(F.col("o_orderstatus"), F.col("o_orderpriority"))
     return o.select(
-        (F.col("o_custkey") % N_DATASETS).cast("int").alias("dataset_id"),
-        F.to_date("o_orderdate").alias("business_date"),
-        batch_ts(F.col("o_orderdate"), F.col("o_orderkey")).alias("batch_ts"),
+        *order_batch(monthly),
         F.col("o_orderkey").alias("seq"),
         status.alias("status"),
         F.when(status.contains("Failed"),
@@ -145,13 +151,13 @@ def aggregations(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(AGGREGATIONS, schemas.AGGREGATION)
 
 
-def rule_audit_from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+def rule_audit_from_orders(spark: SparkSession, sf_dir: str, monthly: bool = False) -> DataFrame:
     o = table(spark, sf_dir, "orders")
+    _, day, at = order_batch(monthly)
     return o.select(
         ((F.col("o_custkey") % N_DATASETS) * 10 + F.col("o_custkey") % 3 + 1).cast("long")
          .alias("dataset_column_validation_id"),
-        F.to_date("o_orderdate").alias("business_date"),
-        batch_ts(F.col("o_orderdate"), F.col("o_orderkey")).alias("batch_ts"),
+        day, at,
         F.col("o_orderkey").alias("seq"),
         F.when(F.col("o_totalprice") > RULE_FAIL_PRICE, F.lit("Failed"))
          .otherwise(F.lit("Validation Passed")).alias("status"),
@@ -175,3 +181,42 @@ def dependencies_from_registry(registry: DataFrame) -> DataFrame:
     return gold.select(F.col("id").alias("dataset_id"), F.explode(offs).alias("off")).select(
         "dataset_id", ((F.col("dataset_id") + F.col("off")) % N_DATASETS).cast("int")
         .alias("dependant_dataset_id"))
+
+
+# Orders whose aggregation run failed.
+FAILED_RUN_PRIORITIES = ("1-URGENT", "2-HIGH")
+
+
+def aggregation_audit_from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of the gold datasets' aggregations over the monthly batches."""
+    _, day, at = order_batch(monthly=True)
+    return table(spark, sf_dir, "orders").select(
+        (F.col("o_custkey") % (N_DATASETS // 5) * 5).cast("int").alias("dataset_id"),
+        F.element_at(F.array(*[F.lit(name) for _, name in AGGREGATIONS]), (F.col("o_orderkey") % 2 + 1).cast("int")).alias("aggregation_name"),
+        day, at, F.col("o_orderkey").alias("seq"),
+        F.when(F.col("o_orderpriority").isin(*FAILED_RUN_PRIORITIES), "Failed").otherwise("Success").alias("status"))
+
+
+# A row rule, or a rule on a column that batches don't have, on some datasets
+# (dataset, bound column, validation, parameters).
+ROW_BINDINGS = [
+    (1, "o_custkey", "row_reference_validation", '{"columns": ["o_custkey"], "table": "customer", "references": ["c_custkey"]}'),
+    (6, "o_custkey", "row_unique_validation", '{"columns": ["o_custkey", "o_orderpriority"]}'),
+    (7, "o_region", "column_null_validation", None),
+    (9, "o_totalprice", "row_condition_validation", '{"condition": "o_totalprice < 200000 OR o_orderstatus = \'F\'", "columns": ["o_totalprice", "o_orderstatus"]}'),
+]
+ROW_VALIDATION_IDS = {"column_null_validation": 1, "row_reference_validation": 3, "row_unique_validation": 4, "row_condition_validation": 5}
+
+
+def row_columns(spark: SparkSession) -> DataFrame:
+    """dataset_column rows of ROW_BINDINGS (the fourth column of a dataset)."""
+    return spark.createDataFrame([(d * 10 + 4, d, c, "STRING") for d, c, _, _ in ROW_BINDINGS], schemas.DATASET_COLUMN)
+
+
+def row_bindings(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([(d * 10 + 4, d * 10 + 4, ROW_VALIDATION_IDS[v], "yes", params) for d, _, v, params in ROW_BINDINGS],
+                                 schemas.DATASET_COLUMN_VALIDATION)
+
+
+def row_validations(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([(i, name, "row") for name, i in ROW_VALIDATION_IDS.items() if i > 2], schemas.VALIDATION)

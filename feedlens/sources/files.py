@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+from operator import and_
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -99,12 +103,20 @@ def read_if_exists(spark: SparkSession, path: str, schema: T.StructType) -> Data
         raise
 
 
-def same_partitions(stored: DataFrame, batch: DataFrame, column: str) -> DataFrame:
-    """The stored rows of the partition values that occur in ``batch``, NULL included.
+def same_partitions(stored: DataFrame, batch: DataFrame, column: str | Sequence[str]) -> DataFrame:
+    """The stored rows of the partition values (of one column or several) that occur in ``batch``, NULL included.
 
     The values stay on the executors: an equality semi join, by which Spark prunes the partitions
-    read, and for NULL a filter on that one partition.
+    read, and for NULL a filter on the partitions that have one.
     """
+    if not isinstance(column, str):
+        values = batch.select(*[F.col(c).alias(f"_p{i}") for i, c in enumerate(column)]).distinct()
+        no_null = reduce(and_, [F.col(c).isNotNull() for c in column])
+        equal = reduce(and_, [F.col(c) == F.col(f"_p{i}") for i, c in enumerate(column)])
+        safe = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_p{i}")) for i, c in enumerate(column)])
+        some_null = ~reduce(and_, [F.col(f"_p{i}").isNotNull() for i in range(len(column))])
+        return stored.join(values, equal, "left_semi").unionByName(
+            stored.filter(~no_null).join(values.filter(some_null), safe, "left_semi"))
     values = batch.select(column).distinct()
     nulls = values.filter(F.col(column).isNull()).limit(1).select(F.lit(1).alias("_one"))
     of_null = stored.filter(F.col(column).isNull()).withColumn("_one", F.lit(1)).join(nulls, "_one", "left_semi").drop("_one")
@@ -112,6 +124,19 @@ def same_partitions(stored: DataFrame, batch: DataFrame, column: str) -> DataFra
         of_null.select(stored.columns))
 
 
+def latest_delivery(bronze: DataFrame) -> DataFrame:
+    """The bronze rows of each landing file's latest delivery.
+
+    A file that is delivered again lands as new parts beside the old ones, whose names carry another write's id; the
+    delivery whose parts landed last (``landed_at``) counts. A delivery is taken to land at once, as Spark commits a write.
+    """
+    name = F.regexp_extract("filename", "^([^~]*)", 1)
+    delivery = F.regexp_extract("filename", r"~part-\d+-([0-9a-fA-F-]{36})", 1)
+    marked = bronze.withColumns({"_file": name, "_delivery": delivery})
+    newest = marked.groupBy("_file").agg(F.max_by("_delivery", F.struct("landed_at", "_delivery")).alias("_delivery"))
+    return marked.join(newest, ["_file", "_delivery"], "left_semi").select(bronze.columns)
+
+
 def read_batch(spark: SparkSession, fmt: str, path: str, schema: T.StructType | None = None,
                options: dict | None = None) -> DataFrame:
     """Format dispatch from a registry row (S5-S7). Partition columns in the

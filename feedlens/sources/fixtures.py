@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedlens import schemas
-from feedlens.functions.dates import utc_date
+from feedlens.functions.dates import iso_text, utc_date
 from feedlens.sinks.tables import LANDING_FILE, write_landing as write_lines
 from feedlens.sources.tables import TOPIC, nested_feed
 
@@ -59,3 +59,24 @@ def message_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("n") % 4 + 4 * announced).cast("int").alias("partition"),
         F.floor(F.col("n") / 4).cast("long").alias("offset"),
         F.col("day").cast("timestamp").alias("timestamp"))
+
+
+# Hours of a day's batches (by a third of the post number); the batches that are delivered again, by day of the month and hour, and
+# how their comments have moved meanwhile; posts withdrawn from them.
+BATCH_HOURS = ("00", "08", "16")
+REDELIVERED_DAY, REDELIVERED_BATCH, MOVED_HOURS, WITHDRAWN_EVERY = 10, 1, 36, 2
+
+
+def batch_posts(spark: SparkSession, sf_dir: str, redelivered: bool = False) -> DataFrame:
+    """(landing_file, line): every post of all days on a line of one of its day's three batches; or those batches that come
+    again, with later comment times and some posts left out."""
+    n = F.substring("id", 2, 20).cast("long")
+    feed = nested_feed(spark, sf_dir).withColumns({"n": n, "batch": F.floor(n / 3) % len(BATCH_HOURS), "day": utc_date("created_time")})
+    if redelivered:
+        feed = feed.filter((F.dayofmonth("day") == REDELIVERED_DAY) & (F.col("batch") == REDELIVERED_BATCH) & (F.col("n") % WITHDRAWN_EVERY != 0))
+        moved = F.transform("comments.data", lambda c: c.withField("created_time", iso_text(
+            F.to_timestamp_ntz(F.substring(c["created_time"], 1, 26)) + F.expr(f"INTERVAL {MOVED_HOURS} HOURS"))))
+        feed = feed.withColumn("comments", F.when(F.col("comments").isNotNull(), F.struct(moved.alias("data"))))
+    hour = F.element_at(F.array(*[F.lit(h) for h in BATCH_HOURS]), F.col("batch").cast("int") + 1)
+    name = F.concat(F.lit("post_detail_"), F.date_format("day", "yyyy-MM-dd"), F.lit("_"), hour, F.lit("-00-00.json"))
+    return feed.select(name.alias(LANDING_FILE), F.to_json(F.struct(*[F.col(c) for c in schemas.POST_FIELDS])).alias("line"))

@@ -151,9 +151,9 @@ def usage_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def rule_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+def rule_input(spark: SparkSession, sf_dir: str, *extra: Column) -> DataFrame:
     """``orders`` with NULLs planted in two columns and in some keys, plus a text
-    column ``cust_ref`` that is not always an integer."""
+    column ``cust_ref`` that is not always an integer; ``extra`` columns over ``orders`` come last."""
     o = table(spark, sf_dir, "orders")
     k = F.col("o_orderkey")
     return o.select(
@@ -165,6 +165,7 @@ def rule_input(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.nullif(F.col("o_orderpriority"), F.lit(NULL_PRIORITY)).alias("o_orderpriority"),
         F.when(k % BAD_REF_EVERY == 0, F.lit("n/a"))
          .otherwise(F.col("o_custkey").cast("string")).alias("cust_ref"),
+        *extra,
     )
 
 

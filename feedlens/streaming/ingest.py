@@ -15,7 +15,7 @@ are no JSON object go to quarantine with their text, and so does a text that can
 Per micro-batch (``foreachBatch``) there is exactly one bronze write (dynamic
 partition overwrite by year/month/day/filename, so a replayed batch rewrites
 the same partitions instead of duplicating them), one quarantine write (by batch and file),
-and one audit append per phase.
+and one audit write per phase, under the micro-batch's key, so that a replay leaves no further events.
 """
 
 from __future__ import annotations
@@ -73,13 +73,14 @@ def parse_landing(raw: DataFrame, pattern: str = dates.POST_FILE_PATTERN, layout
     if layout not in LAYOUTS:
         raise ValueError(f"layout must be one of {LAYOUTS}")
     text = raw.filter(F.trim("value") != "") if layout == "lines" else raw
+    landed = F.col("landed_at") if "landed_at" in raw.columns else F.lit(None)
     named = text.select(files.landing_path("source_file").alias("source_file"),
-                        files.part_name("source_file").alias("part"), "value")
-    posts = named.select("source_file", "part", F.explode(elements(F.col("value"), layout)).alias("_raw"))
+                        files.part_name("source_file").alias("part"), landed.cast("string").alias("landed_at"), "value")
+    posts = named.select("source_file", "part", "landed_at", F.explode(elements(F.col("value"), layout)).alias("_raw"))
     parsed = rescue(posts, "_raw", schemas.POST).withColumn("parse_ok", F.json_object_keys("_raw").isNotNull())
     # ``part`` stays apart from the file's name: a micro-batch may hold some parts of a landing file only
     return files.with_file_columns(parsed.select(
-        *schemas.POST_FIELDS, "_rescued", "source_file", "part", "parse_ok",
+        *schemas.POST_FIELDS, "_rescued", "source_file", "part", "landed_at", "parse_ok",
         F.when(~F.col("parse_ok"), F.col("_raw")).alias("_raw")), pattern=pattern)
 
 
@@ -96,10 +97,15 @@ def landing_stream(spark: SparkSession, landing: str, archive: str | None = None
     if archive:
         # a file is archived once the batch after the one that read it commits
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
-    raw = reader.load(landing).select("value", F.col("_metadata.file_path").alias("source_file"))
+    raw = reader.load(landing).select("value", F.col("_metadata.file_path").alias("source_file"), landed_at())
     return parse_landing(raw, pattern, layout)
 
 
+def landed_at() -> Column:
+    """When a landing file (or part) was written, as text that sorts by time."""
+    return F.date_format("_metadata.file_modification_time", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("landed_at")
+
+
 def audit_rows(report: DataFrame, dataset_id: int, status_ok: str, phase_rank: int) -> DataFrame:
     ok = F.col("status") == files.ACCEPTED
     return report.select(
@@ -127,21 +133,22 @@ def bronze_writer(paths: IngestPaths, dataset_id: int, fmt: str = "json"):
             # Started and In-Progress for each accepted file, in one append; a
             # rejected file gets a single Failed event with the reason
             started = report.filter(F.col("status") == files.ACCEPTED)
-            sinks.append(audit_rows(started, dataset_id, "Started", 0).unionByName(
-                audit_rows(started, dataset_id, "In-Progress", 1)), paths.audit)
+            batch_key = f"{stream_key(batch.sparkSession, paths.checkpoint)}-{batch_id}"
+            sinks.write_events(audit_rows(started, dataset_id, "Started", 0).unionByName(
+                audit_rows(started, dataset_id, "In-Progress", 1)), paths.audit, f"{batch_key}-started")
             accepted, rejected = files.quarantine_split(batch)
             name = F.concat_ws("~", "filename", "part").alias("filename")
             cols = [c for c in accepted.columns if c not in ("batch_ts", "name_ok", "parse_ok", "part", "filename", "_raw")]
-            key = F.lit(f"{stream_key(batch.sparkSession, paths.checkpoint)}-{batch_id}").alias("ingest_batch")
+            key = F.lit(batch_key).alias("ingest_batch")
             try:
                 sinks.write_bronze(accepted.select(*cols, name), paths.bronze, fmt)
                 sinks.write_partitions(rejected.select(*cols, "_raw", key, name), paths.quarantine,
                                        ["ingest_batch", "filename"], "json")
-                sinks.append(audit_rows(report, dataset_id, "Success", 2), paths.audit)
+                sinks.write_events(audit_rows(report, dataset_id, "Success", 2), paths.audit, f"{batch_key}-done")
             except Exception as e:  # noqa: BLE001 - record, then surface
                 failed = report.withColumn("status", F.lit("Failed")).withColumn(
                     "error_message", F.lit(str(e)[:2000]))
-                sinks.append(audit_rows(failed, dataset_id, "Failed", 2), paths.audit)
+                sinks.write_events(audit_rows(failed, dataset_id, "Failed", 2), paths.audit, f"{batch_key}-failed")
                 raise
             finally:
                 report.unpersist()

@@ -30,7 +30,7 @@ def test_lifecycle_summary(spark):
 
 def test_guard_blocks_only_success(spark):
     req = spark.createDataFrame([(1, None), (2, None), (4, None)], "dataset_id int, batch_ts timestamp")
-    left = sorted(r["dataset_id"] for r in audit.not_yet_done(req, audit.current(_events(spark))).collect())
+    left = sorted(r["dataset_id"] for r in audit.not_yet_done(req, audit.current(_events(spark)), ("dataset_id", "batch_ts")).collect())
     assert left == [2, 4]
 
 

@@ -68,6 +68,27 @@ def test_ingest_restart_and_replay(spark, tmp_path):
     assert read_bronze(spark, p.bronze).count() == 5
 
 
+def test_a_replayed_micro_batch_leaves_the_audit_as_it_was(spark, tmp_path):
+    """M5: the same micro-batch handed over again rewrites its own events; another adds its own."""
+    from feedlens.streaming.ingest import bronze_writer, parse_landing
+    root = str(tmp_path)
+    p = paths(root)
+    os.makedirs(p.checkpoint)
+    with open(f"{p.checkpoint}/metadata", "w") as f:
+        f.write('{"id": "query-1"}')
+    batch = parse_landing(spark.createDataFrame(
+        [(json.dumps([post("a", [])]), f"{p.landing}/post_detail_2024-03-26_10-00-00.json"), ("[1]", f"{p.landing}/post_detail_x.json")],
+        "value string, source_file string"))
+    write_batch = bronze_writer(p, 1)
+    counts = []
+    for batch_id in (0, 0, 1):
+        write_batch(batch, batch_id)
+        counts.append(sorted((r["status"], r["count"]) for r in spark.read.parquet(p.audit).groupBy("status").count().collect()))
+    once = [("Failed", 1), ("In-Progress", 1), ("Started", 1), ("Success", 1)]
+    assert counts == [once, once, [(s, 2 * n) for s, n in once]]
+    assert read_bronze(spark, p.bronze).count() == 1
+
+
 MESSAGE = "key binary, value binary, topic string, partition int, offset long, timestamp timestamp"
 
 
@@ -225,30 +246,6 @@ def test_validate_and_audit_entry_b(spark, tmp_path):
     assert spark.read.parquet(f"{root}/audit").collect()[0]["status"] == "Validated"
 
 
-def test_aggregate_ready_entry_c(spark, tmp_path):
-    import datetime as dt
-    root = str(tmp_path)
-    silver = spark.createDataFrame(
-        [("c1", "love it", "2024-03-26T10:00:00.000000+0000", "2024-03-26"), ("c2", "bad", "2024-03-27T11:00:00.000000+0000", "2024-03-26"),
-         ("c3", "bad", "2024-03-27T12:00:00.000000+0000", "2024-03-27"), ("c4", "bad", "soon", "2024-03-26")],
-        "comment_id string, comment_message string, comment_created_time string, file_date string")
-    silver.write.partitionBy("file_date").parquet(f"{root}/silver_1")
-    d = [dt.date(2024, 3, k) for k in (25, 26, 27)]
-    rows = [(ds, a, dt.datetime.combine(day, dt.time()), day, ready) for ds, a, day, ready in [
-        (5, "daily_kpi", d[0], True), (5, "daily_kpi", d[1], True), (5, "daily_kpi", d[2], False), (5, "sentiment_trend", d[1], True),
-        (15, "daily_kpi", d[1], True)]]
-    readiness = spark.createDataFrame(rows, "dataset_id int, aggregation_name string, batch_ts timestamp, business_date date, ready boolean")
-    state = readiness.filter("business_date = date'2024-03-25'").selectExpr("dataset_id", "batch_ts", "'Success' AS status")
-    gold = {(5, "daily_kpi"): f"{root}/g_kpi", (5, "sentiment_trend"): f"{root}/g_trend", (15, "daily_kpi"): f"{root}/g15"}
-    for _ in range(2):  # a second run replaces its own partials
-        out = jobs.aggregate_ready(spark, readiness, state, {5: [f"{root}/silver_1"], 15: [f"{root}/none"]}, gold, f"{root}/audit")
-    assert sorted((r["dataset_id"], r["aggregation_name"], str(r["business_date"]), r["status"]) for r in out.collect()) == [
-        (5, "daily_kpi", "2024-03-26", "Success"), (5, "sentiment_trend", "2024-03-26", "Success"), (15, "daily_kpi", "2024-03-26", "Skipped")]
-    g = {str(r["comment_date"]): r["total_comments"] for r in jobs.read_gold(spark, f"{root}/g_kpi").collect()}
-    assert g == {"2024-03-26": 1, "2024-03-27": 1, "None": 1}  # the day that isn't ready isn't read
-    assert spark.read.parquet(f"{root}/g_trend").count() == 3
-
-
 def test_bronze_read_prunes_partitions(spark, tmp_path):
     from tests.conftest import plan_text
     root = str(tmp_path)
