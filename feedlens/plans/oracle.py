@@ -550,6 +550,10 @@ SELECT id, NULL::VARCHAR AS raw, landing_file FROM named WHERE dayofmonth(h) = 5
 UNION ALL SELECT NULL, '[{{"id": "' || id || '", "message": "cut off', landing_file FROM named WHERE n % 60 = 0
 UNION ALL SELECT NULL, unnest([CAST(n AS VARCHAR), 'abc']), landing_file FROM named WHERE n % 90 = 0"""
 
+SQL["stream_json_to_bronze"] = SQL["stream_to_bronze"]
+SQL["stream_json_quarantine"] = SQL["stream_quarantine"].replace(
+    """UNION ALL SELECT NULL, '[{"id": "' || id || '", "message": "cut off', landing_file FROM named WHERE n % 60 = 0\n""", "")
+
 # the first drain has the messages of even offsets, the second all
 SQL["topic_drain"] = f"""{ALL_POSTS}
 SELECT id, {BRONZE_COLS} FROM allp

@@ -313,12 +313,12 @@ def _bronze_summary(spark, paths: IngestPaths, fmt: str = "json") -> DataFrame:
         F.col("_rescued").alias("rescued"))
 
 
-def _ingested(spark, sf_dir, name: str, fmt: str = "json") -> IngestPaths:
+def _ingested(spark, sf_dir, name: str, fmt: str = "json", layout: str = "lines") -> IngestPaths:
     """The derived landing files, ingested by the registry row of a dataset."""
     root = scratch_path(spark, name)
-    fixtures.write_landing(spark, sf_dir, f"{root}/landing")
+    {"lines": fixtures.write_landing, "json": fixtures.write_json_landing}[layout](spark, sf_dir, f"{root}/landing")
     row = {"id": 1, "name": "post_detail", "source_name": "feed", "source_path": f"{root}/landing", "bronze_path": f"{root}/bronze",
-           "unknown_file_path": f"{root}/quarantine", "file_name": "post_detail.lines", "file_name_format": POST_FILE_PATTERN, "format": fmt}
+           "unknown_file_path": f"{root}/quarantine", "file_name": f"post_detail.{layout}", "file_name_format": POST_FILE_PATTERN, "format": fmt}
     registry = spark.createDataFrame([tuple(row.get(f.name) for f in schemas.DATASET.fields)], schemas.DATASET)
     return jobs.ingest_registered(spark, registry, "post_detail", "feed", f"{root}/audit", f"{root}/checkpoint")
 
@@ -333,6 +333,20 @@ def q_stream_to_csv_bronze(spark, sf_dir):
     return _bronze_summary(spark, _ingested(spark, sf_dir, "stream_to_csv_bronze", "csv"), "csv")
 
 
+@register("stream_json_to_bronze")
+def q_stream_json_to_bronze(spark, sf_dir):
+    """Multi-line JSON landing files (arrays, and arrays of arrays), each read by as many tasks as its size asks for."""
+    return _bronze_summary(spark, _ingested(spark, sf_dir, "stream_json_to_bronze", layout="json"))
+
+
+@register("stream_json_quarantine")
+def q_stream_json_quarantine(spark, sf_dir):
+    """What the ingest of the multi-line files kept out of bronze: posts of wrongly named files, and elements that are no posts."""
+    paths = _ingested(spark, sf_dir, "stream_json_quarantine", layout="json")
+    return spark.read.schema("id string, _raw string, filename string").json(paths.quarantine).select(
+        "id", F.col("_raw").alias("raw"), F.regexp_extract("filename", "^([^~]*)", 1).alias("landing_file"))
+
+
 @register("stream_quarantine")
 def q_stream_quarantine(spark, sf_dir):
     """What the ingest kept out of bronze: posts of wrongly named files, and the texts of lines that are no post."""

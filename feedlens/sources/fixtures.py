@@ -7,7 +7,7 @@ shapes of a line, posts with unknown and mistyped values, and lines that hold no
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from feedlens import schemas
@@ -49,6 +49,23 @@ def write_landing(spark: SparkSession, sf_dir: str, landing: str) -> None:
     write_lines(landing_lines(spark, sf_dir), landing)
 
 
+def write_json_landing(spark: SparkSession, sf_dir: str, landing: str) -> None:
+    """The same posts as one multi-line JSON file a day: an array, or (by day) an array of arrays; some elements are no posts."""
+    n, day = F.col("n"), F.col("day")
+    name = F.concat(F.lit("post_detail_"), F.date_format("day", "yyyy-MM-dd"), F.lit("_00-00-00.json"),
+                    F.when(F.dayofmonth("day") == BAD_NAME_DAY, F.lit(".bak")).otherwise(F.lit("")))
+    nested = F.dayofmonth("day") % 2 == 0
+    opening, closing = F.when(nested, "[\n [\n").otherwise("[\n"), F.when(nested, "\n ]\n]").otherwise("\n]")
+    pretty = F.concat(F.regexp_replace(F.regexp_replace("post", '","', '",\n    "'), r"\{", "{\n   "), F.lit("\n"))
+    extra = F.when(n % SCALAR_EVERY == 0, F.concat(F.lit(",\n"), n.cast("string"), F.lit(', "abc"'))).otherwise("")
+    rows = posts(spark, sf_dir).withColumns({LANDING_FILE: name, "first": F.row_number().over(Window.partitionBy("day").orderBy("id")) == 1})
+    body = rows.select(LANDING_FILE, F.lit(1).alias("ord"), "id", F.concat(F.when(F.col("first"), "").otherwise(",\n"), pretty, extra).alias("value"))
+    ends = rows.filter("first").select(LANDING_FILE, "day", F.explode(F.array(F.lit(0), F.lit(2))).alias("ord")).select(
+        LANDING_FILE, "ord", F.lit(None).cast("string").alias("id"), F.when(F.col("ord") == 0, opening).otherwise(closing).alias("value"))
+    (body.unionByName(ends).repartition(LANDING_FILE).sortWithinPartitions(LANDING_FILE, "ord", "id").select("value", LANDING_FILE)
+     .write.mode("overwrite").partitionBy(LANDING_FILE).text(landing))
+
+
 def message_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Kafka-shaped records of the posts of all days: one message a post, its value an array of one."""
     announced = F.col("id").startswith("a").cast("int")

@@ -3,11 +3,13 @@
 A landing file is a file of the registered name, or a folder ``landing_file=<name>`` of
 parts (as a drain writes). Its text is read in one of two layouts:
 
-* ``json``: any JSON text over several lines, read whole: an array of posts, an array of such arrays, a
-  single post, or one post a line. Spark bounds the files of a micro-batch by bytes;
+* ``json``: any JSON text over several lines: an array of posts, an array of such arrays, a
+  single post, or one post a line. Files of any size are read by many tasks (``sources.json_split``);
 * ``lines``: one JSON value a line (a post, or an array as above). Nothing larger than a line is held,
   so files may have any size.
 
+Spark bounds the files of a micro-batch by bytes. ``parse_landing`` also takes ``whole`` texts, one a row.
+
 Elements are exploded to one row per post and parsed with the explicit post schema; what doesn't fit it
 (unknown keys at any level, values of another type) is kept in ``_rescued`` as JSON. Elements that
 are no JSON object go to quarantine with their text, and so does a text that can't be read as JSON at all.
@@ -30,11 +32,11 @@ from pyspark.sql.streaming import StreamingQuery
 from feedlens import schemas
 from feedlens.functions import dates
 from feedlens.sinks import tables as sinks
-from feedlens.sources import files
+from feedlens.sources import files, json_split
 from feedlens.sources.messages import rescue
 
 NESTED_SHAPE = r"^\s*\[\s*\["
-LAYOUTS = ("json", "lines")
+LAYOUTS = ("json", "lines", "whole")
 #: Bytes of landing files in a micro-batch, unless the caller says otherwise.
 MAX_BYTES_PER_TRIGGER = 4 << 30
 
@@ -60,7 +62,7 @@ def elements(value: Column, layout: str) -> Column:
     array = F.when(value.rlike(NESTED_SHAPE), F.flatten(F.from_json(value, "array<array<string>>"))).otherwise(
         F.from_json(value, "array<string>"))
     whole = F.array(value)
-    if layout == "json":  # one object, or one a line
+    if layout == "whole":  # one object, or one a line
         by_line = F.filter(F.split(value, "\n"), lambda line: F.trim(line) != "")
         whole = F.when(value.rlike(r"^\s*\{") & F.json_object_keys(value).isNull(), by_line).otherwise(whole)
         whole = F.when(value.rlike(r"^\s*\{\s*") & (F.size(by_line) > 1) & F.forall(
@@ -68,15 +70,23 @@ def elements(value: Column, layout: str) -> Column:
     return F.when(value.rlike(r"^\s*\["), F.coalesce(array, whole)).otherwise(whole)
 
 
-def parse_landing(raw: DataFrame, pattern: str = dates.POST_FILE_PATTERN, layout: str = "json") -> DataFrame:
-    """(value, source_file) rows -> one row per post + file columns; ``_raw`` keeps the text of what is no post."""
+def parse_landing(raw: DataFrame, pattern: str = dates.POST_FILE_PATTERN, layout: str = "whole",
+                  cached: list[DataFrame] | None = None) -> DataFrame:
+    """(value, source_file) rows -> one row per post + file columns; ``_raw`` keeps the text of what is no post.
+
+    In the ``json`` layout the rows are pieces (``json_split.PIECE``), which only a batch can put together.
+    """
     if layout not in LAYOUTS:
         raise ValueError(f"layout must be one of {LAYOUTS}")
-    text = raw.filter(F.trim("value") != "") if layout == "lines" else raw
-    landed = F.col("landed_at") if "landed_at" in raw.columns else F.lit(None)
-    named = text.select(files.landing_path("source_file").alias("source_file"),
-                        files.part_name("source_file").alias("part"), landed.cast("string").alias("landed_at"), "value")
-    posts = named.select("source_file", "part", "landed_at", F.explode(elements(F.col("value"), layout)).alias("_raw"))
+    landed = F.col("landed_at") if "landed_at" in raw.columns else F.lit(None).cast("string")
+    if layout == "json":
+        found = json_split.split_elements(raw, cached)
+        times = raw.groupBy("source_file").agg(F.max(landed).alias("landed_at"))
+        texts = found.join(times, "source_file").select("source_file", "landed_at", "_raw")
+    else:
+        text = raw.filter(F.trim("value") != "") if layout == "lines" else raw
+        texts = text.select("source_file", landed.alias("landed_at"), F.explode(elements(F.col("value"), layout)).alias("_raw"))
+    posts = texts.select(files.landing_path("source_file").alias("source_file"), files.part_name("source_file").alias("part"), "landed_at", "_raw")
     parsed = rescue(posts, "_raw", schemas.POST).withColumn("parse_ok", F.json_object_keys("_raw").isNotNull())
     # ``part`` stays apart from the file's name: a micro-batch may hold some parts of a landing file only
     return files.with_file_columns(parsed.select(
@@ -88,8 +98,10 @@ def landing_stream(spark: SparkSession, landing: str, archive: str | None = None
                    max_files_per_trigger: int | None = None,
                    pattern: str = dates.POST_FILE_PATTERN, layout: str = "json",
                    max_bytes_per_trigger: int = MAX_BYTES_PER_TRIGGER) -> DataFrame:
-    reader = (spark.readStream.format("text").option("wholetext", str(layout == "json").lower())
-              .option("recursiveFileLookup", "true"))
+    """Landing files as a stream: parsed rows, but for the ``json`` layout, whose pieces a micro-batch parses."""
+    reader = spark.readStream.format("text").option("recursiveFileLookup", "true")
+    if layout == "json":
+        reader = reader.option("lineSep", "}")
     if max_files_per_trigger:  # Spark takes one of the two bounds
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     else:
@@ -97,8 +109,10 @@ def landing_stream(spark: SparkSession, landing: str, archive: str | None = None
     if archive:
         # a file is archived once the batch after the one that read it commits
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
-    raw = reader.load(landing).select("value", F.col("_metadata.file_path").alias("source_file"), landed_at())
-    return parse_landing(raw, pattern, layout)
+    raw = reader.load(landing)
+    if layout == "json":
+        return raw.select(*json_split.piece_columns(), landed_at())
+    return parse_landing(raw.select("value", F.col("_metadata.file_path").alias("source_file"), landed_at()), pattern, layout)
 
 
 def landed_at() -> Column:
@@ -122,9 +136,13 @@ def audit_rows(report: DataFrame, dataset_id: int, status_ok: str, phase_rank: i
         F.col("filename"))
 
 
-def bronze_writer(paths: IngestPaths, dataset_id: int, fmt: str = "json"):
+def bronze_writer(paths: IngestPaths, dataset_id: int, fmt: str = "json", pattern: str = dates.POST_FILE_PATTERN,
+                  layout: str = "lines"):
     """The foreachBatch callback (M1, M3, M4, M5, K1, K5)."""
     def write(batch: DataFrame, batch_id: int) -> None:
+        cached: list[DataFrame] = []
+        if layout == "json":
+            batch = parse_landing(batch, pattern, layout, cached)
         batch = batch.persist()  # read the files once for all the writes below
         try:
             if batch.isEmpty():  # M4
@@ -153,7 +171,8 @@ def bronze_writer(paths: IngestPaths, dataset_id: int, fmt: str = "json"):
             finally:
                 report.unpersist()
         finally:
-            batch.unpersist()
+            for frame in (batch, *cached):
+                frame.unpersist()
     return write
 
 
@@ -164,7 +183,7 @@ def start_ingest(spark: SparkSession, paths: IngestPaths, dataset_id: int, fmt:
     """Start landing -> bronze. ``available_now`` processes what is there and stops."""
     stream = landing_stream(spark, paths.landing, paths.archive, max_files_per_trigger, pattern, layout,
                             max_bytes_per_trigger)
-    w = (stream.writeStream.foreachBatch(bronze_writer(paths, dataset_id, fmt))
+    w = (stream.writeStream.foreachBatch(bronze_writer(paths, dataset_id, fmt, pattern, layout))
          .option("checkpointLocation", paths.checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "1 minute")
     return w.start()
