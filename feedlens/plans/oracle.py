@@ -140,6 +140,34 @@ SELECT role, {LABEL} AS sentiment_label, count(*) AS n_turns,
        CAST(sum(len(regexp_extract_all(lower(text), '\\p{{L}}+'))) AS BIGINT) AS total_words
 FROM scored GROUP BY 1, 2"""
 
+SQL["conversation_sentiment_plugged"] = SQL["conversation_sentiment"]
+
+LEARNT = """labelled AS (SELECT d.doc_id, d.text, l.quality FROM documents d JOIN labels l USING (doc_id)
+             WHERE d.doc_id % 2 = 0 AND l.quality IN (0, 1)),
+sizes AS (SELECT count(*) FILTER (WHERE quality = 1) AS np, count(*) FILTER (WHERE quality = 0) AS nn FROM labelled),
+seen AS (SELECT DISTINCT rid, quality, unnest(regexp_extract_all(lower(text), '\\p{L}+')) AS word
+         FROM (SELECT row_number() OVER () AS rid, * FROM labelled)),
+counts AS (SELECT word, count(*) FILTER (WHERE quality = 1) AS p, count(*) FILTER (WHERE quality = 0) AS n FROM seen GROUP BY word),
+odds AS (SELECT word, ln((p + 1.0::DOUBLE) / (np + 2.0::DOUBLE)) - ln((n + 1.0::DOUBLE) / (nn + 2.0::DOUBLE)) AS o FROM counts, sizes
+         WHERE p + n >= 3 AND least(np, nn) > 0),
+learnt AS (SELECT word, CAST(floor(greatest(-1.0::DOUBLE, least(1.0::DOUBLE, o / 3.0::DOUBLE)) * 500.0::DOUBLE + 0.5::DOUBLE) * 2 AS INTEGER) AS pol_milli,
+                  'pol' AS kind FROM odds)"""
+
+SQL["induced_lexicon"] = f"""WITH {LEARNT}
+SELECT * FROM learnt WHERE abs(pol_milli) >= 100"""
+
+SQL["induced_sentiment"] = f"""WITH {LEX},
+{LEARNT},
+lex2 AS (SELECT * FROM learnt WHERE abs(pol_milli) >= 100 AND word NOT IN (SELECT word FROM lex WHERE kind <> 'pol')
+         UNION ALL SELECT word, 0, kind FROM lex WHERE kind <> 'pol'),
+held AS (SELECT d.doc_id, d.lang, d.text, l.quality AS label FROM documents d JOIN labels l USING (doc_id) WHERE d.doc_id % 2 = 1),
+{scored_cte('held', 'doc_id', 'text', 'seeded')},
+{scored_cte('held', 'doc_id', 'text', 'taught').replace("JOIN lex ", "JOIN lex2 ")}
+SELECT s.lang, count(*) AS n_texts,
+       count(*) FILTER (WHERE (coalesce(s.sentiment_score, 0) > 0) = (s.label = 1)) AS n_agree_seed,
+       count(*) FILTER (WHERE (coalesce(t.sentiment_score, 0) > 0) = (s.label = 1)) AS n_agree_learnt
+FROM seeded s JOIN taught t USING (doc_id) GROUP BY s.lang"""
+
 NESTED_POSTS = f"""{FEED},
 posts AS (
   SELECT post_no, id, message, total_count, min(created_time) AS created_time
@@ -282,6 +310,8 @@ tv AS (SELECT r.id AS dataset_id, r.name, c.batch_ts, c.business_date, r.silver_
 SQL["audit_current"] = f"""WITH {AUD}
 SELECT * FROM cur"""
 
+SQL["audit_compacted"] = SQL["audit_current"]
+
 SQL["audit_lifecycle"] = f"""WITH {AUD}
 SELECT dataset_id, status, count(*) AS n_batches,
        CASE WHEN status IN ('Started', 'In-Progress', 'Success', 'Failed') THEN 'ingest'
@@ -478,6 +508,13 @@ SQL["rescue_unknown_keys"] = """SELECT event_id,
                        WHEN 'signup' THEN '{"k":"many","v":[1,{"w":2.5}]}' END AS rescued
 FROM events"""
 
+SQL["schema_drift"] = """WITH seen AS (
+  SELECT CAST(ts AS DATE) AS day, unnest(CASE event_type WHEN 'click' THEN [{'key': 'src', 'type': 'STRING'}]
+           WHEN 'error' THEN [{'key': 'code', 'type': 'BIGINT'}, {'key': 'extra', 'type': 'VOID'}]
+           WHEN 'signup' THEN [{'key': 'k', 'type': 'STRING'}, {'key': 'v', 'type': 'ARRAY<VARIANT>'}] END, recursive := true)
+  FROM events)
+SELECT day, key, count(*) AS n_rows, type, min(day) OVER (PARTITION BY key) AS first_day FROM seen GROUP BY day, key, type"""
+
 TIMED = f"""{COMMENTS},
 timed AS (SELECT * REPLACE (CASE WHEN CAST(substr(comment_id, 2) AS BIGINT) % 40 = 0 THEN NULL ELSE comment_date END AS comment_date),
                  comment_date AS file_date FROM scored)"""

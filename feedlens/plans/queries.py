@@ -5,19 +5,23 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedlens import schemas
 from feedlens.functions import dates, kpi
+from feedlens.functions import lexicon as lx
 from feedlens.functions.dates import POST_FILE_PATTERN
 from feedlens.functions.rules import Rule
 from feedlens.functions.text import words
-from feedlens.operators import audit, cost, flatten, planning, quality, reports, row_rules, sentiment, upsert
+from feedlens.operators import audit, cost, flatten, induction, planning, quality, reports, row_rules, sentiment, upsert
 from feedlens.plans import jobs
 from feedlens.session import scratch_path
 from feedlens.sinks import tables as sinks
+from feedlens.sinks.audit_log import AuditLog
 from feedlens.sources import control as ctl
 from feedlens.sources import files, fixtures, messages
 from feedlens.sources import tables as tb
@@ -26,6 +30,7 @@ from feedlens.streaming.ingest import IngestPaths, read_bronze
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+LETTERS = regex.compile(r"\p{L}+")
 
 
 def register(name: str):
@@ -110,6 +115,54 @@ def q_conversation_sentiment(spark, sf_dir, scorer=None):
                  F.sum(F.size("words")).cast("long").alias("total_words")))
 
 
+def _labelled(spark, sf_dir, part: int) -> tuple[DataFrame, DataFrame]:
+    """Texts of one half of the ids, and the labels: the even half teaches, the odd one is held out."""
+    docs = tb.table(spark, sf_dir, "documents").select("doc_id", "lang", "text").filter(F.pmod("doc_id", F.lit(2)) == part)
+    return docs, tb.table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+
+
+@register("induced_lexicon")
+def q_induced_lexicon(spark, sf_dir):
+    """Polarities learnt from the labels of the even half of ``documents``."""
+    return induction.induce_lexicon(*_labelled(spark, sf_dir, 0))
+
+
+@register("induced_sentiment")
+def q_induced_sentiment(spark, sf_dir):
+    """The odd half scored by the learnt lexicon and by the seed list: how often each is positive exactly where the label is, by language."""
+    lexicon = induction.with_modifiers(induction.induce_lexicon(*_labelled(spark, sf_dir, 0)))
+    docs, labels = _labelled(spark, sf_dir, 1)
+    held_out = sentiment.score(docs.join(labels, "doc_id"), "text", out="seed_score")
+    scored = sentiment.score_with_lexicon_table(held_out, ["doc_id"], lexicon, "text", out="learnt_score")
+    return induction.agreement(scored, {"n_agree_seed": "seed_score", "n_agree_learnt": "learnt_score"})
+
+
+def seed_score_series(texts: pd.Series) -> pd.Series:
+    """A scorer from outside, as a user would plug one in (N2): the seed list's score, in pandas."""
+    polarity = {w: p for w, p, k in lx.seed_lexicon() if k == lx.POL}
+    modifier = {w: k for w, _, k in lx.seed_lexicon() if k != lx.POL}
+
+    def one(text: str | None) -> float | None:
+        if text is None:
+            return None
+        found = LETTERS.findall(text.lower())
+        values = []
+        for before, word in zip([None, *found], found):
+            if word in polarity:
+                p, kind = polarity[word], modifier.get(before)
+                half = int(p / 2)
+                values.append(-half if kind == lx.NEG else max(-1000, min(1000, p + half)) if kind == lx.BOOST else p)
+        return sum(values) / (1000.0 * len(values)) if values else 0.0
+
+    return texts.map(one)
+
+
+@register("conversation_sentiment_plugged")
+def q_conversation_sentiment_plugged(spark, sf_dir):
+    """``conversation_sentiment`` with a scorer from outside in place of the lexicon's expressions."""
+    return q_conversation_sentiment(spark, sf_dir, sentiment.pandas_scorer(seed_score_series))
+
+
 # ---- flatten and cost ----------------------------------------------------------
 @register("flatten_posts")
 def q_flatten_posts(spark, sf_dir):
@@ -195,6 +248,18 @@ def q_audit_current(spark, sf_dir):
     return audit.current(ctl.audit_from_orders(spark, sf_dir))
 
 
+@register("audit_compacted")
+def q_audit_compacted(spark, sf_dir):
+    """The current state from a stored log that was compacted twice while it grew: the snapshot and the events since."""
+    log = AuditLog(spark, f"{scratch_path(spark, 'audit_compacted')}/audit", schemas.DATASET_AUDIT)
+    events = ctl.audit_from_orders(spark, sf_dir)
+    for part in range(3):
+        sinks.write_events(events.filter(F.pmod("seq", F.lit(3)) == part), log.path, f"writer-{part}")
+        if part < 2:
+            log.compact()
+    return log.current()
+
+
 @register("audit_lifecycle")
 def q_audit_lifecycle(spark, sf_dir):
     return audit.lifecycle_summary(_audit_status(spark, sf_dir))
@@ -297,6 +362,13 @@ def q_rescue_unknown_keys(spark, sf_dir):
             .select("event_id", "k", "rescued"))
 
 
+@register("schema_drift")
+def q_schema_drift(spark, sf_dir):
+    """What of the raw JSON feed doesn't fit its schema, by day and key."""
+    raw = tb.raw_json_feed(spark, sf_dir, F.to_date("ts").alias("day"))
+    return messages.drift(messages.rescue(raw, "raw", KV_SCHEMA, "rescued"))
+
+
 # ---- streams, sinks and jobs (write to the shared folder, read back) ----------------
 
 

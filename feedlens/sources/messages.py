@@ -8,9 +8,10 @@ file-backed feeds used in tests.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -91,12 +92,44 @@ def _unmatched_value(name: str, got: Column, kind: T.DataType, v: Column) -> Col
     return F.when(got.isNull(), entry(v))
 
 
+# Types of a JSON value, as ``schema_of_variant`` writes them, that a column of each type takes whole.
+_TAKES = {T.StringType: r"(?:STRING|BIGINT|BOOLEAN|VOID)", T.LongType: r"(?:BIGINT|VOID)"}
+
+
+def fitting_pattern(kind: T.DataType) -> str:
+    """A pattern for types of JSON values that fit a type for certain (others may fit too)."""
+    if isinstance(kind, T.StructType):
+        names = sorted(kind.fields, key=lambda f: f.name)
+        return "(?:VOID|OBJECT<" + "".join(f"(?:{re.escape(f.name)}: {fitting_pattern(f.dataType)}(?:, |(?=>)))?" for f in names) + ">)"
+    if isinstance(kind, T.ArrayType):
+        return f"(?:VOID|ARRAY<{fitting_pattern(kind.elementType)}>)"
+    return _TAKES.get(type(kind), "VOID")
+
+
 def rescue(raw: DataFrame, raw_col: str, schema: T.StructType,
            rescued_col: str = "_rescued") -> DataFrame:
     """Parse ``raw_col`` with ``schema``; what doesn't fit it is kept with its values, as a JSON object
-    in ``rescued_col`` (NULL if all fits), instead of failing."""
-    out = raw.withColumn("_p", F.from_json(F.col(raw_col), schema))
-    rest = _bound(unmatched(F.try_parse_json(raw_col), F.col("_p"), schema),
+    in ``rescued_col`` (NULL if all fits), instead of failing.
+
+    A value's type tells for most rows at once that all fits; only for the others the rest is worked out."""
+    out = raw.withColumns({"_p": F.from_json(F.col(raw_col), schema), "_v": F.try_parse_json(raw_col)})
+    fits = F.schema_of_variant("_v").rlike(f"^{fitting_pattern(schema)}$")
+    rest = _bound(unmatched(F.col("_v"), F.col("_p"), schema),
                   lambda m: F.when(F.size(m) > 0, F.to_json(F.to_variant_object(m))))
-    return (out.withColumn(rescued_col, rest)
+    return (out.withColumn(rescued_col, F.when(~F.coalesce(fits, F.lit(False)), rest)).drop("_v")
             .select("*", *[F.col(f"_p.{f.name}").alias(f.name) for f in schema.fields]).drop("_p"))
+
+
+def drift(rescued: DataFrame, rescued_col: str = "rescued", day_col: str = "day") -> DataFrame:
+    """(S4) Which unknown or mistyped keys arrive: per day and key the rows, their type, and the key's first day.
+
+    The type is that of all the day's values together (``schema_of_variant_agg``: INT and TEXT in one day make VARIANT). Keys are those at the
+    top of the rescued objects, nested rests below them show in the type. Rows without a rest say nothing; a
+    NULL day is a day. One aggregate, pre-aggregated by task, so a key that every row carries is a row a task and day.
+    """
+    value = F.try_parse_json(rescued_col)
+    entries = rescued.select(F.col(day_col).alias("day"), F.explode(F.map_entries(F.try_variant_get(value, "$", _OBJECT))).alias("e"))
+    by_day = (entries.groupBy("day", F.col("e.key").alias("key"))
+              .agg(F.count("*").alias("n_rows"), F.schema_of_variant_agg("e.value").alias("type")))
+    first = F.min("day").over(Window.partitionBy("key"))
+    return by_day.withColumn("first_day", first)

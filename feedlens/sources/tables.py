@@ -216,8 +216,8 @@ def message_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.col("ts").cast("timestamp").alias("timestamp"))
 
 
-def raw_json_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``events.props`` with extra keys planted on some event types."""
+def raw_json_feed(spark: SparkSession, sf_dir: str, *extra: Column) -> DataFrame:
+    """``events.props`` with extra keys planted on some event types; ``extra`` columns over ``events`` come last."""
     ev = table(spark, sf_dir, "events")
     props = F.col("props")
     raw = (F.when(F.col("event_type") == "click",
@@ -227,4 +227,4 @@ def raw_json_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                         F.lit(', "extra": null}'))))
            .when(F.col("event_type") == "signup", F.lit('{"k": "many", "v": [1, {"w": 2.5}]}'))
            .otherwise(props))
-    return ev.select("event_id", raw.alias("raw"))
+    return ev.select("event_id", raw.alias("raw"), *extra)
