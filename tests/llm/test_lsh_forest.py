@@ -13,12 +13,12 @@ from .conftest import SCHEMA, table_of, words
 
 
 def plain(rows):
-    """doc_id -> (n_shingles, component) by comparing all pairs of whole sets."""
+    """(n_shingles, component) of each row by comparing all pairs of whole sets; rows of one id are one document."""
     sets, parent = {}, {}
-    for doc, text, *_ in rows:
+    for k, (doc, text, *_) in enumerate(rows):
         if doc is not None:
             w = (text or "").encode().lower().split()
-            sets[doc] = {tuple(w)} if 0 < len(w) < 5 else {tuple(w[k:k + 5]) for k in range(len(w) - 4)}
+            sets[doc, k] = {tuple(w)} if 0 < len(w) < 5 else {tuple(w[k:k + 5]) for k in range(len(w) - 4)}
             parent[doc] = doc
 
     def top(x):
@@ -29,20 +29,17 @@ def plain(rows):
     for a, b in combinations(sets, 2):
         both = len(sets[a] & sets[b])
         if both and 100 * both >= 75 * (len(sets[a]) + len(sets[b]) - both):
-            x, y = top(a), top(b)
+            x, y = top(a[0]), top(b[0])
             parent[max(x, y)] = min(x, y)
-    return {doc: (len(sets[doc]), top(doc)) for doc in sets}
+    return [(doc, len(found), top(doc) if found else doc) for (doc, _), found in sets.items()]
 
 
 def check(spark, rows):
     got = lsh_forest.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()
-    want = plain(rows)
     assert len(got) == len(rows)
     for r in got:
-        if r["doc_id"] is None:
-            assert r["component_id"] is None and r["kept"]
-        else:
-            assert (r["n_shingles"], r["component_id"]) == want[r["doc_id"]] and r["kept"] == (r["doc_id"] == r["component_id"])
+        assert r["component_id"] is None and r["kept"] if r["doc_id"] is None else r["kept"] == (r["doc_id"] == r["component_id"])
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got if r["doc_id"] is not None) == sorted(plain(rows))
 
 
 def edited(rng, text, n):
@@ -56,10 +53,27 @@ def test_odd_rows(spark, odd_rows):
     check(spark, odd_rows)
 
 
-def test_dense_groups_common_passages_and_chains(spark, monkeypatch):
-    """A star of near copies, texts around a common passage, and a chain of edits, with regions counted as dense early."""
-    monkeypatch.setattr(lsh_forest, "FEW", 3)
-    monkeypatch.setattr(lsh_forest, "CHUNK", 16)
+def test_one_id_with_several_texts(spark):
+    """A link of any text of an id links the id."""
+    rng = random.Random(3)
+    a, b, c = (words(rng, 60) for _ in range(3))
+    rows = [(1, a), (1, b), (2, edited(rng, a, 1)), (3, edited(rng, b, 1)), (4, c), (4, ""), (0, edited(rng, c, 1)), (4, c), (5, None), (5, "x y")]
+    check(spark, [(*r, "en", "s", 1) for r in rows])
+
+
+def test_signatures_of_a_link_agree():
+    """The stated probability that a pair at the threshold agrees in fewer than AGREE of its signature's values."""
+    from math import comb
+
+    assert sum(comb(64, k) * 0.75**k * 0.25**(64 - k) for k in range(lsh_forest.AGREE)) < 1e-5
+
+
+@pytest.mark.parametrize("chunk, rows, shingles, dense", [(512, 1024, 1 << 19, 16), (8, 7, 1500, 1000), (16, 8, 1 << 19, 1), (16, 1024, 200, 2)])
+def test_dense_groups_common_passages_and_chains(spark, monkeypatch, chunk, rows, shingles, dense):
+    """A star of near copies, texts around a common passage, and a chain of edits; with small chunks and units, with regions counted as
+    dense early, and with clusters."""
+    for name, value in (("CHUNK", chunk), ("UNIT_ROWS", rows), ("UNIT_SHINGLES", shingles), ("DENSE", dense)):
+        monkeypatch.setattr(lsh_forest, name, value)
     rng = random.Random(9)
     texts = []
     hub = words(rng, 150)
