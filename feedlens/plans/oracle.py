@@ -283,6 +283,9 @@ SELECT {_CO},
        END AS error_message
 FROM t FULL OUTER JOIN s ON {_NS}"""
 
+SQL["error_upsert_maps"] = f"""SELECT DISTINCT o_orderkey, o_custkey, o_orderstatus AS status, o_orderpriority AS priority,
+       2::BIGINT AS n_attributes, o_orderdate AS day, error_message FROM ({SQL["error_upsert"]})"""
+
 AUD = """aud AS (
   SELECT CAST(o_custkey % 20 AS INTEGER) AS dataset_id, CAST(o_orderdate AS DATE) AS business_date,
          CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) + to_hours(CAST(o_orderkey % 3 * 8 AS INTEGER)) AS batch_ts,
@@ -549,6 +552,17 @@ errs AS (SELECT DISTINCT o_orderkey FROM base WHERE o_orderstatus IS NULL OR o_o
 SELECT o_orderkey, o_custkey, {BATCH_DAY} AS file_date FROM base b
 WHERE NOT EXISTS (SELECT 1 FROM errs e WHERE e.o_orderkey = b.o_orderkey)"""
 
+SQL["catalog_promotion"] = f"""WITH {BASE},
+b AS (SELECT *, coalesce(o_orderkey, 0) % 2 AS part, o_orderstatus IS NULL AS f1, o_orderpriority IS NULL AS f2, {BAD_REF} AS f3 FROM base),
+e AS (SELECT *, CASE WHEN part = 0 THEN CASE WHEN f1 THEN 'Column o_orderstatus is null' END
+                     WHEN f2 THEN concat_ws(' | ', 'Column o_orderpriority is null', CASE WHEN f3 THEN 'Column cust_ref is not INT' END,
+                                            CASE WHEN f1 THEN 'Column o_orderstatus is null' END)
+                     WHEN f1 OR f3 THEN concat_ws(' | ', CASE WHEN f3 THEN 'Column cust_ref is not INT' END, CASE WHEN f1 THEN 'Column o_orderstatus is null' END)
+                END AS m FROM b)
+SELECT o_orderkey, o_custkey, m AS error_message, 'errors' AS held_in FROM e WHERE m IS NOT NULL
+UNION ALL SELECT o_orderkey, o_custkey, NULL, 'silver' FROM e
+WHERE o_orderkey IS NOT NULL AND CASE WHEN part = 0 THEN NOT f1 ELSE NOT f2 END"""
+
 SQL["error_table_upsert"] = f"""WITH {BASE}
 SELECT o_orderkey, o_custkey, {BATCH_DAY} AS file_date,
        concat_ws(' | ', CASE WHEN o_orderstatus IS NULL THEN 'Column o_orderstatus is null' END,

@@ -20,7 +20,7 @@ from feedlens.functions.text import words
 from feedlens.operators import audit, cost, flatten, induction, planning, quality, reports, row_rules, sentiment, upsert
 from feedlens.plans import jobs
 from feedlens.session import scratch_path
-from feedlens.sinks import tables as sinks
+from feedlens.sinks import catalog, tables as sinks
 from feedlens.sinks.audit_log import AuditLog
 from feedlens.sources import control as ctl
 from feedlens.sources import files, fixtures, messages
@@ -235,6 +235,29 @@ def q_error_upsert(spark, sf_dir):
     return upsert.upsert_errors(target, source)
 
 
+def _with_attributes(rows: DataFrame, turned: bool) -> DataFrame:
+    """Error rows whose status and priority stand in a map, and in a map within a struct; the order of entries says nothing."""
+    pairs = [("status", "o_orderstatus"), ("priority", "o_orderpriority")]
+    entries = F.map_from_entries(F.array(*[F.struct(F.lit(k).alias("key"), F.col(c).alias("value")) for k, c in (reversed(pairs) if turned else pairs)]))
+    return rows.select("o_orderkey", "o_custkey", entries.alias("attributes"),
+                       F.struct(F.col("o_orderdate").alias("day"), entries.alias("inner")).alias("origin"), "error_message")
+
+
+@register("error_upsert_maps")
+def q_error_upsert_maps(spark, sf_dir):
+    """The upsert of ``error_upsert`` on rows with MAP columns, source and target with entries in different order; then distinct
+    over the result and itself."""
+    batch = tb.rule_input(spark, sf_dir)
+    target = _with_attributes(quality.error_rows(batch, [ORDER_RULES[0]]), False)
+    replay = batch.filter(F.col("o_orderpriority") == "1-URGENT")
+    source = _with_attributes(quality.error_rows(batch, [ORDER_RULES[1]]).unionByName(quality.error_rows(replay, [ORDER_RULES[0]])), True)
+    merged = upsert.upsert_errors(target, source)
+    rows = upsert.distinct_rows(merged.unionByName(merged.withColumn("attributes", F.map_from_entries(F.reverse(F.map_entries("attributes"))))))
+    return rows.select("o_orderkey", "o_custkey", F.col("attributes")["status"].alias("status"),
+                       F.col("origin")["inner"]["priority"].alias("priority"), F.size("attributes").cast("long").alias("n_attributes"),
+                       F.col("origin")["day"].alias("day"), "error_message")
+
+
 # ---- audit trail and planning ----------------------------------------------------
 
 
@@ -683,6 +706,24 @@ def q_validate_retry(spark, sf_dir):
     return spark.read.schema(schema).parquet(f"{root}/silver").select("o_orderkey", "o_custkey", "file_date")
 
 
+@register("catalog_promotion")
+def q_catalog_promotion(spark, sf_dir):
+    """Two batches of error rows merged into a bucketed catalog table, and both batches' rows promoted against it into a bucketed
+    silver table, the second batch twice: what the catalog then holds of each key's group."""
+    run = scratch_path(spark, "t").rsplit("-", 1)[-1]
+    errors, silver = f"feedlens_errors_{run}", f"feedlens_silver_{run}"
+    rows = tb.rule_input(spark, sf_dir)
+    for part, rules in ((0, ORDER_RULES[:1]), (1, ORDER_RULES[1:2]), (1, ORDER_RULES)):
+        batch = rows.filter(F.coalesce(F.col("o_orderkey"), F.lit(0)) % 2 == part)
+        catalog.upsert_errors(quality.error_rows(batch, rules), errors, "o_orderkey")
+        valid = catalog.promote_valid(batch, errors, "o_orderkey")
+        fresh = catalog.new_rows(valid, silver, "o_orderkey").filter("o_orderkey IS NOT NULL")
+        catalog.append(fresh, silver, "o_orderkey")
+    held = [catalog.stored(spark, t).select("o_orderkey", "o_custkey", m, F.lit(n).alias("held_in"))
+            for t, n, m in ((errors, "errors", F.col("error_message")), (silver, "silver", F.lit(None).cast("string").alias("error_message")))]
+    return held[0].unionByName(held[1])
+
+
 @register("error_table_upsert")
 def q_error_table_upsert(spark, sf_dir):
     """The stored error table after two upserts; batches without a date are kept."""

@@ -11,9 +11,10 @@ SF_CHECK = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from feedlens.session import build_session
-    s = build_session("local[4]", shuffle_partitions=8, app_name="feedlens-tests")
+    s = build_session("local[4]", shuffle_partitions=8, app_name="feedlens-tests",
+                      extra={"spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse"))})
     yield s
     s.stop()
 
