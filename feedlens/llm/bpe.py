@@ -2,14 +2,19 @@
 
 Encoding: a task's distinct new pieces become token-position rows. A recursive query joins each
 adjacent pair to the merge table, contracts every word's leftmost pair of minimum rank, and goes on
-with the words that changed until none does. Pieces that are tokens themselves skip the merges.
+with the words that changed until none does. Pieces that are tokens themselves skip the merges. The
+recursion takes a step for each merge of the longest piece, so pieces of more than ``LONG_PIECE`` bytes (texts without
+spaces) are contracted in the same order by a heap of their pairs instead, in n log n steps.
 Decoding: token-position rows join the vocabulary; an ordered aggregation puts the bytes together.
 """
 
 from __future__ import annotations
 
 import hashlib
+import heapq
+from array import array
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -18,8 +23,11 @@ from pyspark.sql import DataFrame
 from .common import map_rows
 from .tokens import groups, read_ranks
 
-#: Pieces kept in a worker's memory before it starts anew (a memory bound; results don't depend on it).
+#: Pieces kept in a worker's memory; when there are more, the first half, which holds the frequent ones, stays (a memory
+#: bound; results don't depend on it).
 CACHE_PIECES = 400_000
+#: Bytes of a piece above which the heap contracts it.
+LONG_PIECE = 512
 #: Bytes of new pieces contracted by one recursive query, and tokens decoded by one: memory bounds only.
 QUERY_BYTES = 4 << 20
 DECODE_TOKENS = 1 << 20
@@ -57,11 +65,25 @@ select word, list(tok order by pos) as ids from state where final group by word
 """
 
 DECODE = """
-select doc, string_agg(h, '' order by pos) as h
+select doc, string_agg(c, '' order by pos) as c
 from tokens join vocab on tok = id group by doc
 """
 
 
+class Pieces(dict):
+    """The ids (int32) of pieces; those asked for in vain are noted."""
+
+    def __init__(self):
+        self.missed: set[str] = set()
+
+    def __missing__(self, piece: str) -> None:
+        self.missed.add(piece)
+
+    def take(self) -> set[str]:
+        missed, self.missed = self.missed, set()
+        return missed
+
+
 class Bpe:
     """Vocabulary, merge table and known pieces of one worker."""
 
@@ -72,10 +94,13 @@ class Bpe:
         self.ranks = read_ranks(ranks_path)
         self.pattern = regex.compile(pattern)
         self.byte_ids = np.array([self.ranks[bytes([b])] for b in range(256)], dtype=np.int32)
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.known = Pieces()
+        self.written = [str(i) for i in range(max(self.ranks.values()) + 1)]
+        self.pairs: dict[tuple[int, int], int] = {}
         self.db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "512MB", "temp_directory": ""})
-        self.db.register("given", pa.table({"id": pa.array(self.ranks.values(), pa.int32()),
-                                            "h": [token.hex() for token in self.ranks]}))
+        # tokens as hexadecimal text, to be cut; and with a character for each byte, to be joined
+        self.db.register("given", pa.table({"id": pa.array(self.ranks.values(), pa.int32()), "h": [token.hex() for token in self.ranks],
+                                            "c": [token.decode("latin-1") for token in self.ranks]}))
         self.run("create table vocab as select * from given")
         self.run(MERGE_TABLE)
 
@@ -83,8 +108,8 @@ class Bpe:
         got = self.db.sql(sql)
         return None if got is None else got.to_arrow_table()
 
-    def contract(self, pieces: list[bytes]) -> list[list[int]]:
-        """Ids of pieces that are no tokens themselves."""
+    def contract(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids (int32) of pieces that are no tokens themselves."""
         sizes = np.array([len(p) for p in pieces], dtype=np.int64)
         starts = np.cumsum(sizes) - sizes
         tok = self.byte_ids[np.frombuffer(b"".join(pieces), dtype=np.uint8)]
@@ -93,52 +118,80 @@ class Bpe:
         self.db.register("pieces", pa.table({
             "word": np.repeat(np.arange(len(pieces), dtype=np.int32), sizes),
             "pos": np.arange(len(tok)) - np.repeat(starts, sizes), "tok": tok, "nxt": nxt.astype(np.int32)}))
-        got = self.run(CONTRACT)
+        got = self.run(CONTRACT).combine_chunks()
         self.db.unregister("pieces")
-        out: list = [None] * len(pieces)
-        for word, ids in zip(got["word"].to_pylist(), got["ids"].to_pylist()):
-            out[word] = ids
+        out: list = [b""] * len(pieces)
+        if got.num_rows:
+            lists = got["ids"].chunk(0)
+            data, bounds = lists.values.to_numpy().astype(np.int32).tobytes(), (4 * lists.offsets.to_numpy()).tolist()
+            for word, a, b in zip(got["word"].to_pylist(), bounds, bounds[1:]):
+                out[word] = data[a:b]
         return out
 
-    def learn(self, pieces: set[str]) -> None:
-        """Add the ids of pieces not known yet."""
-        if len(self.known) + len(pieces) > CACHE_PIECES:
-            self.known.clear()
+    def contract_long(self, data: bytes) -> list[int]:
+        """Ids of one long piece: a heap of its pairs by rank, then place, over a linked list of tokens."""
+        if not self.pairs:
+            table = self.run("select l, r, m from merges")
+            self.pairs = dict(zip(zip(table["l"].to_pylist(), table["r"].to_pylist()), table["m"].to_pylist()))
+        tok = self.byte_ids[np.frombuffer(data, dtype=np.uint8)].tolist()
+        end = len(tok)
+        after, before = list(range(1, end + 1)), list(range(-1, end - 1))
+        heap = [(m, k) for k in range(end - 1) if (m := self.pairs.get((tok[k], tok[k + 1]))) is not None]
+        heapq.heapify(heap)
+        while heap:
+            m, k = heapq.heappop(heap)
+            right = after[k]
+            if right == end or tok[k] < 0 or self.pairs.get((tok[k], tok[right])) != m:
+                continue
+            tok[k], tok[right] = m, -1
+            after[k] = after[right]
+            if after[k] < end:
+                before[after[k]] = k
+                if (new := self.pairs.get((m, tok[after[k]]))) is not None:
+                    heapq.heappush(heap, (new, k))
+            if before[k] >= 0 and (new := self.pairs.get((tok[before[k]], m))) is not None:
+                heapq.heappush(heap, (new, before[k]))
+        return [t for t in tok if t >= 0]
+
+    def learn(self, pieces: list[str]) -> dict[str, bytes]:
+        """The ids of pieces."""
+        found: dict[str, bytes] = {}
         held: list[tuple[str, bytes]] = []
         weight = 0
 
         def merge() -> None:
             if held:
-                for (piece, _), ids in zip(held, self.contract([data for _, data in held])):
-                    self.known[piece] = tuple(ids)
+                found.update(zip((piece for piece, _ in held), self.contract([data for _, data in held])))
 
         for piece in pieces:
             data = piece.encode()
             if (rank := self.ranks.get(data)) is not None:
-                self.known[piece] = (rank,)
-                continue
-            if weight + len(data) > QUERY_BYTES:
-                merge()
-                held, weight = [], 0
-            held.append((piece, data))
-            weight += len(data)
+                found[piece] = array("i", [rank]).tobytes()
+            elif len(data) > LONG_PIECE:
+                found[piece] = array("i", self.contract_long(data)).tobytes()
+            else:
+                if weight + len(data) > QUERY_BYTES:
+                    merge()
+                    held, weight = [], 0
+                held.append((piece, data))
+                weight += len(data)
         merge()
+        return found
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids (int32) of each text."""
         split = [self.pattern.findall(text) for text in texts]
-        wanted = set().union(*split) if split else set()
-        new = {p for p in wanted if p not in self.known}
-        if new:
-            if len(self.known) + len(new) > CACHE_PIECES:
-                new = wanted
-            self.learn(new)
-        out = []
-        for pieces in split:
-            ids: list[int] = []
-            for piece in pieces:
-                ids += self.known[piece]
-            out.append(ids)
-        return out
+        found = [list(map(self.known.__getitem__, pieces)) for pieces in split]  # None where not known yet
+        fresh = self.learn(list(self.known.take()))
+        for pieces, ids in zip(split, found):
+            if None in ids:
+                ids[:] = [fresh[piece] if own is None else own for piece, own in zip(pieces, ids)]
+        self.known.update((piece, ids) for piece, ids in fresh.items() if len(piece) <= LONG_PIECE)
+        if len(self.known) > CACHE_PIECES:
+            half = list(islice(self.known.items(), CACHE_PIECES // 2))
+            self.known.clear()
+            self.known.update(half)
+        return [np.frombuffer(b"".join(ids), dtype=np.int32) for ids in found]
 
     def decode(self, sequences: list[np.ndarray]) -> list[bytes]:
         """Bytes of id sequences; long ones are decoded in parts and joined."""
@@ -166,9 +219,9 @@ class Bpe:
             "tok": np.concatenate([ids for _, ids in held]).astype(np.int32)}))
         got = self.run(DECODE)
         self.db.unregister("tokens")
-        found = dict(zip(got["doc"].to_pylist(), got["h"].to_pylist()))
+        found = dict(zip(got["doc"].to_pylist(), got["c"].to_pylist()))
         for n, (k, _) in enumerate(held):
-            parts[k].append(bytes.fromhex(found[n]))
+            parts[k].append(found[n].encode("latin-1"))
 
 
 @lru_cache(maxsize=2)
@@ -185,7 +238,7 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
         bpe = worker_bpe(ranks_path, pattern)
         for group in groups(rows, lambda r: len(r[1] or ""), GROUP_BYTES):
             for (doc, _), ids in zip(group, bpe.encode([text or "" for _, text in group])):
-                yield doc, ids
+                yield doc, ids.tolist()
 
     return map_rows(df.select(id_col, text_col), run, f"`{id_col}` bigint, token_ids array<int>")
 
@@ -208,9 +261,9 @@ def round_trip(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_
         bpe = worker_bpe(ranks_path, pattern)
         for group in groups(rows, lambda r: len(r[1] or ""), GROUP_BYTES):
             encoded = bpe.encode([text or "" for _, text in group])
-            decoded = bpe.decode([np.array(ids, dtype=np.int32) for ids in encoded])
+            decoded = bpe.decode(encoded)
             for (doc, _), ids, data in zip(group, encoded, decoded):
-                yield (doc, len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(),
+                yield (doc, len(ids), hashlib.sha256(",".join(map(bpe.written.__getitem__, ids.tolist())).encode()).hexdigest(),
                        hashlib.sha256(data).hexdigest())
 
     return map_rows(df.select(id_col, text_col), run,

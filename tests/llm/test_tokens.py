@@ -52,10 +52,36 @@ def test_op4_memory_bounds_change_nothing(monkeypatch):
     for name, value in (("QUERY_BYTES", 6), ("DECODE_TOKENS", 3), ("CACHE_PIECES", 2)):
         monkeypatch.setattr(module, name, value)
     one = Bpe(MULTI, P.PATTERN)
-    assert one.encode(texts) == want
+    assert [ids.tolist() for ids in one.encode(texts)] == want
     assert one.decode([np.array(w, dtype=np.int32) for w in want]) == [t.encode() for t in texts]
 
 
+def test_op4_long_pieces_take_little_time_and_equal_the_library(monkeypatch):
+    """Texts without a space: the heap against the library, and against the recursion on pieces that both can take."""
+    import random
+    import time
+
+    import feedlens.llm.bpe as module
+    rng = random.Random(5)
+    e, one = encoder(MULTI), Bpe(MULTI, P.PATTERN)
+    texts = ["".join(rng.choices("etaoinshrdlu", k=200_000)), "ab" * 60_000, "a" * 100_000, "漢字" * 20_000, "x" + "=" * 50_000]
+    start = time.process_time()
+    got = one.encode(texts)
+    assert time.process_time() - start < 30
+    assert [ids.tolist() for ids in got] == [e.encode_ordinary(t) for t in texts]
+    short = ["".join(rng.choices("etaoin", k=rng.randint(2, 60))) for _ in range(300)] + ["a" * n for n in range(2, 40)]
+    assert [one.contract_long(t.encode()) for t in short] == [np.frombuffer(ids, dtype=np.int32).tolist() for ids in one.contract([t.encode() for t in short])]
+
+
+def test_op4_white_space_of_all_kinds():
+    import random
+    rng = random.Random(8)
+    e, one = encoder(MULTI), Bpe(MULTI, P.PATTERN)
+    parts = [" ", " ", " ", "  ", "\n", "\t", "\u00a0", "\u3000", "a", "the", "It's", "'ll", "12", "é", "漢", "!", ".", "\x1c", "\x85", "_"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(1, 12))) for _ in range(4000)]
+    assert [ids.tolist() for ids in one.encode(texts)] == [e.encode_ordinary(t) for t in texts]
+
+
 @pytest.mark.parametrize("rule", attribution.RULES)
 def test_op7_counts_equal_a_plain_attribution(odd, odd_rows, rule):
     e = encoder(PLAIN)
@@ -88,7 +114,6 @@ def test_op7_a_token_over_a_border_goes_where_most_of_it_lies():
 
 def pieces_hold(rows, texts, window):
     e = Tokenizer.from_file(WORD)
-    e.encode_special_tokens = True
     by_doc, by_sequence = defaultdict(list), defaultdict(list)
     for r in rows:
         by_doc[r["doc_id"]].append(r)
@@ -127,12 +152,22 @@ def test_op9_small_windows_and_flushes(odd, odd_rows):
 
 
 def test_words_are_encoded_as_the_tokenizer_does():
-    e = WordEncoder(WORD)
+    e, library = WordEncoder(WORD), Tokenizer.from_file(WORD)
     for w in ["It's.", "a.b.", "x'.", "É.", "don't,", "ΑΣ.", "...", "a..", "x y.", "1.", "<|endoftext|>.", "\x1c q", "ﬁ.", "K."]:
-        assert e.encode([w])[0].tolist() == e.tokenizer.encode(w, add_special_tokens=False).ids
+        assert e.encode([w])[0].tolist() == library.encode(w, add_special_tokens=False).ids
 
 
 def test_empty_tables_and_clashing_columns(nothing, odd, clashing):
     for f in (lambda d: bpe.round_trip(d, MULTI, P.PATTERN), lambda d: attribution.token_counts(d, PLAIN, P.PATTERN), lambda d: packing.pack(d, WORD)):
         assert f(nothing).count() == 0
         assert table_of(f(clashing).select(f(odd).columns)) == table_of(f(odd))
+
+
+def test_special_strings_in_texts_are_encoded_as_the_library_does():
+    """Against the unmodified tokenizer, in every surrounding, and after the cache has been emptied."""
+    e, library = WordEncoder(WORD), Tokenizer.from_file(WORD)
+    a, b = "<|startoftext|>", "<|endoftext|>"
+    texts = [f"end {b} start", f"end{b}start", f"{b}{a}", b, f"x.{a}.", f"{a} {b}\n{a}", f"<|ENDOFTEXT|> {b[:-1]}", f"<{b}>", f"<|{b}|>", f"é{b}\x1cÉ, {a}\x1f"]
+    for _ in range(2):
+        assert [ids.tolist() for ids in e.encode(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+        e.known = dict(list(e.known.items())[:4])
