@@ -609,3 +609,8 @@ SQL["stream_json_quarantine"] = SQL["stream_quarantine"].replace(
 SQL["topic_drain"] = f"""{ALL_POSTS}
 SELECT id, {BRONZE_COLS} FROM allp
 UNION ALL SELECT id, {BRONZE_COLS} FROM allp WHERE (n // 4) % 2 = 0"""
+
+SQL["drain_counts"] = f"""{ALL_POSTS},
+m AS (SELECT CAST(n % 4 + CASE WHEN id LIKE 'a%' THEN 4 ELSE 0 END AS INTEGER) AS partition, n // 4 AS o FROM allp)
+SELECT '{tb.TOPIC}' AS topic, partition, count(*) FILTER (WHERE o % 9 <> 0) AS n_messages, count(*) FILTER (WHERE o % 9 = 0) AS n_null,
+       min(o) AS min_offset, max(o) AS max_offset FROM m GROUP BY partition"""

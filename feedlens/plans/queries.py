@@ -466,6 +466,21 @@ def q_topic_drain(spark, sf_dir):
     return _bronze_summary(spark, paths).drop("year", "month", "day")
 
 
+@register("drain_counts")
+def q_drain_counts(spark, sf_dir):
+    """What a drain took from each source partition: messages landed, and messages without a value, of which nothing lands."""
+    root = scratch_path(spark, "drain_counts")
+    rows = fixtures.message_rows(spark, sf_dir)
+    rows.withColumn("value", F.when(F.col("offset") % NULL_VALUE_EVERY != 0, F.col("value"))).write.parquet(f"{root}/topic")
+    drain_stream.start_drain(spark, f"{root}/topic", f"{root}/landing", f"{root}/drained", f"{root}/checkpoint",
+                             max_files_per_trigger=4).awaitTermination()
+    return drain_stream.drained_counts(spark.read.parquet(f"{root}/drained"))
+
+
+# Fixed value: offsets whose messages have no value.
+NULL_VALUE_EVERY = 9
+
+
 @register("batch_read_formats")
 def q_batch_read_formats(spark, sf_dir):
     root = scratch_path(spark, "batch_read_formats")

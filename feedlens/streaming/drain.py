@@ -25,21 +25,30 @@ DRAIN, DRAINED_AT = "drain", "_drained_at"
 
 def drain_writer(landing: str, drained_log: str, key, prefix: str = "post_detail_"):
     """foreachBatch callback. ``key(spark, batch_id)`` names the micro-batch for good; the batch carries its time
-    in ``DRAINED_AT``. Message counts and offset ranges by source partition go to ``drained_log``."""
+    in ``DRAINED_AT``. Message counts and offset ranges by source partition go to ``drained_log``; messages without a value (a topic's
+    deletions) have nothing to land, and are counted there (``n_null``)."""
     def write(batch: DataFrame, batch_id: int) -> None:
         name = F.concat(F.lit(prefix), F.date_format(DRAINED_AT, STAMP_FORMAT), F.lit(".json"))
-        valid = batch.filter(F.col("value").isNotNull()).withColumns(
-            {DRAIN: F.lit(key(batch.sparkSession, batch_id)), LANDING_FILE: name}).persist()
+        named = batch.withColumns({DRAIN: F.lit(key(batch.sparkSession, batch_id)), LANDING_FILE: name}).persist()
         try:
+            valid = named.filter(F.col("value").isNotNull())
             write_landing(valid.withColumn("line", F.col("value").cast("string")), landing, (DRAIN, LANDING_FILE))
-            counts = valid.groupBy(DRAIN, LANDING_FILE, "topic", "partition").agg(
-                F.count("*").alias("n_messages"), F.min("offset").alias("min_offset"), F.max("offset").alias("max_offset"))
+            counts = named.groupBy(DRAIN, LANDING_FILE, "topic", "partition").agg(
+                F.count("value").alias("n_messages"), F.count_if(F.col("value").isNull()).alias("n_null"),
+                F.min("offset").alias("min_offset"), F.max("offset").alias("max_offset"))
             write_partitions(counts, drained_log, [DRAIN])
         finally:
-            valid.unpersist()
+            named.unpersist()
     return write
 
 
+def drained_counts(log: DataFrame) -> DataFrame:
+    """What the drains of a log took from each source partition, a drain counted once however often a batch was replayed."""
+    return log.groupBy("topic", "partition").agg(
+        F.sum("n_messages").alias("n_messages"), F.sum("n_null").alias("n_null"),
+        F.min("min_offset").alias("min_offset"), F.max("max_offset").alias("max_offset"))
+
+
 def kafka_feed(spark: SparkSession, bootstrap_servers: str, topic: str,
                max_offsets_per_trigger: int = 5_000_000, options: dict | None = None) -> DataFrame:
     """Streaming read of a Kafka topic from the earliest offset, bounded per
