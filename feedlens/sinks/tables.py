@@ -70,8 +70,7 @@ def write_events(events: DataFrame, path: str, key: str) -> None:
     The log is partitioned by the key, and a key's events are replaced: a micro-batch or job step that is run again under its
     key leaves as many events as before. All writers of one log go through here, so its layout is one.
     """
-    (events.withColumn(EVENT_KEY, F.lit(key)).coalesce(1).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(EVENT_KEY).parquet(path))
+    write_partitions(events.withColumn(EVENT_KEY, F.lit(key)), path, [EVENT_KEY])
 
 
 def drop_partitions(spark: SparkSession, path: str, values: DataFrame, columns: list[str]) -> None:
