@@ -1,18 +1,19 @@
 """Operator 1: personal data by base patterns and a character BiLSTM-CRF.
 
 The network learns from labelled spans: personal data of many written forms, and look-alikes without a
-label, set into surroundings from a bounded sample of the corpus. It adds spans that the patterns miss (spaced or
-bracketed addresses, numbers without plus sign or with other separators). Every span of its four
-kinds holds a digit or an @, so only stretches around those characters can be tagged; each stretch is
+label, set into surroundings from a bounded sample of the corpus. It adds spans that the patterns miss (spaced, bracketed or
+written-out addresses, numbers without plus sign or with other separators). Every span of its four
+kinds holds a digit, an @ or a bracketed "at", so stretches around those are read; each stretch is
 covered by overlapping windows. Their tag scores are blended by distance from the windows' ends, and
-one Viterbi pass over the whole stretch decides, so that no window border cuts a span.
+one Viterbi pass over the whole stretch decides, so that no window border cuts a span. A span that reaches the end of
+its stretch has the stretch read on until it doesn't, and an address ends where its first and last word do.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -25,14 +26,19 @@ from .tokens import groups
 
 TAGS = 1 + 2 * len(KINDS)
 HIDDEN, WINDOW, STRIDE = 20, 96, 48
-#: Characters around a digit or @ that are read with it.
+#: Characters around a digit, @ or "at" that are read with it, and read on where a span reaches their end.
 CONTEXT = 32
 #: Surroundings sampled from the corpus at most, labelled windows made from them, and the training.
-SAMPLE_DOCS, TRAIN_WINDOWS, WINDOWS_PER_TEXT, STEPS, BATCH, RATE = 400, 4000, 4, 260, 40, 0.025
+SAMPLE_DOCS, TRAIN_WINDOWS, WINDOWS_PER_TEXT, STEPS, BATCH, RATE = 400, 6000, 4, 420, 48, 0.025
 #: Text handled together by a task, and windows computed together.
 GROUP_CHARS, BLOCK = 2 << 20, 256
 
-_TRIGGER = re.compile("[0-9@]")
+_SYMBOL = re.compile("[0-9@]")
+_AT = r"[(\[{] ?(?:at|AT) ?[)\]}]"
+_TRIGGER = re.compile(f"[0-9@]|{_AT}")
+_WRITTEN = re.compile(_AT + r".*(?:\.|[(\[{] ?(?:dot|DOT) ?[)\]}])", re.S)
+#: Characters of an address's first or last word.
+_WORD = re.compile(r"[A-Za-z0-9._%+-]")
 _FILLER = ("please see the note below and write to us before the end of the month, as agreed in the letter. "
            "The parcel left the store and will arrive soon; no other action is needed from your side. ")
 
@@ -44,10 +50,11 @@ def labelled_item(rng: np.random.Generator) -> tuple[str, int]:
     pick = lambda *options: options[rng.integers(len(options))]
     kind = int(rng.integers(0, 9))
     if kind <= 1:
-        name = word() + pick("", ".", "_", "-", "+") + pick(word(), digits(2), "")
+        name = pick("", ".", "_", "-", "+").join(word() for _ in range(pick(1, 1, 1, 2, 2, 2, 2, 4))) + pick("", "", digits(2))
         host = pick(word(), "mail" + digits(1), word() + "-" + word())
         top = pick("com", "org", "net", "de", "example.com", "co.uk", "fr", "es")
-        at, dot = pick(("@", "."), ("@", "."), ("@", "."), (" @ ", "."), ("[@]", "."), ("(@)", "."), ("@", "[.]"), ("@", " . "))
+        at, dot = pick(("@", "."), ("@", "."), ("@", "."), (" @ ", "."), ("[@]", "."), ("(@)", "."), ("@", "[.]"), ("@", " . "),
+                       (" (at) ", " (dot) "), ("[at]", "[dot]"), ("(at)", "."), ("[at]", "."))
         return (name or "a") + at + host + dot + top.replace(".", dot), 0
     if kind == 2:
         dot = pick(".", ".", ".", " . ", "[.]", "(.)")
@@ -63,14 +70,14 @@ def labelled_item(rng: np.random.Generator) -> tuple[str, int]:
                     f"00{land} {a} {b} {c}", f"({a}) {b}-{c}", f"+{land}/{a}/{b}{c}", f"+{land} ({a}) {b}-{c}"), 3
     return pick(f'token = "{"".join(rng.choice(list("0123456789abcdef"), 40))}"', f"Version {digits(1)}.{digits(1)}",
                 f"CC BY-NC {digits(1)}.{digits(1)}.", digits(4), f"{digits(2)}/{digits(2)}/{digits(4)}", f"{digits(4)}-{digits(2)}-{digits(2)}",
-                f"{digits(3)}.{digits(2)} EUR", f"page {digits(3)}", f"v{digits(1)}.{digits(2)}.{digits(1)}", f"@{word()}", digits(6),
+                f"{digits(3)}.{digits(2)} EUR", f"page {digits(3)}", f"v{digits(1)}.{digits(2)}.{digits(1)}", f"@{word()}", f"(at {word()})", f"[{word()}]", digits(6),
                 f"{digits(1)},{digits(3)},{digits(3)}", f"{digits(2)}:{digits(2)}:{digits(2)}", f"ISBN {digits(3)}-{digits(10)}", digits(24)), -1
 
 
 def training_windows(texts: list[str], n: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
     """Windows of labelled characters: pieces of the texts with items set in, at any place of the window."""
     rng = np.random.default_rng(seed)
-    texts = [t for t in texts if not _TRIGGER.search(t)] or [_FILLER]
+    texts = [t for t in texts if not _SYMBOL.search(t)] or [_FILLER]
     x, y = np.zeros((n, WINDOW), np.int64), np.zeros((n, WINDOW), np.int64)
     text, tags = "", []
     for k in range(n):
@@ -106,12 +113,15 @@ def fit(docs: DataFrame, text_col: str = "text") -> lstm.Weights:
 
 
 def stretches(text: str) -> list[tuple[int, int]]:
-    """Parts of a text within ``CONTEXT`` characters of a digit or @, merged where they meet."""
+    """Parts of a text within ``CONTEXT`` characters of a digit, @ or bracketed "at", merged where they meet."""
+    return joined((max(0, m.start() - CONTEXT), min(len(text), m.end() + CONTEXT)) for m in _TRIGGER.finditer(text))
+
+
+def joined(parts: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
     out: list[list[int]] = []
-    for m in _TRIGGER.finditer(text):
-        start, end = max(0, m.start() - CONTEXT), min(len(text), m.end() + CONTEXT)
+    for start, end in parts:
         if out and start <= out[-1][1]:
-            out[-1][1] = end
+            out[-1][1] = max(end, out[-1][1])
         else:
             out.append([start, end])
     return [(a, b) for a, b in out]
@@ -171,7 +181,7 @@ def runs(tags: np.ndarray) -> Iterator[tuple[str, int, int]]:
 def plausible(kind: str, text: str) -> bool:
     """What any written form of a kind must hold."""
     n = len(digits_of(text))
-    return {"email": "@" in text[1:-1] and "." in text, "ip": 4 <= n <= 12, "card": 16 <= n <= 19, "phone": 8 <= n <= 15}[kind]
+    return {"email": ("@" in text[1:-1] and "." in text) or _WRITTEN.search(text, 1) is not None, "ip": 4 <= n <= 12, "card": 16 <= n <= 19, "phone": 8 <= n <= 15}[kind]
 
 
 def trimmed(text: str, start: int, end: int) -> tuple[int, int]:
@@ -182,21 +192,45 @@ def trimmed(text: str, start: int, end: int) -> tuple[int, int]:
     return start, end
 
 
+def completed(kind: str, text: str, start: int, end: int) -> tuple[int, int]:
+    """The span with the whole of its first and last word; of numbers, with the digits that go on."""
+    goes_on = _WORD if kind == "email" else _SYMBOL
+    while start > 0 and goes_on.match(text[start - 1]):
+        start -= 1
+    while end < len(text) and goes_on.match(text[end]):
+        end += 1
+    return start, end
+
+
+def read(w: lstm.Weights, texts: list[str]) -> Iterator[tuple[int, int, np.ndarray]]:
+    """(text number, start, tags) of each stretch; one whose first or last character is tagged is read on, doubling, to its text's end at most."""
+    wanted = [(k, start, end, CONTEXT) for k, text in enumerate(texts) for start, end in stretches(text)]
+    while wanted:
+        again = []
+        for (k, start, end, step), tags in zip(wanted, tagged(w, [lstm.char_ids(texts[k][a:b]) for k, a, b, _ in wanted])):
+            before = step if tags[0] and start else 0
+            after = step if tags[-1] and end < len(texts[k]) else 0
+            if before or after:
+                again.append((k, max(0, start - before), min(len(texts[k]), end + after), 2 * step))
+            else:
+                yield k, start, tags
+        wanted = again
+
+
 def find(w: lstm.Weights, texts: list[str]) -> list[tuple[dict, dict]]:
     """(base spans, spans that the network adds) by kind for each text; added ones touch no base span and no other."""
     base = [base_spans(t) for t in texts]
-    parts, place = [], []
-    for k, text in enumerate(texts):
-        for start, end in stretches(text):
-            parts.append(lstm.char_ids(text[start:end]))
-            place.append((k, start))
     added: list[dict] = [{kind: [] for kind in KINDS} for _ in texts]
     taken: list[list[tuple[int, int]]] = [sorted(s for spans in b.values() for s in spans) for b in base]
-    for (k, start), tags in zip(place, tagged(w, parts)):
-        for kind, a, b in runs(tags):
-            a, b = trimmed(texts[k], start + a, start + b)
+    found: list[list[tuple[int, int, str]]] = [[] for _ in texts]
+    for k, start, tags in read(w, texts):
+        found[k] += [(start + a, start + b, kind) for kind, a, b in runs(tags)]
+    for k, spans in enumerate(found):
+        for a, b, kind in sorted(spans):
+            a, b = trimmed(texts[k], *completed(kind, texts[k], a, b))
             if a < b and plausible(kind, texts[k][a:b]) and not any(x < b and a < y for x, y in taken[k]):
                 added[k][kind].append((a, b))
+                taken[k].append((a, b))
     return list(zip(base, added))
 
 

@@ -46,7 +46,8 @@ def emails(text: str) -> list[tuple[int, int]]:
 
 
 def _ip(m: str) -> bool:
-    return all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.split("."))
+    parts = (p.lstrip("0") or "0" for p in m.split("."))
+    return all(len(p) <= 3 and int(p) <= 255 for p in parts)
 
 
 def _card(m: str) -> bool:

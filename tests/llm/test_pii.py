@@ -37,6 +37,11 @@ def test_long_runs_take_linear_time():
         base_spans(text)
 
 
+def test_numbers_of_any_length():
+    for n in (4300, 5000, 300_000):
+        assert base_spans("0" * n + ".1.1.1")["ip"] == [(0, n + 6)] and base_spans("1" * n + ".1.1.1")["ip"] == []
+
+
 @pytest.fixture(scope="module")
 def weights():
     x, y = pii.training_windows([], pii.TRAIN_WINDOWS, seed=11)
@@ -110,6 +115,28 @@ def test_detect_and_redact(spark, odd, odd_rows, clashing, nothing, weights):
     assert pii.redact(clashing, weights).columns == clashing.columns
 
 
+@pytest.mark.parametrize("text, span", [
+    ("write to jane.doe[at]example[dot]org please", "jane.doe[at]example[dot]org"),
+    ("write to annemarie.katharina.vonderhohenwiese-mittelstaedt [@] mail.example.com now", "annemarie.katharina.vonderhohenwiese-mittelstaedt [@] mail.example.com"),
+])
+def test_written_out_and_long_addresses(weights, text, span):
+    (_, added), = pii.find(weights, [text])
+    assert [text[a:b] for a, b in added["email"]] == [span]
+
+
+def test_a_stretch_is_read_on_while_its_end_is_tagged(weights, monkeypatch):
+    """Tags that always reach the end of what is read: the whole text is read, in a few rounds."""
+    rounds = []
+
+    def all_tagged(w, parts):
+        rounds.append([len(p) for p in parts])
+        return [np.array([1] + [2] * (len(p) - 1)) for p in parts]
+
+    monkeypatch.setattr(pii, "tagged", all_tagged)
+    (k, start, tags), = pii.read(weights, ["x" * 3000 + "@" + "y" * 2000])
+    assert (k, start, len(tags)) == (0, 0, 5001) and len(rounds) < 10
+
+
 def test_overlapping_spans_are_masked_once():
     spans = {k: [] for k in KINDS} | {"card": [(2, 10)], "phone": [(5, 12)]}
     assert pii.masked("a 34567890123 b", spans, {k: [] for k in KINDS}) == "a [CARD]3 b"
