@@ -120,7 +120,8 @@ class Window:
     """Bytes of a file from some offset on, read as far as asked."""
 
     def __init__(self, source, start: int, size: int):
-        self.source, self.size, self.base, self.data = source, size, start, b""
+        # bytes are added at the end and dropped at the front without copying the others
+        self.source, self.size, self.base, self.data = source, size, start, bytearray()
         source.seek(start)
 
     def more(self) -> bool:
@@ -129,7 +130,8 @@ class Window:
         return bool(got)
 
     def drop(self, to: int) -> None:
-        self.data, self.base = self.data[to - self.base:], to
+        del self.data[:to - self.base]
+        self.base = to
 
 
 def member(window: Window, at: int) -> tuple[bytes, int] | None:
