@@ -1,8 +1,12 @@
 """Operator 6: block reading, the scan, and labelled pages that the weights haven't seen."""
 
+import random
+import re
+import time
+
 import pytest
 
-from feedlens.llm import extraction
+from feedlens.llm import extraction, html_blocks
 from feedlens.llm.html_blocks import blocks_of
 from feedlens.llm.labelled_pages import pages
 
@@ -81,3 +85,45 @@ def test_a_long_attribute_is_no_text(quote):
     value = "<p>not text</p> > " * 300
     assert [b.text for b in blocks_of(f"<p>one</p><iframe srcdoc={quote}{value}{quote}></iframe><p>two</p>")] == ["one", "two"]
     assert [b.text for b in blocks_of(f"<p title={quote}open>one</p><p>two</p>")] == ["one", "two"]
+
+
+def plain_tokens(page):
+    """Each token searched for by the one pattern, which reads to the page's end for a tag that is never closed."""
+    reader, at = html_blocks.Reader(), 0
+    while m := html_blocks.TOKEN.search(page, at):
+        reader.text(page[at:m.start()])
+        at, name = m.end(), m.group(1) or m.group(3)
+        if name and page[m.start() + 1] == "/":
+            reader.end(name.lower())
+        elif name:
+            if name.lower() in html_blocks.RAW:
+                stop = re.compile(f"</{name}", re.I).search(page, at)
+                at = stop.start() if stop else len(page)
+            reader.start(name.lower(), m.group(2) or m.group(4) or "")
+    reader.text(page[at:])
+    reader.close_block()
+    return reader.blocks
+
+
+def test_broken_pages_read_as_by_the_one_pattern():
+    rng = random.Random(2)
+    parts = ["<a ", '"', "'", ">", "<", "/", "</", "<p>", "<div class='x'>", '<div class="y">', "</div>", "</p>", "text ", " href=", "<!--", "-->",
+             "<script>", "</script>", "<br/>", "<li>", "<ul>", "</ul>", "é", "&amp;", "<b>", "</b>", "<article>", "<main", "<!x"]
+    for _ in range(8000):
+        page = "".join(rng.choice(parts) for _ in range(rng.randint(1, 16)))
+        assert html_blocks.blocks_of(page) == plain_tokens(page), page
+
+
+def test_pages_of_the_table_read_as_by_the_one_pattern(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").select("html").limit(300).collect()
+    assert len(pages) >= 50
+    for r in pages:
+        assert html_blocks.blocks_of(r["html"] or "") == plain_tokens(r["html"] or "")
+
+
+@pytest.mark.parametrize("page", ['<a ">"' * 160_000, '<a "' * 100_000, "<div>" * 50_000 + "</x>" * 50_000, "<a '\"" * 50_000,
+                                  "<p>" + "<b>" * 50_000 + "</p>" * 50_000, "<div>" * 50_000 + "<p>x" * 20_000])
+def test_long_broken_pages_take_linear_time(page):
+    start = time.process_time()
+    html_blocks.blocks_of(page)
+    assert time.process_time() - start < 8
