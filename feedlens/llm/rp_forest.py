@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, FloatType
 
-from .common import cut, map_rows, ship
+from .common import cut, map_rows, sample, ship
 
 NEIGHBOURS, QUERY_EVERY = 20, 20
 TREES, LEAF_ROWS = 4, 400
@@ -36,7 +36,8 @@ SAMPLE, SAMPLE_PER_LEAF = 32768, 16
 FIRST_LEAVES, FIRST_COSINE, TARGET = 6, 0.8, 0.95
 #: Queries that meet a leaf part at once, numbers in a part's vectors, and scores computed at once, at most.
 QUERY_CHUNK, PART_VALUES, BLOCK_SCORES = 8192, 1 << 21, 1 << 20
-SALTS = 64
+#: Lengths of vectors in one column.
+MAX_LENGTHS = 16
 
 
 @dataclass
@@ -137,10 +138,11 @@ def vectors_of(df: DataFrame, id_col: str, vector_col: str, kind: str) -> DataFr
 
 
 def classes_of(rows: DataFrame, k: int) -> DataFrame:
-    """(class, vec, ids): each distinct vector with its k + 1 smallest ids; a vector held by very many rows is gathered in two steps."""
-    least = lambda ids: F.slice(F.array_sort(ids), 1, k + 1)
-    parts = rows.groupBy("vec", F.pmod(F.xxhash64("vec_id"), F.lit(SALTS)).alias("salt")).agg(least(F.collect_list("vec_id")).alias("ids"))
-    return parts.groupBy("vec").agg(least(F.flatten(F.collect_list("ids"))).alias("ids")).select(F.col("ids")[0].alias("class"), "vec", "ids")
+    """(class, vec, ids): each distinct vector with its k + 1 smallest ids; Spark keeps so many of a vector in each task before the shuffle."""
+    place = F.row_number().over(Window.partitionBy("vec").orderBy("vec_id"))
+    least = rows.select("vec", "vec_id", place.alias("place")).where(F.col("place") <= k + 1)
+    ids = least.groupBy("vec").agg(F.array_sort(F.collect_list("vec_id")).alias("ids"))
+    return ids.select(F.col("ids")[0].alias("class"), "vec", "ids")
 
 
 def matrix(column, kind: str) -> np.ndarray:
@@ -241,23 +243,31 @@ def nearest(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding"
     """(query_id, rank, vec_id, score): the k nearest found for each row whose id is divisible by ``every``.
 
     Candidates are all rows but the query's own; ties go to the smaller id. Rows with a null id, and vectors that are null,
-    empty, zero or hold a null or non-finite component take no part, nor do vectors whose length is
-    not the commonest one (of equally common ones, the greatest). Rows that repeat an id count once. Other columns are ignored.
+    empty, zero or hold a null or non-finite component take no part. Vectors of different lengths have no inner product: each length is
+    searched by itself (more than ``MAX_LENGTHS`` are an error). Rows that repeat an id count once. Other columns are ignored.
     """
     spark = df.sparkSession
     ship(spark)
     kind = "<f4" if isinstance(df.schema[vector_col].dataType, ArrayType) and isinstance(
         df.schema[vector_col].dataType.elementType, FloatType) else "<f8"
-    rows = vectors_of(df, id_col, vector_col, kind)
-    size = rows.groupBy("size").count().orderBy(F.desc("count"), F.desc("size")).first()
-    if size is None:
-        return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
-    rows = cut(rows.where(F.col("size") == size["size"]).drop("size"))
+    rows = cut(vectors_of(df, id_col, vector_col, kind))
+    sizes = sorted(r["size"] for r in rows.select("size").distinct().limit(MAX_LENGTHS + 1).collect())
+    if len(sizes) > MAX_LENGTHS:
+        raise ValueError(f"vectors of more than {MAX_LENGTHS} lengths")
+    found = spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
+    for size in sizes:
+        found = found.unionByName(nearest_of(rows.where(F.col("size") == size).drop("size"), size, kind, k, every))
+    return found
+
+
+def nearest_of(rows: DataFrame, size: int, kind: str, k: int, every: int) -> DataFrame:
+    """``nearest`` of vectors (vec_id, vec) of one length."""
     classes = cut(classes_of(rows, k))
-    sample = matrix([r["vec"] for r in classes.select("vec").orderBy(F.xxhash64("vec"), "vec").limit(SAMPLE).collect()], kind)
+    drawn = sample(classes.select("vec"), F.xxhash64("vec"), SAMPLE).collect()
+    drawn = matrix(sorted(r["vec"] for r in drawn), kind)
     squares = map_rows(classes.select("vec"), lambda r: ((float((matrix([v], kind) ** 2).sum()),) for v, in r), "s double")
     n, longest = squares.agg(F.count("*"), F.max("s")).first()
-    forest = grow(sample, n, math.sqrt(longest) * (1 + 1e-12))
+    forest = grow(drawn, n, math.sqrt(longest) * (1 + 1e-12))
 
     asked = rows.where(F.col("vec_id") % every == 0)
     queries = cut(asked.join(classes.select("class", "vec"), "vec").select(
@@ -269,7 +279,7 @@ def nearest(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding"
                 yield t, leaf, name, vec
 
     index = cut(map_rows(classes.select("class", "vec"), indexed, "tree int, leaf bigint, class bigint, vec binary"))
-    parts = cut(parts_of(index, max(1, PART_VALUES // size["size"])))
+    parts = cut(parts_of(index, max(1, PART_VALUES // size)))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "class")
     first = scored(index, probes(queries, forest, kind, False), parts, kind, k, False)
     floors = (first.withColumn("place", F.row_number().over(best)).where(F.col("place") == k)

@@ -107,3 +107,24 @@ def test_leaves_and_visits_of_any_size_meet_in_bounded_blocks(spark, monkeypatch
         assert all(n <= most and (n == 1 or n * size <= scores) for n, size in blocks)
         best[most, scores] = sorted(found)
     assert len({tuple((q, c) for q, c, _ in found) for found in best.values()}) == 1
+
+
+def test_each_length_is_searched_by_itself(spark, monkeypatch):
+    """Vectors of other lengths are no candidates, and have queries of their own."""
+    rng = np.random.default_rng(5)
+    rows = [(k, rng.normal(size=(3, 3, 3, 5, 8)[k % 5]).astype(np.float32).tolist(), 1) for k in range(120)]
+    got = rp_forest.nearest(spark.createDataFrame(rows, SCHEMA), k=4, every=2).collect()
+    length = {key: len(v) for key, v, _ in rows}
+    assert all(length[r["query_id"]] == length[r["vec_id"]] for r in got)
+    for size in (3, 5, 8):
+        want = brute([r for r in rows if len(r[1]) == size], 4, 2)
+        assert compare([r for r in got if length[r["query_id"]] == size], want) > 0.9
+    monkeypatch.setattr(rp_forest, "MAX_LENGTHS", 2)
+    with pytest.raises(ValueError, match="more than 2 lengths"):
+        rp_forest.nearest(spark.createDataFrame(rows, SCHEMA))
+
+
+def test_ids_of_a_vector_that_many_rows_hold(spark):
+    rows = spark.range(5000).selectExpr("id AS vec_id", "cast(if(id % 3 = 0, 'hot', cast(id AS string)) AS binary) AS vec")
+    found = {bytes(r["vec"]): r["ids"] for r in rp_forest.classes_of(rows, 4).collect()}
+    assert found[b"hot"] == [0, 3, 6, 9, 12] and len(found) == 1 + 3333
