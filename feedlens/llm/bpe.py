@@ -14,14 +14,13 @@ import hashlib
 import heapq
 from array import array
 from functools import lru_cache
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .common import map_rows
-from .tokens import groups, read_ranks
+from .tokens import Known, groups, read_ranks
 
 #: Pieces kept in a worker's memory; when there are more, the first half, which holds the frequent ones, stays (a memory
 #: bound; results don't depend on it).
@@ -70,20 +69,6 @@ from tokens join vocab on tok = id group by doc
 """
 
 
-class Pieces(dict):
-    """The ids (int32) of pieces; those asked for in vain are noted."""
-
-    def __init__(self):
-        self.missed: set[str] = set()
-
-    def __missing__(self, piece: str) -> None:
-        self.missed.add(piece)
-
-    def take(self) -> set[str]:
-        missed, self.missed = self.missed, set()
-        return missed
-
-
 class Bpe:
     """Vocabulary, merge table and known pieces of one worker."""
 
@@ -94,7 +79,7 @@ class Bpe:
         self.ranks = read_ranks(ranks_path)
         self.pattern = regex.compile(pattern)
         self.byte_ids = np.array([self.ranks[bytes([b])] for b in range(256)], dtype=np.int32)
-        self.known = Pieces()
+        self.known = Known()
         self.written = [str(i) for i in range(max(self.ranks.values()) + 1)]
         self.pairs: dict[tuple[int, int], int] = {}
         self.db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "512MB", "temp_directory": ""})
@@ -187,10 +172,7 @@ class Bpe:
             if None in ids:
                 ids[:] = [fresh[piece] if own is None else own for piece, own in zip(pieces, ids)]
         self.known.update((piece, ids) for piece, ids in fresh.items() if len(piece) <= LONG_PIECE)
-        if len(self.known) > CACHE_PIECES:
-            half = list(islice(self.known.items(), CACHE_PIECES // 2))
-            self.known.clear()
-            self.known.update(half)
+        self.known.keep_half(CACHE_PIECES)
         return [np.frombuffer(b"".join(ids), dtype=np.int32) for ids in found]
 
     def decode(self, sequences: list[np.ndarray]) -> list[bytes]:

@@ -34,6 +34,28 @@ def rank_encoder(path: str, pattern: str):
     return tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}), lengths
 
 
+class Known(dict):
+    """Ids by word or piece; those asked for in vain are noted."""
+
+    def __init__(self, *given):
+        super().__init__(*given)
+        self.missed: set = set()
+
+    def __missing__(self, key) -> None:
+        self.missed.add(key)
+
+    def take(self) -> set:
+        missed, self.missed = self.missed, set()
+        return missed
+
+    def keep_half(self, most: int) -> None:
+        """Beyond so many, keep the first half of them, which holds the frequent ones."""
+        if len(self) > most:
+            half = list(islice(self.items(), most // 2))
+            self.clear()
+            self.update(half)
+
+
 class WordEncoder:
     """Ids of the white-space-dropping word BPE, found once for each distinct word.
 
@@ -42,6 +64,7 @@ class WordEncoder:
     space to the tokenizer; texts that hold one are split at common white space only.
     A full stop or comma after an ASCII letter is always a token of its own, and the tokenizer lowers
     letters, so such words are looked up by their stem in lower case.
+    The strings of the tokenizer's special tokens become their ids wherever they stand, as the library has it.
     """
 
     _split = re.compile("[ \t\n\r]+")
@@ -52,8 +75,12 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.known: dict[str, bytes] = {}
+        special = {token.content: i for i, token in self.tokenizer.get_added_tokens_decoder().items()}
+        self._contents = list(special)
+        self._special = re.compile("(" + "|".join(map(re.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
+        self.tokenizer.encode_special_tokens = True  # words hold none, but may after lowering
+        # special tokens are kept under tuples, so that no word can meet them
+        self.known = Known({(content,): array("I", [i]).tobytes() for content, i in special.items()})
         self.ends = dict(zip(".,", self._ids([".", ","])))
 
     def _ids(self, words: list[str]) -> list[bytes]:
@@ -74,21 +101,25 @@ class WordEncoder:
             ended = len(word) > len(stem)
             self.known[word] = ids + self.ends[word[-1]] if ended else ids
 
-    def words(self, text: str) -> list[str]:
+    def words(self, text: str) -> list[str | tuple]:
+        if any(content in text for content in self._contents):
+            parts = self._special.split(text)  # every second one a special token
+            return [w for k, part in enumerate(parts) for w in ([(part,)] if k % 2 else self._words(part))]
+        return self._words(text)
+
+    def _words(self, text: str) -> list[str]:
         return self._split.split(text) if any(c in text for c in self._odd) else text.split()
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids (uint32) of each text."""
         split = [self.words(text) for text in texts]
-        found = [list(map(self.known.get, words)) for words in split]
-        new = {w for words, ids in zip(split, found) if None in ids for w, i in zip(words, ids) if i is None}
-        if new:
+        found = [list(map(self.known.__getitem__, words)) for words in split]  # None where not known yet
+        if new := self.known.take():
             self._learn(new)
             for words, ids in zip(split, found):
                 if None in ids:
                     ids[:] = [self.known[w] if i is None else i for w, i in zip(words, ids)]
-            if len(self.known) > CACHE_WORDS:
-                self.known = dict(islice(self.known.items(), CACHE_WORDS // 2))
+            self.known.keep_half(CACHE_WORDS)
         return [np.frombuffer(b"".join(ids), dtype=np.uint32) for ids in found]
 
 

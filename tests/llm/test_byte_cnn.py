@@ -97,3 +97,36 @@ def test_an_unlabelled_table_keeps_its_texts(spark, odd):
     net = byte_cnn.fit(bare)
     assert net is None
     assert table_of(byte_cnn.accepted(bare, net)) == table_of(bare.where(r"text rlike '\\p{L}'"))
+
+
+def test_the_forward_pass_equals_plain_loops():
+    """Each filter of each width at each place, the largest value, and softmax, byte by byte; then whole texts over several windows."""
+    net = byte_cnn.train(["abc def " * 9, "xyz uvw é " * 9, "hello you " * 8], ["a", "b", "a"])
+    width_of = [w for w in byte_cnn.WIDTHS for _ in range(byte_cnn.FILTERS)]
+    longest = max(byte_cnn.WIDTHS)
+
+    def plain(window):
+        pooled = []
+        for f, width in enumerate(width_of):
+            best = -np.inf
+            for at in range(len(window) - longest + 1):
+                total = 0.0
+                for k in range(width):
+                    for e in range(byte_cnn.EMBED):
+                        total += float(net.embed[window[at + k], e]) * float(net.conv[k * byte_cnn.EMBED + e, f])
+                best = max(best, total)
+            pooled.append(max(0.0, best + float(net.bias[f])))
+        z = [sum(p * float(net.out[f, c]) for f, p in enumerate(pooled)) + float(net.out_bias[c]) for c in range(len(net.labels))]
+        return [v - max(z) - np.log(sum(np.exp(u - max(z)) for u in z)) for v in z]
+
+    assert not any(net.conv[width * byte_cnn.EMBED:, f].any() for f, width in enumerate(width_of))  # a filter ends at its width
+    texts = ["Abc xyz", "é" * 200 + " hello " * 30, "x"]
+    want = []
+    for text in texts:
+        data = text.lower().encode()
+        data += bytes(-len(data) % byte_cnn.WINDOW)
+        logs = np.array([plain(data[k:k + byte_cnn.WINDOW]) for k in range(0, len(data), byte_cnn.WINDOW)]).mean(axis=0)
+        want.append((net.labels[int(logs.argmax())], float(np.exp(logs.max()))))
+    got = list(byte_cnn.predictions(net, enumerate(texts)))
+    assert [(k, lang) for k, lang, _ in got] == [(k, lang) for k, (lang, _) in enumerate(want)]
+    assert [score for *_, score in got] == pytest.approx([score for _, score in want], abs=1e-5)
