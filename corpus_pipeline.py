@@ -15,7 +15,8 @@ from feedlens.llm.common import fresh_folder, table
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 3: texts without a letter go, and those that the network surely finds in another language than their label; missing labels are filled in.
+    """Operator 3: texts without a letter go, and those of at least 128 characters that the network finds in another language than their label
+    with a score of at least 0.7 (``byte_cnn.accepted``'s parameters); missing labels are filled in.
 
     Where no row can teach the network (no labels at all, say), every text with a letter stays as it is.
     """

@@ -212,16 +212,17 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     return found.select(id_col, F.coalesce(held_out(id_col), F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
-def contradicted(net: Network, text: str, label: str | None, lang: str, score: float) -> bool:
-    """Whether a text of at least ``SURE_CHARS`` is surely (score of at least ``SURE``) in another language than its label, one that the network has learnt."""
-    return label is not None and label != lang and score >= SURE and len(text) >= SURE_CHARS and label in net.labels
+def contradicted(net: Network, text: str, label: str | None, lang: str, score: float, sure: float = SURE, sure_chars: int = SURE_CHARS) -> bool:
+    """Whether a text of at least ``sure_chars`` is surely (score of at least ``sure``) in another language than its label, one that the network has learnt."""
+    return label is not None and label != lang and score >= sure and len(text) >= sure_chars and label in net.labels
 
 
-def accepted(docs: DataFrame, net: Network | None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+def accepted(docs: DataFrame, net: Network | None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+             sure: float = SURE, sure_chars: int = SURE_CHARS) -> DataFrame:
     """The rows with a letter whose label the network doesn't contradict, a null ``lang_col`` filled with the prediction.
 
-    The score is a geometric mean over all windows, so a text that the network is in doubt about in some part stays with its
-    label, as does a short one and one with a label that it never learnt. Without a network every row
+    The score is a geometric mean over all windows, so a text that the network is in doubt about in some part (a score below ``sure``) stays
+    with its label, as does one of fewer than ``sure_chars`` characters, which tell too little to overrule a label, and one with a label that it never learnt. Without a network every row
     with a letter stays as it is, a null label included. All other columns stay as they are.
     """
     names = docs.columns
@@ -233,7 +234,7 @@ def accepted(docs: DataFrame, net: Network | None, id_col: str = "doc_id", text_
             yield from (row for row in rows if row[t] and letter.search(row[t]))
             return
         for row, lang, score in predictions(net, ((row, row[t]) for row in rows)):
-            if lang != UNKNOWN and not contradicted(net, row[t], row[known], lang, score):
+            if lang != UNKNOWN and not contradicted(net, row[t], row[known], lang, score, sure, sure_chars):
                 yield row if row[known] is not None else (*row[:known], lang, *row[known + 1:])
 
     return map_rows(docs, run, docs.schema)
