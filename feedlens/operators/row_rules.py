@@ -2,8 +2,8 @@
 
 Each such rule is first reduced to the keys that fail it: keys counted more than once (partial counts, so a key
 holding a third of the rows is one row a task before the shuffle), or distinct keys without a partner in the other
-table (anti join). The failing keys, few in most batches, are cut from their lineage and
-joined to the rows as a mark, which the rule reads like a column (``functions.rules``). So column rules and row rules share
+table (anti join). The failing keys, few in most batches, are cut from their lineage, counted (few enough are broadcast, so that
+the rows stay where they lie) and joined to the rows as a mark, which the rule reads like a column (``functions.rules``). So column rules and row rules share
 one pass, one message and one outcome per rule.
 """
 
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from feedlens.functions import rules as R
 from feedlens.functions.rules import Rule
 from feedlens.operators import quality
-from feedlens.session import materialize
+from feedlens.session import materialize, small
 
 
 def failing_keys(df: DataFrame, rule: Rule, tables: Mapping[str, DataFrame], by: Sequence[str] = ()) -> DataFrame:
@@ -50,7 +50,7 @@ def mark(df: DataFrame, rules: Sequence[Rule], tables: Mapping[str, DataFrame] |
         same = [F.col(b).eqNullSafe(F.col(f"_b{i}")) for i, b in enumerate(by)]
         same += [F.col(c) == F.col(f"_k{i}") for i, c in enumerate(columns)]
         own = df.columns
-        df = (df.join(failing.withColumn(name, F.lit(True)), same, "left")
+        df = (df.join(small(failing.withColumn(name, F.lit(True))), same, "left")
               .select(*own, F.coalesce(name, F.lit(False)).alias(name)))
     return df
 

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from feedlens.functions import rules as R
 from feedlens.functions.rules import Rule
 from feedlens.operators import quality, row_rules
+from feedlens.session import small
 
 BATCH = ("dataset_id", "batch_ts")
 _CHECK = ("column_name", "validation_name", "column_datatype", "validation_parameters")
@@ -48,10 +49,11 @@ def failing_rows(rows: DataFrame, batches: DataFrame, checks: list[Rule], tables
                  msg_col: str = "error_message") -> DataFrame:
     """The rows of pending batches that fail a pending rule of theirs: ``failed_rules`` (ids) and the messages in rule order.
 
-    ``rows`` hold ``dataset_id`` and ``batch_ts``. Rows of other batches are not looked at.
+    ``rows`` hold ``dataset_id`` and ``batch_ts``. Rows of other batches are not looked at. ``batches`` is materialized; unless there are
+    very many, every task gets them, and no row moves.
     """
     columns = rows.columns
-    pending = rows.join(batches.select(*BATCH, "_rules"), list(BATCH)).select(*columns, "_rules")
+    pending = rows.join(small(batches.select(*BATCH, "_rules")), list(BATCH)).select(*columns, "_rules")
     pending = row_rules.mark(pending, checks, tables, by=BATCH)
     found: list[Column] = [F.when(F.coalesce(cond, F.lit(False)), F.struct(F.lit(check.id).alias("check_no"), F.lit(msg).alias("message")))
                            for check, cond, msg in R.checks(checks, pending.schema)]

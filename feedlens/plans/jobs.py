@@ -166,7 +166,7 @@ def validate_pending(spark: SparkSession, rows: DataFrame, to_validate: DataFram
     Batches are named by their time, so ``to_validate`` must hold none without.
     Returns one row a batch: dataset_id, batch_ts, business_date, status, error_message.
     """
-    from feedlens.session import materialize, scratch_path
+    from feedlens.session import materialize, scratch_path, small
 
     where = ["dataset_id", "file_date"]
     checks = rulesets.distinct_checks(pending)
@@ -182,7 +182,7 @@ def validate_pending(spark: SparkSession, rows: DataFrame, to_validate: DataFram
     failing = spark.read.parquet(staged)
     if not failing.isEmpty():
         upsert_error_table(spark, failing.drop("failed_rules", "batch_ts"), errors, where)
-    present = materialize(rows.select(*rulesets.BATCH).join(batches, list(rulesets.BATCH), "left_semi").distinct())
+    present = materialize(rows.select(*rulesets.BATCH).join(small(batches), list(rulesets.BATCH), "left_semi").distinct())
     results = materialize(rulesets.outcomes(rules, checks, failing, present, rows.schema))
 
     not_run = (results.filter(F.col("status") == quality.FAILED).groupBy(*rulesets.BATCH)
@@ -195,7 +195,7 @@ def validate_pending(spark: SparkSession, rows: DataFrame, to_validate: DataFram
                                  reason.alias("error_message")))
 
     done = states.filter("status = 'Validated'").select(*where)
-    valid = rows.join(done, where, "left_semi").drop("batch_ts")
+    valid = rows.join(small(done), where, "left_semi").drop("batch_ts")
     stored = files.read_if_exists(spark, errors, T.StructType([f for f in rows.schema.fields if f.name in (key, *where)]))
     if stored is not None:
         bad = files.same_partitions(stored, done, where).filter(F.col(key).isNotNull()).select(key, *where)
@@ -291,7 +291,7 @@ def aggregate_ready(spark: SparkSession, readiness: DataFrame, silver_of: dict[i
     what an earlier delivery of it added is taken back. Returns the audit events written.
     """
     from feedlens.operators import audit as audit_ops
-    from feedlens.session import materialize
+    from feedlens.session import materialize, small
 
     keys = ["dataset_id", "aggregation_name", "batch_ts", "business_date"]
     wanted = readiness.filter("ready").select(*keys, "ready_seq")
@@ -310,7 +310,7 @@ def aggregate_ready(spark: SparkSession, readiness: DataFrame, silver_of: dict[i
             comments = silver_comments(spark, silver_of.get(dataset, []), batch_col)
             held = mine.select("batch_key").limit(0)
             if comments is not None:
-                batches = mine.select(F.col("batch_key").alias(batch_col)).distinct()
+                batches = small(mine.select(F.col("batch_key").alias(batch_col)).distinct())
                 held = _batches_held(spark, silver_of[dataset], batches, batch_col)
                 scored = sentiment.score(comments.join(batches, batch_col, "left_semi")
                                          .withColumn("batch_key", F.col(batch_col)), "comment_message")

@@ -614,3 +614,8 @@ SQL["drain_counts"] = f"""{ALL_POSTS},
 m AS (SELECT CAST(n % 4 + CASE WHEN id LIKE 'a%' THEN 4 ELSE 0 END AS INTEGER) AS partition, n // 4 AS o FROM allp)
 SELECT '{tb.TOPIC}' AS topic, partition, count(*) FILTER (WHERE o % 9 <> 0) AS n_messages, count(*) FILTER (WHERE o % 9 = 0) AS n_null,
        min(o) AS min_offset, max(o) AS max_offset FROM m GROUP BY partition"""
+
+_NAMED = SQL["stream_quarantine"]
+SQL["archive_consumed"] = f"""{_NAMED[:_NAMED.index("SELECT id, NULL::VARCHAR")]}
+SELECT landing_file, CAST(sum(1 + CASE WHEN n % 60 = 0 THEN 1 ELSE 0 END + CASE WHEN n % 90 = 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_lines,
+       true AS some_archived FROM named GROUP BY landing_file"""

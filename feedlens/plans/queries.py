@@ -450,6 +450,23 @@ def q_stream_quarantine(spark, sf_dir):
         "id", F.col("_raw").alias("raw"), F.regexp_extract("filename", "^([^~]*)", 1).alias("landing_file"))
 
 
+@register("archive_consumed")
+def q_archive_consumed(spark, sf_dir):
+    """(K8) Landing files ingested in several micro-batches, each archived once a later batch has committed: every line is in the
+    archive or still in the landing folder, none in both, and some have been archived."""
+    root = scratch_path(spark, "archive_consumed")
+    paths = _paths(root)
+    paths.archive = f"{root}/archive"
+    fixtures.write_landing(spark, sf_dir, paths.landing)
+    jobs.ingest(spark, paths, 1, layout="lines", max_files_per_trigger=12)
+    found = [spark.read.option("recursiveFileLookup", "true").text(path).select(
+        dates.file_name(files.landing_path("_metadata.file_path")).alias("landing_file"), F.lit(archived).alias("archived"))
+        for path, archived in ((paths.archive, 1), (paths.landing, 0))]
+    lines = found[0].unionByName(found[1])
+    some = lines.agg(F.max("archived").alias("some")).select(F.col("some") == 1).scalar()
+    return lines.groupBy("landing_file").agg(F.count("*").alias("n_lines")).withColumn("some_archived", some)
+
+
 @register("topic_drain")
 def q_topic_drain(spark, sf_dir):
     """A feed drained twice: again from its start, under a new checkpoint, after messages have been added. The
@@ -540,7 +557,7 @@ def q_gold_stream(spark, sf_dir):
     _silver(spark, sf_dir, f"{root}/silver")
     schema = spark.read.parquet(f"{root}/silver").schema
     jobs.start_gold_stream(spark, f"{root}/silver", schema, f"{root}/partials", f"{root}/gold",
-                           f"{root}/checkpoint", max_files_per_trigger=12).awaitTermination()
+                           f"{root}/checkpoint", max_files_per_trigger=36).awaitTermination()
     return jobs.read_gold(spark, f"{root}/gold")
 
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Settings the engine relies on. UTC keeps date derivation stable; ANSI stays
 # on (Spark 4 default) and every parse or division that may fail uses try_*.
@@ -72,3 +73,14 @@ def materialize(df):
     For control-plane frames that a plan reads several times."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+#: Rows of a control frame (batches, failing keys) that may go to every task.
+SMALL_ROWS = 100_000
+
+
+def small(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
+    """A materialized frame, marked to be broadcast if it holds at most so many rows (it is counted); a larger one is joined by shuffles.
+
+    Spark can't tell the size of a frame read back from a checkpoint, and would move the other side, the data."""
+    return F.broadcast(df) if df.count() <= rows else df

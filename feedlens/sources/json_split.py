@@ -42,16 +42,18 @@ def _before(total: DataFrame, value: str, out: str) -> DataFrame:
     return total.select(*BLOCK, F.coalesce(F.sum(value).over(w), F.lit(0)).alias(out))
 
 
-def split_elements(pieces: DataFrame, cached: list[DataFrame] | None = None) -> DataFrame:
-    """One row for each element of each file: ``source_file`` and its text ``_raw`` (NULL for a JSON null).
+def split_elements(pieces: DataFrame, cached: list[DataFrame] | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row for each element of each file: ``source_file``, the columns ``keep`` (the same on all pieces of a file), and its text
+    ``_raw`` (NULL for a JSON null).
 
     Elements are posts, and what else stands between them in arrays (numbers, texts). Where a file isn't JSON to its end (cut off, a brace or
     quote too many), the text after its last whole post is kept as one element a block. Empty files have no
     elements; a file read twice in ``pieces`` is not provided for. Texts inside compressed files can't be split.
-    The pieces, dealt by block, are used three times and therefore persisted; ``cached`` gets them, for the caller to release.
+    The pieces, dealt by block, and what each block makes of them are used more than once and therefore persisted; ``cached`` gets them, for
+    the caller to release.
     """
     plain = F.regexp_replace("value", r"(?s)\\.", "")  # without escapes, so that each quote left is a string's end
-    raw = pieces.select(*PIECE, F.monotonically_increasing_id().alias("at"), plain.alias("plain")).withColumn("quotes", _count(F.col("plain"), '"'))
+    raw = pieces.select(*PIECE, *keep, F.monotonically_increasing_id().alias("at"), plain.alias("plain")).withColumn("quotes", _count(F.col("plain"), '"'))
 
     # whether the file's last piece ended in a brace shows in its size (a byte order mark counts 3 bytes)
     totals = raw.groupBy(*BLOCK).agg(F.sum("quotes").alias("quotes"), F.count("*").alias("n"), F.sum(F.octet_length("value")).alias("bytes"),
@@ -72,10 +74,8 @@ def split_elements(pieces: DataFrame, cached: list[DataFrame] | None = None) ->
     ends = ((F.col("quoted") + F.col("quotes")) % 2 == 0) & (F.col("open_end").isNull() | (F.col("at") != F.col("open_end")))
     known = (raw.join(starts, BLOCK).withColumn("quoted", quoted)
              .withColumns({"opens": _count(outside, "{"), "ends": ends})
-             .select(*BLOCK, "at", "value", "opens", "ends", (F.col("opens") - F.col("ends").cast("int")).alias("delta"),
+             .select(*BLOCK, *keep, "at", "value", "opens", "ends", (F.col("opens") - F.col("ends").cast("int")).alias("delta"),
                      (F.col("open_end").isNull() | (F.col("at") != F.col("open_end"))).alias("braced")).persist())
-    if cached is not None:
-        cached.append(known)
     depths = _before(known.groupBy(*BLOCK).agg(F.sum("delta").alias("delta")), "delta", "depth_before")
     deep = known.join(depths, BLOCK).withColumn("depth", F.col("depth_before") + within("delta"))
     closed = F.col("ends") & (F.col("depth") + F.col("delta") == 0) & (F.col("depth") + F.col("opens") > 0)
@@ -85,17 +85,19 @@ def split_elements(pieces: DataFrame, cached: list[DataFrame] | None = None) ->
 
     text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "value", "braced"))),
                                     lambda p: F.concat(p["value"], F.when(p["braced"], "}").otherwise(""))), "")
-    parts = grouped.groupBy(*BLOCK, "post").agg(text.alias("text"), F.max("closed").alias("closed"), F.min_by("depth", "at").alias("depth"))
-    whole = parts.filter("depth = 0 AND closed = 1").select("source_file", "text", "closed")
-    border = parts.filter("NOT (depth = 0 AND closed = 1)")
-    ends_somewhere = F.max("closed").over(Window.partitionBy("source_file", "post"))
-    border = border.withColumn("closes", ends_somewhere)
-    joined = (border.filter("closes = 1").groupBy("source_file", "post")
+    parts = (grouped.groupBy(*BLOCK, *keep, "post")
+             .agg(text.alias("text"), F.max("closed").alias("closed"), F.min_by("depth", "at").alias("depth")).persist())
+    if cached is not None:
+        cached += [known, parts]
+    named = ["source_file", *keep]
+    whole = parts.filter("depth = 0 AND closed = 1").select(*named, "text", "closed")
+    # a post across borders is joined; a text that ends nowhere stays apart by block
+    border = parts.filter("NOT (depth = 0 AND closed = 1)").withColumn("closes", F.max("closed").over(Window.partitionBy("source_file", "post")))
+    apart = F.when(F.col("closes") == 0, F.col("block_start"))
+    joined = (border.groupBy(*named, "post", "closes", apart.alias("apart"))
               .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("block_start", "text"))), lambda p: p["text"]), "").alias("text"))
-              .select("source_file", "text", F.lit(1).alias("closed")))
-    left = border.filter("closes = 0").select("source_file", "text", "closed")
-    return (whole.unionByName(joined).unionByName(left)
-            .select("source_file", F.explode(_elements(F.col("text"), F.col("closed") == 1)).alias("_raw")))
+              .select(*named, "text", F.col("closes").alias("closed")))
+    return whole.unionByName(joined).select(*named, F.explode(_elements(F.col("text"), F.col("closed") == 1)).alias("_raw"))
 
 
 def _elements(text: Column, closed: Column) -> Column:

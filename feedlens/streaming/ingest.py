@@ -80,9 +80,7 @@ def parse_landing(raw: DataFrame, pattern: str = dates.POST_FILE_PATTERN, layout
         raise ValueError(f"layout must be one of {LAYOUTS}")
     landed = F.col("landed_at") if "landed_at" in raw.columns else F.lit(None).cast("string")
     if layout == "json":
-        found = json_split.split_elements(raw, cached)
-        times = raw.groupBy("source_file").agg(F.max(landed).alias("landed_at"))
-        texts = found.join(times, "source_file").select("source_file", "landed_at", "_raw")
+        texts = json_split.split_elements(raw.withColumn("landed_at", landed), cached, keep=("landed_at",))
     else:
         text = raw.filter(F.trim("value") != "") if layout == "lines" else raw
         texts = text.select("source_file", landed.alias("landed_at"), F.explode(elements(F.col("value"), layout)).alias("_raw"))

@@ -173,6 +173,25 @@ def test_retry_uses_stored_errors_and_a_redelivery_drops_them(spark, tmp_path):
     assert silver_ids(spark, tmp_path) == []
 
 
+def test_rows_of_a_hot_batch_stay_where_they_lie(spark, tmp_path):
+    """A third of all rows in one batch: neither the rules nor a row rule's mark move rows by batch or key, unless batches are very many."""
+    from feedlens.session import materialize
+    rows = spark.range(30_000).select(
+        F.lit(1).alias("dataset_id"), F.when(F.col("id") % 3 == 0, F.lit(at(26, 0))).otherwise(F.lit(at(26, 8))).alias("batch_ts"),
+        F.lit("x").alias("file_date"), F.col("id").cast("string").alias("id"), F.when(F.col("id") % 7 == 0, "same").otherwise(F.col("id").cast("string")).alias("a"))
+    rows.write.parquet(f"{tmp_path}/rows")
+    rows = spark.read.parquet(f"{tmp_path}/rows")
+    pending = pending_of(spark, [(1, (26, h), k, "a", v, None) for h in (0, 8) for k, v in ((11, "column_null_validation"), (12, "row_unique_validation"))])
+    checks = rulesets.distinct_checks(pending)
+    rules = rulesets.numbered(pending, checks)
+    batches = materialize(rulesets.batches_with_rules(batches_of(spark, [(1, (26, 0)), (1, (26, 8))]), rules))
+    failing = rulesets.failing_rows(rows, batches, checks)
+    plan = plan_text(failing, "simple")
+    assert "SortMergeJoin" not in plan and "hashpartitioning" not in plan and plan.count("BroadcastHashJoin") == 2
+    got = failing.groupBy("batch_ts").count().collect()
+    assert {r["batch_ts"].hour: r["count"] for r in got} == {0: 30_000 // 21 + 1, 8: sum(1 for k in range(0, 30_000, 7) if k % 3)}
+
+
 def test_no_batches(spark, tmp_path):
     assert validated(spark, tmp_path, [], [], pending_of(spark, [])) == {}
     assert rulesets.distinct_checks(pending_of(spark, [])) == []

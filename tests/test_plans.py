@@ -10,7 +10,7 @@ from feedlens.plans.queries import QUERIES
 from .conftest import SF_SMALL, plan_text
 
 WRITES_FIRST = {"stream_to_bronze", "topic_drain", "batch_read_formats", "gold_refresh", "gold_stream",
-                "stream_to_csv_bronze", "stream_quarantine", "stream_json_to_bronze", "stream_json_quarantine", "aggregate_ready", "validate_all_pending", "batches_to_gold", "audit_compacted", "catalog_promotion", "drain_counts", "validate_retry", "error_table_upsert"}
+                "stream_to_csv_bronze", "stream_quarantine", "stream_json_to_bronze", "stream_json_quarantine", "aggregate_ready", "validate_all_pending", "batches_to_gold", "audit_compacted", "catalog_promotion", "drain_counts", "archive_consumed", "validate_retry", "error_table_upsert"}
 PLUGGED = {"conversation_sentiment_plugged"}  # a scorer from outside runs in Python by design
 # columns each scan may read (the queries where pruning matters most)
 READS = {
