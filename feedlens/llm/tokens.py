@@ -14,7 +14,10 @@ import numpy as np
 
 #: Words kept in a worker's memory; when there are more, the first half, which holds the frequent ones, stays (a
 #: memory bound; results don't depend on it).
-CACHE_WORDS = 700_000
+CACHE_WORDS = 450_000
+
+#: Words of letters that the tokenizer gets as one text.
+LETTERS_AT_ONCE = 256
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -69,6 +72,8 @@ class WordEncoder:
 
     _split = re.compile("[ \t\n\r]+")
     _odd = "\x1c\x1d\x1e\x1f"
+    #: Latin letters that lowering and composing leave single letters.
+    _letters = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+")
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -82,11 +87,25 @@ class WordEncoder:
         # special tokens are kept under tuples, so that no word can meet them
         self.known = Known({(content,): array("I", [i]).tobytes() for content, i in special.items()})
         self.ends = dict(zip(".,", self._ids([".", ","])))
+        self.ends_word = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
+        self.ends_word[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith("</w>")]] = True
 
     def _ids(self, words: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
         return [array("I", f.ids).tobytes() for f in found]
 
+    def _ids_of_letters(self, words: list[str]) -> list[bytes]:
+        """Ids of words of Latin letters alone, many at a call: each is one piece, and its last token alone ends a word.
+
+        A word always has one end at least, so if there are as many ends as words, each has its own; else they are encoded one by one."""
+        texts = [" ".join(words[k:k + LETTERS_AT_ONCE]) for k in range(0, len(words), LETTERS_AT_ONCE)]
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        ids = np.concatenate([np.array(f.ids, dtype=np.uint32) for f in found])
+        data, bounds = ids.tobytes(), [0, *((np.flatnonzero(self.ends_word[ids]) + 1) * 4).tolist()]
+        if len(bounds) != len(words) + 1:
+            return self._ids(words)
+        return [data[a:b] for a, b in zip(bounds, bounds[1:])]
+
     def _learn(self, words: set[str]) -> None:
         stems: dict[str, str] = {}
         for word in words:
@@ -94,8 +113,12 @@ class WordEncoder:
             if len(word) > 1 and word[-1] in self.ends and word[-2].isascii() and word[-2].isalpha():
                 stem = word[:-1]
             stems[word] = stem.lower() if stem.isascii() else stem
-        new = list({stem for stem in stems.values() if stem not in self.known})
-        self.known.update(zip(new, self._ids(new)))
+        new = {stem for stem in stems.values() if stem not in self.known}
+        letters = [stem for stem in new if self._letters.fullmatch(stem)]
+        others = list(new.difference(letters))
+        self.known.update(zip(others, self._ids(others)))
+        if letters:
+            self.known.update(zip(letters, self._ids_of_letters(letters)))
         for word, stem in stems.items():
             ids = self.known[stem]
             ended = len(word) > len(stem)

@@ -163,6 +163,21 @@ def test_empty_tables_and_clashing_columns(nothing, odd, clashing):
         assert table_of(f(clashing).select(f(odd).columns)) == table_of(f(odd))
 
 
+def test_words_of_letters_are_encoded_together_as_one_by_one():
+    import random
+    rng = random.Random(12)
+    e, library = WordEncoder(WORD), Tokenizer.from_file(WORD)
+    words = ["".join(rng.choices("etaoinshrdluETAKLxéÉßñüÜŁĳŉǆ", k=rng.randint(1, 14))) for _ in range(3000)] + ["s", "t", "re", "ll", "d", "w", "I", "a" * 300]
+    words += [f"a{chr(c)}b" for c in range(0xC0, 0x250) if e._letters.fullmatch(chr(c))]
+    words = list(dict.fromkeys(words))
+    assert [np.frombuffer(ids, dtype=np.uint32).tolist() for ids in e._ids_of_letters(words)] == [
+        library.encode(w, add_special_tokens=False).ids for w in words]
+    mixed = ["a", "b-c", "İx", "1"]  # not one piece each: encoded one by one
+    assert [np.frombuffer(ids, dtype=np.uint32).tolist() for ids in e._ids_of_letters(mixed)] == [library.encode(w, add_special_tokens=False).ids for w in mixed]
+    text = " ".join(w + rng.choice(["", "", ".", ",", "'s", "!", "é"]) for w in words)
+    assert e.encode([text])[0].tolist() == library.encode(text, add_special_tokens=False).ids
+
+
 def test_special_strings_in_texts_are_encoded_as_the_library_does():
     """Against the unmodified tokenizer, in every surrounding, and after the cache has been emptied."""
     e, library = WordEncoder(WORD), Tokenizer.from_file(WORD)
