@@ -44,6 +44,8 @@ NEAREST = 2
 UNIT_ROWS, UNIT_SHINGLES = 1024, 1 << 19
 #: Units in a row of a region or cluster above which the prefix filter takes over.
 DENSE = 16
+#: Classes (24 bytes each) whose texts are found by a broadcast; more are joined by a shuffle of the texts.
+BROADCAST_ROWS = 500_000
 #: Signature values that plausible partners share.
 AGREE = 32
 
@@ -350,7 +352,9 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     sizes = rows.groupBy("region").agg(F.count("*").alias("size")).where("size > 1")
     active, _ = compact(rows.join(sizes, "region"))
     wanted = active.select("rep").distinct()
-    sets = cut(sets_of(docs, classes.join(wanted, "rep", "left_semi").select("rep", "doc_id", "text_key")))
+    asked, n = compact(classes.join(wanted, "rep", "left_semi").select("rep", "doc_id", "text_key"))
+    # so few that every task can have them leave the texts where they lie
+    sets = cut(sets_of(docs, F.broadcast(asked) if n <= BROADCAST_ROWS else asked))
 
     links, _ = compact(confirmed(neighbours(active), sets))
     nodes = merged(classes.select("rep", F.col("rep").alias("component")), links.unionByName(same_ids(sketch, classes)))
