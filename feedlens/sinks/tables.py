@@ -16,6 +16,8 @@ from pyspark.sql import types as T
 #: A quote inside a value is doubled and line breaks may stand in quotes, so JSON text survives.
 CSV_OPTIONS = {"header": "true", "escape": '"', "multiLine": "true"}
 BRONZE_PARTITIONS = ["year", "month", "day", "filename"]
+#: Rows of a csv file: quoted line breaks keep a csv file from being split, so one task reads all of it.
+CSV_FILE_ROWS = 100_000
 
 
 def clustered(df: DataFrame, by: list[str]) -> DataFrame:
@@ -36,7 +38,8 @@ def write_bronze(batch: DataFrame, path: str, fmt: str = "json") -> None:
     if fmt == "csv":  # csv holds no nested values
         batch = batch.select(*[F.to_json(f.name).alias(f.name) if isinstance(f.dataType, (T.StructType, T.ArrayType))
                                else F.col(f.name) for f in batch.schema.fields])
-    write_partitions(batch, path, BRONZE_PARTITIONS, fmt, CSV_OPTIONS if fmt == "csv" else None)
+    write_partitions(batch, path, BRONZE_PARTITIONS, fmt,
+                     {**CSV_OPTIONS, "maxRecordsPerFile": str(CSV_FILE_ROWS)} if fmt == "csv" else None)
 
 
 def append(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None) -> None:

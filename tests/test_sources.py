@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from feedlens.sinks import tables as sinks
 from feedlens.sources import files, messages
 
 NAMES = {
@@ -155,3 +156,12 @@ def test_registry_row_rejects_duplicates(spark):
                                 schemas.DATASET)
     with pytest.raises(LookupError):
         files.registry_row(reg, "post_detail", "facebook")
+
+
+def test_a_csv_bronze_file_holds_a_bounded_number_of_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sinks, "CSV_FILE_ROWS", 10, raising=False)
+    rows = spark.range(35).select(F.col("id").cast("string").alias("id"), F.lit("a\nb").alias("message"), *[
+        F.lit(v).alias(c) for c, v in zip(sinks.BRONZE_PARTITIONS, ("2024", "03", "26", "f.json"))])
+    sinks.write_bronze(rows, str(tmp_path), "csv")
+    got = spark.read.options(**sinks.CSV_OPTIONS).csv(str(tmp_path)).groupBy(F.col("_metadata.file_path").alias("f")).count().collect()
+    assert sum(r["count"] for r in got) == 35 and max(r["count"] for r in got) <= 10
