@@ -9,6 +9,10 @@ a large partition over several tasks.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,9 +20,30 @@ from pyspark.sql import types as T
 #: A quote inside a value is doubled and line breaks may stand in quotes, so JSON text survives.
 CSV_OPTIONS = {"header": "true", "escape": '"', "multiLine": "true"}
 BRONZE_PARTITIONS = ["year", "month", "day", "filename"]
+#: Shuffled (compressed) bytes that a task of a write gets at most, but for what one task before it made of a partition: the task sorts
+#: them by partition, and texts that repeat themselves take many times their compressed size.
+WRITE_BYTES = 8 << 20
 #: Rows of a csv file: quoted line breaks keep a csv file from being split, so one task reads all of it.
 CSV_FILE_ROWS = 100_000
 
+_ADVISORY = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+
+
+def _bytes(size: str) -> int:
+    number, unit = re.fullmatch(r"(\d+)([kmgtp]?)i?b?", size.strip().lower()).groups()
+    return int(number) << 10 * " kmgtp".index(unit or " ")
+
+
+@contextmanager
+def write_sizes(spark: SparkSession) -> Iterator[None]:
+    """Rebalanced writes in here get ``WRITE_BYTES`` a task, or what the session says if that is less."""
+    given = spark.conf.get(_ADVISORY)
+    spark.conf.set(_ADVISORY, str(min(_bytes(given), WRITE_BYTES)))
+    try:
+        yield
+    finally:
+        spark.conf.set(_ADVISORY, given)
+
 
 def clustered(df: DataFrame, by: list[str]) -> DataFrame:
     return df.hint("rebalance", *by)
@@ -27,10 +52,11 @@ def clustered(df: DataFrame, by: list[str]) -> DataFrame:
 def write_partitions(df: DataFrame, path: str, partition_by: list[str], fmt: str = "parquet",
                      options: dict | None = None) -> None:
     """Dynamic partition overwrite: only partitions present in ``df`` are replaced."""
-    (clustered(df, partition_by).write.format(fmt).mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic")
-     .options(**(options or {}))
-     .partitionBy(*partition_by).save(path))
+    with write_sizes(df.sparkSession):
+        (clustered(df, partition_by).write.format(fmt).mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic")
+         .options(**(options or {}))
+         .partitionBy(*partition_by).save(path))
 
 
 def write_bronze(batch: DataFrame, path: str, fmt: str = "json") -> None:

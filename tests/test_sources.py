@@ -165,3 +165,19 @@ def test_a_csv_bronze_file_holds_a_bounded_number_of_rows(spark, tmp_path, monke
     sinks.write_bronze(rows, str(tmp_path), "csv")
     got = spark.read.options(**sinks.CSV_OPTIONS).csv(str(tmp_path)).groupBy(F.col("_metadata.file_path").alias("f")).count().collect()
     assert sum(r["count"] for r in got) == 35 and max(r["count"] for r in got) <= 10
+
+
+def test_a_write_task_gets_a_bounded_part_of_a_partition(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sinks, "WRITE_BYTES", 4 << 10, raising=False)
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    given = spark.conf.get(key)
+    rows = spark.range(20_000, numPartitions=10).select("id", F.sha2(F.col("id").cast("string"), 256).alias("text"), F.lit("x").alias("p"))
+    sinks.write_partitions(rows, str(tmp_path), ["p"])
+    back = spark.read.parquet(str(tmp_path))
+    assert len(back.inputFiles()) > 5 and back.count() == 20_000 and spark.conf.get(key) == given
+    spark.conf.set(key, "2k")  # a session that asks for less gets less
+    try:
+        with sinks.write_sizes(spark):
+            assert spark.conf.get(key) == "2048"
+    finally:
+        spark.conf.set(key, given)
