@@ -21,19 +21,25 @@ NOT_PARSED = "File %s holds no post"
 PARTLY_PARSED = "File %s: %d elements are no posts"
 
 
-_FOLDER = rf"(.*/)?{LANDING_FILE}=([^/]+)/([^/]*)$"
+def _in_folder(p: Column) -> tuple[Column, Column]:
+    """The last two names of a path, and whether the first of them is ``landing_file=<name>``."""
+    names = F.substring_index(p, "/", -2)
+    return names, names.startswith(f"{LANDING_FILE}=") & names.contains("/") & ~names.startswith(f"{LANDING_FILE}=/")
 
 
 def landing_path(path) -> Column:
     """A landing file's path from that of one of its parts: its folder where it is one (``landing_file=<name>``)."""
     p = F.col(path) if isinstance(path, str) else path
-    return F.when(p.rlike(_FOLDER), F.concat(F.regexp_extract(p, _FOLDER, 1), F.regexp_extract(p, _FOLDER, 2))).otherwise(p)
+    names, folder = _in_folder(p)
+    above = F.substr(p, F.lit(1), F.length(p) - F.length(names))
+    name = F.substr(F.substring_index(names, "/", 1), F.lit(len(LANDING_FILE) + 2))
+    return F.when(folder, F.concat(above, name)).otherwise(p)
 
 
 def part_name(path) -> Column:
     """The part's own name where a landing file is a folder of parts, else NULL."""
     p = F.col(path) if isinstance(path, str) else path
-    return F.when(p.rlike(_FOLDER), F.regexp_extract(p, _FOLDER, 3))
+    return F.when(_in_folder(p)[1], F.substring_index(p, "/", -1))
 
 
 def with_file_columns(df: DataFrame, path_col: str = "source_file",

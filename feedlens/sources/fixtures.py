@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from feedlens import schemas
 from feedlens.functions.dates import iso_text, utc_date
+from feedlens.session import materialize, small
 from feedlens.sinks.tables import LANDING_FILE, write_landing as write_lines
 from feedlens.sources.tables import TOPIC, nested_feed
 
@@ -49,8 +50,13 @@ def write_landing(spark: SparkSession, sf_dir: str, landing: str) -> None:
     write_lines(landing_lines(spark, sf_dir), landing)
 
 
+#: Posts of a day's multi-line JSON file; a day with more gets several, as one task writes a file.
+JSON_FILE_POSTS = 100_000
+
+
 def write_json_landing(spark: SparkSession, sf_dir: str, landing: str) -> None:
-    """The same posts as one multi-line JSON file a day: an array, or (by day) an array of arrays; some elements are no posts."""
+    """The same posts as multi-line JSON, a landing file a day: an array, or (by day) an array of arrays, in one part for each ``JSON_FILE_POSTS``
+    posts (nearly); some elements are no posts."""
     n, day = F.col("n"), F.col("day")
     name = F.concat(F.lit("post_detail_"), F.date_format("day", "yyyy-MM-dd"), F.lit("_00-00-00.json"),
                     F.when(F.dayofmonth("day") == BAD_NAME_DAY, F.lit(".bak")).otherwise(F.lit("")))
@@ -58,12 +64,17 @@ def write_json_landing(spark: SparkSession, sf_dir: str, landing: str) -> None:
     opening, closing = F.when(nested, "[\n [\n").otherwise("[\n"), F.when(nested, "\n ]\n]").otherwise("\n]")
     pretty = F.concat(F.regexp_replace(F.regexp_replace("post", '","', '",\n    "'), r"\{", "{\n   "), F.lit("\n"))
     extra = F.when(n % SCALAR_EVERY == 0, F.concat(F.lit(",\n"), n.cast("string"), F.lit(', "abc"'))).otherwise("")
-    rows = posts(spark, sf_dir).withColumns({LANDING_FILE: name, "first": F.row_number().over(Window.partitionBy("day").orderBy("id")) == 1})
-    body = rows.select(LANDING_FILE, F.lit(1).alias("ord"), "id", F.concat(F.when(F.col("first"), "").otherwise(",\n"), pretty, extra).alias("value"))
-    ends = rows.filter("first").select(LANDING_FILE, "day", F.explode(F.array(F.lit(0), F.lit(2))).alias("ord")).select(
-        LANDING_FILE, "ord", F.lit(None).cast("string").alias("id"), F.when(F.col("ord") == 0, opening).otherwise(closing).alias("value"))
-    (body.unionByName(ends).repartition(LANDING_FILE).sortWithinPartitions(LANDING_FILE, "ord", "id").select("value", LANDING_FILE)
-     .write.mode("overwrite").partitionBy(LANDING_FILE).text(landing))
+    every = posts(spark, sf_dir)
+    days = every.groupBy("day").agg(F.ceil(F.count("*") / JSON_FILE_POSTS).alias("parts"))
+    days = small(materialize(days.withColumn("before", F.sum("parts").over(Window.orderBy("day")) - F.col("parts"))))  # a row a day
+    n_files = days.agg(F.coalesce(F.sum("parts"), F.lit(1))).first()[0]
+    rows = (every.join(days.withColumnRenamed("day", "_day"), day.eqNullSafe(F.col("_day")))
+            .withColumn("file", (F.col("before") + F.pmod(F.xxhash64("id"), F.col("parts"))).cast("int"))
+            .select("file", "id", day, name.alias(LANDING_FILE), F.concat(pretty, extra).alias("value")).repartitionById(int(n_files), "file"))
+    ordered = Window.partitionBy("file").orderBy("id")
+    first, last = F.row_number().over(ordered) == 1, F.lead("file").over(ordered).isNull()
+    value = F.concat(F.when(first, opening).otherwise(",\n"), "value", F.when(last, closing).otherwise(""))
+    rows.select(value.alias("value"), LANDING_FILE).write.mode("overwrite").partitionBy(LANDING_FILE).text(landing)
 
 
 def message_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

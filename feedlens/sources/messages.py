@@ -107,16 +107,18 @@ def fitting_pattern(kind: T.DataType) -> str:
 
 
 def rescue(raw: DataFrame, raw_col: str, schema: T.StructType,
-           rescued_col: str = "_rescued") -> DataFrame:
+           rescued_col: str = "_rescued", object_col: str | None = None) -> DataFrame:
     """Parse ``raw_col`` with ``schema``; what doesn't fit it is kept with its values, as a JSON object
-    in ``rescued_col`` (NULL if all fits), instead of failing.
+    in ``rescued_col`` (NULL if all fits), instead of failing. ``object_col`` gets whether the text is a JSON object.
 
-    A value's type tells for most rows at once that all fits; only for the others the rest is worked out."""
-    out = raw.withColumns({"_p": F.from_json(F.col(raw_col), schema), "_v": F.try_parse_json(raw_col)})
-    fits = F.schema_of_variant("_v").rlike(f"^{fitting_pattern(schema)}$")
+    A value's type tells for most rows at once that all fits, and that it is an object; only for the others the rest is worked out."""
+    out = raw.withColumns({"_p": F.from_json(F.col(raw_col), schema), "_v": F.try_parse_json(raw_col)}).withColumn("_t", F.schema_of_variant("_v"))
+    fits = F.col("_t").rlike(f"^{fitting_pattern(schema)}$")
+    if object_col:
+        out = out.withColumn(object_col, F.when(F.col("_t").startswith("OBJECT<"), True).otherwise(F.json_object_keys(raw_col).isNotNull()))
     rest = _bound(unmatched(F.col("_v"), F.col("_p"), schema),
                   lambda m: F.when(F.size(m) > 0, F.to_json(F.to_variant_object(m))))
-    return (out.withColumn(rescued_col, F.when(~F.coalesce(fits, F.lit(False)), rest)).drop("_v")
+    return (out.withColumn(rescued_col, F.when(~F.coalesce(fits, F.lit(False)), rest)).drop("_v", "_t")
             .select("*", *[F.col(f"_p.{f.name}").alias(f.name) for f in schema.fields]).drop("_p"))
 
 

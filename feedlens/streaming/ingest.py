@@ -85,7 +85,7 @@ def parse_landing(raw: DataFrame, pattern: str = dates.POST_FILE_PATTERN, layout
         text = raw.filter(F.trim("value") != "") if layout == "lines" else raw
         texts = text.select("source_file", landed.alias("landed_at"), F.explode(elements(F.col("value"), layout)).alias("_raw"))
     posts = texts.select(files.landing_path("source_file").alias("source_file"), files.part_name("source_file").alias("part"), "landed_at", "_raw")
-    parsed = rescue(posts, "_raw", schemas.POST).withColumn("parse_ok", F.json_object_keys("_raw").isNotNull())
+    parsed = rescue(posts, "_raw", schemas.POST, object_col="parse_ok")
     # ``part`` stays apart from the file's name: a micro-batch may hold some parts of a landing file only
     return files.with_file_columns(parsed.select(
         *schemas.POST_FIELDS, "_rescued", "source_file", "part", "landed_at", "parse_ok",

@@ -6,9 +6,10 @@ import random
 
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
+from pyspark.sql import functions as F
 
 from feedlens.plans import jobs
-from feedlens.sources import json_split
+from feedlens.sources import fixtures, json_split
 from feedlens.streaming.ingest import IngestPaths, read_bronze
 
 from .test_stream import post
@@ -131,3 +132,29 @@ def test_a_large_file_is_read_by_many_tasks_and_lands_as_by_lines(spark, tmp_pat
         rows.append(sorted(read_bronze(spark, paths.bronze).drop("source_file", "landed_at").toJSON().collect()))
     assert len(rows[0]) == 120 and rows[0] == rows[1]
     assert json_split.read_pieces(spark, f"{tmp_path}/json/landing").rdd.getNumPartitions() > 10
+
+
+def test_a_byte_range_is_put_together_by_many_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(json_split, "SECTION_BITS", 3, raising=False)
+    monkeypatch.setattr(json_split, "TASK_BYTES", 1 << 10, raising=False)
+    rng = random.Random(2)
+    elements = [thing(rng, k) for k in range(150)]
+    write(str(tmp_path), "f.json", json.dumps(elements, indent=1))
+    frames = []
+    rows = json_split.split_elements(json_split.read_pieces(spark, str(tmp_path)), frames).collect()
+    assert same([r["_raw"] for r in rows], elements)
+    shares = [r["count"] for r in frames[-1].groupBy(F.spark_partition_id()).count().collect()]
+    assert len(shares) > 5 and max(shares) < sum(shares) / 2
+    for frame in frames:
+        frame.unpersist()
+
+
+def test_a_day_of_many_posts_lands_in_several_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(fixtures, "JSON_FILE_POSTS", 20, raising=False)
+    sf = "/root/testdata/sf0.001"
+    fixtures.write_json_landing(spark, sf, str(tmp_path))
+    texts = [f.read_text() for f in tmp_path.glob("*/*.txt")]
+    flat = [e for t in texts for x in json.loads(t) for e in (x if isinstance(x, list) else [x])]
+    ids = sorted(e["id"] for e in flat if isinstance(e, dict))
+    assert ids == sorted(r["id"] for r in fixtures.posts(spark, sf).select("id").collect())
+    assert len(texts) > fixtures.posts(spark, sf).select("day").distinct().count()
