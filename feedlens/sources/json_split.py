@@ -58,7 +58,8 @@ def split_elements(pieces: DataFrame, cached: list[DataFrame] | None = None, kee
     The blocks' totals, the pieces, dealt by block, and what each block makes of them are used more than once and therefore persisted; ``cached``
     gets them, for the caller to release. The totals are computed at once, for the number of tasks that the pieces ask for.
     """
-    plain = F.regexp_replace("value", r"(?s)\\.", "")  # without escapes, so that each quote left is a string's end
+    # without escapes, so that each quote left is a string's end
+    plain = F.when(F.contains("value", F.lit("\\")), F.regexp_replace("value", r"(?s)\\.", "")).otherwise(F.col("value"))
     at = F.monotonically_increasing_id()
     raw = (pieces.select(*PIECE, *keep, at.alias("at"), plain.alias("plain"))
            .withColumns({"section": F.shiftright("at", SECTION_BITS), "quotes": _count(F.col("plain"), '"')}))
@@ -83,16 +84,14 @@ def split_elements(pieces: DataFrame, cached: list[DataFrame] | None = None, kee
     def within(value: str) -> Column:
         return F.coalesce(F.sum(value).over(here), F.lit(0))
 
-    def opens(quoted: bool) -> Column:
-        """The braces opened outside strings, if the piece begins inside one or not."""
-        text = F.concat(F.lit('"'), "plain") if quoted else F.col("plain")
-        return _count(F.regexp_replace(text, '"[^"]*("|$)', ""), "{")
-
+    # braces outside strings if the piece begins outside one; if it begins inside, they are all the others
+    braces = _count(F.col("plain"), "{")
+    outside = F.when((braces == 0) | (F.col("quotes") == 0), braces).otherwise(_count(F.regexp_replace("plain", '"[^"]*("|$)', ""), "{"))
     braced = F.col("open_end").isNull() | (F.col("at") != F.col("open_end"))
-    dealt = (raw.select(*BLOCK, *keep, "at", "value", "quotes", opens(False).alias("opens_out"), opens(True).alias("opens_in"))
+    dealt = (raw.select(*BLOCK, *keep, "at", "value", "quotes", braces.alias("braces"), outside.alias("outside"))
              .repartition(max(1, math.ceil(n_bytes / TASK_BYTES)), *BLOCK))
     known = (dealt.join(to_blocks(starts), BLOCK).withColumn("quoted", (F.col("quotes_before") + within("quotes")) % 2)
-             .withColumns({"opens": F.when(F.col("quoted") == 1, F.col("opens_in")).otherwise(F.col("opens_out")), "braced": braced,
+             .withColumns({"opens": F.when(F.col("quoted") == 1, F.col("braces") - F.col("outside")).otherwise(F.col("outside")), "braced": braced,
                            "ends": ((F.col("quoted") + F.col("quotes")) % 2 == 0) & braced})
              .select(*BLOCK, *keep, "at", "value", "opens", "ends", (F.col("opens") - F.col("ends").cast("int")).alias("delta"), "braced").persist())
     depths = _before(known.groupBy(*BLOCK).agg(F.sum("delta").alias("delta")), "delta", "depth_before")
