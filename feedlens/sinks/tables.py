@@ -126,5 +126,14 @@ def write_landing(lines: DataFrame, landing: str, by: tuple[str, ...] = (LANDING
     the tasks that hold its rows; each part appears whole. Rewriting the same folders
     replaces them. Line breaks inside a line (white space in JSON) become spaces.
     """
-    flat = lines.withColumn("line", F.regexp_replace("line", "[\\r\\n]+", " "))
-    write_partitions(flat.select("line", *by), landing, list(by), "text")
+    write_partitions(_flat(lines).select("line", *by), landing, list(by), "text")
+
+
+def write_landing_file(lines: DataFrame, folder: str) -> None:
+    """(K6) Rows (``line``) as text in the folder of one landing file: each task writes what it holds, in no order, so none
+    sorts or shuffles it. What the folder had is replaced."""
+    _flat(lines).select("line").write.mode("overwrite").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").text(folder)
+
+
+def _flat(lines: DataFrame) -> DataFrame:
+    return lines.withColumn("line", F.regexp_replace("line", "[\\r\\n]+", " "))

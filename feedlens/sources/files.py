@@ -30,10 +30,7 @@ def _in_folder(p: Column) -> tuple[Column, Column]:
 def landing_path(path) -> Column:
     """A landing file's path from that of one of its parts: its folder where it is one (``landing_file=<name>``)."""
     p = F.col(path) if isinstance(path, str) else path
-    names, folder = _in_folder(p)
-    above = F.substr(p, F.lit(1), F.length(p) - F.length(names))
-    name = F.substr(F.substring_index(names, "/", 1), F.lit(len(LANDING_FILE) + 2))
-    return F.when(folder, F.concat(above, name)).otherwise(p)
+    return F.regexp_replace(p, rf"(^|/){LANDING_FILE}=([^/]+)/[^/]*\z", "$1$2")
 
 
 def part_name(path) -> Column:

@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from feedlens import schemas
 from feedlens.functions.dates import STAMP_FORMAT
-from feedlens.sinks.tables import LANDING_FILE, write_landing, write_partitions
+from feedlens.sinks.tables import LANDING_FILE, write_landing_file, write_partitions
 from feedlens.streaming.ingest import stream_key
 
 DRAIN, DRAINED_AT = "drain", "_drained_at"
@@ -26,19 +26,22 @@ DRAIN, DRAINED_AT = "drain", "_drained_at"
 def drain_writer(landing: str, drained_log: str, key, prefix: str = "post_detail_"):
     """foreachBatch callback. ``key(spark, batch_id)`` names the micro-batch for good; the batch carries its time
     in ``DRAINED_AT``. Message counts and offset ranges by source partition go to ``drained_log``; messages without a value (a topic's
-    deletions) have nothing to land, and are counted there (``n_null``)."""
+    deletions) have nothing to land, and are counted there (``n_null``).
+
+    A micro-batch is one landing file, so its tasks write what they read, without a shuffle. The counts read it once more, which costs less than
+    to cache its values."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        name = F.concat(F.lit(prefix), F.date_format(DRAINED_AT, STAMP_FORMAT), F.lit(".json"))
-        named = batch.withColumns({DRAIN: F.lit(key(batch.sparkSession, batch_id)), LANDING_FILE: name}).persist()
-        try:
-            valid = named.filter(F.col("value").isNotNull())
-            write_landing(valid.withColumn("line", F.col("value").cast("string")), landing, (DRAIN, LANDING_FILE))
-            counts = named.groupBy(DRAIN, LANDING_FILE, "topic", "partition").agg(
-                F.count("value").alias("n_messages"), F.count_if(F.col("value").isNull()).alias("n_null"),
-                F.min("offset").alias("min_offset"), F.max("offset").alias("max_offset"))
-            write_partitions(counts, drained_log, [DRAIN])
-        finally:
-            named.unpersist()
+        name = F.concat(F.lit(prefix), F.date_format(DRAINED_AT, STAMP_FORMAT), F.lit(".json")).alias(LANDING_FILE)
+        drain_key = key(batch.sparkSession, batch_id)
+        valid = batch.filter(F.col("value").isNotNull())
+        found = valid.select(name).first()
+        if found is not None:
+            write_landing_file(valid.select(F.col("value").cast("string").alias("line")),
+                               f"{landing}/{DRAIN}={drain_key}/{LANDING_FILE}={found[LANDING_FILE]}")
+        counts = batch.groupBy(F.lit(drain_key).alias(DRAIN), name, "topic", "partition").agg(
+            F.count("value").alias("n_messages"), F.count_if(F.col("value").isNull()).alias("n_null"),
+            F.min("offset").alias("min_offset"), F.max("offset").alias("max_offset"))
+        write_partitions(counts, drained_log, [DRAIN])
     return write
 
 
@@ -77,8 +80,12 @@ def file_feed(spark: SparkSession, feed_path: str, max_files_per_trigger: int =
 
 def drain(feed: DataFrame, landing: str, drained_log: str, checkpoint: str) -> StreamingQuery:
     """Drain any message stream (Kafka or file-backed); stops when nothing is left."""
+    known: list[str] = []  # the query's id, read once
+
     def key(spark: SparkSession, batch_id: int) -> str:
-        return f"{stream_key(spark, checkpoint)}-{batch_id}"
+        if not known:
+            known.append(stream_key(spark, checkpoint))
+        return f"{known[0]}-{batch_id}"
 
     return (feed.withColumn(DRAINED_AT, F.current_timestamp())
             .writeStream.foreachBatch(drain_writer(landing, drained_log, key))

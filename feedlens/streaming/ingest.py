@@ -54,7 +54,7 @@ class IngestPaths:
 def stream_key(spark: SparkSession, checkpoint: str) -> str:
     """The streaming query's id, which Spark keeps in its checkpoint: the same after a restart, another
     for a new checkpoint. With a batch id it names a micro-batch for good."""
-    return spark.read.json(f"{checkpoint}/metadata").select("id").first()["id"]
+    return spark.read.schema("id string").json(f"{checkpoint}/metadata").first()["id"]
 
 
 def elements(value: Column, layout: str) -> Column:

@@ -138,6 +138,32 @@ def test_a_replayed_drain_batch_overwrites_its_folder(spark, tmp_path):
     assert sorted(os.listdir(p.landing)) == ["_SUCCESS", "drain=q-0", "drain=q-1"] or {"drain=q-0", "drain=q-1"} <= set(os.listdir(p.landing))
 
 
+def test_a_drain_batch_is_written_by_the_tasks_that_read_it(spark, tmp_path):
+    """No shuffle and no cache: a part for each task that holds messages, none for deletions alone; nothing is lost."""
+    root = str(tmp_path)
+    p = paths(root)
+    feed = feed_of(spark, [json.dumps(post(f"w{i}", []), indent=1) for i in range(9)] + [None]).repartition(3, "offset").withColumn(
+        drain.DRAINED_AT, F.lit("2024-05-01 10:00:00").cast("timestamp"))
+    n_tasks = feed.select(F.spark_partition_id()).distinct().count()
+    w = drain.drain_writer(p.landing, f"{root}/drained", lambda spark, batch_id: f"q-{batch_id}")
+    w(feed, 0)
+    w(feed.filter("value is null"), 1)
+    assert len(landed(p.landing)) == n_tasks > 1
+    assert spark.read.option("recursiveFileLookup", "true").text(p.landing).count() == 9
+    counts = spark.read.parquet(f"{root}/drained").agg(F.sum("n_messages"), F.sum("n_null")).first()
+    assert tuple(counts) == (9, 2)
+    assert os.listdir(f"{p.landing}/drain=q-0") == ["landing_file=post_detail_2024-05-01_10-00-00.json"] and not os.path.exists(f"{p.landing}/drain=q-1")
+
+
+def test_a_drain_reads_its_query_id_once(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    feed_of(spark, [json.dumps(post(f"k{i}", [])) for i in range(3)]).repartition(3, "offset").write.parquet(f"{root}/topic")
+    read = []
+    monkeypatch.setattr(drain, "stream_key", lambda spark, checkpoint, own=drain.stream_key: read.append(checkpoint) or own(spark, checkpoint))
+    drain.start_drain(spark, f"{root}/topic", f"{root}/landing", f"{root}/drained", f"{root}/dcp", max_files_per_trigger=1).awaitTermination()
+    assert read == [f"{root}/dcp"] and len(os.listdir(f"{root}/landing")) > 1
+
+
 def test_shapes_of_landing_files(spark, tmp_path):
     """One object, one object a line, elements that are no post, a truncated array; nothing readable or raw is lost."""
     root = str(tmp_path)
