@@ -49,9 +49,9 @@ with recursive state as (
     select word, pos, tok, nxt, false as final from pieces
     union all
     (with live as (select word, pos, tok, nxt from state where not final),
-          best as (select word, min((m::hugeint << 32) + pos) as k
+          best as (select word, min((m::bigint << 32) + pos) as k
                    from live join merges on tok = l and nxt = r group by word),
-          step as (select live.*, (k >> 32)::int as m, (k & 4294967295)::bigint as hit
+          step as (select live.*, (k >> 32)::int as m, (k & 4294967295)::int as hit
                    from live left join best using (word))
      select word,
             case when hit is not null and pos > hit then pos - 1 else pos end,
@@ -60,7 +60,7 @@ with recursive state as (
             hit is null
      from step where hit is null or pos <> hit)
 )
-select word, list(tok order by pos) as ids from state where final group by word
+select word, pos, tok from state where final
 """
 
 DECODE = """
@@ -102,16 +102,16 @@ class Bpe:
         nxt[starts + sizes - 1] = -1
         self.db.register("pieces", pa.table({
             "word": np.repeat(np.arange(len(pieces), dtype=np.int32), sizes),
-            "pos": np.arange(len(tok)) - np.repeat(starts, sizes), "tok": tok, "nxt": nxt.astype(np.int32)}))
-        got = self.run(CONTRACT).combine_chunks()
+            "pos": (np.arange(len(tok)) - np.repeat(starts, sizes)).astype(np.int32), "tok": tok, "nxt": nxt.astype(np.int32)}))
+        got = self.run(CONTRACT)
         self.db.unregister("pieces")
-        out: list = [b""] * len(pieces)
-        if got.num_rows:
-            lists = got["ids"].chunk(0)
-            data, bounds = lists.values.to_numpy().astype(np.int32).tobytes(), (4 * lists.offsets.to_numpy()).tolist()
-            for word, a, b in zip(got["word"].to_pylist(), bounds, bounds[1:]):
-                out[word] = data[a:b]
-        return out
+        word = got["word"].to_numpy()
+        counts = np.bincount(word, minlength=len(pieces))
+        ends = np.cumsum(counts)
+        ids = np.empty(len(word), dtype=np.int32)
+        ids[(ends - counts)[word] + got["pos"].to_numpy()] = got["tok"].to_numpy()  # positions are dense from 0 again
+        data, bounds = ids.tobytes(), [0, *(4 * ends).tolist()]
+        return [data[a:b] for a, b in zip(bounds, bounds[1:])]
 
     def contract_long(self, data: bytes) -> list[int]:
         """Ids of one long piece: a heap of its pairs by rank, then place, over a linked list of tokens."""
@@ -165,14 +165,12 @@ class Bpe:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids (int32) of each text."""
-        split = [self.pattern.findall(text) for text in texts]
-        found = [list(map(self.known.__getitem__, pieces)) for pieces in split]  # None where not known yet
-        fresh = self.learn(list(self.known.take()))
-        for pieces, ids in zip(split, found):
-            if None in ids:
-                ids[:] = [fresh[piece] if own is None else own for piece, own in zip(pieces, ids)]
-        self.known.update((piece, ids) for piece, ids in fresh.items() if len(piece) <= LONG_PIECE)
-        self.known.keep_half(CACHE_PIECES)
+        found = [self.known.find(self.pattern.findall(text)) for text in texts]
+        if self.known.missed:
+            fresh = self.learn(list(dict.fromkeys(self.known.missed)))
+            self.known.fill(fresh)
+            self.known.update((piece, ids) for piece, ids in fresh.items() if len(piece) <= LONG_PIECE)
+            self.known.keep_half(CACHE_PIECES)
         return [np.frombuffer(b"".join(ids), dtype=np.int32) for ids in found]
 
     def decode(self, sequences: list[np.ndarray]) -> list[bytes]:

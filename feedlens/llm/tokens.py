@@ -38,18 +38,32 @@ def rank_encoder(path: str, pattern: str):
 
 
 class Known(dict):
-    """Ids by word or piece; those asked for in vain are noted."""
+    """Ids by word or piece; those asked for in vain are noted, in order, until their ids are filled in."""
 
     def __init__(self, *given):
         super().__init__(*given)
-        self.missed: set = set()
+        self.missed: list = []
+        self.gaps: list[tuple[list, int, int]] = []
 
     def __missing__(self, key) -> None:
-        self.missed.add(key)
-
-    def take(self) -> set:
-        missed, self.missed = self.missed, set()
-        return missed
+        self.missed.append(key)
+
+    def find(self, keys: Iterable) -> list:
+        """The ids of each key; None, until ``fill``, where one isn't known. The keys themselves needn't be held."""
+        before = len(self.missed)
+        found = list(map(self.__getitem__, keys))
+        if len(self.missed) > before:
+            self.gaps.append((found, before, len(self.missed)))
+        return found
+
+    def fill(self, ids: dict) -> None:
+        """Put the ids of the keys that were missed into what ``find`` gave."""
+        missed, gaps, self.missed, self.gaps = self.missed, self.gaps, [], []
+        for found, a, b in gaps:
+            at = -1
+            for key in missed[a:b]:
+                at = found.index(None, at + 1)
+                found[at] = ids[key]
 
     def keep_half(self, most: int) -> None:
         """Beyond so many, keep the first half of them, which holds the frequent ones."""
@@ -135,13 +149,10 @@ class WordEncoder:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids (uint32) of each text."""
-        split = [self.words(text) for text in texts]
-        found = [list(map(self.known.__getitem__, words)) for words in split]  # None where not known yet
-        if new := self.known.take():
-            self._learn(new)
-            for words, ids in zip(split, found):
-                if None in ids:
-                    ids[:] = [self.known[w] if i is None else i for w, i in zip(words, ids)]
+        found = [self.known.find(self.words(text)) for text in texts]
+        if self.known.missed:
+            self._learn(set(self.known.missed))
+            self.known.fill(self.known)
             self.known.keep_half(CACHE_WORDS)
         return [np.frombuffer(b"".join(ids), dtype=np.uint32) for ids in found]
 

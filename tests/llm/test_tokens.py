@@ -45,6 +45,26 @@ def test_op4_encode_and_decode_apart(odd, odd_rows):
         (d, b) for d, b in sorted(((r[0], (r[1] or "").encode()) for r in odd_rows), key=lambda r: repr((r[0], bytearray(r[1]))))]
 
 
+def test_ids_that_are_missed_are_filled_in_at_their_places():
+    """Each miss noted with its list, repeated ones too, while the keys themselves may be gone; nothing stays for the next texts."""
+    from feedlens.llm.tokens import Known
+    known = Known({"a": b"1"})
+    first, second, third = known.find(iter("xaxya")), known.find(iter("aa")), known.find(iter("y"))
+    assert first == [None, b"1", None, None, b"1"] and known.missed == ["x", "x", "y", "y"]
+    known.fill({"x": b"8", "y": b"9"})
+    assert (first, second, third) == ([b"8", b"1", b"8", b"9", b"1"], [b"1", b"1"], [b"9"])
+    assert not known.missed and not known.gaps and dict(known) == {"a": b"1"}
+
+
+def test_op4_contracts_pieces_of_one_byte_and_of_many_in_their_order():
+    one, e = Bpe(MULTI, P.PATTERN), encoder(MULTI)
+    pieces = [b"a", b" zqxjkv", b"b", b"a" * 512, "\u6f22\u5b57".encode(), b"\xff"]
+    got = [np.frombuffer(ids, dtype=np.int32).tolist() for ids in one.contract(pieces)]
+    assert [e.decode_bytes(ids) for ids in got] == pieces
+    assert got[:5] == [e.encode_ordinary(p.decode()) for p in pieces[:5]]
+    assert one.contract(pieces[::-1]) == one.contract(pieces)[::-1]
+
+
 def test_op4_memory_bounds_change_nothing(monkeypatch):
     texts = ["the quick brown foxes", "  spaces   and\n\nlines ", "", "aaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaa", "naïve façade 漢字"]
     want = [encoder(MULTI).encode_ordinary(t) for t in texts]
