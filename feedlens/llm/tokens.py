@@ -121,22 +121,25 @@ class WordEncoder:
         return [data[a:b] for a, b in zip(bounds, bounds[1:])]
 
     def _learn(self, words: set[str]) -> None:
-        stems: dict[str, str] = {}
+        known, ends = self.known, self.ends
+        stems: dict[str, str] = {}  # of the words that aren't their own
+        new: set[str] = set()
         for word in words:
-            stem = word
-            if len(word) > 1 and word[-1] in self.ends and word[-2].isascii() and word[-2].isalpha():
-                stem = word[:-1]
-            stems[word] = stem.lower() if stem.isascii() else stem
-        new = {stem for stem in stems.values() if stem not in self.known}
+            stem = word[:-1] if word[-1:] in ends and word[-2:-1].isalpha() and word[-2].isascii() else word
+            if stem.isascii():
+                stem = stem.lower()
+            if stem != word:
+                stems[word] = stem
+            if stem not in known:
+                new.add(stem)
         letters = [stem for stem in new if self._letters.fullmatch(stem)]
         others = list(new.difference(letters))
         self.known.update(zip(others, self._ids(others)))
         if letters:
             self.known.update(zip(letters, self._ids_of_letters(letters)))
         for word, stem in stems.items():
-            ids = self.known[stem]
-            ended = len(word) > len(stem)
-            self.known[word] = ids + self.ends[word[-1]] if ended else ids
+            ids = known[stem]
+            known[word] = ids + ends[word[-1]] if len(word) > len(stem) else ids
 
     def words(self, text: str) -> list[str | tuple]:
         if any(content in text for content in self._contents):

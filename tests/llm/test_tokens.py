@@ -198,6 +198,15 @@ def test_words_of_letters_are_encoded_together_as_one_by_one():
     assert e.encode([text])[0].tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_words_and_their_stems_are_encoded_as_the_library_does():
+    """Ends after letters, digits, other ends and nothing; capitals; words beside texts that hold a separator; and again from the cache."""
+    e, library = WordEncoder(WORD), Tokenizer.from_file(WORD)
+    texts = ["End. END, end a. A, . , .. ,. a.. 1. 1, É. é, Éa, x\u0301. I. i,", "A. a A", " \n ", "\x1c a.\x1fB, ", "aA.Aa, aa,AA. \u1e9e. \u0130,"]
+    for _ in range(2):
+        assert [ids.tolist() for ids in e.encode(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert not e.known.missed and not e.known.gaps
+
+
 def test_special_strings_in_texts_are_encoded_as_the_library_does():
     """Against the unmodified tokenizer, in every surrounding, and after the cache has been emptied."""
     e, library = WordEncoder(WORD), Tokenizer.from_file(WORD)
